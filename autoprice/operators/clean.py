@@ -155,17 +155,17 @@ def car_age(year: str = "year", as_of_year: int | None = None) -> Column:
 
 def kms_per_year_plus1(kms: str = "kms_driven", age: str = "car_age") -> Column:
     """Pandas rule, ``kms / (age + 1)``."""
-    return F.col(kms) / (F.col(age) + 1)
+    return F.try_divide(F.col(kms), F.col(age) + 1)
 
 
 def kms_per_year_guarded(kms: str = "kms_driven", age: str = "car_age") -> Column:
     """Spark rule, ``age > 0 ? kms / age : kms``."""
-    return F.when(F.col(age) > 0, F.col(kms) / F.col(age)).otherwise(F.col(kms).cast("double"))
+    return F.when(F.col(age) > 0, F.try_divide(F.col(kms), F.col(age))).otherwise(F.col(kms).cast("double"))
 
 
 def kms_per_year_rounded(kms: str = "kms_driven", age: str = "car_age") -> Column:
     """Producer rule, ``round(kms / max(age, 1), 1)`` half-even like Python's ``round``."""
-    return F.bround(F.col(kms) / F.greatest(F.col(age), F.lit(1)), 1)
+    return F.bround(F.try_divide(F.col(kms), F.greatest(F.col(age), F.lit(1))), 1)
 
 
 def cast_types(df: DataFrame, casts: dict[str, str] | None = None) -> DataFrame:
@@ -182,7 +182,7 @@ def derive_date(c: str) -> Column:
 
 def derive_year(c: str, fmt: str = "yyyy-MM-dd") -> Column:
     """P7."""
-    return F.year(F.try_to_date(F.col(c), F.lit(fmt)))
+    return F.year(F.try_to_date(F.col(c), fmt))
 
 
 def relative_error_pct(pred: str, y: str) -> Column:
@@ -226,3 +226,24 @@ def clean_cars_median(df: DataFrame, as_of_year: int | None = None) -> DataFrame
     d = d.withColumn("car_age", car_age(as_of_year=y))
     d = d.withColumn("kms_per_year", kms_per_year_plus1())
     return cast_types(d, {"year": "int", "kms_driven": "int"})
+
+
+# ---------------------------------------------------------------- transactions (J3) and temperatures
+
+TX_COLUMNS = ["tranaction_id", "tx_datetime", "customer_id", "terminal_id", "tx_amount",
+              "tx_time_seconds", "tx_time_days", "tx_fraud", "tx_fraud_scenario"]
+
+
+def clean_transactions(df: DataFrame, id_cols: tuple[str, ...] = ("terminal_id", "customer_id"),
+                       datetime_col: str = "tx_datetime") -> DataFrame:
+    """J3 without the I/O: D1 -> F5 -> P6 (``tx_date``). Profiles A2/A3 run on ``dedupe_rows(df)``."""
+    d = filter_zero_ids(dedupe_rows(df), id_cols)
+    return d.withColumn("tx_date", derive_date(datetime_col))
+
+
+def temperature_etl(df: DataFrame, min_year: int = 2000, date_col: str = "dt", key: str = "country",
+                    value: str = "average_temperature") -> DataFrame:
+    """J4 without the I/O: P7 -> F6 -> A6 (median per country, ordered by country)."""
+    from autoprice.operators.profile import group_median
+    d = df.withColumn("year", derive_year(date_col))
+    return group_median(filter_min_year(d, "year", min_year), key, value, "median_temperature")

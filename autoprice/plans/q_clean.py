@@ -79,3 +79,227 @@ def q_clean_cars_median(spark, sf_dir):
     df = C.clean_cars_median(view(spark, sf_dir, "cars_raw"), as_of_year=Y)
     return (df.withColumn("car_age", _r6(F.col("car_age")))
               .withColumn("kms_per_year", _r6(F.col("kms_per_year"))))
+
+
+# ------------------------------------------------------------------ projections
+
+@register("car_age", with_views(f"select car_id, year, {Y} - year as car_age from cars_raw", "cars_raw"))
+def q_car_age(spark, sf_dir):
+    return view(spark, sf_dir, "cars_raw").select("car_id", "year", C.car_age(as_of_year=Y).alias("car_age"))
+
+
+@register("kms_per_year_plus1", with_views(
+    f"select car_id, round(kms_driven / nullif({Y} - year + 1, 0), 6) as kms_per_year from cars_raw", "cars_raw"))
+def q_kms_plus1(spark, sf_dir):
+    d = view(spark, sf_dir, "cars_raw").withColumn("car_age", C.car_age(as_of_year=Y))
+    return d.select("car_id", _r6(C.kms_per_year_plus1()).alias("kms_per_year"))
+
+
+@register("kms_per_year_guarded", with_views(
+    f"select car_id, round(case when {Y} - year > 0 then kms_driven / ({Y} - year) else kms_driven end, 6) as kms_per_year "
+    "from cars_raw", "cars_raw"))
+def q_kms_guarded(spark, sf_dir):
+    d = view(spark, sf_dir, "cars_raw").withColumn("car_age", C.car_age(as_of_year=Y))
+    return d.select("car_id", _r6(C.kms_per_year_guarded()).alias("kms_per_year"))
+
+
+@register("kms_per_year_rounded", with_views(
+    f"select car_id, round_even(kms_driven / greatest({Y} - year, 1), 1) as kms_per_year from cars_raw", "cars_raw"))
+def q_kms_rounded(spark, sf_dir):
+    d = view(spark, sf_dir, "cars_raw").withColumn("car_age", C.car_age(as_of_year=Y))
+    return d.select("car_id", C.kms_per_year_rounded().alias("kms_per_year"))
+
+
+@register("cast_types", with_views(
+    "select car_id, cast(year as integer) as year, cast(kms_driven as integer) as kms_driven, "
+    "cast(selling_price as double) as selling_price, cast(present_price as double) as present_price from cars_raw",
+    "cars_raw"))
+def q_cast_types(spark, sf_dir):
+    d = view(spark, sf_dir, "cars_raw").select("car_id", "year", "kms_driven", "selling_price", "present_price")
+    return C.cast_types(d)
+
+
+@register("derive_tx_date", with_views(
+    "select tranaction_id, tx_datetime, try_cast(tx_datetime as date) as tx_date from tx_raw", "tx_raw"))
+def q_derive_tx_date(spark, sf_dir):
+    return view(spark, sf_dir, "tx_raw").select("tranaction_id", "tx_datetime", C.derive_date("tx_datetime").alias("tx_date"))
+
+
+@register("derive_year", with_views(
+    "select dt, cast(year(try_strptime(dt, '%Y-%m-%d')) as integer) as year from temps", "temps"))
+def q_derive_year(spark, sf_dir):
+    return view(spark, sf_dir, "temps").select("dt", C.derive_year("dt").alias("year"))
+
+
+@register("label_map", with_views(
+    "select page_id, url, label, case when label = 'bad' then 1 when label = 'good' then 0 end as label_enc from url_raw",
+    "url_raw"))
+def q_label_map(spark, sf_dir):
+    from autoprice.functions.scalar import label_map
+    d = view(spark, sf_dir, "url_raw")
+    return d.select("page_id", "url", "label", label_map("label", {"bad": 1, "good": 0}).alias("label_enc"))
+
+
+@register("select_features", with_views(
+    "select car_id, year, present_price, kms_driven, owner, fuel_type, seller_type, transmission, selling_price "
+    "from cars_raw", "cars_raw"))
+def q_select_features(spark, sf_dir):
+    from autoprice.operators.features import select_features
+    return select_features(view(spark, sf_dir, "cars_raw"),
+                           ["year", "present_price", "kms_driven", "owner", "fuel_type", "seller_type", "transmission"],
+                           "selling_price", keep=["car_id"])
+
+
+@register("drop_columns", with_views(
+    "select car_id, year, present_price, kms_driven, fuel_type, seller_type, transmission, owner from cars_raw",
+    "cars_raw"))
+def q_drop_columns(spark, sf_dir):
+    return view(spark, sf_dir, "cars_raw").drop("selling_price", "car_name")
+
+
+@register("new_columns", with_views(f"""
+, j2 as ({_J2_SQL})
+select 'car_age' as column_name, count(car_age) as non_null from j2
+union all select 'kms_per_year', count(kms_per_year) from j2""", "cars_raw"))
+def q_new_columns(spark, sf_dir):
+    raw = view(spark, sf_dir, "cars_raw")
+    cleaned = C.clean_cars_mean(raw, as_of_year=Y)
+    cols = C.new_columns(raw, cleaned)
+    agg = cleaned.agg(*[F.count(c).alias(c) for c in cols])
+    return agg.unpivot([], cols, "column_name", "non_null")
+
+
+@register("relative_error_pct", with_views(
+    "select car_id, round(abs((yhat - y) / y) * 100, 6) as rel_err_pct from scored", "scored"))
+def q_relative_error(spark, sf_dir):
+    return view(spark, sf_dir, "scored").select("car_id", _r6(C.relative_error_pct("yhat", "y")).alias("rel_err_pct"))
+
+
+@register("nest_prediction", with_views(
+    "select car_id, to_json({'car_data': {'year': year, 'kms_driven': kms_driven, 'fuel_type': fuel_type, "
+    "'transmission': transmission}, 'predicted_price': floor(present_price * 85) / 100}) as value from cars_raw",
+    "cars_raw"))
+def q_nest_prediction(spark, sf_dir):
+    d = view(spark, sf_dir, "cars_raw").withColumn("pred", F.floor(F.col("present_price") * 85) / 100)
+    nested = C.nest_prediction(["year", "kms_driven", "fuel_type", "transmission"], "pred")
+    return d.select("car_id", F.to_json(nested, {"ignoreNullFields": "false"}).alias("value"))
+
+
+# ------------------------------------------------------------------ filters
+
+@register("drop_null_target", with_views(f"select {CAR_COLS} from cars_raw where selling_price is not null", "cars_raw"))
+def q_drop_null_target(spark, sf_dir):
+    return C.drop_null_target(view(spark, sf_dir, "cars_raw"))
+
+
+@register("drop_any_null", with_views(
+    f"select {CAR_COLS} from cars_raw where " + " and ".join(f"{c.strip()} is not null" for c in CAR_COLS.split(",")),
+    "cars_raw"))
+def q_drop_any_null(spark, sf_dir):
+    return C.drop_any_null(view(spark, sf_dir, "cars_raw"))
+
+
+@register("filter_outliers", with_views(
+    f"select {CAR_COLS} from cars_raw where selling_price > 1 and selling_price < 10 "
+    "and kms_driven > 0 and kms_driven < 1000000", "cars_raw"))
+def q_filter_outliers(spark, sf_dir):
+    return C.filter_outliers(view(spark, sf_dir, "cars_raw"))
+
+
+@register("filter_year", with_views(f"select {CAR_COLS} from cars_raw where year > 1950 and year <= {Y}", "cars_raw"))
+def q_filter_year(spark, sf_dir):
+    return C.filter_year(view(spark, sf_dir, "cars_raw"), as_of_year=Y)
+
+
+TX_COLS = ", ".join(C.TX_COLUMNS)
+
+
+@register("filter_zero_ids", with_views(
+    f"select {TX_COLS} from tx_raw where try_cast(terminal_id as bigint) <> 0 and try_cast(customer_id as bigint) <> 0",
+    "tx_raw"))
+def q_filter_zero_ids(spark, sf_dir):
+    return C.filter_zero_ids(view(spark, sf_dir, "tx_raw"))
+
+
+# The reference default; the driver's order dates span 1995-2001, so both sides of the bound are populated.
+MIN_YEAR = 2000
+
+
+@register("filter_min_year", with_views(
+    f"select dt, country, average_temperature, cast(year(try_strptime(dt, '%Y-%m-%d')) as integer) as year "
+    f"from temps where year(try_strptime(dt, '%Y-%m-%d')) >= {MIN_YEAR}", "temps"))
+def q_filter_min_year(spark, sf_dir):
+    d = view(spark, sf_dir, "temps").withColumn("year", C.derive_year("dt"))
+    return C.filter_min_year(d, "year", MIN_YEAR)
+
+
+# ------------------------------------------------------------------ de-duplication and imputation
+
+@register("dedupe_rows", with_views(f"select distinct {TX_COLS} from tx_raw", "tx_raw"))
+def q_dedupe_rows(spark, sf_dir):
+    return C.dedupe_rows(view(spark, sf_dir, "tx_raw"))
+
+
+@register("impute_mean", with_views("""
+, st as (select coalesce(avg(year), 0) as m_year, coalesce(avg(kms_driven), 0) as m_kms,
+                coalesce(avg(present_price), 0) as m_pp from cars_raw)
+select car_id, round(coalesce(cast(year as double), (select m_year from st)), 6) as year,
+  round(coalesce(cast(kms_driven as double), (select m_kms from st)), 6) as kms_driven,
+  round(coalesce(present_price, (select m_pp from st)), 6) as present_price
+from cars_raw""", "cars_raw"))
+def q_impute_mean(spark, sf_dir):
+    d = view(spark, sf_dir, "cars_raw").select("car_id", "year", "kms_driven", "present_price")
+    d = C.impute_mean_mode(d, ["year", "kms_driven", "present_price"], [])
+    return d.select("car_id", *[_r6(F.col(c)).alias(c) for c in ["year", "kms_driven", "present_price"]])
+
+
+@register("impute_median", with_views("""
+, st as (select median(year) as m_year, median(kms_driven) as m_kms from cars_raw)
+select car_id, round(coalesce(cast(year as double), (select m_year from st)), 6) as year,
+  round(coalesce(cast(kms_driven as double), (select m_kms from st)), 6) as kms_driven
+from cars_raw""", "cars_raw"))
+def q_impute_median(spark, sf_dir):
+    d = view(spark, sf_dir, "cars_raw").select("car_id", "year", "kms_driven")
+    d = C.impute_median(d, ["year", "kms_driven"])
+    return d.select("car_id", _r6(F.col("year")).alias("year"), _r6(F.col("kms_driven")).alias("kms_driven"))
+
+
+@register("impute_mode", with_views("""
+, mf as (select fuel_type as v from cars_raw where fuel_type is not null group by 1 order by count(*) desc, 1 limit 1),
+ms as (select seller_type as v from cars_raw where seller_type is not null group by 1 order by count(*) desc, 1 limit 1),
+mt as (select transmission as v from cars_raw where transmission is not null group by 1 order by count(*) desc, 1 limit 1),
+mo as (select owner as v from cars_raw where owner is not null group by 1 order by count(*) desc, 1 limit 1)
+select car_id, coalesce(fuel_type, (select v from mf), 'unknown') as fuel_type,
+  coalesce(seller_type, (select v from ms), 'unknown') as seller_type,
+  coalesce(transmission, (select v from mt), 'unknown') as transmission,
+  coalesce(owner, (select v from mo)) as owner
+from cars_raw""", "cars_raw"))
+def q_impute_mode(spark, sf_dir):
+    d = view(spark, sf_dir, "cars_raw").select("car_id", "fuel_type", "seller_type", "transmission", "owner")
+    return C.impute_mode(d, ["fuel_type", "seller_type", "transmission", "owner"])
+
+
+@register("impute_constant", with_views(
+    "select car_id, coalesce(fuel_type, 'missing') as fuel_type, coalesce(seller_type, 'missing') as seller_type, "
+    "coalesce(cast(owner as varchar), 'missing') as owner from cars_raw", "cars_raw"))
+def q_impute_constant(spark, sf_dir):
+    d = view(spark, sf_dir, "cars_raw").select("car_id", "fuel_type", "seller_type", "owner")
+    return C.impute_constant(d, ["fuel_type", "seller_type", "owner"])
+
+
+# ------------------------------------------------------------------ J3, J4
+
+@register("clean_transactions", with_views(f"""
+, d as (select distinct {TX_COLS} from tx_raw)
+select {TX_COLS}, try_cast(tx_datetime as date) as tx_date from d
+where try_cast(terminal_id as bigint) <> 0 and try_cast(customer_id as bigint) <> 0""", "tx_raw"))
+def q_clean_transactions(spark, sf_dir):
+    return C.clean_transactions(view(spark, sf_dir, "tx_raw"))
+
+
+@register("temperature_etl", with_views(f"""
+, f as (select * from temps where year(try_strptime(dt, '%Y-%m-%d')) >= {MIN_YEAR} and country is not null)
+select country, round(median(average_temperature), 6) as median_temperature from f group by country""", "temps"))
+def q_temperature_etl(spark, sf_dir):
+    d = C.temperature_etl(view(spark, sf_dir, "temps"), MIN_YEAR)
+    return d.select("country", _r6(F.col("median_temperature")).alias("median_temperature"))
