@@ -34,8 +34,9 @@ def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
 
 
 def global_index(df: DataFrame, order_cols: list[str], index_col: str = "_idx",
-                 num_partitions: int | None = None) -> DataFrame:
-    """Add a 0-based ``index_col`` following ``order_cols`` (which must be unique).
+                 num_partitions: int | None = None, with_count: bool = False):
+    """Add a 0-based ``index_col`` following ``order_cols`` (which must be unique); with
+    ``with_count`` also return the row count (known from the partition totals, no extra job).
 
     Plan: range shuffle on the order key -> local sort -> tag (partition id, local position)
     -> checkpoint. Per-partition row counts (one number per partition, so bounded by the
@@ -54,8 +55,9 @@ def global_index(df: DataFrame, order_cols: list[str], index_col: str = "_idx",
         offsets.append(acc)
         acc += counts.get(p, 0)
     off = F.array(*[F.lit(o) for o in offsets]) if offsets else F.array(F.lit(0))
-    return tagged.withColumn(index_col, (F.element_at(off, F.col("_pid") + 1) + F.col("_local")).cast("bigint")) \
-                 .drop("_pid", "_local")
+    out = tagged.withColumn(index_col, (F.element_at(off, F.col("_pid") + 1) + F.col("_local")).cast("bigint")) \
+                .drop("_pid", "_local")
+    return (out, acc) if with_count else out
 
 
 def ranked_histogram(df: DataFrame, value: str | Column, group_cols: list[str] | None = None,
