@@ -1,3 +1,76 @@
-"""Catalogue entries."""
+"""Catalogue entries: run log and model versions."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from autoprice.operators import registry as RG
+from autoprice.plans.fixtures import view, with_views
+from autoprice.plans.registry import register
+
+_ALIAS_SQL = ("case when stage = 'Production' then 'champion' when stage = 'Staging' then 'challenger' "
+              "when stage = 'Archived' then 'archived' else lower(stage) end")
+
+
+def _run_log(spark, sf_dir):
+    mv = view(spark, sf_dir, "model_versions")
+    mv = mv.withColumn("r2_txt", F.format_string("%.6f", "r2")).withColumn("r2_pct_txt", F.format_string("%.6f", F.col("r2") * 100))
+    run_id = F.concat_ws("-", "model_name", F.col("version").cast("string"))
+    return RG.run_log_rows(mv, run_id, {"stage": "stage"}, {"r2": "r2_txt", "r2_pct": "r2_pct_txt"})
+
+
+_LOG_SQL = """
+, lg as (select model_name || '-' || cast(version as varchar) as run_id, 'param' as kind, 'stage' as name, stage as value from model_versions
+  union all select model_name || '-' || cast(version as varchar), 'metric', 'r2', printf('%.6f', r2) from model_versions
+  union all select model_name || '-' || cast(version as varchar), 'metric', 'r2_pct', printf('%.6f', r2 * 100) from model_versions)"""
+
+
+@register("log_run", with_views(_LOG_SQL + "\nselect run_id, kind, name, value from lg", "model_versions"))
+def q_log_run(spark, sf_dir):
+    return _run_log(spark, sf_dir)
+
+
+@register("register_version", with_views(
+    "select model_name, coalesce(max(version), 0) + 1 as next_version from model_versions group by model_name",
+    "model_versions"))
+def q_register_version(spark, sf_dir):
+    return RG.next_versions(view(spark, sf_dir, "model_versions"))
+
+
+@register("latest_version", with_views(
+    "select model_name, max(version) as version, max_by(r2, version) as r2, max_by(stage, version) as stage "
+    "from model_versions group by model_name", "model_versions"))
+def q_latest_version(spark, sf_dir):
+    return RG.latest_versions(view(spark, sf_dir, "model_versions"))
+
+
+@register("resolve_alias", with_views(f"""
+select model_name, 'champion' as alias,
+  coalesce(max(version) filter (where {_ALIAS_SQL} = 'champion'), max(version) filter (where stage = 'Production')) as resolved_version
+from model_versions group by model_name
+union all
+select model_name, 'shadow', coalesce(max(version) filter (where {_ALIAS_SQL} = 'shadow'),
+  max(version) filter (where stage = 'Staging')) from model_versions group by model_name""", "model_versions"))
+def q_resolve_alias(spark, sf_dir):
+    mv = view(spark, sf_dir, "model_versions")
+    return RG.resolve_alias(mv, "champion", "Production").unionByName(RG.resolve_alias(mv, "shadow", "Staging"))
+
+
+@register("promote", with_views(f"""
+, w as (select model_name as wm, max_by(version, (r2, version)) as wv from model_versions group by model_name),
+j as (select model_name, version, stage as old_stage,
+  case when version = wv then 'Production' when wv is not null and stage = 'Production' then 'Archived' else stage end as stage
+  from model_versions left join w on model_name = wm)
+select model_name, version, old_stage, stage, {_ALIAS_SQL} as alias from j""", "model_versions"))
+def q_promote(spark, sf_dir):
+    mv = view(spark, sf_dir, "model_versions")
+    winners = mv.groupBy("model_name").agg(F.max_by("version", F.struct("r2", "version")).alias("version"))
+    return RG.promote(mv, winners)
+
+
+@register("compare_runs", with_views(_LOG_SQL + """
+select run_id, max(cast(value as double)) filter (where name = 'r2') as r2,
+  max(cast(value as double)) filter (where name = 'r2_pct') as r2_pct
+from lg where kind = 'metric' group by run_id""", "model_versions"))
+def q_compare_runs(spark, sf_dir):
+    return RG.compare_runs(_run_log(spark, sf_dir), ["r2", "r2_pct"])
