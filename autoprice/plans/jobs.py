@@ -19,3 +19,155 @@ def monitor_predictions(log: DataFrame, width: str = "5 minutes", slide: str = "
                    .withColumn("rate_per_s", F.col("requests") / secs)
     p95 = MO.latency_quantile(log, "latency_s", 0.95, "ts", width, slide)
     return counts.join(p95, ["window_start", "window_end"], "left")
+
+
+# ------------------------------------------------------------------ model jobs
+
+PRICE_NUMERIC = ["year", "present_price", "kms_driven", "owner", "car_age", "kms_per_year"]
+PRICE_CATEGORICAL = ["fuel_type", "seller_type", "transmission"]
+
+
+def price_pipeline(trees: int = 50, depth: int = 8, seed: int = 42, scale: bool = True):
+    """E2 + E3 + E5 + M1 as one Spark ML pipeline: one-hot categoricals, standardised numerics,
+    assembled, random-forest regression on ``selling_price``."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+
+    from autoprice.operators.models import rf_regressor
+    idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", stringOrderType="alphabetAsc", handleInvalid="keep")
+           for c in PRICE_CATEGORICAL]
+    ohe = OneHotEncoder(inputCols=[f"{c}_idx" for c in PRICE_CATEGORICAL],
+                        outputCols=[f"{c}_ohe" for c in PRICE_CATEGORICAL], dropLast=True)
+    num = VectorAssembler(inputCols=PRICE_NUMERIC, outputCol="_num", handleInvalid="error")
+    # population std like scikit-learn's scaler is only a rescaling for trees; keep Spark's here
+    sc = StandardScaler(inputCol="_num", outputCol="_num_z", withMean=True, withStd=True) if scale else None
+    asm = VectorAssembler(inputCols=["_num_z" if scale else "_num", *[f"{c}_ohe" for c in PRICE_CATEGORICAL]],
+                          outputCol="features")
+    rf = rf_regressor("features", "selling_price", trees, depth, 1, seed)
+    return Pipeline(stages=[*idx, ohe, num, *([sc] if sc else []), asm, rf])
+
+
+def train_price(clean: DataFrame, key: str = "car_id", test_frac: float = 0.2, seed: int = 42,
+                trees: int = 50, depth: int = 8):
+    """Split (O5) -> pipeline fit on train (E2, E3, M1) -> Q1 on test. Returns (model, metrics, scored)."""
+    from autoprice.operators.metrics import regression_metrics
+    from autoprice.operators.split import split_random
+    sp = split_random(clean, key, test_frac, seed)
+    train, test = sp.where("split = 'train'"), sp.where("split = 'test'")
+    model = price_pipeline(trees, depth, seed).fit(train)
+    scored = model.transform(test).select(key, F.col("selling_price").alias("y"), F.col("prediction").alias("yhat"))
+    return model, regression_metrics(scored, "y", "yhat"), scored
+
+
+def train_linear_baseline(raw: DataFrame, key: str = "car_id", test_frac: float = 0.2, seed: int = 42):
+    """Drop rows with any NULL (F2) -> features Year, Present_Price, Kms_Driven (P9) -> split
+    -> ordinary least squares (M2) -> RMSE on test (Q1)."""
+    from pyspark.ml.feature import VectorAssembler
+
+    from autoprice.operators.clean import drop_any_null
+    from autoprice.operators.metrics import regression_metrics
+    from autoprice.operators.models import linear_regression
+    from autoprice.operators.split import split_random
+    d = drop_any_null(raw.select(key, "year", "present_price", "kms_driven", "selling_price"))
+    d = VectorAssembler(inputCols=["year", "present_price", "kms_driven"], outputCol="features").transform(d)
+    sp = split_random(d, key, test_frac, seed)
+    model = linear_regression("features", "selling_price").fit(sp.where("split = 'train'"))
+    scored = model.transform(sp.where("split = 'test'")).select(key, F.col("selling_price").alias("y"),
+                                                                F.col("prediction").alias("yhat"))
+    return model, regression_metrics(scored, "y", "yhat").select("n", "rmse")
+
+
+def _rf_features(df: DataFrame, cats: list[str], nums: list[str]):
+    """E1 + P9 + E5: alphabetical label codes for the categoricals, assembled with the numerics."""
+    from autoprice.operators.features import assemble_features, label_encode
+    enc = label_encode(df, cats)
+    return assemble_features(enc, nums + [f"{c}_code" for c in cats])
+
+
+def train_validate_price(clean: DataFrame, spark, key: str = "car_id", run_id: str = "run-0001", trees: int = 50,
+                         depth: int = 8, seed: int = 42, cv_folds: int = 3, report_path: str | None = None):
+    """E1 -> P9 -> O6 -> M1 -> Q1 -> M4 -> E6 -> B6..B11 (-> K6).
+
+    Returns (summary row, top-3 feature importances, A/B metrics rows)."""
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    from autoprice.operators import abtest as AB
+    from autoprice.operators.features import assembled_names, feature_importance
+    from autoprice.operators.metrics import regression_aggs, regression_from_aggs
+    from autoprice.operators.models import rf_regressor
+    from autoprice.operators.split import kfold_assign, split_small_guarded, split_time_ordered
+    cats = ["car_name", "fuel_type", "seller_type", "transmission"]
+    nums = ["year", "present_price", "kms_driven", "owner", "car_age", "kms_per_year"]
+    feats = _rf_features(clean, cats, nums).select(key, "features", F.col("selling_price").alias("label"))
+    names = assembled_names(feats)
+    sp = split_small_guarded(feats, key, seed)
+    train, test = sp.where("split = 'train'"), sp.where("split = 'test'")
+    rf = rf_regressor("features", "label", trees, depth, 1, seed)
+    model = rf.fit(train)
+    m = model.transform(test).agg(*regression_aggs("label", "prediction")).select(*regression_from_aggs("null"))
+    # M4: contiguous folds over the training rows, fitted and scored by Spark's CrossValidator
+    folds = kfold_assign(train, key, cv_folds)
+    ev = RegressionEvaluator(labelCol="label", predictionCol="prediction", metricName="r2")
+    cv = CrossValidator(estimator=rf, estimatorParamMaps=ParamGridBuilder().build(), evaluator=ev,
+                        foldCol="fold", parallelism=cv_folds).fit(folds)
+    cv_mean = float(cv.avgMetrics[0])
+    importances = feature_importance(spark, model, names, 3)
+    # B6 with the forest
+    seg = split_time_ordered(feats, key)
+    ab_rows = []
+    for name, tr, te in (("A", seg.where("segment = 'old'"), seg.where("segment <> 'old'")),
+                         ("B", seg.where("segment <> 'new_test'"), seg.where("segment = 'new_test'"))):
+        mdl = rf.fit(tr)
+        r = mdl.transform(te).agg(*regression_aggs("label", "prediction")).select(*regression_from_aggs("zero"))
+        ab_rows.append(r.select(F.lit(name).alias("model"), F.col("n").alias("n_test"), "r2", "mae", "rmse"))
+    ab = ab_rows[0].unionByName(ab_rows[1])
+    a, b = (ab.where(F.col("model") == x).select(F.struct("*")).scalar() for x in ("A", "B"))
+    n_old = seg.where("segment = 'old'").agg(F.count(F.lit(1))).scalar()
+    row = m.select(F.col("r2"), F.lit(cv_mean).alias("cv_r2"), a.getField("r2").alias("r2_a"),
+                   b.getField("r2").alias("r2_b"), n_old.alias("n_old"), a.getField("n_test").alias("n_new"))
+    row = row.withColumn("improvement_pct", AB.improvement_pct(F.col("r2_a"), F.col("r2_b")))
+    text, _code = AB.validation_status(F.col("improvement_pct"))
+    skip = AB.validation_skip(F.col("n_old") + F.col("n_new"), F.col("n_old"), F.col("n_new"))
+    row = row.withColumn("validation_status", F.coalesce(skip, text))
+    row = row.withColumn("quality", AB.quality_grade(F.col("r2"), F.col("cv_r2"), F.col("validation_status")))
+    summary = AB.final_summary(row, run_id)
+    if report_path:
+        from autoprice.sources.sinks import write_report
+        write_report(row, report_path)
+    return summary, importances, ab
+
+
+def ab_test_url(pages: DataFrame, spark, key: str = "page_id", sample_frac: float = 1.0, test_frac: float = 0.3,
+                seed: int = 42, draws: int = 50, iterations: int = 100, alpha: float = 0.01):
+    """O3 -> P8 -> O5 -> E4 -> M3 (champion) and M5 (candidate) -> Q2/Q3 -> B1/B2 (multinomial,
+    paired) -> B3/B4 -> B5. Returns (decision row, comparison rows, test metrics of both models)."""
+    from autoprice.functions.scalar import label_map
+    from autoprice.operators import abtest as AB
+    from autoprice.operators.features import char_count_vector, fit_char_vectorizer
+    from autoprice.operators.metrics import classification_metrics
+    from autoprice.operators.models import random_search, rf_classifier
+    from autoprice.operators.split import sample_fraction, split_random
+    d = sample_fraction(pages, key, sample_frac, seed, exact=True) if sample_frac < 1.0 else pages
+    d = d.withColumn("label", label_map("label", {"bad": 1, "good": 0}).cast("double")).where(F.col("label").isNotNull())
+    sp = split_random(d, key, test_frac, seed, exact=True)
+    train, test = sp.where("split = 'train'"), sp.where("split = 'test'")
+    vec = fit_char_vectorizer(train, "url")
+    train_v, test_v = char_count_vector(train, vec, "url"), char_count_vector(test, vec, "url")
+    champion = rf_classifier("features", "label").fit(train_v)
+    est = rf_classifier("features", "label")
+    # The search grid (minimum samples per split has no Spark counterpart and is dropped;
+    # "no feature limit" maps to "all").
+    grid = {"numTrees": [30, 40], "maxDepth": [8, 10], "minInstancesPerNode": [1, 2],
+            "featureSubsetStrategy": ["sqrt", "log2", "all"]}
+    candidate = random_search(est, train_v, grid, draws, 3, seed).bestModel
+    scored = champion.transform(test_v).select(key, F.col("label").cast("int").alias("y"),
+                                               F.col("prediction").cast("int").alias("yhat_prod"))
+    cand = candidate.transform(test_v).select(key, F.col("prediction").cast("int").alias("yhat_cand"))
+    # both sides are the same test rows keyed by the unique id: an equi-join on the key
+    scored = scored.join(cand, key)
+    metrics = classification_metrics(scored, "y", "yhat_prod").select(F.lit("prod").alias("model"), "*") \
+        .unionByName(classification_metrics(scored, "y", "yhat_cand").select(F.lit("cand").alias("model"), "*"))
+    boot = AB.bootstrap_confusion_multinomial(scored, "y", {"prod": "yhat_prod", "cand": "yhat_cand"}, iterations, seed)
+    comp = AB.t_test(boot, "prod", "cand", ["f1", "precision"], alpha)
+    return AB.deploy_decision(comp), comp, metrics

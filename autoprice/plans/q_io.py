@@ -1,3 +1,148 @@
-"""Catalogue entries."""
+"""Catalogue entries: sources and sinks as write -> read round trips.
+
+Each query writes a fixture view with the sink under test into a fresh folder beside the checkpoint
+directory and reads it back with the matching reader, so the oracle is the view itself.
+"""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from autoprice.functions.scalar import uniform_sql
+from autoprice.operators import clean as C
+from autoprice.plans.fixtures import table, view, with_views
+from autoprice.plans.q_clean import _J2_SQL, CAR_COLS, MIN_YEAR, TX_COLS, Y
+from autoprice.plans.registry import register
+from autoprice.session import scratch_dir
+from autoprice.sources import readers as RD
+from autoprice.sources import sinks as SK
+
+
+@register("read_csv_header", with_views(f"select {CAR_COLS} from cars_raw", "cars_raw"))
+def q_read_csv_header(spark, sf_dir):
+    out = scratch_dir(spark, "cars-csv")
+    SK.write_csv(view(spark, sf_dir, "cars_raw"), out)
+    return RD.read_csv_header(spark, out)
+
+
+@register("read_csv_positional", with_views(f"select {TX_COLS} from tx_raw", "tx_raw"))
+def q_read_csv_positional(spark, sf_dir):
+    out = scratch_dir(spark, "tx-csv")
+    view(spark, sf_dir, "tx_raw").write.mode("overwrite").option("header", False).csv(out + "/data")
+    # a comment-only file next to the data, as the source files carry '#' lines
+    spark.createDataFrame([("# exported transactions",)], "value string").write.mode("append").text(out + "/data")
+    return RD.read_csv_positional(spark, out + "/data/*")
+
+
+@register("rename_positional", with_views(f"select {TX_COLS} from tx_raw", "tx_raw"))
+def q_rename_positional(spark, sf_dir):
+    d = view(spark, sf_dir, "tx_raw")
+    return RD.rename_positional(d.toDF(*[f"_c{i}" for i in range(len(d.columns))]), RD.TX_COLUMNS)
+
+
+@register("read_parquet", with_views(f"select {CAR_COLS} from cars_raw", "cars_raw"))
+def q_read_parquet(spark, sf_dir):
+    out = scratch_dir(spark, "cars-parquet")
+    SK.write_parquet(view(spark, sf_dir, "cars_raw"), out)
+    return RD.read_parquet(spark, out)
+
+
+@register("read_dated_csv", with_views("select dt, country, average_temperature from temps", "temps"))
+def q_read_dated_csv(spark, sf_dir):
+    out = scratch_dir(spark, "temps-csv")
+    SK.write_csv(view(spark, sf_dir, "temps").select("dt", "country", "average_temperature"), out)
+    return RD.read_dated_csv(spark, out)
+
+
+@register("read_text_dir", "select url as value from pages")
+def q_read_text_dir(spark, sf_dir):
+    out = scratch_dir(spark, "logs")
+    table(spark, sf_dir, "pages").select("url").repartition(4).write.mode("overwrite").text(out)
+    return RD.read_text_dir(spark, out).select("value")
+
+
+@register("merge_text", "select url as value from pages")
+def q_merge_text(spark, sf_dir):
+    src, dst = scratch_dir(spark, "logs"), scratch_dir(spark, "merged")
+    table(spark, sf_dir, "pages").select("url").repartition(4).write.mode("overwrite").text(src)
+    SK.merge_text(RD.read_text_dir(spark, src), dst, single_file=True)
+    return spark.read.text(dst)
+
+
+def _syn_sql() -> str:
+    u = lambda f: uniform_sql(f"cast(o_orderkey as varchar) || '-{f}-42'")
+    pick = lambda f, opts: "case " + " ".join(
+        f"when floor({u(f)} * {len(opts)}) = {i} then '{o}'" for i, o in enumerate(opts[:-1])) + f" else '{opts[-1]}' end"
+    return f"""
+, s as (select o_orderkey as car_id, cast(2005 + floor({u('year')} * 18) as integer) as year,
+  round(2.0 + {u('price')} * 18.0, 2) as present_price, cast(10000 + floor({u('kms')} * 190001) as bigint) as kms_driven,
+  cast(floor({u('owner')} * 3) as integer) as owner, {pick('fuel', RD.FUEL_TYPES)} as fuel_type,
+  {pick('seller', RD.SELLER_TYPES)} as seller_type, {pick('trans', RD.TRANSMISSIONS)} as transmission from orders)
+select car_id, year, present_price, kms_driven, owner, fuel_type, seller_type, transmission,
+  2025 - year as car_age, round_even(kms_driven / greatest(2025 - year, 1), 1) as kms_per_year from s"""
+
+
+@register("synthetic_cars", "with o_ as (select 1)" + _syn_sql())
+def q_synthetic_cars(spark, sf_dir):
+    ids = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("car_id"))
+    return RD.synthetic_cars(ids, "car_id", seed=42, as_of_year=2025)
+
+
+@register("write_parquet", with_views(f", j2 as ({_J2_SQL})\nselect * from j2", "cars_raw"))
+def q_write_parquet(spark, sf_dir):
+    out = scratch_dir(spark, "cars-clean")
+    d = C.clean_cars_mean(view(spark, sf_dir, "cars_raw"), as_of_year=Y)
+    SK.write_parquet(d.withColumn("kms_per_year", F.round("kms_per_year", 6)), out)
+    return spark.read.parquet(out)
+
+
+@register("write_partitioned", with_views(f"""
+, d as (select distinct {TX_COLS} from tx_raw)
+select cast(try_cast(tx_datetime as date) as varchar) as tx_date, count(*) as n_rows from d
+where try_cast(terminal_id as bigint) <> 0 and try_cast(customer_id as bigint) <> 0 group by 1""", "tx_raw"))
+def q_write_partitioned(spark, sf_dir):
+    out = scratch_dir(spark, "tx-clean")
+    SK.write_partitioned(C.clean_transactions(view(spark, sf_dir, "tx_raw")), out, "tx_date")
+    back = spark.read.parquet(out)
+    return back.groupBy(F.col("tx_date").cast("string").alias("tx_date")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("write_csv", with_views(f"""
+, f as (select * from temps where year(try_strptime(dt, '%Y-%m-%d')) >= {MIN_YEAR} and country is not null)
+select country, round(median(average_temperature), 6) as median_temperature from f group by country""", "temps"))
+def q_write_csv(spark, sf_dir):
+    out = scratch_dir(spark, "temps-median")
+    SK.write_csv(C.temperature_etl(view(spark, sf_dir, "temps"), MIN_YEAR), out)
+    return spark.read.option("header", True).schema("country string, median_temperature double").csv(out) \
+                .select("country", F.round("median_temperature", 6).alias("median_temperature"))
+
+
+@register("write_stats", with_views(f"""
+, j2 as ({_J2_SQL})
+select (select count(*) from cars_raw) as original_records, (select count(*) from j2) as processed_records,
+  (select count(*) from cars_raw) - (select count(*) from j2) as removed_records,
+  ['car_id', 'car_name', 'year', 'selling_price', 'present_price', 'kms_driven', 'fuel_type', 'seller_type',
+   'transmission', 'owner', 'car_age', 'kms_per_year'] as columns""", "cars_raw"))
+def q_write_stats(spark, sf_dir):
+    out = scratch_dir(spark, "cars-out") + "/cars_clean.parquet"
+    raw = view(spark, sf_dir, "cars_raw")
+    SK.write_with_stats(raw, C.clean_cars_mean(raw, as_of_year=Y), out, "fixed-for-check")
+    st = spark.read.parquet(SK.stats_path(out))
+    return st.select("original_records", "processed_records", "removed_records", "columns")
+
+
+@register("unique_output_key", with_views(
+    "select model_name, version, md5(model_name || '-' || cast(version as varchar) || '-2024-01-01T00:00:00') || '.csv' "
+    "as object_key from model_versions", "model_versions"))
+def q_unique_output_key(spark, sf_dir):
+    mv = view(spark, sf_dir, "model_versions")
+    run_id = F.concat_ws("-", "model_name", F.col("version").cast("string"))
+    return mv.select("model_name", "version", SK.unique_output_key(run_id, F.lit("2024-01-01T00:00:00")).alias("object_key"))
+
+
+@register("write_report")
+def q_write_report(spark, sf_dir):
+    from autoprice.plans.q_abtest import _validation
+    out = scratch_dir(spark, "report")
+    SK.write_report(_validation(spark, sf_dir), out)
+    return spark.read.text(out)
