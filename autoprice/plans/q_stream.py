@@ -1,3 +1,168 @@
-"""Catalogue entries."""
+"""Catalogue entries: Structured Streaming (S5, S6, F7, W1, K5, D2, W12, J9, streaming W2 / J10).
+
+Streaming keys read the driver tables themselves as a file stream (``pathGlobFilter`` on the table
+file), apply the fixture view SQL to the *streaming* DataFrame, drain it with ``availableNow`` into a
+memory or file sink and return the sink's contents.
+"""
 
 from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from autoprice.plans.fixtures import VIEWS, register_base, table, view, with_views
+from autoprice.plans.registry import register
+from autoprice.session import scratch_dir
+from autoprice.streaming import monitor as SM
+from autoprice.streaming import scoring as SC
+
+
+def _stream_table(spark, sf_dir, name):
+    schema = table(spark, sf_dir, name).schema
+    return (spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+            .option("maxFilesPerTrigger", 1).parquet(sf_dir))
+
+
+def _stream_view(spark, sf_dir, name, deps=("cars_raw",)):
+    """The named fixture view computed over a stream of its base table."""
+    register_base(spark, sf_dir)
+    _stream_table(spark, sf_dir, "orders").createOrReplaceTempView("_orders_stream")
+    for d in deps:
+        spark.sql(VIEWS[d].replace("from orders", "from _orders_stream")).createOrReplaceTempView(f"_{d}_stream")
+    body = VIEWS[name].replace("from cars_raw", "from _cars_raw_stream").replace("from orders", "from _orders_stream")
+    return spark.sql(body)
+
+
+def _name(prefix):
+    return f"{prefix}_{uuid.uuid4().hex[:10]}"
+
+
+@register("stream_json_source", with_views("select car_id, value from requests", "requests"))
+def q_stream_source(spark, sf_dir):
+    s = _stream_view(spark, sf_dir, "requests")
+    return SC.run_to_table(s, _name("requests"), scratch_dir(spark, "ckpt-src"))
+
+
+_PARSE = """
+, p as (select car_id, value, json_valid(value) as v from requests),
+t as (select car_id, value,
+  case when v then try_cast(json_extract(value, '$.Year') as integer) end as Year,
+  case when v then try_cast(json_extract(value, '$.Present_Price') as double) end as Present_Price,
+  case when v then try_cast(json_extract(value, '$.Kms_Driven') as integer) end as Kms_Driven,
+  case when v then try_cast(json_extract(value, '$.Owner') as integer) end as Owner,
+  case when v then try_cast(json_extract(value, '$.Car_Age') as integer) end as Car_Age,
+  case when v then try_cast(json_extract(value, '$.Kms_Per_Year') as double) end as Kms_Per_Year,
+  case when v then json_extract_string(value, '$.Fuel_Type') end as Fuel_Type,
+  case when v then json_extract_string(value, '$.Seller_Type') end as Seller_Type,
+  case when v then json_extract_string(value, '$.Transmission') end as Transmission from p),
+ps as (select *, case when Year is not null and Present_Price is not null and Kms_Driven is not null and Owner is not null
+  and Car_Age is not null and Kms_Per_Year is not null and Fuel_Type is not null and Seller_Type is not null
+  and Transmission is not null then 'ok' else 'rejected' end as status from t)"""
+
+_FIELDS = ", ".join(SC.REQUEST_NAMES)
+
+
+@register("parse_request", with_views(_PARSE + f"\nselect car_id, {_FIELDS}, status from ps", "requests"))
+def q_parse_request(spark, sf_dir):
+    return SC.parse_request(view(spark, sf_dir, "requests")).drop("value")
+
+
+_SCORED = _PARSE + f""",
+sc as (select car_id, to_json({{'car_data': {{{", ".join(f"'{n}': {n}" for n in SC.REQUEST_NAMES)}}},
+  'predicted_price': floor((Present_Price * 0.6 + Owner * 0.1 - Car_Age * 0.05) * 100) / 100}}) as value
+  from ps where status = 'ok')"""
+
+
+@register("stream_score", with_views(_SCORED + "\nselect car_id, value from sc", "requests"))
+def q_stream_score(spark, sf_dir):
+    s = _stream_view(spark, sf_dir, "requests")
+    out = SC.score_stream(s, SC.formula_price_model(spark)).select("car_id", "value")
+    return SC.run_to_table(out, _name("scored"), scratch_dir(spark, "ckpt-score"))
+
+
+@register("stream_json_sink", with_views(_SCORED + "\nselect car_id, value from sc", "requests"))
+def q_stream_sink(spark, sf_dir):
+    s = _stream_view(spark, sf_dir, "requests")
+    out = SC.score_stream(s, SC.formula_price_model(spark)).select("car_id", "value")
+    path = scratch_dir(spark, "sink-json")
+    q = SC.write_stream(out, "json", scratch_dir(spark, "ckpt-sink"), available_now=True, path=path)
+    q.awaitTermination(600)
+    return spark.read.schema("car_id bigint, value string").json(path)
+
+
+@register("route_failures", with_views(_PARSE + "\nselect status, count(*) as n from ps group by status", "requests"))
+def q_route_failures(spark, sf_dir):
+    s = SC.parse_request(_stream_view(spark, sf_dir, "requests"))
+    good, dead = scratch_dir(spark, "good"), scratch_dir(spark, "dead")
+    q = (s.writeStream.foreachBatch(SC.route_batches(good, dead))
+         .option("checkpointLocation", scratch_dir(spark, "ckpt-route")).trigger(availableNow=True).start())
+    q.awaitTermination(600)
+    g = spark.read.parquet(good).select("status")
+    d = spark.read.parquet(dead).select("status")
+    return g.unionByName(d).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("stream_score_cars", with_views(_SCORED + "\nselect car_id, value from sc", "requests"))
+def q_stream_score_cars(spark, sf_dir):
+    """Source -> parse/validate -> model -> route (good / dead letter) -> JSON sink."""
+    s = _stream_view(spark, sf_dir, "requests")
+    parsed = SC.parse_request(s)
+    model = SC.formula_price_model(spark)
+    good, dead = scratch_dir(spark, "good"), scratch_dir(spark, "dead")
+
+    def run(batch, epoch_id):
+        batch.persist()
+        try:
+            ok = batch.where(F.col("status") == "ok")
+            scored = model.transform(ok).withColumnRenamed("prediction", "predicted_price")
+            SC.nest_prediction_json(scored).select("car_id", "value").write.mode("append").json(good)
+            batch.where(F.col("status") != "ok").write.mode("append").parquet(dead)
+        finally:
+            batch.unpersist()
+    q = parsed.writeStream.foreachBatch(run).option("checkpointLocation", scratch_dir(spark, "ckpt-j9")) \
+              .trigger(availableNow=True).start()
+    q.awaitTermination(600)
+    return spark.read.schema("car_id bigint, value string").json(good)
+
+
+@register("dedupe_stream", "select event_id, event_type, value from events")
+def q_dedupe_stream(spark, sf_dir):
+    src = scratch_dir(spark, "redelivered")
+    ev = table(spark, sf_dir, "events")
+    ev.write.mode("overwrite").parquet(src + "/a")      # first delivery
+    ev.write.mode("overwrite").parquet(src + "/b")      # redelivery of every message
+    s = spark.readStream.schema(ev.schema).option("recursiveFileLookup", True).parquet(src)
+    d = SC.dedupe_stream(s, "event_id", "ts", "10 minutes").select("event_id", "event_type", "value")
+    return SC.run_to_table(d, _name("dedup"), scratch_dir(spark, "ckpt-dedup"))
+
+
+@register("request_count_stream", with_views("""
+, w0 as (select *, unnest(range(5)) as _i from pred_log),
+w as (select *, time_bucket(interval '1 minutes', ts) - to_minutes(_i * 1) as window_start from w0)
+select window_start, window_start + interval '5 minutes' as window_end, count(*) as requests from w
+group by window_start""", "pred_log"))
+def q_request_count_stream(spark, sf_dir):
+    register_base(spark, sf_dir)
+    _stream_table(spark, sf_dir, "events").createOrReplaceTempView("_events_stream")
+    log = spark.sql(VIEWS["pred_log"].replace("from events", "from _events_stream"))
+    out = SM.stream_request_counts(log, "ts", "5 minutes", "1 minute", delay=None)
+    return SC.run_to_table(out, _name("reqcount"), scratch_dir(spark, "ckpt-w2"), mode="complete")
+
+
+@register("late_data")
+def q_late_data(spark, sf_dir):
+    register_base(spark, sf_dir)
+    _stream_table(spark, sf_dir, "events").createOrReplaceTempView("_events_stream")
+    log = spark.sql(VIEWS["pred_log"].replace("from events", "from _events_stream"))
+    out = SM.stream_request_counts(log, "ts", "5 minutes", "1 minute", delay="10 minutes")
+    return SC.run_to_table(out, _name("late"), scratch_dir(spark, "ckpt-w12"), mode="append")
+
+
+@register("stream_health")
+def q_stream_health(spark, sf_dir):
+    register_base(spark, sf_dir)
+    _stream_table(spark, sf_dir, "events").createOrReplaceTempView("_events_stream")
+    log = spark.sql(VIEWS["pred_log"].replace("from events", "from _events_stream"))
+    out = SM.stream_health(log, "ts", "5 minutes", "1 minute", "10 minutes")
+    return SC.run_to_table(out, _name("health"), scratch_dir(spark, "ckpt-health"), mode="append")
