@@ -1,3 +1,128 @@
-"""Catalogue entries."""
+"""Catalogue entries: Spark ML models and model jobs.
+
+Forests are not bit-identical to any other library, so these keys have no SQL oracle (rows-only);
+the tests hold them to quality floors, repeatability and save / load equality instead.
+"""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from autoprice.operators import clean as C
+from autoprice.operators import features as FE
+from autoprice.operators import models as MD
+from autoprice.operators.split import split_random
+from autoprice.plans import jobs as J
+from autoprice.plans.fixtures import view
+from autoprice.plans.registry import AS_OF_YEAR, register
+from autoprice.session import scratch_dir
+
+NUMS = ["year", "present_price", "kms_driven", "owner", "car_age", "kms_per_year"]
+
+
+def _clean(spark, sf_dir):
+    return C.clean_cars_mean(view(spark, sf_dir, "cars_raw"), as_of_year=AS_OF_YEAR)
+
+
+def _assembled(spark, sf_dir):
+    d = FE.assemble_features(_clean(spark, sf_dir), NUMS)
+    return split_random(d.select("car_id", "features", F.col("selling_price").alias("label")), "car_id", 0.2, 42)
+
+
+@register("rf_regressor")
+def q_rf_regressor(spark, sf_dir):
+    sp = _assembled(spark, sf_dir)
+    model = MD.rf_regressor("features", "label", 50, 8).fit(sp.where("split = 'train'"))
+    return model.transform(sp.where("split = 'test'")).select("car_id", "label", "prediction")
+
+
+@register("linear_regression")
+def q_linear_regression(spark, sf_dir):
+    sp = _assembled(spark, sf_dir)
+    model = MD.linear_regression("features", "label").fit(sp.where("split = 'train'"))
+    return model.transform(sp.where("split = 'test'")).select("car_id", "label", "prediction")
+
+
+def _url(spark, sf_dir):
+    from autoprice.functions.scalar import label_map
+    d = view(spark, sf_dir, "url_raw").withColumn("label", label_map("label", {"bad": 1, "good": 0}).cast("double"))
+    d = d.where(F.col("label").isNotNull())
+    sp = split_random(d, "page_id", 0.3, 42, exact=True)
+    train = sp.where("split = 'train'")
+    vec = FE.fit_char_vectorizer(train, "url")
+    return FE.char_count_vector(train, vec), FE.char_count_vector(sp.where("split = 'test'"), vec)
+
+
+@register("rf_classifier")
+def q_rf_classifier(spark, sf_dir):
+    train, test = _url(spark, sf_dir)
+    model = MD.rf_classifier("features", "label").fit(train)
+    return model.transform(test).select("page_id", "label", "prediction")
+
+
+@register("random_search")
+def q_random_search(spark, sf_dir):
+    train, test = _url(spark, sf_dir)
+    grid = {"numTrees": [30, 40], "maxDepth": [8, 10], "minInstancesPerNode": [1, 2],
+            "featureSubsetStrategy": ["sqrt", "log2", "all"]}
+    cv = MD.random_search(MD.rf_classifier("features", "label"), train, grid, draws=30, folds=3, seed=42)
+    best = cv.bestModel
+    rows = [(float(m), str({p.name: v for p, v in pm.items()})) for m, pm in zip(cv.avgMetrics, cv.getEstimatorParamMaps())]
+    scores = spark.createDataFrame(rows, "cv_f1 double, params string")
+    test_pred = best.transform(test).agg(F.count(F.lit(1)).alias("n_test"))
+    return scores.withColumn("n_test", test_pred.scalar())
+
+
+def _pipeline_model(spark, sf_dir):
+    clean = _clean(spark, sf_dir)
+    sp = split_random(clean, "car_id", 0.2, 42)
+    return J.price_pipeline(50, 8, 42).fit(sp.where("split = 'train'")), clean
+
+
+@register("batch_predict")
+def q_batch_predict(spark, sf_dir):
+    model, clean = _pipeline_model(spark, sf_dir)
+    return MD.batch_predict(model, clean).select("car_id", "selling_price", "prediction")
+
+
+@register("model_save_load")
+def q_model_save_load(spark, sf_dir):
+    model, clean = _pipeline_model(spark, sf_dir)
+    path = MD.save_model(model, scratch_dir(spark, "model") + "/price_model")
+    reloaded = MD.load_model(path)
+    a = model.transform(clean).select("car_id", F.col("prediction").alias("prediction"))
+    b = reloaded.transform(clean).select("car_id", F.col("prediction").alias("reloaded_prediction"))
+    # same rows keyed by the unique car id: an equi-join on the key
+    return a.join(b, "car_id").withColumn("equal", F.col("prediction") == F.col("reloaded_prediction"))
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf_dir):
+    sp = _assembled(spark, sf_dir)
+    train = sp.where("split = 'train'")
+    model = MD.rf_regressor("features", "label", 50, 8).fit(train)
+    return FE.feature_importance(spark, model, FE.assembled_names(train), 10)
+
+
+@register("train_price")
+def q_train_price(spark, sf_dir):
+    _model, metrics, _scored = J.train_price(_clean(spark, sf_dir))
+    return metrics
+
+
+@register("train_validate_price")
+def q_train_validate_price(spark, sf_dir):
+    summary, _imp, _ab = J.train_validate_price(_clean(spark, sf_dir), spark)
+    return summary
+
+
+@register("ab_test_url")
+def q_ab_test_url(spark, sf_dir):
+    decision, _comp, _metrics = J.ab_test_url(view(spark, sf_dir, "url_raw"), spark, draws=50)
+    return decision
+
+
+@register("train_linear_baseline")
+def q_train_linear_baseline(spark, sf_dir):
+    _model, rmse = J.train_linear_baseline(view(spark, sf_dir, "cars_raw"))
+    return rmse
