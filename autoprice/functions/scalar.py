@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import math
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TWO_POW_32 = float(2 ** 32)
 
@@ -70,6 +72,24 @@ def label_map(c: str | Column, mapping: dict[str, int]) -> Column:
     return expr if expr is not None else F.lit(None)
 
 
+def _fixed_udf(digits: int):
+    @F.pandas_udf(T.StringType())
+    def fmt(s: pd.Series) -> pd.Series:
+        return s.map(lambda v: None if v is None or v != v else format(float(v), f".{digits}f"))
+    return fmt
+
+
+_FIXED_UDFS: dict = {}
+
+
 def fixed_decimals(c: str | Column, digits: int = 4) -> Column:
-    """Python ':.{digits}f' formatting (no thousands separator)."""
-    return F.format_string(f"%.{digits}f", col_(c).cast("double"))
+    """Python ':.{digits}f' formatting; NULL stays NULL.
+
+    Python rounds the exact binary value (5.19225 is stored just below the tie and prints 5.1922),
+    whereas Spark's ``format_string`` starts from the shortest decimal form and rounds half up
+    (5.1923). To print exactly what the reference prints, the digits come from Python's formatter
+    in an Arrow-batched pandas UDF; it is meant for report-sized outputs, not row-level hot paths.
+    """
+    if digits not in _FIXED_UDFS:
+        _FIXED_UDFS[digits] = _fixed_udf(digits)
+    return _FIXED_UDFS[digits](col_(c).cast("double"))

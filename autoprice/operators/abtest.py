@@ -181,7 +181,8 @@ def quality_grade(r2, cv_r2, status):
 def final_summary(row: DataFrame, run_id: str, r2: str = "r2", cv_r2: str = "cv_r2",
                   status: str = "validation_status", quality: str = "quality") -> DataFrame:
     """One summary row; R^2 printed with 4 decimals, ``N/A`` when missing."""
-    r2s = F.coalesce(F.format_string("%.4f", F.col(r2)), F.lit("N/A"))
+    from autoprice.functions.scalar import fixed_decimals
+    r2s = F.coalesce(fixed_decimals(r2, 4), F.lit("N/A"))
     return row.select(F.concat(F.col(quality), F.lit(" - R2: "), r2s).alias("status"), F.lit(run_id).alias("run_id"),
                       F.col(r2).alias("r2_score"), F.col(cv_r2).alias("cv_r2_score"),
                       F.col(status).alias("validation_status"), F.col(quality).alias("quality"))

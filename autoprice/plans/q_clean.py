@@ -303,3 +303,76 @@ select country, round(median(average_temperature), 6) as median_temperature from
 def q_temperature_etl(spark, sf_dir):
     d = C.temperature_etl(view(spark, sf_dir, "temps"), MIN_YEAR)
     return d.select("country", _r6(F.col("median_temperature")).alias("median_temperature"))
+
+
+# ------------------------------------------------------------------ scalar functions
+
+@register("scalar_math", with_views("""
+select car_id, abs(kms_driven - 500000) as abs_dev, round(sqrt(abs(kms_driven)), 6) as sqrt_kms,
+  greatest(year, 2000) as max_year, least(year, 2000) as min_year, cast(trunc(selling_price) as integer) as int_price,
+  round(present_price, 1) as price_r1, round(present_price, 2) as price_r2,
+  round(kms_driven / greatest(year - 1990, 1), 6) as ratio from cars_raw""", "cars_raw"))
+def q_scalar_math(spark, sf_dir):
+    d = view(spark, sf_dir, "cars_raw")
+    return d.select("car_id", F.abs(F.col("kms_driven") - 500000).alias("abs_dev"),
+                    _r6(F.sqrt(F.abs("kms_driven"))).alias("sqrt_kms"),
+                    F.greatest("year", F.lit(2000)).alias("max_year"), F.least("year", F.lit(2000)).alias("min_year"),
+                    F.col("selling_price").cast("int").alias("int_price"),
+                    F.round("present_price", 1).alias("price_r1"), F.round("present_price", 2).alias("price_r2"),
+                    _r6(F.try_divide(F.col("kms_driven"), F.greatest(F.col("year") - 1990, F.lit(1)))).alias("ratio"))
+
+
+@register("scalar_date", with_views("""
+select dt, cast(try_strptime(dt, '%Y-%m-%d') as date) as d, cast(year(try_strptime(dt, '%Y-%m-%d')) as integer) as y,
+  strftime(try_strptime(dt, '%Y-%m-%d'), '%Y-%m') as ym, cast(year(current_date) as integer) as current_year
+from temps""", "temps"))
+def q_scalar_date(spark, sf_dir):
+    d = view(spark, sf_dir, "temps")
+    dd = F.try_to_date(F.col("dt"), "yyyy-MM-dd")
+    return d.select("dt", dd.alias("d"), F.year(dd).alias("y"), F.date_format(dd, "yyyy-MM").alias("ym"),
+                    F.year(F.current_date()).alias("current_year"))
+
+
+@register("scalar_string", with_views("""
+select car_id, replace(car_name || '.parquet', '.parquet', '_stats.parquet') as stats_key, lower(fuel_type) as fuel_lower,
+  contains(fuel_type, 'e') as has_e, printf('%.4f', present_price) as price_txt,
+  concat_ws('-', car_name, fuel_type, seller_type) as joined from cars_raw""", "cars_raw"))
+def q_scalar_string(spark, sf_dir):
+    from autoprice.functions.scalar import fixed_decimals
+    d = view(spark, sf_dir, "cars_raw")
+    return d.select("car_id", F.replace(F.concat("car_name", F.lit(".parquet")), F.lit(".parquet"),
+                                        F.lit("_stats.parquet")).alias("stats_key"),
+                    F.lower("fuel_type").alias("fuel_lower"), F.contains("fuel_type", F.lit("e")).alias("has_e"),
+                    fixed_decimals("present_price", 4).alias("price_txt"),
+                    F.concat_ws("-", "car_name", "fuel_type", "seller_type").alias("joined"))
+
+
+@register("scalar_hash", with_views("select car_id, md5(car_name) as name_md5 from cars_raw", "cars_raw"))
+def q_scalar_hash(spark, sf_dir):
+    return view(spark, sf_dir, "cars_raw").select("car_id", F.md5("car_name").alias("name_md5"))
+
+
+@register("scalar_conditional", with_views("""
+select car_id, case when year is null then 'missing' when year > 2010 then 'new' when year > 2000 then 'mid' else 'old' end
+  as age_band, coalesce(fuel_type, seller_type, 'none') as first_known, year is null as year_missing from cars_raw""",
+    "cars_raw"))
+def q_scalar_conditional(spark, sf_dir):
+    d = view(spark, sf_dir, "cars_raw")
+    band = (F.when(F.col("year").isNull(), "missing").when(F.col("year") > 2010, "new")
+             .when(F.col("year") > 2000, "mid").otherwise("old"))
+    return d.select("car_id", band.alias("age_band"), F.coalesce("fuel_type", "seller_type", F.lit("none")).alias("first_known"),
+                    F.col("year").isNull().alias("year_missing"))
+
+
+@register("scalar_json", with_views("""
+select car_id, case when json_valid(value) then json_extract_string(value, '$.Fuel_Type') end as fuel_type,
+  case when json_valid(value) then try_cast(json_extract(value, '$.Year') as integer) end as year,
+  case when json_valid(value) then to_json({'fuel': json_extract_string(value, '$.Fuel_Type'),
+    'year': try_cast(json_extract(value, '$.Year') as integer)}) end as echo from requests""", "requests"))
+def q_scalar_json(spark, sf_dir):
+    d = view(spark, sf_dir, "requests")
+    parsed = F.from_json("value", "Year int, Fuel_Type string")
+    echo = F.when(parsed.isNotNull() & parsed.getField("Year").isNotNull(),
+                  F.to_json(F.struct(parsed.getField("Fuel_Type").alias("fuel"), parsed.getField("Year").alias("year"))))
+    return d.select("car_id", F.get_json_object("value", "$.Fuel_Type").alias("fuel_type"),
+                    parsed.getField("Year").alias("year"), echo.alias("echo"))

@@ -126,3 +126,13 @@ def q_ab_test_url(spark, sf_dir):
 def q_train_linear_baseline(spark, sf_dir):
     _model, rmse = J.train_linear_baseline(view(spark, sf_dir, "cars_raw"))
     return rmse
+
+
+@register("train_url")
+def q_train_url(spark, sf_dir):
+    """J7 first half: O3 -> P8 -> O5 -> E4 -> M3 -> Q2/Q3."""
+    from autoprice.operators.metrics import classification_metrics
+    train, test = _url(spark, sf_dir)
+    model = MD.rf_classifier("features", "label").fit(train)
+    scored = model.transform(test).select(F.col("label").cast("int").alias("y"), F.col("prediction").cast("int").alias("yhat"))
+    return classification_metrics(scored, "y", "yhat")

@@ -52,11 +52,12 @@ def write_with_stats(raw: DataFrame, processed: DataFrame, output_path: str, pro
 
 def report_lines(metrics_row: DataFrame) -> DataFrame:
     """K6: the A/B validation report as text lines (4-decimal metrics, 2-decimal improvement)."""
-    f4 = lambda c: F.coalesce(F.format_string("%.4f", F.col(c)), F.lit("N/A"))
+    from autoprice.functions.scalar import fixed_decimals
+    f4 = lambda c: F.coalesce(fixed_decimals(c, 4), F.lit("N/A"))
     lines = [F.lit("A/B Test Validation Report"), F.lit("=========================="),
              F.concat(F.lit("Model A (Baseline) R2: "), f4("r2_a")),
              F.concat(F.lit("Model B (New) R2: "), f4("r2_b")),
-             F.concat(F.lit("Improvement: "), F.coalesce(F.format_string("%.2f", F.col("improvement_pct")), F.lit("N/A")),
+             F.concat(F.lit("Improvement: "), F.coalesce(fixed_decimals("improvement_pct", 2), F.lit("N/A")),
                       F.lit("%")),
              F.concat(F.lit("Validation Status: "), F.col("validation_status"))]
     return metrics_row.select(F.posexplode(F.array(*lines)).alias("line_no", "value"))
