@@ -1,8 +1,9 @@
 """Filters, de-duplication, imputation and derived columns.
 
-Statistics needed by imputation are computed in *one* aggregate pass and attached to the rows as
-scalar subqueries, so Catalyst plans the statistics job and the fill in one query: no driver
-round trip per column, no cross join, no collect.
+Imputation is fit / transform, like Spark ML's ``Imputer``: *one* aggregate pass computes every
+column's statistic (map-side partial aggregation, a single row reaches the driver), and the fill
+applies them as literals, which Catalyst constant-folds and pushes into the scan together with the
+later filters. The reference's per-column actions (one job per statistic) collapse into one job.
 """
 
 from __future__ import annotations
@@ -102,18 +103,27 @@ def fill_statistics(df: DataFrame, mean_cols: list[str] = (), mode_cols: list[st
     return grouped.agg(F.struct(*fields).alias("s")) if fields else grouped.agg(F.struct(F.lit(0).alias("none")).alias("s"))
 
 
+def fit_mean_mode(df: DataFrame, mean_cols: list[str], mode_cols: list[str]) -> dict:
+    """Fit: one aggregate job -> {mean_<c>: float, mode_<c>: value} (a single row)."""
+    if not mean_cols and not mode_cols:
+        return {}
+    return fill_statistics(df, mean_cols, mode_cols).first()["s"].asDict()
+
+
 def impute_mean_mode(df: DataFrame, mean_cols: list[str] = CAR_NUMERIC, mode_cols: list[str] = CAR_CATEGORICAL,
-                     default_category: str = "unknown") -> DataFrame:
-    """D3 + D5 in one statistics pass; missing columns are skipped like the reference."""
+                     default_category: str = "unknown", stats: dict | None = None) -> DataFrame:
+    """D3 + D5 in one statistics pass; missing columns are skipped like the reference.
+    ``stats`` (from :func:`fit_mean_mode`) lets a fitted imputer be applied to other data."""
     mean_cols = [c for c in mean_cols if c in df.columns]
     mode_cols = [c for c in mode_cols if c in df.columns]
-    stats = fill_statistics(df, mean_cols, mode_cols).scalar()
+    st = stats if stats is not None else fit_mean_mode(df, mean_cols, mode_cols)
     out = []
     for c in df.columns:
         if c in mean_cols:
-            out.append(F.when(F.col(c).isNull(), stats.getField(f"mean_{c}")).otherwise(F.col(c).cast("double")).alias(c))
+            fill = F.lit(float(st[f"mean_{c}"])).cast("double")
+            out.append(F.when(F.col(c).isNull(), fill).otherwise(F.col(c).cast("double")).alias(c))
         elif c in mode_cols:
-            filled = F.coalesce(F.col(c), stats.getField(f"mode_{c}"))
+            filled = F.coalesce(F.col(c), F.lit(st[f"mode_{c}"]).cast(df.schema[c].dataType))
             if isinstance(df.schema[c].dataType, T.StringType):
                 filled = F.coalesce(filled, F.lit(default_category))
             out.append(filled.alias(c))
@@ -130,8 +140,9 @@ def impute_median(df: DataFrame, cols: list[str] = ("year", "kms_driven")) -> Da
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v"))
                                          for c in cols])).alias("kv")).select("kv.k", "kv.v")
     med = exact_quantiles(long, "v", [0.5], ["median"], ["k"])
-    stats = med.agg(F.struct(*[F.max(F.when(F.col("k") == c, F.col("median"))).alias(c) for c in cols]).alias("s")).scalar()
-    return df.select(*[(F.when(F.col(c).isNull(), stats.getField(c)).otherwise(F.col(c).cast("double")).alias(c)
+    st = dict(med.collect())  # one row per imputed column
+    fill = {c: F.lit(st.get(c)).cast("double") for c in cols}
+    return df.select(*[(F.when(F.col(c).isNull(), fill[c]).otherwise(F.col(c).cast("double")).alias(c)
                         if c in cols else F.col(c)) for c in df.columns])
 
 

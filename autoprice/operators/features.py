@@ -3,8 +3,8 @@
 Label and one-hot encoding use Spark ML's ``StringIndexer`` / ``OneHotEncoder``: fitting is one
 distributed value count, and only the dictionary (bounded by the number of categories, which is the
 model itself) reaches the driver. Standard scaling needs the *population* standard deviation with
-``std = 0 -> 1`` (Spark ML's scaler uses the sample one), so it is an aggregate applied as a scalar
-subquery.
+``std = 0 -> 1`` (Spark ML's scaler uses the sample one), so it is fitted by one aggregate job whose
+single row is applied as literals.
 """
 
 from __future__ import annotations
@@ -71,13 +71,14 @@ def standard_scale(df: DataFrame, cols: list[str], suffix: str = "_z", stats_fro
     ``stats_from`` lets a test set be scaled with the training statistics.
     """
     src = stats_from if stats_from is not None else df
-    st = src.agg(F.struct(*[F.avg(c).alias(f"m_{c}") for c in cols],
-                          *[F.stddev_pop(c).alias(f"s_{c}") for c in cols]).alias("s")).scalar()
+    # fit: one aggregate job, one row of (mean, std) per column
+    st = src.agg(*[F.avg(c).alias(f"m_{c}") for c in cols], *[F.stddev_pop(c).alias(f"s_{c}") for c in cols]).first()
     outs = []
     for c in cols:
-        sd = st.getField(f"s_{c}")
-        sd = F.when(sd.isNull() | (sd == 0), F.lit(1.0)).otherwise(sd)
-        outs.append(((F.col(c) - st.getField(f"m_{c}")) / sd).alias(f"{c}{suffix}"))
+        sd = st[f"s_{c}"]
+        sd = 1.0 if sd is None or sd == 0 else float(sd)
+        mean = st[f"m_{c}"]
+        outs.append(((F.col(c) - F.lit(mean).cast("double")) / F.lit(sd)).alias(f"{c}{suffix}"))
     return df.select(*df.columns, *outs)
 
 

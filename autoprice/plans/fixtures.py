@@ -82,16 +82,33 @@ from supplier""",
 
 # Which views a view body reads (so oracles inline dependencies first).
 VIEW_DEPS = {"scored": ["cars_raw"], "requests": ["cars_raw"]}
+# Which driver table each view scans.
+VIEW_BASE = {"cars_raw": "orders", "tx_raw": "events", "url_raw": "pages", "temps": "orders", "preds": "labels",
+             "scored": "orders", "pred_log": "events", "cpu_samples": "events", "requests": "orders",
+             "alerts": "events", "model_versions": "supplier"}
+
+# Base-table DataFrame definitions per (session, directory, table): resolving a Parquet schema reads
+# file footers, which is worth doing once per session rather than once per query.
+_BASE_CACHE: dict[tuple[int, str, str], DataFrame] = {}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    key = (id(spark), sf_dir.rstrip("/"), name)
+    df = _BASE_CACHE.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        _BASE_CACHE[key] = df
+    return df
 
 
 def register_base(spark: SparkSession, sf_dir: str, tables: list[str] | None = None) -> None:
     for t in tables or BASE_TABLES:
-        spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet").createOrReplaceTempView(t)
+        table(spark, sf_dir, t).createOrReplaceTempView(t)
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Register the base tables and the named view (with its dependencies) and return it."""
-    register_base(spark, sf_dir)
+    """Register the base table the view scans, its view dependencies and the view; return it."""
+    register_base(spark, sf_dir, [VIEW_BASE[name]])
     for dep in VIEW_DEPS.get(name, []):
         spark.sql(VIEWS[dep]).createOrReplaceTempView(dep)
     df = spark.sql(VIEWS[name])
@@ -99,10 +116,6 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
 def with_views(sql: str, *names: str) -> str:
     """Prefix an oracle query with CTEs for the named views (dependencies first)."""
     order: list[str] = []

@@ -11,7 +11,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from autoprice.plans.fixtures import VIEWS, register_base, table, view, with_views
+from autoprice.plans.fixtures import VIEWS, table, view, with_views
 from autoprice.plans.registry import register
 from autoprice.session import scratch_dir
 from autoprice.streaming import monitor as SM
@@ -26,7 +26,6 @@ def _stream_table(spark, sf_dir, name):
 
 def _stream_view(spark, sf_dir, name, deps=("cars_raw",)):
     """The named fixture view computed over a stream of its base table."""
-    register_base(spark, sf_dir)
     _stream_table(spark, sf_dir, "orders").createOrReplaceTempView("_orders_stream")
     for d in deps:
         spark.sql(VIEWS[d].replace("from orders", "from _orders_stream")).createOrReplaceTempView(f"_{d}_stream")
@@ -143,7 +142,6 @@ w as (select *, time_bucket(interval '1 minutes', ts) - to_minutes(_i * 1) as wi
 select window_start, window_start + interval '5 minutes' as window_end, count(*) as requests from w
 group by window_start""", "pred_log"))
 def q_request_count_stream(spark, sf_dir):
-    register_base(spark, sf_dir)
     _stream_table(spark, sf_dir, "events").createOrReplaceTempView("_events_stream")
     log = spark.sql(VIEWS["pred_log"].replace("from events", "from _events_stream"))
     out = SM.stream_request_counts(log, "ts", "5 minutes", "1 minute", delay=None)
@@ -152,7 +150,6 @@ def q_request_count_stream(spark, sf_dir):
 
 @register("late_data")
 def q_late_data(spark, sf_dir):
-    register_base(spark, sf_dir)
     _stream_table(spark, sf_dir, "events").createOrReplaceTempView("_events_stream")
     log = spark.sql(VIEWS["pred_log"].replace("from events", "from _events_stream"))
     out = SM.stream_request_counts(log, "ts", "5 minutes", "1 minute", delay="10 minutes")
@@ -161,7 +158,6 @@ def q_late_data(spark, sf_dir):
 
 @register("stream_health")
 def q_stream_health(spark, sf_dir):
-    register_base(spark, sf_dir)
     _stream_table(spark, sf_dir, "events").createOrReplaceTempView("_events_stream")
     log = spark.sql(VIEWS["pred_log"].replace("from events", "from _events_stream"))
     out = SM.stream_health(log, "ts", "5 minutes", "1 minute", "10 minutes")
