@@ -91,6 +91,14 @@ def _all():
 
 # ------------------------------------------------------------------ Spark ML estimators (M1-M3, M5-M7)
 
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Training makes many passes over its input; if the input arrives in fewer partitions than the
+    cluster has task slots (a single small file is one partition), spread it once with a round-robin
+    shuffle. Inputs that are already split (the normal case at scale) pass through untouched."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def rf_regressor(features: str = "features", label: str = "label", trees: int = 100, depth: int | None = 10,
                  min_leaf: int = 1, seed: int = 42):
     """M1: random forest regression with every feature considered at each split (scikit-learn's

@@ -25,14 +25,6 @@ def _num_partitions(df: DataFrame, override: int | None = None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
-    cond = None
-    for c in cols:
-        e = left[c].eqNullSafe(right[c])
-        cond = e if cond is None else cond & e
-    return cond
-
-
 def global_index(df: DataFrame, order_cols: list[str], index_col: str = "_idx",
                  num_partitions: int | None = None, with_count: bool = False):
     """Add a 0-based ``index_col`` following ``order_cols`` (which must be unique); with
@@ -60,15 +52,11 @@ def global_index(df: DataFrame, order_cols: list[str], index_col: str = "_idx",
     return (out, acc) if with_count else out
 
 
-def ranked_histogram(df: DataFrame, value: str | Column, group_cols: list[str] | None = None,
-                     num_partitions: int | None = None) -> DataFrame:
-    """Distinct (group, value) pairs with ``_c`` (count), ``_before`` (rows of the group with a
-    smaller value) and ``_n`` (non-null rows of the group). NULL and NaN values are skipped.
-
-    The histogram is pre-aggregated map-side, so repeated values never travel twice.
-    """
+def _range_histogram(df: DataFrame, value: str | Column, g: list[str], num_partitions: int | None) -> DataFrame:
+    """Distinct (group, value) pairs with their count ``_c``, range-partitioned on (group, value),
+    sorted, tagged with ``_pid`` and checkpointed. NULL and NaN values are skipped; repeated values
+    are combined map-side before the shuffle."""
     ensure_checkpoint_dir(df.sparkSession)
-    g = list(group_cols or [])
     v = (F.col(value) if isinstance(value, str) else value).cast("double")
     hist = (df.select(*g, v.alias("_v"))
             .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
@@ -76,22 +64,7 @@ def ranked_histogram(df: DataFrame, value: str | Column, group_cols: list[str] |
     n = _num_partitions(df, num_partitions)
     part = (hist.repartitionByRange(n, *g, "_v").sortWithinPartitions(*g, "_v")
             .withColumn("_pid", F.spark_partition_id()))
-    part = part.checkpoint(eager=True)
-    # Within a range partition: running count before each value (bounded by partition size).
-    wl = Window.partitionBy("_pid", *g).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    local = part.withColumn("_lbefore", F.coalesce(F.sum("_c").over(wl), F.lit(0)))
-    # Across partitions: per (partition, group) totals; a group spans at most n partitions.
-    tot = part.groupBy("_pid", *g).agg(F.sum("_c").alias("_pc"))
-    wg = Window.partitionBy(*g).orderBy("_pid")
-    offs = tot.select(
-        F.col("_pid").alias("_opid"), *[F.col(c).alias(f"_o_{c}") for c in g],
-        F.coalesce(F.sum("_pc").over(wg.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
-        F.sum("_pc").over(Window.partitionBy(*g)).alias("_n"))
-    cond = local["_pid"] == offs["_opid"]
-    for c in g:
-        cond = cond & local[c].eqNullSafe(offs[f"_o_{c}"])
-    joined = local.join(offs, cond, "inner")
-    return joined.select(*g, "_v", "_c", (F.col("_off") + F.col("_lbefore")).alias("_before"), "_n")
+    return part.checkpoint(eager=True)
 
 
 def exact_quantiles(df: DataFrame, value: str | Column, qs: list[float], names: list[str],
@@ -99,11 +72,38 @@ def exact_quantiles(df: DataFrame, value: str | Column, qs: list[float], names:
     """Exact quantiles with linear interpolation between order statistics
     (the pandas / numpy default, Spark ``percentile``, DuckDB ``quantile_cont``).
 
-    Groups with no non-null value are absent from the result; callers left-join or
-    coalesce as the operator requires.
+    1. (group, value, count) histogram, range-partitioned and checkpointed (``_range_histogram``).
+    2. Per (partition, group) totals -> each slice's starting rank within its group (a group spans
+       at most as many rows here as there are partitions, so this window is bounded).
+    3. Only the slices that contain a target rank are kept (a small table, broadcast by AQE when
+       it is small), and only their rows get a running count: a global median re-reads about one
+       partition of the histogram, not all of it.
+
+    Groups with no non-null value are absent from the result; callers left-join or coalesce as
+    the operator requires.
     """
     g = list(group_cols or [])
-    rh = ranked_histogram(df, value, g, num_partitions)
+    part = _range_histogram(df, value, g, num_partitions)
+    tot = part.groupBy("_pid", *g).agg(F.sum("_c").alias("_pc"))
+    wg = Window.partitionBy(*g).orderBy("_pid")
+    offs = tot.select("_pid", *g, "_pc",
+                      F.coalesce(F.sum("_pc").over(wg.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
+                      F.sum("_pc").over(Window.partitionBy(*g)).alias("_n"))
+    ranks = []
+    for q in qs:
+        pos = F.lit(float(q)) * (F.col("_n") - 1)
+        ranks += [F.floor(pos), F.ceil(pos)]
+    inside = [(F.col("_off") <= r) & (r < F.col("_off") + F.col("_pc")) for r in ranks]
+    hit = inside[0]
+    for c in inside[1:]:
+        hit = hit | c
+    targets = offs.where(hit).select(F.col("_pid").alias("_tpid"), *[F.col(c).alias(f"_t_{c}") for c in g], "_off", "_n")
+    cond = part["_pid"] == targets["_tpid"]
+    for c in g:
+        cond = cond & part[c].eqNullSafe(targets[f"_t_{c}"])
+    rows = part.join(targets, cond, "inner").drop("_tpid", *[f"_t_{c}" for c in g])
+    wl = Window.partitionBy("_pid", *g).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    rh = rows.withColumn("_before", F.col("_off") + F.coalesce(F.sum("_c").over(wl), F.lit(0)))
     picks, aggs = [], []
     for q, name in zip(qs, names):
         pos = F.lit(float(q)) * (F.col("_n") - 1)

@@ -51,10 +51,11 @@ def train_price(clean: DataFrame, key: str = "car_id", test_frac: float = 0.2, s
                 trees: int = 50, depth: int = 8):
     """Split (O5) -> pipeline fit on train (E2, E3, M1) -> Q1 on test. Returns (model, metrics, scored)."""
     from autoprice.operators.metrics import regression_metrics
+    from autoprice.operators.models import ensure_parallelism
     from autoprice.operators.split import split_random
     sp = split_random(clean, key, test_frac, seed)
     train, test = sp.where("split = 'train'"), sp.where("split = 'test'")
-    model = price_pipeline(trees, depth, seed).fit(train)
+    model = price_pipeline(trees, depth, seed).fit(ensure_parallelism(train))
     scored = model.transform(test).select(key, F.col("selling_price").alias("y"), F.col("prediction").alias("yhat"))
     return model, regression_metrics(scored, "y", "yhat"), scored
 
@@ -99,7 +100,8 @@ def train_validate_price(clean: DataFrame, spark, key: str = "car_id", run_id: s
     from autoprice.operators.split import kfold_assign, split_small_guarded, split_time_ordered
     cats = ["car_name", "fuel_type", "seller_type", "transmission"]
     nums = ["year", "present_price", "kms_driven", "owner", "car_age", "kms_per_year"]
-    feats = _rf_features(clean, cats, nums).select(key, "features", F.col("selling_price").alias("label"))
+    from autoprice.operators.models import ensure_parallelism
+    feats = ensure_parallelism(_rf_features(clean, cats, nums).select(key, "features", F.col("selling_price").alias("label")))
     names = assembled_names(feats)
     sp = split_small_guarded(feats, key, seed)
     train, test = sp.where("split = 'train'"), sp.where("split = 'test'")
@@ -153,7 +155,8 @@ def ab_test_url(pages: DataFrame, spark, key: str = "page_id", sample_frac: floa
     sp = split_random(d, key, test_frac, seed, exact=True)
     train, test = sp.where("split = 'train'"), sp.where("split = 'test'")
     vec = fit_char_vectorizer(train, "url")
-    train_v, test_v = char_count_vector(train, vec, "url"), char_count_vector(test, vec, "url")
+    from autoprice.operators.models import ensure_parallelism
+    train_v, test_v = ensure_parallelism(char_count_vector(train, vec, "url")), char_count_vector(test, vec, "url")
     champion = rf_classifier("features", "label").fit(train_v)
     est = rf_classifier("features", "label")
     # The search grid (minimum samples per split has no Spark counterpart and is dropped;

@@ -26,7 +26,8 @@ def _clean(spark, sf_dir):
 
 def _assembled(spark, sf_dir):
     d = FE.assemble_features(_clean(spark, sf_dir), NUMS)
-    return split_random(d.select("car_id", "features", F.col("selling_price").alias("label")), "car_id", 0.2, 42)
+    d = MD.ensure_parallelism(d.select("car_id", "features", F.col("selling_price").alias("label")))
+    return split_random(d, "car_id", 0.2, 42)
 
 
 @register("rf_regressor")
@@ -50,7 +51,7 @@ def _url(spark, sf_dir):
     sp = split_random(d, "page_id", 0.3, 42, exact=True)
     train = sp.where("split = 'train'")
     vec = FE.fit_char_vectorizer(train, "url")
-    return FE.char_count_vector(train, vec), FE.char_count_vector(sp.where("split = 'test'"), vec)
+    return MD.ensure_parallelism(FE.char_count_vector(train, vec)), FE.char_count_vector(sp.where("split = 'test'"), vec)
 
 
 @register("rf_classifier")
@@ -76,7 +77,7 @@ def q_random_search(spark, sf_dir):
 def _pipeline_model(spark, sf_dir):
     clean = _clean(spark, sf_dir)
     sp = split_random(clean, "car_id", 0.2, 42)
-    return J.price_pipeline(50, 8, 42).fit(sp.where("split = 'train'")), clean
+    return J.price_pipeline(50, 8, 42).fit(MD.ensure_parallelism(sp.where("split = 'train'"))), clean
 
 
 @register("batch_predict")

@@ -49,6 +49,15 @@ def q_latency_p95(spark, sf_dir):
     return d.select("window_start", "window_end", R6("latency_p95"))
 
 
+@register("latency_p95_5m", with_views(f"""
+, {win_sql('pred_log', 5, 1)}
+select window_start, window_end, round(quantile_cont(latency_s, 0.95), 6) as latency_p95
+from w group by window_start, window_end""", "pred_log"))
+def q_latency_p95_5m(spark, sf_dir):
+    d = MO.latency_quantile(view(spark, sf_dir, "pred_log"), "latency_s", 0.95, "ts", FIVE, ONE)
+    return d.select("window_start", "window_end", R6("latency_p95"))
+
+
 _LES = ", ".join(f"({b!r})" for b in MO.DEFAULT_BUCKETS) + ", ('inf'::double)"
 _HIST = f"""
 , {win_sql('pred_log', 60, 30)},

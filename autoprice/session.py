@@ -14,6 +14,23 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+# Starting points for a large cluster (hundreds of executors, ~100 TB inputs). AQE coalesces the
+# generous shuffle partition count down to the advisory size at run time and splits skewed partitions.
+CLUSTER_DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
 def get_spark(master: str | None = None, app: str = "autoprice", shuffle_partitions: int | None = None,
               extra: dict | None = None) -> SparkSession:
     master = master or os.environ.get("AUTOPRICE_MASTER", "local[8]")
