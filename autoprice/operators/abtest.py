@@ -39,11 +39,10 @@ REASON_NOT_SIGNIFICANT = "improvement is not statistically significant"
 
 
 def _long_models(wide: DataFrame, models: list[str], id_col: str = "iteration") -> DataFrame:
-    parts = [wide.select(id_col, F.lit(m).alias("model"),
-                         *[F.col(f"{m}_{c}").alias(c) for c in ("tp", "fp", "fn", "tn")]) for m in models]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    """One row per (iteration, model) from the wide per-iteration counts, in a single pass."""
+    cells = F.array(*[F.struct(F.lit(m).alias("model"), *[F.col(f"{m}_{c}").alias(c) for c in ("tp", "fp", "fn", "tn")])
+                      for m in models])
+    out = wide.select(id_col, F.explode(cells).alias("m")).select(id_col, "m.*")
     return out.select(id_col, "model", "tp", "fp", "fn", "tn", *classification_from_counts())
 
 

@@ -23,11 +23,10 @@ def select_features(df: DataFrame, features: list[str], target: str | None = Non
 
 
 def fit_label_encoders(df: DataFrame, cols: list[str]):
-    """E1 fit: sorted distinct values -> 0..k-1 per column (NULLs get k, like an extra class)."""
-    from pyspark.ml import Pipeline
-    stages = [StringIndexer(inputCol=c, outputCol=f"{c}_code", stringOrderType="alphabetAsc", handleInvalid="keep")
-              for c in cols]
-    return Pipeline(stages=stages).fit(df)
+    """E1 fit: sorted distinct values -> 0..k-1 per column (NULLs get k, like an extra class).
+    One multi-column indexer: every column's dictionary comes from the same scan."""
+    return StringIndexer(inputCols=list(cols), outputCols=[f"{c}_code" for c in cols], stringOrderType="alphabetAsc",
+                         handleInvalid="keep").fit(df)
 
 
 def label_encode(df: DataFrame, cols: list[str], model=None) -> DataFrame:
@@ -40,11 +39,11 @@ def label_encode(df: DataFrame, cols: list[str], model=None) -> DataFrame:
 def fit_one_hot(df: DataFrame, cols: list[str]):
     """E2 fit: index (alphabetical) + one-hot with the unknown / NULL slot dropped -> all zeros."""
     from pyspark.ml import Pipeline
-    idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", stringOrderType="alphabetAsc", handleInvalid="keep")
-           for c in cols]
+    idx = StringIndexer(inputCols=list(cols), outputCols=[f"{c}_idx" for c in cols], stringOrderType="alphabetAsc",
+                        handleInvalid="keep")
     ohe = OneHotEncoder(inputCols=[f"{c}_idx" for c in cols], outputCols=[f"{c}_ohe" for c in cols],
                         dropLast=True, handleInvalid="keep")
-    return Pipeline(stages=idx + [ohe]).fit(df)
+    return Pipeline(stages=[idx, ohe]).fit(df)
 
 
 def one_hot(df: DataFrame, cols: list[str], model=None, explode_columns: bool = True) -> DataFrame:
@@ -56,7 +55,7 @@ def one_hot(df: DataFrame, cols: list[str], model=None, explode_columns: bool =
     out = model.transform(df)
     if not explode_columns:
         return out.drop(*[f"{c}_idx" for c in cols])
-    labels = {c: st.labels for c, st in zip(cols, model.stages[:len(cols)])}
+    labels = dict(zip(cols, model.stages[0].labelsArray))
     extra = []
     for c in cols:
         arr = vector_to_array(F.col(f"{c}_ohe"))

@@ -122,22 +122,29 @@ def active_sources(df: DataFrame, source: str = "source", ts="ts", width="5 minu
 def threshold_alerts(series: DataFrame, metric: str, value: str, threshold: float, slide: str = "1 minute",
                      above: bool = True) -> DataFrame:
     """Alert transitions of one windowed metric: ``firing`` when the condition starts to hold,
-    ``resolved`` when it stops. The previous window is found by an equi-join on
-    ``window_start - slide`` (distributed; no ordered scan over the whole series). A window with no
-    data counts as not firing."""
+    ``resolved`` (one slide after the last firing window) when it stops. A window with no data
+    counts as not firing.
+
+    One pass over the series: every window emits itself and a copy shifted one slide forward (its
+    role as "previous window"); a single aggregation per window start then sees the current and
+    the previous state together -- no self-joins, so the series is computed once.
+    """
     cond = (F.col(value) > threshold) if above else (F.col(value) < threshold)
     cur = series.select("window_start", F.col(value).alias("value"), F.coalesce(cond, F.lit(False)).alias("firing"))
-    prev = cur.select((F.col("window_start") + F.expr(f"interval {slide}")).alias("_ws"), F.col("firing").alias("_pf"))
-    nxt = cur.select((F.col("window_start") - F.expr(f"interval {slide}")).alias("_ws2"), F.col("firing").alias("_nf"))
-    j = cur.join(prev, cur["window_start"] == prev["_ws"], "left")
-    starts = j.where(F.col("firing") & ~F.coalesce(F.col("_pf"), F.lit(False))) \
-              .select("window_start", F.lit("firing").alias("state"), "value")
-    # resolved: a firing window whose successor window is not firing (or absent)
-    k = cur.join(nxt, cur["window_start"] == nxt["_ws2"], "left")
-    ends = k.where(F.col("firing") & ~F.coalesce(F.col("_nf"), F.lit(False))) \
-            .select((F.col("window_start") + F.expr(f"interval {slide}")).alias("window_start"),
-                    F.lit("resolved").alias("state"), "value")
-    return starts.unionByName(ends).select(F.lit(metric).alias("metric"), "window_start", "state", "value")
+    both = cur.select(F.explode(F.array(
+        F.struct(F.col("window_start").alias("ws"), F.lit(True).alias("is_cur"), "firing", "value"),
+        F.struct((F.col("window_start") + F.expr(f"interval {slide}")).alias("ws"), F.lit(False).alias("is_cur"),
+                 "firing", "value"))).alias("e")).select("e.*")
+    g = both.groupBy("ws").agg(
+        F.coalesce(F.max(F.when(F.col("is_cur"), F.col("firing"))), F.lit(False)).alias("now"),
+        F.coalesce(F.max(F.when(~F.col("is_cur"), F.col("firing"))), F.lit(False)).alias("before"),
+        F.max(F.when(F.col("is_cur"), F.col("value"))).alias("v_now"),
+        F.max(F.when(~F.col("is_cur"), F.col("value"))).alias("v_before"))
+    out = g.where(F.col("now") != F.col("before")).select(
+        F.col("ws").alias("window_start"),
+        F.when(F.col("now"), F.lit("firing")).otherwise(F.lit("resolved")).alias("state"),
+        F.when(F.col("now"), F.col("v_now")).otherwise(F.col("v_before")).alias("value"))
+    return out.select(F.lit(metric).alias("metric"), "window_start", "state", "value")
 
 
 ALERT_SCHEMA = "title string, message string, state string"

@@ -34,8 +34,8 @@ def price_pipeline(trees: int = 50, depth: int = 8, seed: int = 42, scale: bool
     from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 
     from autoprice.operators.models import rf_regressor
-    idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", stringOrderType="alphabetAsc", handleInvalid="keep")
-           for c in PRICE_CATEGORICAL]
+    idx = [StringIndexer(inputCols=PRICE_CATEGORICAL, outputCols=[f"{c}_idx" for c in PRICE_CATEGORICAL],
+                         stringOrderType="alphabetAsc", handleInvalid="keep")]
     ohe = OneHotEncoder(inputCols=[f"{c}_idx" for c in PRICE_CATEGORICAL],
                         outputCols=[f"{c}_ohe" for c in PRICE_CATEGORICAL], dropLast=True)
     num = VectorAssembler(inputCols=PRICE_NUMERIC, outputCol="_num", handleInvalid="error")
