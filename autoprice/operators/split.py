@@ -119,5 +119,7 @@ def kfold_stratified(df: DataFrame, key: str, label: str, k: int = 3, seed: int
     """
     idx = global_index(df.withColumn("_u", draw(key, seed, "cv")), [label, "_u", key], "_i")
     first = idx.groupBy(label).agg(F.min("_i").alias("_first"))
+    # one row per class label: bounded by the number of classes, so broadcast explicitly
+    first = F.broadcast(first)
     out = idx.join(first, idx[label].eqNullSafe(first[label]), "inner").drop(first[label])
     return out.withColumn(fold_col, ((F.col("_i") - F.col("_first")) % k).cast("int")).drop("_u", "_i", "_first")

@@ -24,7 +24,8 @@ CLUSTER_DEFAULTS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.shuffle.partitions": "20000",
     "spark.sql.files.maxPartitionBytes": "256m",
-    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    # no broadcast on Catalyst's size *estimates*; AQE broadcasts a join side only after measuring it
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.session.timeZone": "UTC",
@@ -38,6 +39,9 @@ def get_spark(master: str | None = None, app: str = "autoprice", shuffle_partiti
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
+         # broadcast a join side only after AQE has measured it (never on a static estimate)
+         .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+         .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "32m")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
