@@ -8,6 +8,16 @@ Layout:
   streaming/  Structured Streaming scoring, de-duplication and windowed monitoring
 """
 
-from autoprice.session import get_spark, ensure_checkpoint_dir
+import sys as _sys
+
+# Python functions shipped to executors (pandas UDFs, mapInPandas bodies) are serialised by value,
+# so executors need neither this package installed nor the driver's working directory.
+try:
+    from pyspark import cloudpickle as _cloudpickle
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # noqa: BLE001 - older cloudpickle without by-value registration
+    pass
+
+from autoprice.session import get_spark, ensure_checkpoint_dir  # noqa: E402
 
 __all__ = ["get_spark", "ensure_checkpoint_dir"]
