@@ -98,7 +98,7 @@ def q_route_failures(spark, sf_dir):
          .option("checkpointLocation", scratch_dir(spark, "ckpt-route")).trigger(availableNow=True).start())
     q.awaitTermination(600)
     g = spark.read.parquet(good).select("status")
-    d = spark.read.parquet(dead).select("status")
+    d = spark.read.parquet(dead).select("status")  # epoch partitions are read back as one table
     return g.unionByName(d).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -110,19 +110,13 @@ def q_stream_score_cars(spark, sf_dir):
     model = SC.formula_price_model(spark)
     good, dead = scratch_dir(spark, "good"), scratch_dir(spark, "dead")
 
-    def run(batch, epoch_id):
-        batch.persist()
-        try:
-            ok = batch.where(F.col("status") == "ok")
-            scored = model.transform(ok).withColumnRenamed("prediction", "predicted_price")
-            SC.nest_prediction_json(scored).select("car_id", "value").write.mode("append").json(good)
-            batch.where(F.col("status") != "ok").write.mode("append").parquet(dead)
-        finally:
-            batch.unpersist()
-    q = parsed.writeStream.foreachBatch(run).option("checkpointLocation", scratch_dir(spark, "ckpt-j9")) \
-              .trigger(availableNow=True).start()
+    def publish(ok):
+        scored = model.transform(ok).withColumnRenamed("prediction", "predicted_price")
+        return SC.nest_prediction_json(scored).select("car_id", "value")
+    q = parsed.writeStream.foreachBatch(SC.route_batches(good, dead, "json", publish)) \
+              .option("checkpointLocation", scratch_dir(spark, "ckpt-j9")).trigger(availableNow=True).start()
     q.awaitTermination(600)
-    return spark.read.schema("car_id bigint, value string").json(good)
+    return spark.read.schema("car_id bigint, value string").json(good).select("car_id", "value")
 
 
 @register("dedupe_stream", "select event_id, event_type, value from events")

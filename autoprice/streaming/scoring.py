@@ -77,15 +77,24 @@ def write_stream(df: DataFrame, fmt: str, checkpoint: str, options: dict | None
     return w.start(path) if path else w.start()
 
 
-def route_batches(good_path: str, dead_path: str, fmt: str = "parquet"):
-    """F7 as a ``foreachBatch`` function: each micro-batch is persisted once, valid rows go to the
-    output, invalid rows to the dead-letter table with the raw payload."""
+def _write_epoch(df: DataFrame, path: str, epoch_id: int, fmt: str) -> None:
+    """Idempotent micro-batch write: the batch lands in its own ``epoch_id`` partition with dynamic
+    overwrite, so a batch replayed after a failure replaces its earlier attempt instead of adding
+    duplicates (exactly-once output with an at-least-once ``foreachBatch``)."""
+    (df.withColumn("epoch_id", F.lit(epoch_id)).write.mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic").partitionBy("epoch_id").format(fmt).save(path))
+
+
+def route_batches(good_path: str, dead_path: str, fmt: str = "parquet", transform=None):
+    """F7 as a ``foreachBatch`` function: each micro-batch is persisted once, valid rows (after the
+    optional ``transform``, e.g. scoring and JSON wrapping) go to the output, invalid rows with
+    their raw payload to the dead-letter table."""
     def run(batch: DataFrame, epoch_id: int) -> None:
         batch.persist()
         try:
-            batch.where(F.col("status") == "ok").write.mode("append").format(fmt).save(good_path)
-            batch.where(F.col("status") != "ok").withColumn("epoch_id", F.lit(epoch_id)) \
-                 .write.mode("append").format(fmt).save(dead_path)
+            good = batch.where(F.col("status") == "ok")
+            _write_epoch(transform(good) if transform else good, good_path, epoch_id, fmt)
+            _write_epoch(batch.where(F.col("status") != "ok"), dead_path, epoch_id, fmt)
         finally:
             batch.unpersist()
     return run
