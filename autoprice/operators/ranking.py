@@ -19,6 +19,17 @@ from pyspark.sql import functions as F
 from autoprice.session import ensure_checkpoint_dir
 
 
+# Largest table (rows) broadcast after counting it; beyond it the join stays a shuffle join.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` only when a count proves it holds at most ``max_rows`` rows (callers pass
+    small, already materialised tables, so the count is cheap); otherwise return it unchanged."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
 def _num_partitions(df: DataFrame, override: int | None = None) -> int:
     if override:
         return override
@@ -75,9 +86,9 @@ def exact_quantiles(df: DataFrame, value: str | Column, qs: list[float], names:
     1. (group, value, count) histogram, range-partitioned and checkpointed (``_range_histogram``).
     2. Per (partition, group) totals -> each slice's starting rank within its group (a group spans
        at most as many rows here as there are partitions, so this window is bounded).
-    3. Only the slices that contain a target rank are kept (a small table, broadcast by AQE when
-       it is small), and only their rows get a running count: a global median re-reads about one
-       partition of the histogram, not all of it.
+    3. Only the slices that contain a target rank are kept (at most a few per group; the slice
+       table is checkpointed and broadcast when a count proves it small), and only their rows get a
+       running count: a global median re-reads about one partition of the histogram, not all of it.
 
     Groups with no non-null value are absent from the result; callers left-join or coalesce as
     the operator requires.
@@ -89,6 +100,7 @@ def exact_quantiles(df: DataFrame, value: str | Column, qs: list[float], names:
     offs = tot.select("_pid", *g, "_pc",
                       F.coalesce(F.sum("_pc").over(wg.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
                       F.sum("_pc").over(Window.partitionBy(*g)).alias("_n"))
+    offs = offs.checkpoint(eager=True)  # one row per (partition, group) slice: small
     ranks = []
     for q in qs:
         pos = F.lit(float(q)) * (F.col("_n") - 1)
@@ -98,6 +110,7 @@ def exact_quantiles(df: DataFrame, value: str | Column, qs: list[float], names:
     for c in inside[1:]:
         hit = hit | c
     targets = offs.where(hit).select(F.col("_pid").alias("_tpid"), *[F.col(c).alias(f"_t_{c}") for c in g], "_off", "_n")
+    targets = broadcast_if_small(targets)
     cond = part["_pid"] == targets["_tpid"]
     for c in g:
         cond = cond & part[c].eqNullSafe(targets[f"_t_{c}"])

@@ -174,3 +174,79 @@ def ab_test_url(pages: DataFrame, spark, key: str = "page_id", sample_frac: floa
     boot = AB.bootstrap_confusion_multinomial(scored, "y", {"prod": "yhat_prod", "cand": "yhat_cand"}, iterations, seed)
     comp = AB.t_test(boot, "prod", "cand", ["f1", "precision"], alpha)
     return AB.deploy_decision(comp), comp, metrics
+
+
+# ------------------------------------------------------------------ end-to-end runners with I/O
+
+def run_clean_cars(spark, input_path: str, output_path: str, rules: str = "mean", as_of_year: int | None = None,
+                   infer: bool = False, processing_date: str | None = None) -> DataFrame:
+    """J2 (``rules='mean'``, Spark rule set) or J1 (``'median'``, pandas rule set) as a job: header CSV
+    (S1) -> cleaning -> snappy Parquet (K1) + one-row run statistics beside it (K4). Returns the
+    statistics row. Input columns may use the reference's capitalised names."""
+    import datetime as _dt
+
+    from autoprice.operators import clean as C
+    from autoprice.sources import readers as RD
+    from autoprice.sources import sinks as SK
+    raw = RD.read_csv_header(spark, input_path, schema=None if infer else RD.CAR_RAW_SCHEMA, infer=infer)
+    raw = raw.toDF(*[c.lower() for c in raw.columns])
+    cleaned = (C.clean_cars_mean if rules == "mean" else C.clean_cars_median)(raw, as_of_year)
+    return SK.write_with_stats(raw, cleaned, output_path, processing_date or _dt.datetime.now().isoformat())
+
+
+def run_clean_transactions(spark, input_glob: str, output_path: str) -> DataFrame:
+    """J3 as a job: headerless CSV files (S2) -> de-dup (D1) -> null / zero profiles (A2, A3) ->
+    zero-id filter (F5) -> ``tx_date`` (P6) -> date-partitioned Parquet (K2). Returns the profile
+    rows (computed from the de-duplicated rows, one aggregate each)."""
+    from autoprice.operators import clean as C
+    from autoprice.operators import profile as PR
+    from autoprice.sources import readers as RD
+    from autoprice.sources import sinks as SK
+    raw = RD.read_csv_positional(spark, input_glob)
+    deduped = C.dedupe_rows(raw)
+    profiles = PR.null_profile(deduped).select("column_name", F.lit("null").alias("kind"),
+                                               F.col("null_count").alias("count")) \
+        .unionByName(PR.zero_profile(deduped).select("column_name", F.lit("zero").alias("kind"),
+                                                     F.col("zero_count").alias("count")))
+    SK.write_partitioned(C.clean_transactions(raw), output_path, "tx_date")
+    return profiles
+
+
+def run_temperature_etl(spark, input_path: str, output_path: str, min_year: int = 2000) -> DataFrame:
+    """J4 as a job: dated CSV (S4) -> year filter -> median per country -> CSV (K3)."""
+    from autoprice.operators import clean as C
+    from autoprice.sources import readers as RD
+    from autoprice.sources import sinks as SK
+    raw = RD.read_dated_csv(spark, input_path, "dt string, average_temperature double, country string")
+    out = C.temperature_etl(raw, min_year)
+    SK.write_csv(out, output_path)
+    return out
+
+
+def main(argv: list[str] | None = None) -> int:
+    """Command line: ``python -m autoprice.plans.jobs <job> --input PATH --output PATH [...]``."""
+    import argparse
+
+    from autoprice.session import get_spark
+    ap = argparse.ArgumentParser(prog="autoprice.plans.jobs")
+    ap.add_argument("job", choices=["clean-cars", "clean-transactions", "temperature-etl"])
+    ap.add_argument("--input", required=True)
+    ap.add_argument("--output", required=True)
+    ap.add_argument("--rules", default="mean", choices=["mean", "median"])
+    ap.add_argument("--as-of-year", type=int, default=None)
+    ap.add_argument("--min-year", type=int, default=2000)
+    ap.add_argument("--infer-schema", action="store_true")
+    a = ap.parse_args(argv)
+    spark = get_spark(master=None)
+    if a.job == "clean-cars":
+        run_clean_cars(spark, a.input, a.output, a.rules, a.as_of_year, a.infer_schema).show(truncate=False)
+    elif a.job == "clean-transactions":
+        run_clean_transactions(spark, a.input, a.output).show(truncate=False)
+    else:
+        run_temperature_etl(spark, a.input, a.output, a.min_year).show(truncate=False)
+    return 0
+
+
+if __name__ == "__main__":
+    import sys
+    sys.exit(main())

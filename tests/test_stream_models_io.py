@@ -97,3 +97,23 @@ def test_replayed_epoch_is_idempotent(spark, tmp_path):
     run(batch, 8)
     good, dead = spark.read.parquet(str(tmp_path / "good")), spark.read.parquet(str(tmp_path / "dead"))
     assert good.count() == 2 and dead.count() == 4
+
+
+def test_end_to_end_job_runners(spark, tmp_path):
+    from autoprice.plans import jobs as J
+    from autoprice.plans.fixtures import view
+    cars_csv, tx_csv, temps_csv = (str(tmp_path / n) for n in ("cars", "tx", "temps"))
+    raw = view(spark, SF_SMALL, "cars_raw")
+    raw.toDF(*[c.title() if c != "car_id" else c for c in raw.columns]).write.option("header", True).csv(cars_csv)
+    stats = J.run_clean_cars(spark, cars_csv, str(tmp_path / "out" / "cars.parquet"), "mean", 2015).first()
+    expected = C.clean_cars_mean(raw, as_of_year=2015).count()
+    assert stats.processed_records == expected and stats.original_records == raw.count()
+    assert spark.read.parquet(str(tmp_path / "out" / "cars_stats.parquet")).count() == 1
+    view(spark, SF_SMALL, "tx_raw").write.option("header", False).csv(tx_csv)
+    prof = {(r.column_name, r.kind): r["count"] for r in J.run_clean_transactions(spark, tx_csv + "/*.csv", str(tmp_path / "tx_out")).collect()}
+    assert prof[("terminal_id", "zero")] > 0
+    assert spark.read.parquet(str(tmp_path / "tx_out")).count() == C.clean_transactions(view(spark, SF_SMALL, "tx_raw")).count()
+    t = view(spark, SF_SMALL, "temps").select("dt", "average_temperature", "country")
+    t.write.option("header", True).csv(temps_csv)
+    assert J.run_temperature_etl(spark, temps_csv, str(tmp_path / "temps_out")).count() == \
+        C.temperature_etl(view(spark, SF_SMALL, "temps")).count()
