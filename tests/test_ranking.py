@@ -31,3 +31,17 @@ def test_global_index_is_a_permutation_in_key_order(spark):
     rows = sorted((r.k, r.i) for r in idx.collect())
     assert n == 5000
     assert [i for _, i in rows] == list(range(5000))
+
+
+from hypothesis import given, settings, strategies as st
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(-50, 50)), min_size=1, max_size=60),
+       st.sampled_from([0.0, 0.1, 0.5, 0.95, 1.0]))
+def test_exact_quantiles_property(spark, rows, q):
+    df = spark.createDataFrame([(g, float(v)) for g, v in rows], "g string, v double")
+    got = {r.g: r.x for r in exact_quantiles(df, "v", [q], ["x"], ["g"], num_partitions=3).collect()}
+    for g in {g for g, _ in rows}:
+        exp = float(np.quantile([float(v) for k, v in rows if k == g], q))
+        assert abs(got[g] - exp) < 1e-9

@@ -117,3 +117,13 @@ def test_end_to_end_job_runners(spark, tmp_path):
     t.write.option("header", True).csv(temps_csv)
     assert J.run_temperature_etl(spark, temps_csv, str(tmp_path / "temps_out")).count() == \
         C.temperature_etl(view(spark, SF_SMALL, "temps")).count()
+
+
+def test_forest_training_is_repeatable(spark):
+    from autoprice.operators import features as FE
+    from autoprice.operators.models import rf_regressor
+    clean = C.clean_cars_mean(view(spark, SF_SMALL, "cars_raw"), as_of_year=2015)
+    d = FE.assemble_features(clean, ["year", "present_price", "kms_driven", "owner"]).select("car_id", "features", "selling_price")
+    p1 = rf_regressor("features", "selling_price", 10, 4, seed=7).fit(d).transform(d).select("car_id", F.col("prediction").alias("a"))
+    p2 = rf_regressor("features", "selling_price", 10, 4, seed=7).fit(d).transform(d).select("car_id", F.col("prediction").alias("b"))
+    assert p1.join(p2, "car_id").where("a <> b").count() == 0
