@@ -52,7 +52,8 @@ def bootstrap_confusion_poisson(df: DataFrame, key: str, y: str, preds: dict[str
 
     The same weight multiplies every model's row, so the resamples are paired by construction.
     """
-    d = df.select(key, y, *preds.values(), F.explode(F.sequence(F.lit(0), F.lit(iterations - 1))).alias("iteration"))
+    d = df.select(key, y, *preds.values(),
+                  F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(iterations - 1).cast("bigint"))).alias("iteration"))
     w = poisson1(uniform(key, "iteration", seed))
     aggs = []
     for m, c in preds.items():

@@ -120,9 +120,11 @@ def q_cast_types(spark, sf_dir):
 
 
 @register("derive_tx_date", with_views(
-    "select tranaction_id, tx_datetime, try_cast(tx_datetime as date) as tx_date from tx_raw", "tx_raw"))
+    "select tranaction_id, tx_datetime, cast(try_cast(tx_datetime as date) as varchar) as tx_date from tx_raw", "tx_raw"))
 def q_derive_tx_date(spark, sf_dir):
-    return view(spark, sf_dir, "tx_raw").select("tranaction_id", "tx_datetime", C.derive_date("tx_datetime").alias("tx_date"))
+    # dates leave the catalogue as ISO text so both engines hand over the same representation
+    return view(spark, sf_dir, "tx_raw").select("tranaction_id", "tx_datetime",
+                                                C.derive_date("tx_datetime").cast("string").alias("tx_date"))
 
 
 @register("derive_year", with_views(
@@ -291,10 +293,11 @@ def q_impute_constant(spark, sf_dir):
 
 @register("clean_transactions", with_views(f"""
 , d as (select distinct {TX_COLS} from tx_raw)
-select {TX_COLS}, try_cast(tx_datetime as date) as tx_date from d
+select {TX_COLS}, cast(try_cast(tx_datetime as date) as varchar) as tx_date from d
 where try_cast(terminal_id as bigint) <> 0 and try_cast(customer_id as bigint) <> 0""", "tx_raw"))
 def q_clean_transactions(spark, sf_dir):
-    return C.clean_transactions(view(spark, sf_dir, "tx_raw"))
+    d = C.clean_transactions(view(spark, sf_dir, "tx_raw"))
+    return d.withColumn("tx_date", F.col("tx_date").cast("string"))
 
 
 @register("temperature_etl", with_views(f"""
@@ -323,13 +326,13 @@ def q_scalar_math(spark, sf_dir):
 
 
 @register("scalar_date", with_views("""
-select dt, cast(try_strptime(dt, '%Y-%m-%d') as date) as d, cast(year(try_strptime(dt, '%Y-%m-%d')) as integer) as y,
+select dt, cast(cast(try_strptime(dt, '%Y-%m-%d') as date) as varchar) as d, cast(year(try_strptime(dt, '%Y-%m-%d')) as integer) as y,
   strftime(try_strptime(dt, '%Y-%m-%d'), '%Y-%m') as ym, cast(year(current_date) as integer) as current_year
 from temps""", "temps"))
 def q_scalar_date(spark, sf_dir):
     d = view(spark, sf_dir, "temps")
     dd = F.try_to_date(F.col("dt"), "yyyy-MM-dd")
-    return d.select("dt", dd.alias("d"), F.year(dd).alias("y"), F.date_format(dd, "yyyy-MM").alias("ym"),
+    return d.select("dt", dd.cast("string").alias("d"), F.year(dd).alias("y"), F.date_format(dd, "yyyy-MM").alias("ym"),
                     F.year(F.current_date()).alias("current_year"))
 
 

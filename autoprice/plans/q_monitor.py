@@ -33,7 +33,7 @@ def q_request_count(spark, sf_dir):
 
 @register("error_count_5m", with_views(f"""
 , {win_sql('pred_log', 5, 1)}
-select window_start, window_end, count_if(not ok) as errors,
+select window_start, window_end, cast(count_if(not ok) as bigint) as errors,
   case when count_if(not ok) >= 1 then 'red' else 'green' end as status from w group by window_start, window_end""",
     "pred_log"))
 def q_error_count(spark, sf_dir):
@@ -123,7 +123,7 @@ ERR_THRESHOLD = 4
 
 @register("threshold_alerts", with_views(f"""
 , {win_sql('pred_log', 60, 30)},
-e as (select window_start, count_if(not ok) as errors from w group by window_start),
+e as (select window_start, cast(count_if(not ok) as bigint) as errors from w group by window_start),
 cur as (select window_start, errors as value, coalesce(errors > {ERR_THRESHOLD}, false) as firing from e),
 s as (select c.window_start, 'firing' as state, c.value from cur c left join cur p
         on c.window_start = p.window_start + interval '30 minutes' where c.firing and not coalesce(p.firing, false)),
@@ -146,7 +146,7 @@ def q_normalise_alert(spark, sf_dir):
 
 @register("monitor_predictions", with_views(f"""
 , {win_sql('pred_log', 5, 1)}
-select window_start, window_end, count(*) as requests, count_if(not ok) as errors,
+select window_start, window_end, count(*) as requests, cast(count_if(not ok) as bigint) as errors,
   case when count_if(not ok) >= 1 then 'red' else 'green' end as status,
   round(quantile_cont(latency_s, 0.95), 6) as latency_p95, round(count(*) / 300.0, 6) as rate_per_s
 from w group by window_start, window_end""", "pred_log"))
