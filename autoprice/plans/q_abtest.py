@@ -202,8 +202,8 @@ cp as (select x, y, cast(case when i < (n % 3) * (n // 3 + 1) then floor(i / (n
                   else (n % 3) + floor((i - (n % 3) * (n // 3 + 1)) / (n // 3)) end as integer) as fold from cr),
 per as (select fold, count(*) as n, sum(x) as sx, sum(y) as sy, sum(x * x) as sxx, sum(x * y) as sxy from cp group by fold),
 tot as (select sum(n) as n, sum(sx) as sx, sum(sy) as sy, sum(sxx) as sxx, sum(sxy) as sxy from per),
-cm as (select per.fold, tot.n - per.n as n, tot.sx - per.sx as sx, tot.sy - per.sy as sy, tot.sxx - per.sxx as sxx,
-  tot.sxy - per.sxy as sxy from per, tot),
+cm as (select fold, (select n from tot) - n as n, (select sx from tot) - sx as sx, (select sy from tot) - sy as sy,
+  (select sxx from tot) - sxx as sxx, (select sxy from tot) - sxy as sxy from per),
 cs as (select fold, n, sx, sy, case when n * sxx - sx * sx = 0 then 0.0 else (n * sxy - sx * sy) / (n * sxx - sx * sx) end as slope from cm),
 mdl as (select fold, slope, (sy - slope * sx) / n as intercept from cs),
 sc as (select cp.fold, y, intercept + slope * x as yhat from cp join mdl on cp.fold = mdl.fold),
