@@ -140,7 +140,18 @@ def q_unique_output_key(spark, sf_dir):
     return mv.select("model_name", "version", SK.unique_output_key(run_id, F.lit("2024-01-01T00:00:00")).alias("object_key"))
 
 
-@register("write_report")
+def _report_sql() -> str:
+    from autoprice.plans.q_abtest import _VAL
+    return with_views(_VAL + """
+select 'A/B Test Validation Report' as value
+union all select '=========================='
+union all select 'Model A (Baseline) R2: ' || coalesce(printf('%.4f', r2_a), 'N/A') from vs
+union all select 'Model B (New) R2: ' || coalesce(printf('%.4f', r2_b), 'N/A') from vs
+union all select 'Improvement: ' || coalesce(printf('%.2f', improvement_pct), 'N/A') || '%' from vs
+union all select 'Validation Status: ' || validation_status from vs""", "scored")
+
+
+@register("write_report", _report_sql())
 def q_write_report(spark, sf_dir):
     from autoprice.plans.q_abtest import _validation
     out = scratch_dir(spark, "report")
