@@ -6,7 +6,7 @@ one row per column with ``unpivot``; none of them runs an action per column.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,16 +22,15 @@ def numeric_columns(df: DataFrame) -> list[str]:
 def step_counts(steps: list[tuple[str, DataFrame]]) -> DataFrame:
     """A1: rows after each named step, with the rows removed by that step.
 
-    Each count is a scalar subquery (one aggregate per step, planned in one query) and the result
-    is one row per step.
+    Each count is a scalar subquery (one aggregate per step, planned in one query); the removed
+    count is the previous step's count minus this one, so no ordering window is needed.
     """
     first = steps[0][1]
-    counts = [(name, d.agg(F.count(F.lit(1)).alias("n")).scalar()) for name, d in steps]
-    rows = F.array(*[F.struct(F.lit(i).alias("step_no"), F.lit(name).alias("step"), c.alias("row_count"))
-                     for i, (name, c) in enumerate(counts)])
-    base = first.sparkSession.range(1).select(F.explode(rows).alias("s")).select("s.*")
-    w = Window.orderBy("step_no")  # at most a handful of rows
-    return base.withColumn("removed", F.coalesce(F.lag("row_count").over(w) - F.col("row_count"), F.lit(0)))
+    counts = [d.agg(F.count(F.lit(1)).alias("n")).scalar() for _, d in steps]
+    rows = F.array(*[F.struct(F.lit(i).alias("step_no"), F.lit(name).alias("step"), c.alias("row_count"),
+                              (counts[i - 1] - c if i else F.lit(0).cast("bigint")).alias("removed"))
+                     for i, ((name, _), c) in enumerate(zip(steps, counts))])
+    return first.sparkSession.range(1).select(F.explode(rows).alias("s")).select("s.*")
 
 
 def null_profile(df: DataFrame, cols: list[str] | None = None, keep_zero: bool = False) -> DataFrame:

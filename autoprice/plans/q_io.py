@@ -73,8 +73,7 @@ def _syn_sql() -> str:
     u = lambda f: uniform_sql(f"cast(o_orderkey as varchar) || '-{f}-42'")
     pick = lambda f, opts: "case " + " ".join(
         f"when floor({u(f)} * {len(opts)}) = {i} then '{o}'" for i, o in enumerate(opts[:-1])) + f" else '{opts[-1]}' end"
-    return f"""
-, s as (select o_orderkey as car_id, cast(2005 + floor({u('year')} * 18) as integer) as year,
+    return f"""with s as (select o_orderkey as car_id, cast(2005 + floor({u('year')} * 18) as integer) as year,
   round(2.0 + {u('price')} * 18.0, 2) as present_price, cast(10000 + floor({u('kms')} * 190001) as bigint) as kms_driven,
   cast(floor({u('owner')} * 3) as integer) as owner, {pick('fuel', RD.FUEL_TYPES)} as fuel_type,
   {pick('seller', RD.SELLER_TYPES)} as seller_type, {pick('trans', RD.TRANSMISSIONS)} as transmission from orders)
@@ -82,7 +81,7 @@ select car_id, year, present_price, kms_driven, owner, fuel_type, seller_type, t
   2025 - year as car_age, round_even(kms_driven / greatest(2025 - year, 1), 1) as kms_per_year from s"""
 
 
-@register("synthetic_cars", "with o_ as (select 1)" + _syn_sql())
+@register("synthetic_cars", _syn_sql())
 def q_synthetic_cars(spark, sf_dir):
     ids = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("car_id"))
     return RD.synthetic_cars(ids, "car_id", seed=42, as_of_year=2025)
