@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from autoprice.operators.ranking import exact_quantiles
+from autoprice.operators.ranking import quantiles
 
 CAR_NUMERIC = ["year", "kms_driven", "present_price"]
 CAR_CATEGORICAL = ["fuel_type", "seller_type", "transmission", "owner"]
@@ -132,14 +132,15 @@ def impute_mean_mode(df: DataFrame, mean_cols: list[str] = CAR_NUMERIC, mode_col
     return df.select(*out)
 
 
-def impute_median(df: DataFrame, cols: list[str] = ("year", "kms_driven")) -> DataFrame:
-    """NULL -> exact median of the column (midpoint on an even count). All-NULL stays NULL."""
+def impute_median(df: DataFrame, cols: list[str] = ("year", "kms_driven"), approx: bool = False) -> DataFrame:
+    """NULL -> exact median of the column (midpoint on an even count; ``approx`` uses the
+    percentile sketch). All-NULL stays NULL."""
     cols = [c for c in cols if c in df.columns]
     if not cols:
         return df
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v"))
                                          for c in cols])).alias("kv")).select("kv.k", "kv.v")
-    med = exact_quantiles(long, "v", [0.5], ["median"], ["k"])
+    med = quantiles(long, "v", [0.5], ["median"], ["k"], approx)
     st = dict(med.collect())  # one row per imputed column
     fill = {c: F.lit(st.get(c)).cast("double") for c in cols}
     return df.select(*[(F.when(F.col(c).isNull(), fill[c]).otherwise(F.col(c).cast("double")).alias(c)

@@ -58,7 +58,8 @@ def latency_quantile(df: DataFrame, latency: str = "latency_s", q: float = 0.95,
 def latency_quantile_approx(df: DataFrame, latency: str = "latency_s", q: float = 0.95, ts="ts",
                             width="5 minutes", slide="1 minute", accuracy: int = 10000,
                             out: str = "latency_p95") -> DataFrame:
-    """W4, bounded-memory form for streams: ``percentile_approx`` sketch per window."""
+    """W4, bounded-memory form (streams, or when an approximation is enough): a
+    ``percentile_approx`` sketch per window."""
     return window_agg(df, [F.percentile_approx(latency, q, accuracy).alias(out)], ts, width, slide)
 
 

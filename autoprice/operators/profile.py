@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from autoprice.operators.ranking import exact_quantiles
+from autoprice.operators.ranking import quantiles
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -50,15 +50,15 @@ def zero_profile(df: DataFrame, cols: list[str] = ("terminal_id", "customer_id")
               .select("column_name", F.col("zero_count").cast("bigint").alias("zero_count"))
 
 
-def describe_numeric(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """A4: count, mean, sample std, min, exact 25/50/75 % and max per numeric column."""
+def describe_numeric(df: DataFrame, cols: list[str] | None = None, approx: bool = False) -> DataFrame:
+    """A4: count, mean, sample std, min, 25/50/75 % (exact unless ``approx``) and max per numeric column."""
     cols = cols or numeric_columns(df)
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v"))
                                          for c in cols])).alias("kv")).select("kv.*")
     basic = long.groupBy("column_name").agg(
         F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
         F.min("v").alias("min"), F.max("v").alias("max"))
-    qs = exact_quantiles(long, "v", [0.25, 0.5, 0.75], ["q25", "q50", "q75"], ["column_name"])
+    qs = quantiles(long, "v", [0.25, 0.5, 0.75], ["q25", "q50", "q75"], ["column_name"], approx)
     return basic.join(qs, "column_name", "left").select("column_name", "count", "mean", "std", "min",
                                                         "q25", "q50", "q75", "max")
 
@@ -69,12 +69,12 @@ def target_stats(df: DataFrame, target: str = "selling_price") -> DataFrame:
                   F.avg(target).alias("target_mean"))
 
 
-def group_median(df: DataFrame, key: str, value: str, out: str = "median_value") -> DataFrame:
+def group_median(df: DataFrame, key: str, value: str, out: str = "median_value", approx: bool = False) -> DataFrame:
     """Median per group; NULL keys dropped, NULL values skipped, an all-NULL group is kept
-    with a NULL median; ordered by key. Skew-safe (see ``exact_quantiles``)."""
+    with a NULL median; ordered by key. Exact and skew-safe (see ``exact_quantiles``) unless ``approx``."""
     d = df.where(F.col(key).isNotNull())
     groups = d.select(key).distinct()
-    med = exact_quantiles(d, value, [0.5], [out], [key])
+    med = quantiles(d, value, [0.5], [out], [key], approx)
     return groups.join(med, key, "left").orderBy(key)
 
 

@@ -96,6 +96,7 @@ def exact_quantiles(df: DataFrame, value: str | Column, qs: list[float], names:
     g = list(group_cols or [])
     part = _range_histogram(df, value, g, num_partitions)
     tot = part.groupBy("_pid", *g).agg(F.sum("_c").alias("_pc"))
+    # per group at most one row per range partition (without groups: one row per partition)
     wg = Window.partitionBy(*g).orderBy("_pid")
     offs = tot.select("_pid", *g, "_pc",
                       F.coalesce(F.sum("_pc").over(wg.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
@@ -134,3 +135,16 @@ def exact_quantiles(df: DataFrame, value: str | Column, qs: list[float], names:
     outs = [(F.col(f"_lo_{nm}") + F.col(f"_fr_{nm}") * (F.col(f"_hi_{nm}") - F.col(f"_lo_{nm}"))).alias(nm)
             for nm in names]
     return sel.select(*g, *outs)
+
+
+def quantiles(df: DataFrame, value: str | Column, qs: list[float], names: list[str],
+              group_cols: list[str] | None = None, approx: bool = False, accuracy: int = 10000) -> DataFrame:
+    """Exact quantiles (``exact_quantiles``) or, with ``approx``, Spark's ``percentile_approx``
+    sketch: one aggregate with bounded memory per group, rank error about 1 / ``accuracy``."""
+    if not approx:
+        return exact_quantiles(df, value, qs, names, group_cols)
+    g = list(group_cols or [])
+    v = (F.col(value) if isinstance(value, str) else value).cast("double")
+    d = df.select(*g, v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    aggs = [F.percentile_approx("_v", float(q), accuracy).alias(n) for q, n in zip(qs, names)]
+    return d.groupBy(*g).agg(*aggs) if g else d.agg(*aggs)

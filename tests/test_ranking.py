@@ -45,3 +45,11 @@ def test_exact_quantiles_property(spark, rows, q):
     for g in {g for g, _ in rows}:
         exp = float(np.quantile([float(v) for k, v in rows if k == g], q))
         assert abs(got[g] - exp) < 1e-9
+
+
+def test_approx_quantiles_close_to_exact(spark):
+    from autoprice.operators.ranking import quantiles
+    df = spark.range(20000).selectExpr("cast(id % 3 as string) as g", "cast(id as double) * 0.5 as v")
+    ex = {r.g: r.m for r in quantiles(df, "v", [0.5], ["m"], ["g"]).collect()}
+    ap = {r.g: r.m for r in quantiles(df, "v", [0.5], ["m"], ["g"], approx=True).collect()}
+    assert all(abs(ex[k] - ap[k]) <= 0.5 * 20000 / 10000 * 2 for k in ex)
