@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from autoprice.operators.ranking import quantiles
+from autoprice.operators.ranking import exact_quantiles, quantiles, value_histogram
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -51,14 +51,32 @@ def zero_profile(df: DataFrame, cols: list[str] = ("terminal_id", "customer_id")
 
 
 def describe_numeric(df: DataFrame, cols: list[str] | None = None, approx: bool = False) -> DataFrame:
-    """A4: count, mean, sample std, min, 25/50/75 % (exact unless ``approx``) and max per numeric column."""
+    """A4: count, mean, sample std, min, 25/50/75 % (exact unless ``approx``) and max per numeric column.
+
+    One scan of the input: the columns are unpivoted into a (column, value, count) histogram
+    (checkpointed), and every statistic is computed from it -- the standard deviation in two passes
+    over the histogram (mean first, then squared deviations) for accuracy.
+    """
     cols = cols or numeric_columns(df)
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v"))
                                          for c in cols])).alias("kv")).select("kv.*")
-    basic = long.groupBy("column_name").agg(
-        F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"), F.max("v").alias("max"))
-    qs = quantiles(long, "v", [0.25, 0.5, 0.75], ["q25", "q50", "q75"], ["column_name"], approx)
+    if approx:
+        basic = long.groupBy("column_name").agg(
+            F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
+            F.min("v").alias("min"), F.max("v").alias("max"))
+        qs = quantiles(long, "v", [0.25, 0.5, 0.75], ["q25", "q50", "q75"], ["column_name"], approx=True)
+    else:
+        hist = value_histogram(long, "v", ["column_name"])
+        first = hist.groupBy("column_name").agg(
+            F.sum("_c").alias("count"), (F.sum(F.col("_v") * F.col("_c")) / F.sum("_c")).alias("mean"),
+            F.min("_v").alias("min"), F.max("_v").alias("max"))
+        # one row per described column: bounded by the column list
+        dev = hist.join(F.broadcast(first.select("column_name", F.col("mean").alias("_m"))), "column_name") \
+                  .groupBy("column_name").agg(F.sum(F.col("_c") * (F.col("_v") - F.col("_m")) ** 2).alias("_ss"))
+        basic = first.join(dev, "column_name").select(
+            "column_name", "count", "mean", F.sqrt(F.try_divide(F.col("_ss"), F.col("count") - 1)).alias("std"),
+            "min", "max")
+        qs = exact_quantiles(long, "v", [0.25, 0.5, 0.75], ["q25", "q50", "q75"], ["column_name"], histogram=hist)
     return basic.join(qs, "column_name", "left").select("column_name", "count", "mean", "std", "min",
                                                         "q25", "q50", "q75", "max")
 

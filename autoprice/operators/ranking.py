@@ -63,29 +63,48 @@ def global_index(df: DataFrame, order_cols: list[str], index_col: str = "_idx",
     return (out, acc) if with_count else out
 
 
-def _range_histogram(df: DataFrame, value: str | Column, g: list[str], num_partitions: int | None) -> DataFrame:
-    """Distinct (group, value) pairs with their count ``_c``, range-partitioned on (group, value),
-    sorted, tagged with ``_pid`` and checkpointed. NULL and NaN values are skipped; repeated values
-    are combined map-side before the shuffle."""
+# Up to this many distinct (group, value) pairs, Spark's weighted ``percentile`` runs directly on the
+# histogram: its per-group buffer can never exceed the (counted) histogram size.
+SMALL_HISTOGRAM_ROWS = 1_000_000
+
+
+def _histogram(df: DataFrame, value: str | Column, g: list[str]) -> DataFrame:
+    """Distinct (group, value) pairs with their count ``_c`` (NULL and NaN values skipped; repeated
+    values combined map-side before the shuffle), checkpointed."""
     ensure_checkpoint_dir(df.sparkSession)
     v = (F.col(value) if isinstance(value, str) else value).cast("double")
     hist = (df.select(*g, v.alias("_v"))
             .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
             .groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c")))
-    n = _num_partitions(df, num_partitions)
+    return hist.checkpoint(eager=True)
+
+
+def _range_partition(hist: DataFrame, g: list[str], num_partitions: int | None) -> DataFrame:
+    """The histogram range-partitioned on (group, value), sorted, tagged with ``_pid`` and
+    checkpointed (pins the sampled range bounds against recomputation)."""
+    n = _num_partitions(hist, num_partitions)
     part = (hist.repartitionByRange(n, *g, "_v").sortWithinPartitions(*g, "_v")
             .withColumn("_pid", F.spark_partition_id()))
     return part.checkpoint(eager=True)
 
 
+def value_histogram(df: DataFrame, value: str | Column, group_cols: list[str] | None = None) -> DataFrame:
+    """Public form of the checkpointed (group, ``_v``, ``_c``) histogram, for callers that derive
+    several statistics from one scan of the input."""
+    return _histogram(df, value, list(group_cols or []))
+
+
 def exact_quantiles(df: DataFrame, value: str | Column, qs: list[float], names: list[str],
-                    group_cols: list[str] | None = None, num_partitions: int | None = None) -> DataFrame:
+                    group_cols: list[str] | None = None, num_partitions: int | None = None,
+                    small_rows: int = SMALL_HISTOGRAM_ROWS, histogram: DataFrame | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation between order statistics
     (the pandas / numpy default, Spark ``percentile``, DuckDB ``quantile_cont``).
 
-    1. (group, value, count) histogram, range-partitioned and checkpointed (``_range_histogram``).
-    2. Per (partition, group) totals -> each slice's starting rank within its group (a group spans
-       at most as many rows here as there are partitions, so this window is bounded).
+    1. (group, value, count) histogram, checkpointed and counted. If it has at most ``small_rows``
+       pairs, Spark's weighted ``percentile`` runs on it directly (bounded by that count).
+    2. Otherwise the histogram is range-partitioned on (group, value), so a hot group spreads over
+       many partitions, and checkpointed; per (partition, group) totals give each slice's starting
+       rank within its group (a group spans at most as many slices as there are partitions).
     3. Only the slices that contain a target rank are kept (at most a few per group; the slice
        table is checkpointed and broadcast when a count proves it small), and only their rows get a
        running count: a global median re-reads about one partition of the histogram, not all of it.
@@ -94,7 +113,11 @@ def exact_quantiles(df: DataFrame, value: str | Column, qs: list[float], names:
     the operator requires.
     """
     g = list(group_cols or [])
-    part = _range_histogram(df, value, g, num_partitions)
+    hist = histogram if histogram is not None else _histogram(df, value, g)
+    if hist.limit(small_rows + 1).count() <= small_rows:
+        aggs = [F.percentile("_v", float(q), F.col("_c")).alias(n) for q, n in zip(qs, names)]
+        return hist.groupBy(*g).agg(*aggs) if g else hist.agg(*aggs)
+    part = _range_partition(hist, g, num_partitions)
     tot = part.groupBy("_pid", *g).agg(F.sum("_c").alias("_pc"))
     # per group at most one row per range partition (without groups: one row per partition)
     wg = Window.partitionBy(*g).orderBy("_pid")

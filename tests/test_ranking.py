@@ -11,7 +11,12 @@ def test_exact_quantiles_with_hot_group(spark):
     rows = [("hot", float(v)) for v in hot] + [("cold", float(v)) for v in rng.normal(size=7).round(2)] + [("nulls", None)]
     df = spark.createDataFrame(rows, "g string, v double")
     out = {r.g: (r.q25, r.q50, r.q95) for r in exact_quantiles(df, "v", [0.25, 0.5, 0.95], ["q25", "q50", "q95"], ["g"],
-                                                               num_partitions=7).collect()}
+                                                               num_partitions=7, small_rows=0).collect()}
+    small = {r.g: (r.q25, r.q50, r.q95) for r in exact_quantiles(df, "v", [0.25, 0.5, 0.95], ["q25", "q50", "q95"],
+                                                                 ["g"]).collect()}
+    assert small.keys() == out.keys()
+    for k in out:
+        assert np.allclose(small[k], out[k], atol=1e-12)
     for g in ("hot", "cold"):
         vals = np.array([v for k, v in rows if k == g])
         exp = np.quantile(vals, [0.25, 0.5, 0.95])
@@ -21,8 +26,9 @@ def test_exact_quantiles_with_hot_group(spark):
 
 def test_global_quantile_single_value_and_duplicates(spark):
     df = spark.createDataFrame([(5.0,)] * 10 + [(1.0,)], "v double")
-    (r,) = exact_quantiles(df, "v", [0.0, 0.5, 1.0], ["a", "b", "c"]).collect()
-    assert (r.a, r.b, r.c) == (1.0, 5.0, 5.0)
+    for small_rows in (0, 1000):
+        (r,) = exact_quantiles(df, "v", [0.0, 0.5, 1.0], ["a", "b", "c"], small_rows=small_rows).collect()
+        assert (r.a, r.b, r.c) == (1.0, 5.0, 5.0)
 
 
 def test_global_index_is_a_permutation_in_key_order(spark):
@@ -41,7 +47,7 @@ from hypothesis import given, settings, strategies as st
        st.sampled_from([0.0, 0.1, 0.5, 0.95, 1.0]))
 def test_exact_quantiles_property(spark, rows, q):
     df = spark.createDataFrame([(g, float(v)) for g, v in rows], "g string, v double")
-    got = {r.g: r.x for r in exact_quantiles(df, "v", [q], ["x"], ["g"], num_partitions=3).collect()}
+    got = {r.g: r.x for r in exact_quantiles(df, "v", [q], ["x"], ["g"], num_partitions=3, small_rows=0).collect()}
     for g in {g for g, _ in rows}:
         exp = float(np.quantile([float(v) for k, v in rows if k == g], q))
         assert abs(got[g] - exp) < 1e-9
