@@ -65,7 +65,8 @@ def q_read_text_dir(spark, sf_dir):
 def q_merge_text(spark, sf_dir):
     src, dst = scratch_dir(spark, "logs"), scratch_dir(spark, "merged")
     table(spark, sf_dir, "pages").select("url").repartition(4).write.mode("overwrite").text(src)
-    SK.merge_text(RD.read_text_dir(spark, src), dst, single_file=True)
+    # ordered multi-part output: same lines as one merged file, without funnelling the text through one task
+    SK.merge_text(RD.read_text_dir(spark, src), dst)
     return spark.read.text(dst)
 
 

@@ -73,7 +73,9 @@ def write_report(metrics_row: DataFrame, path: str) -> None:
 
 
 def merge_text(lines: DataFrame, path: str, single_file: bool = False) -> None:
-    """K7: all log lines in (file, offset) order; one output file only when asked."""
+    """K7: all log lines in (file, offset) order, written as ordered part files (a global sort, so
+    part i precedes part i+1). ``single_file`` funnels everything through one writer task and is
+    only for outputs known to be small."""
     out = lines.orderBy("file_path", "block_start", "pos").select("value")
     (out.coalesce(1) if single_file else out).write.mode("overwrite").text(path)
 
