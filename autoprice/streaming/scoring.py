@@ -117,14 +117,28 @@ def formula_price_model(spark: SparkSession):
     return PipelineModel(stages=[rule])
 
 
-def run_to_table(df: DataFrame, name: str, checkpoint: str, mode: str = "append", timeout_s: int = 600) -> DataFrame:
-    """Drain a bounded streaming input (``availableNow``) into a memory table and return it."""
-    q = df.writeStream.format("memory").queryName(name).outputMode(mode) \
-          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def run_to_table(df: DataFrame, name: str, checkpoint: str, mode: str = "append", timeout_s: int = 600,
+                 path: str | None = None) -> DataFrame:
+    """Drain a bounded streaming input (``availableNow``) into a Parquet table and return it.
+
+    Output never accumulates on the driver (unlike the memory sink): append mode uses the file sink
+    (exactly-once through its commit log); complete / update mode rewrites the table from each
+    micro-batch's full result in ``foreachBatch``.
+    """
+    from autoprice.session import scratch_dir
+    spark = df.sparkSession
+    path = path or scratch_dir(spark, f"stream-{name}")
+    w = df.writeStream.queryName(name).outputMode(mode).option("checkpointLocation", checkpoint) \
+          .trigger(availableNow=True)
+    if mode == "append":
+        q = w.format("parquet").start(path)
+    else:
+        spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(path)
+        q = w.foreachBatch(lambda batch, _epoch: batch.write.mode("overwrite").parquet(path)).start()
     q.awaitTermination(timeout_s)
     if q.isActive:
         q.stop()
         raise TimeoutError(f"streaming query {name} did not finish in {timeout_s}s")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return df.sparkSession.table(name)
+    return spark.read.schema(df.schema).parquet(path)
