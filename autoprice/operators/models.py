@@ -45,7 +45,9 @@ def ols_fit(df: DataFrame, x: str, y: str) -> DataFrame:
 def ols_predict(df: DataFrame, fit: DataFrame, x: str, out: str = "yhat") -> DataFrame:
     """Apply a fitted row (as a scalar subquery: no join, no driver round trip)."""
     m = fit.select(F.struct("slope", "intercept").alias("m")).scalar()
-    return df.withColumn(out, m.getField("intercept") + m.getField("slope") * F.col(x))
+    # attach the fitted row once (one subquery), then use its fields
+    d = df.withColumn("_m", m)
+    return d.withColumn(out, F.col("_m.intercept") + F.col("_m.slope") * F.col(x)).drop("_m")
 
 
 def time_ab_metrics(df: DataFrame, order_key: str, x: str, y: str) -> DataFrame:
@@ -80,8 +82,11 @@ def cross_validate_ols(df: DataFrame, key: str, x: str, y: str, k: int = 3) -> D
     # k rows (k is the fold count parameter): a bounded broadcast.
     scored = folds.join(F.broadcast(models), "fold").withColumn("yhat", F.col("intercept") + F.col("slope") * F.col(x))
     r2 = scored.groupBy("fold").agg(*regression_aggs(y, "yhat")).select("fold", *regression_from_aggs("null"))
-    summary = r2.agg(F.struct(F.avg("r2").alias("m"), F.stddev_pop("r2").alias("s")).alias("t")).scalar()
-    return r2.select("fold", "r2", summary.getField("m").alias("cv_r2_mean"), summary.getField("s").alias("cv_r2_std"))
+    # k fold rows: gathered with their mean and population std in one aggregate, then unfolded
+    agg = r2.agg(F.collect_list(F.struct("fold", "r2")).alias("_f"), F.avg("r2").alias("cv_r2_mean"),
+                 F.stddev_pop("r2").alias("cv_r2_std"))
+    return agg.select(F.explode("_f").alias("f"), "cv_r2_mean", "cv_r2_std") \
+              .select("f.fold", "f.r2", "cv_r2_mean", "cv_r2_std")
 
 
 # ------------------------------------------------------------------ Spark ML estimators (M1-M3, M5-M7)

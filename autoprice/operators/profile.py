@@ -6,7 +6,7 @@ one row per column with ``unpivot``; none of them runs an action per column.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,18 +19,37 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC)]
 
 
-def step_counts(steps: list[tuple[str, DataFrame]]) -> DataFrame:
-    """A1: rows after each named step, with the rows removed by that step.
+def _steps_from_counts(row: DataFrame, names: list[str]) -> DataFrame:
+    """One output row per step from a one-row DataFrame with count columns c0..cn."""
+    rows = F.array(*[F.struct(F.lit(i).alias("step_no"), F.lit(n).alias("step"), F.col(f"c{i}").alias("row_count"),
+                              (F.col(f"c{i - 1}") - F.col(f"c{i}") if i else F.lit(0).cast("bigint")).alias("removed"))
+                     for i, n in enumerate(names)])
+    return row.select(F.explode(rows).alias("s")).select("s.*")
 
-    Each count is a scalar subquery (one aggregate per step, planned in one query); the removed
-    count is the previous step's count minus this one, so no ordering window is needed.
-    """
-    first = steps[0][1]
-    counts = [d.agg(F.count(F.lit(1)).alias("n")).scalar() for _, d in steps]
-    rows = F.array(*[F.struct(F.lit(i).alias("step_no"), F.lit(name).alias("step"), c.alias("row_count"),
-                              (counts[i - 1] - c if i else F.lit(0).cast("bigint")).alias("removed"))
-                     for i, ((name, _), c) in enumerate(zip(steps, counts))])
-    return first.sparkSession.range(1).select(F.explode(rows).alias("s")).select("s.*")
+
+def step_counts(steps: list[tuple[str, DataFrame]]) -> DataFrame:
+    """A1: rows after each named step, with the rows removed by that step. Each count is one
+    aggregate (a scalar subquery referenced once); the removed counts are column arithmetic."""
+    spark = steps[0][1].sparkSession
+    row = spark.range(1).select(*[d.agg(F.count(F.lit(1))).scalar().alias(f"c{i}") for i, (_, d) in enumerate(steps)])
+    return _steps_from_counts(row, [n for n, _ in steps])
+
+
+def filter_chain_counts(df: DataFrame, steps: list[tuple[str, Column]], extra: list[tuple[str, DataFrame]] = ()
+                        ) -> DataFrame:
+    """A1 for a chain of filters: rows before any filter and after each cumulative filter, all from
+    one aggregate (``count_if`` of the running conjunction, NULL counting as dropped), plus
+    optional later steps whose counts come from their own DataFrames (e.g. after imputation)."""
+    aggs, acc = [F.count(F.lit(1)).alias("c0")], None
+    for i, (_, cond) in enumerate(steps, 1):
+        acc = cond if acc is None else acc & cond
+        aggs.append(F.count_if(F.coalesce(acc, F.lit(False))).alias(f"c{i}"))
+    row = df.agg(*aggs)
+    k = len(steps)
+    if extra:
+        row = row.select("*", *[d.agg(F.count(F.lit(1))).scalar().alias(f"c{k + 1 + j}") for j, (_, d) in enumerate(extra)])
+    names = ["input"] + [n for n, _ in steps] + [n for n, _ in extra]
+    return _steps_from_counts(row, names)
 
 
 def null_profile(df: DataFrame, cols: list[str] | None = None, keep_zero: bool = False) -> DataFrame:

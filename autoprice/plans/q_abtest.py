@@ -163,8 +163,9 @@ def _validation(spark, sf_dir):
     ab = _time_ab(spark, sf_dir)
     a = ab.where("model = 'A'").select(F.struct("*")).scalar()
     b = ab.where("model = 'B'").select(F.struct("*")).scalar()
-    row = spark.range(1).select(a.getField("r2").alias("r2_a"), b.getField("r2").alias("r2_b"),
-                                a.getField("n_train").alias("n_old"), a.getField("n_test").alias("n_new"))
+    row = spark.range(1).select(a.alias("a"), b.alias("b")).select(
+        F.col("a.r2").alias("r2_a"), F.col("b.r2").alias("r2_b"), F.col("a.n_train").alias("n_old"),
+        F.col("a.n_test").alias("n_new"))
     imp = AB.improvement_pct(F.col("r2_a"), F.col("r2_b"))
     row = row.withColumn("improvement_pct", imp)
     text, code = AB.validation_status(F.col("improvement_pct"))

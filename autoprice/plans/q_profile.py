@@ -25,10 +25,12 @@ select step_no, step, row_count, coalesce(lag(row_count) over (order by step_no)
     "cars_raw"))
 def q_row_counts(spark, sf_dir):
     raw = view(spark, sf_dir, "cars_raw")
-    f1 = C.drop_null_target(raw)
-    f3 = C.filter_outliers(f1)
-    return PR.step_counts([("raw", raw), ("not_null_target", f1), ("in_range", f3),
-                           ("valid_year", C.clean_cars_mean(raw, as_of_year=Y))])
+    price, kms = F.col("selling_price"), F.col("kms_driven")
+    in_range = (price > 1.0) & (price < 10.0) & (kms > 0) & (kms < 1_000_000)
+    out = PR.filter_chain_counts(raw, [("not_null_target", price.isNotNull()), ("in_range", in_range)],
+                                 [("valid_year", C.clean_cars_mean(raw, as_of_year=Y))])
+    # the first step is the raw input
+    return out.withColumn("step", F.when(F.col("step_no") == 0, F.lit("raw")).otherwise(F.col("step")))
 
 
 def _union(parts: list[str]) -> str:
