@@ -73,7 +73,7 @@ def q_non_null_metrics(spark, sf_dir):
     p = view(spark, sf_dir, "preds")
     c = M.classification_metrics(p, "y", "yhat_prod")
     o = M.classification_metrics(p.where("y = 1"), "y", "yhat_prod")
-    row = reg.select(
-        "mae", "rmse", "r2", c.select("f1").scalar().alias("f1"), c.select("auc").scalar().alias("auc"),
-        o.select("auc").scalar().alias("auc_positives_only"))
+    row = reg.select("mae", "rmse", "r2", c.select(F.struct("f1", "auc")).scalar().alias("_c"),
+                     o.select("auc").scalar().alias("auc_positives_only")) \
+             .select("mae", "rmse", "r2", F.col("_c.f1").alias("f1"), F.col("_c.auc").alias("auc"), "auc_positives_only")
     return M.non_null_metrics(row).select("metric", R6("value"))
