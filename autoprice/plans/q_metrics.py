@@ -52,12 +52,17 @@ def q_classification_metrics(spark, sf_dir):
     "preds"))
 def q_auc(spark, sf_dir):
     p = view(spark, sf_dir, "preds")
-    parts = [M.classification_metrics(p, "y", "yhat_prod").select(F.lit("prod").alias("model"), R6("auc")),
-             M.classification_metrics(p, "y", "yhat_cand").select(F.lit("cand").alias("model"), R6("auc")),
-             # one class only: AUC is undefined (NULL)
-             M.classification_metrics(p.where("y = 1"), "y", "yhat_prod")
-              .select(F.lit("positives_only").alias("model"), R6("auc"))]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    # one aggregate of both models' confusion counts; the positives-only row (one class, AUC
+    # undefined -> NULL) is the prod counts restricted to y = 1: tp and fn, no fp or tn
+    c = p.agg(*M.confusion_aggs("y", "yhat_prod", prefix="p_"), *M.confusion_aggs("y", "yhat_cand", prefix="c_"))
+    zero = F.lit(0).cast("bigint")
+    cells = F.array(
+        F.struct(F.lit("prod").alias("model"), *[F.col(f"p_{k}").alias(k) for k in ("tp", "fp", "fn", "tn")]),
+        F.struct(F.lit("cand").alias("model"), *[F.col(f"c_{k}").alias(k) for k in ("tp", "fp", "fn", "tn")]),
+        F.struct(F.lit("positives_only").alias("model"), F.col("p_tp").alias("tp"), zero.alias("fp"),
+                 F.col("p_fn").alias("fn"), zero.alias("tn")))
+    rows = c.select(F.explode(cells).alias("r")).select("r.*")
+    return rows.select("model", *M.classification_from_counts()).select("model", R6("auc"))
 
 
 @register("non_null_metrics", with_views(f"""
