@@ -9,8 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from autoprice.llm import near_dup, quality_rules
+from autoprice.llm import (decontaminate, huffman, license_scan, near_dup, packing, pairwise_quality, quality_rules,
+                           substring_dedup, toxicity, warc_audit)
 from autoprice.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,6 +96,103 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents"))
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public vocabulary file on this machine (it is installed, not part of the repository)."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@_register("op2_sum_of_squares_packing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+# The second replica of the audit is the first with damage at fixed ids: a record lost, one cut
+# short, one with a changed byte.
+LOST, CUT, CHANGED = (1009, 7), (1013, 11), (997, 5)
+
+WARC_SQL = f"""
+WITH rec AS (
+  SELECT page_id AS id, concat('WARC/1.0', chr(13), chr(10), 'WARC-Type: resource', chr(13), chr(10),
+         'WARC-Record-ID: <urn:page:', page_id, '>', chr(13), chr(10), 'WARC-Target-URI: ', coalesce(url, ''), chr(13), chr(10),
+         'Content-Type: text/html', chr(13), chr(10), 'Content-Length: ', strlen(coalesce(html, '')), chr(13), chr(10), chr(13), chr(10),
+         coalesce(html, ''), chr(13), chr(10), chr(13), chr(10)) AS r
+  FROM pages WHERE page_id IS NOT NULL),
+other AS (
+  SELECT id, CASE WHEN id % {CUT[0]} = {CUT[1]} THEN strlen(r) // 2 ELSE strlen(r) END AS length,
+         CASE WHEN id % {CUT[0]} = {CUT[1]} THEN 'cut' WHEN id % {CHANGED[0]} = {CHANGED[1]} THEN 'changed' ELSE 'same' END AS state
+  FROM rec WHERE id % {LOST[0]} <> {LOST[1]}),
+base AS (SELECT min(id) // 256 * 256 AS base FROM rec),
+a AS (SELECT id, sum(strlen(r)) OVER (PARTITION BY (id - base) // 256 ORDER BY id) AS e, strlen(r) AS length FROM rec, base),
+b AS (SELECT id, sum(length) OVER (PARTITION BY (id - base) // 256 ORDER BY id) AS e, length, state FROM other, base)
+SELECT a.id AS page_id,
+       CASE WHEN b.id IS NULL THEN 'missing' WHEN state <> 'same' THEN 'damaged' ELSE 'shifted' END AS status,
+       (a.e - a.length)::BIGINT AS left_first, a.e::BIGINT AS left_end,
+       (b.e - b.length)::BIGINT AS right_first, b.e::BIGINT AS right_end
+FROM a LEFT JOIN b USING (id)
+WHERE b.id IS NULL OR state <> 'same' OR a.e <> b.e
+"""
+
+
+@_register("op3_warc_audit", WARC_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = warc_audit.archive(table(spark, sf_dir, "pages"))
+    hit = lambda rule: F.pmod("id", F.lit(rule[0])) == rule[1]
+    size = F.octet_length("record")
+    cut = F.substring("record", F.lit(1), F.floor(size / 2).cast("int"))
+    changed = F.concat(F.lit(b"X"), F.substring("record", F.lit(2), size))
+    right = left.where(~hit(LOST)).withColumn(
+        "record", F.when(hit(CUT), cut).when(hit(CHANGED), changed).otherwise(F.col("record")))
+    return warc_audit.audit(left, right).withColumnRenamed("id", "page_id")
+
+
+@_register("op4_huffman_ids")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return huffman.stored_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=1)
+
+
+@_register("op5_pairwise_quality")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pairwise_quality.score(docs, pairwise_quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@_register("op6_license_scan")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+CONTAINED_SQL = f"""
+WITH s AS (
+  SELECT src, id, [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] || ' ' || w[i + 4]
+                   FOR i IN range(1, len(w) - 3)] AS sh
+  FROM (SELECT src, id, list_filter(string_split_regex(lower(text), '[^\\p{{L}}\\p{{M}}\\p{{N}}]+'), x -> x <> '') AS w
+        FROM (SELECT 'd' AS src, doc_id AS id, text FROM documents WHERE doc_id IS NOT NULL
+              UNION ALL SELECT 'b', item_id, text FROM benchmark WHERE item_id IS NOT NULL))
+  WHERE len(w) >= 5),
+e AS (SELECT DISTINCT src, id, unnest(sh) AS g FROM s),
+items AS (SELECT id, g, count(*) OVER (PARTITION BY id) AS m FROM e WHERE src = 'b')
+SELECT e.id AS doc_id, items.id AS item_id, count(*) AS n_found, max(m) AS n_item, count(*) / max(m) AS containment
+FROM e JOIN items USING (g) WHERE src = 'd' GROUP BY e.id, items.id HAVING count(*) / max(m) >= {decontaminate.THRESHOLD}
+"""
+
+
+@_register("op7_contained_items", CONTAINED_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @_register("op8_near_dup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicate_classes(table(spark, sf_dir, "documents"))
+
+
+@_register("op9_substring_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.passage_report(table(spark, sf_dir, "documents"))
+
+
+@_register("op10_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
