@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from autoprice.llm import near_dup, quality_rules
+from autoprice.llm import decontaminate, near_dup, packing, quality_rules, substring_dedup
 from autoprice.llm.common import materialise, table
+from autoprice.llm.queries import vocabulary
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,7 +24,23 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return near_dup.keep_one_per_class(docs)
 
 
-STAGES = [("quality_rules", quality), ("near_dup", near_duplicates)]
+def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the words of passages that stand earlier in the corpus."""
+    return substring_dedup.remove_passages(docs)
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no benchmark item."""
+    return decontaminate.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' pieces, placed in sequences of 2048 ids."""
+    return packing.packed_documents(docs, vocabulary("byte_bpe_50k.json"))
+
+
+STAGES = [("quality_rules", quality), ("near_dup", near_duplicates), ("substring_dedup", passages),
+          ("decontamination", benchmark_leaks), ("packing", packed)]
 
 #: Consistent sampling, tokenizing and packing have no SQL form; tests/llm compare with brute force.
 ORACLE_SQL = None
