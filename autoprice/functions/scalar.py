@@ -33,9 +33,19 @@ def uniform(*parts: str | Column | int) -> Column:
     return F.conv(h, 16, 10).cast("bigint") / F.lit(TWO_POW_32)
 
 
-def uniform_sql(expr: str) -> str:
-    """The DuckDB / ANSI form of :func:`uniform` for an already concatenated text expression."""
-    return f"(cast(('0x' || substr(md5({expr}), 1, 8)) as bigint) / {TWO_POW_32!r})"
+DRAWS_PER_HASH = 4
+
+
+def uniforms(*parts: str | Column | int) -> list[Column]:
+    """Four uniforms in [0, 1) from the four 32-bit parts of one md5('p1-p2-...')."""
+    h = F.md5(hash_text(*parts))
+    return [F.conv(F.substring(h, 1 + 8 * j, 8), 16, 10).cast("bigint") / F.lit(TWO_POW_32) for j in range(DRAWS_PER_HASH)]
+
+
+def uniform_sql(expr: str, nth: str = "0") -> str:
+    """The DuckDB / ANSI form of :func:`uniform` (of the ``nth`` of :func:`uniforms`) for an already
+    concatenated text expression."""
+    return f"(cast(('0x' || substr(md5({expr}), 1 + 8 * ({nth}), 8)) as bigint) / {TWO_POW_32!r})"
 
 
 # Poisson(1) inverse CDF thresholds: P(X <= k) for k = 0..12 (computed from the definition).
@@ -55,15 +65,6 @@ def poisson1_sql(u: str) -> str:
     return f"(case {branches} else {len(POISSON1_CDF)} end)"
 
 
-def safe_div(num: Column, den: Column) -> Column:
-    """num / den, NULL when den is 0 or NULL (ANSI-safe)."""
-    return F.try_divide(num, den)
-
-
-def round6(c: Column) -> Column:
-    return F.round(c, 6)
-
-
 def label_map(c: str | Column, mapping: dict[str, int]) -> Column:
     """Literal dictionary lookup with no default (unmapped -> NULL), X5 / P8."""
     expr = None

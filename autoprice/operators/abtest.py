@@ -3,7 +3,7 @@
 Bootstrap metrics depend on the resample only through the confusion counts, so two forms exist:
 
 * ``bootstrap_confusion_poisson``: every row gets a Poisson(1) weight per iteration from md5 of
-  (key, iteration, seed); weighted counts per iteration come from one aggregate (the generated
+  (key, block of four iterations, seed); weighted counts per iteration come from one aggregate (the generated
   iteration rows never leave the task: partial aggregation folds them to B rows per task). It is
   reproducible in any engine, which is why the SQL oracle can check it.
 * ``bootstrap_confusion_multinomial``: the data is aggregated once to the <= 2^(1+m) cells of
@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from autoprice.functions.scalar import poisson1, uniform
+from autoprice.functions.scalar import DRAWS_PER_HASH, poisson1, uniforms
 from autoprice.functions.stats import p_value
 from autoprice.operators.metrics import classification_from_counts
 
@@ -52,15 +52,17 @@ def bootstrap_confusion_poisson(df: DataFrame, key: str, y: str, preds: dict[str
 
     The same weight multiplies every model's row, so the resamples are paired by construction.
     """
-    d = df.select(key, y, *preds.values(),
-                  F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(iterations - 1).cast("bigint"))).alias("iteration"))
-    w = poisson1(uniform(key, "iteration", seed))
-    aggs = []
-    for m, c in preds.items():
-        yc, pc = F.col(y), F.col(c)
-        for name, a, b in (("tp", 1, 1), ("fp", 0, 1), ("fn", 1, 0), ("tn", 0, 0)):
-            aggs.append(F.sum(F.when((yc == a) & (pc == b), w).otherwise(0)).cast("bigint").alias(f"{m}_{name}"))
-    wide = d.groupBy("iteration").agg(*aggs)
+    blocks = -(-iterations // DRAWS_PER_HASH)
+    d = df.select(key, y, *preds.values(), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("block"))
+    # one hash per row and block of four iterations; the weights are columns, so the block is one row
+    d = d.select("*", *[poisson1(u).alias(f"_w{k}") for k, u in enumerate(uniforms(key, "block", seed))])
+    cells = (("tp", 1, 1), ("fp", 0, 1), ("fn", 1, 0), ("tn", 0, 0))
+    aggs = [F.sum(F.when((F.col(y) == a) & (F.col(c) == b), F.col(f"_w{k}")).otherwise(0)).cast("bigint").alias(f"{m}_{name}_{k}")
+            for k in range(DRAWS_PER_HASH) for m, c in preds.items() for name, a, b in cells]
+    names = [f"{m}_{name}" for m in preds for name, _, _ in cells]
+    four = F.array(*[F.struct((F.col("block") * DRAWS_PER_HASH + k).alias("iteration"), *[F.col(f"{n}_{k}").alias(n) for n in names])
+                     for k in range(DRAWS_PER_HASH)])
+    wide = d.groupBy("block").agg(*aggs).select(F.inline(four)).where(F.col("iteration") < iterations)
     return _long_models(wide, list(preds))
 
 
@@ -161,10 +163,24 @@ def validation_status(improvement):
     return text, code
 
 
+LEAST_ROWS, LEAST_SIDE = 6, 2
+
+
 def validation_skip(n_total, n_old, n_new):
     """SKIPPED when fewer than 6 rows, or fewer than 2 rows on a side after the split."""
-    return (F.when(n_total < 6, STATUS_SKIPPED)
-             .when((n_new < 2) | (n_old < 2), STATUS_SKIPPED_SPLIT))
+    return (F.when(n_total < LEAST_ROWS, STATUS_SKIPPED)
+             .when((n_new < LEAST_SIDE) | (n_old < LEAST_SIDE), STATUS_SKIPPED_SPLIT))
+
+
+def validated(row: DataFrame) -> DataFrame:
+    """B7-B9 on a row with r2_a, r2_b, n_old and n_new: improvement_pct, validation_status and
+    validation_code. A skipped validation has improvement 0 and code 0."""
+    skip = validation_skip(F.col("n_old") + F.col("n_new"), F.col("n_old"), F.col("n_new"))
+    row = row.withColumn("_skip", skip).withColumn(
+        "improvement_pct", F.when(F.col("_skip").isNotNull(), F.lit(0.0)).otherwise(improvement_pct(F.col("r2_a"), F.col("r2_b"))))
+    text, code = validation_status(F.col("improvement_pct"))
+    return (row.withColumn("validation_status", F.coalesce("_skip", text))
+            .withColumn("validation_code", F.when(F.col("_skip").isNotNull(), F.lit(0)).otherwise(code)).drop("_skip"))
 
 
 def quality_grade(r2, cv_r2, status):

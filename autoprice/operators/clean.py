@@ -75,6 +75,15 @@ def dedupe_rows(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
     return df.dropDuplicates(subset) if subset else df.dropDuplicates()
 
 
+COPIES = "_copies"
+
+
+def dedupe_rows_counted(df: DataFrame) -> DataFrame:
+    """D1 with the number of copies of each distinct row in ``_copies`` (their sum less the rows is what was
+    removed), from the same aggregate."""
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(COPIES))
+
+
 # ---------------------------------------------------------------- statistics for imputation
 
 def fill_statistics(df: DataFrame, mean_cols: list[str] = (), mode_cols: list[str] = ()) -> DataFrame:
@@ -242,10 +251,6 @@ def clean_cars_median(df: DataFrame, as_of_year: int | None = None) -> DataFrame
 
 # ---------------------------------------------------------------- transactions (J3) and temperatures
 
-TX_COLUMNS = ["tranaction_id", "tx_datetime", "customer_id", "terminal_id", "tx_amount",
-              "tx_time_seconds", "tx_time_days", "tx_fraud", "tx_fraud_scenario"]
-
-
 def clean_transactions(df: DataFrame, id_cols: tuple[str, ...] = ("terminal_id", "customer_id"),
                        datetime_col: str = "tx_datetime") -> DataFrame:
     """J3 without the I/O: D1 -> F5 -> P6 (``tx_date``). Profiles A2/A3 run on ``dedupe_rows(df)``."""

@@ -1,8 +1,8 @@
 """Feature encoders.
 
-Label and one-hot encoding use Spark ML's ``StringIndexer`` / ``OneHotEncoder``: fitting is one
-distributed value count, and only the dictionary (bounded by the number of categories, which is the
-model itself) reaches the driver. Standard scaling needs the *population* standard deviation with
+Label dictionaries are tables that join (free text can have any number of values). One-hot encoding uses
+Spark ML's ``StringIndexer`` / ``OneHotEncoder``: a column per category, so only columns with few
+categories come into question, and their dictionary (the model itself) reaches the driver. Standard scaling needs the *population* standard deviation with
 ``std = 0 -> 1`` (Spark ML's scaler uses the sample one), so it is fitted by one aggregate job whose
 single row is applied as literals.
 """
@@ -22,18 +22,27 @@ def select_features(df: DataFrame, features: list[str], target: str | None = Non
     return df.select(*cols)
 
 
-def fit_label_encoders(df: DataFrame, cols: list[str]):
-    """E1 fit: sorted distinct values -> 0..k-1 per column (NULLs get k, like an extra class).
-    One multi-column indexer: every column's dictionary comes from the same scan."""
-    return StringIndexer(inputCols=list(cols), outputCols=[f"{c}_code" for c in cols], stringOrderType="alphabetAsc",
-                         handleInvalid="keep").fit(df)
+def fit_label_encoders(df: DataFrame, cols: list[str]) -> dict[str, tuple[DataFrame, int]]:
+    """E1 fit: per column a table (value, code) of its sorted distinct values with codes 0..k-1, and k.
+    The dictionaries are tables (a free-text column can have as many values as rows)."""
+    from autoprice.operators.ranking import global_index
+    out = {}
+    for c in cols:
+        values = df.select(F.col(c).alias("value")).where(F.col(c).isNotNull()).distinct()
+        out[c] = global_index(values, ["value"], "code", with_count=True)
+    return out
 
 
 def label_encode(df: DataFrame, cols: list[str], model=None) -> DataFrame:
-    """Append ``<c>_code`` integer columns."""
+    """Append ``<c>_code`` integer columns; NULL and unseen values get k, like an extra class."""
     model = model or fit_label_encoders(df, cols)
-    out = model.transform(df)
-    return out.select(*df.columns, *[F.col(f"{c}_code").cast("int").alias(f"{c}_code") for c in cols])
+    out = df
+    for c in cols:
+        values, k = model[c]
+        known = values.select(F.col("value").alias("_value"), F.col("code").cast("int").alias("_code"))
+        out = out.join(known, F.col(c) == F.col("_value"), "left") \
+                 .withColumn(f"{c}_code", F.coalesce("_code", F.lit(k))).drop("_value", "_code")
+    return out.select(*df.columns, *[f"{c}_code" for c in cols])
 
 
 def fit_one_hot(df: DataFrame, cols: list[str]):
@@ -92,9 +101,10 @@ def char_counts_long(df: DataFrame, key: str = "page_id", url: str = "url") -> D
               .groupBy(key, "ch").agg(F.count(F.lit(1)).alias("cnt")))
 
 
-def fit_char_vectorizer(df: DataFrame, url: str = "url"):
-    """E4 fit: vocabulary of characters seen in training (unknown characters ignored later)."""
-    return CountVectorizer(inputCol="_chars", outputCol="features", minDF=1.0).fit(df.select(url_chars(url).alias("_chars")))
+def fit_char_vectorizer(df: DataFrame, url: str = "url", vocabulary: int = 1 << 18):
+    """E4 fit: vocabulary of characters seen in training (unknown characters ignored later), at most
+    ``vocabulary`` (Spark's default; there are fewer Unicode characters in use)."""
+    return CountVectorizer(inputCol="_chars", outputCol="features", minDF=1.0, vocabSize=vocabulary).fit(df.select(url_chars(url).alias("_chars")))
 
 
 def char_count_vector(df: DataFrame, model, url: str = "url") -> DataFrame:

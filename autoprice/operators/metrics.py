@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 
 def regression_aggs(y: str, yhat: str) -> list[Column]:
+    """Aggregates over the rows where target and prediction are both known."""
     e = F.col(yhat) - F.col(y)
-    return [F.count(F.lit(1)).alias("n"), F.avg(F.abs(e)).alias("mae"), F.avg(e * e).alias("mse"),
-            F.var_pop(y).alias("_var_y")]
+    return [F.count(e).alias("n"), F.avg(F.abs(e)).alias("mae"), F.avg(e * e).alias("mse"),
+            F.var_pop(F.when(e.isNotNull(), F.col(y))).alias("_var_y")]
 
 
 def regression_from_aggs(small_r2: str = "null") -> list[Column]:

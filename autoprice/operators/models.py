@@ -4,42 +4,31 @@ Two families:
 
 * Spark ML estimators for the reference's forests and least squares (M1-M3, M5-M7): distributed
   training, ``PipelineModel`` persistence, ``CrossValidator`` for the search.
-* A one-variable least-squares *formula model* fitted from sufficient statistics
-  (n, sum x, sum y, sum xx, sum xy). It is a single aggregate, so cross-validation needs no refit
-  per fold: a fold's training statistics are the totals minus the fold's own. It backs the
-  SQL-checkable forms of the validation workflow (B6-B11, M4).
+* A one-variable least-squares *formula model* fitted by one aggregate over centred sums
+  (``regr_slope``), for all folds at once in cross-validation. It backs the SQL-checkable forms of the
+  validation workflow (B6-B11, M4).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from autoprice.operators.metrics import regression_aggs, regression_from_aggs
-from autoprice.operators.split import kfold_assign, split_time_ordered
+from autoprice.operators.split import kfold_assign, kfold_stratified, split_time_ordered
 
 
 # ------------------------------------------------------------------ formula model (least squares, one variable)
 
-def suff_stats(x: str, y: str) -> list[Column]:
-    xc, yc = F.col(x).cast("double"), F.col(y).cast("double")
-    return [F.count(F.lit(1)).alias("n"), F.sum(xc).alias("sx"), F.sum(yc).alias("sy"),
-            F.sum(xc * xc).alias("sxx"), F.sum(xc * yc).alias("sxy")]
-
-
-def ols_from_stats(n: Column, sx: Column, sy: Column, sxx: Column, sxy: Column) -> tuple[Column, Column]:
-    """Slope and intercept; a constant x gives slope 0 and the mean as intercept."""
-    den = n * sxx - sx * sx
-    slope = F.when(den == 0, F.lit(0.0)).otherwise((n * sxy - sx * sy) / den)
-    intercept = F.try_divide(sy - slope * sx, n)
-    return slope, intercept
-
-
 def ols_fit(df: DataFrame, x: str, y: str) -> DataFrame:
-    """One row: n, slope, intercept."""
-    s = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).agg(*suff_stats(x, y))
-    slope, intercept = ols_from_stats(*(F.col(c) for c in ("n", "sx", "sy", "sxx", "sxy")))
-    return s.select("n", slope.alias("slope"), intercept.alias("intercept"))
+    """One row: n, slope, intercept, over the rows where both are known. ``regr_slope`` works on centred
+    sums, so large values do not cancel. A constant x gives slope 0 and the mean as intercept."""
+    both = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    xc, yc = F.col(x).cast("double"), F.col(y).cast("double")
+    slope = F.coalesce(F.regr_slope(yc, xc), F.lit(0.0))
+    s = both.agg(F.count(F.lit(1)).alias("n"), slope.alias("slope"), F.avg(xc).alias("mx"), F.avg(yc).alias("my"))
+    return s.select("n", F.when(F.col("n") > 0, F.col("slope")).alias("slope"),
+                    (F.col("my") - F.col("slope") * F.col("mx")).alias("intercept"))
 
 
 def ols_predict(df: DataFrame, fit: DataFrame, x: str, out: str = "yhat") -> DataFrame:
@@ -70,43 +59,67 @@ def time_ab_metrics(df: DataFrame, order_key: str, x: str, y: str) -> DataFrame:
 
 
 def cross_validate_ols(df: DataFrame, key: str, x: str, y: str, k: int = 3) -> DataFrame:
-    """M4 for the formula model: contiguous k folds (O10); each fold is scored by the model fitted
-    on the other folds, whose statistics are totals minus the fold's. Returns per-fold R^2 plus
-    the mean and population standard deviation across folds."""
-    folds = kfold_assign(df.select(key, x, y), key, k)
-    per = folds.groupBy("fold").agg(*suff_stats(x, y))
-    tot = per.agg(*[F.sum(c).alias(f"t_{c}") for c in ("n", "sx", "sy", "sxx", "sxy")])
-    comp = per.withColumn("_t", tot.select(F.struct("*")).scalar())
-    slope, intercept = ols_from_stats(*(F.col("_t").getField(f"t_{c}") - F.col(c) for c in ("n", "sx", "sy", "sxx", "sxy")))
-    models = comp.select("fold", slope.alias("slope"), intercept.alias("intercept"))
+    """M4 for the formula model: contiguous k folds (O10) over the rows where x and y are known; each fold
+    is scored by the model fitted on the other folds. Returns per-fold R^2 and RMSE plus the mean and
+    population standard deviation of both across folds."""
+    folds = kfold_assign(df.select(key, x, y).where(F.col(x).isNotNull() & F.col(y).isNotNull()), key, k)
+    # every row trains the k - 1 models of the other folds: one aggregate, k rows
+    others = folds.select(x, y, F.explode(F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: i != F.col("fold"))).alias("fold"))
+    xc, yc = F.col(x).cast("double"), F.col(y).cast("double")
+    models = others.groupBy("fold").agg(F.coalesce(F.regr_slope(yc, xc), F.lit(0.0)).alias("slope"), F.avg(xc).alias("mx"),
+                                        F.avg(yc).alias("my")).withColumn("intercept", F.col("my") - F.col("slope") * F.col("mx"))
     # k rows (k is the fold count parameter): a bounded broadcast.
     scored = folds.join(F.broadcast(models), "fold").withColumn("yhat", F.col("intercept") + F.col("slope") * F.col(x))
-    r2 = scored.groupBy("fold").agg(*regression_aggs(y, "yhat")).select("fold", *regression_from_aggs("null"))
-    # k fold rows: gathered with their mean and population std in one aggregate, then unfolded
-    agg = r2.agg(F.collect_list(F.struct("fold", "r2")).alias("_f"), F.avg("r2").alias("cv_r2_mean"),
-                 F.stddev_pop("r2").alias("cv_r2_std"))
-    return agg.select(F.explode("_f").alias("f"), "cv_r2_mean", "cv_r2_std") \
-              .select("f.fold", "f.r2", "cv_r2_mean", "cv_r2_std")
+    per = scored.groupBy("fold").agg(*regression_aggs(y, "yhat")).select("fold", *regression_from_aggs("null"))
+    # k fold rows: gathered with their means and deviations in one aggregate, then unfolded
+    spread = [f(c).alias(f"cv_{c}_{n}") for c in ("r2", "rmse") for n, f in (("mean", F.avg), ("std", F.stddev_pop))]
+    agg = per.agg(F.collect_list(F.struct("fold", "r2", "rmse")).alias("_f"), *spread)
+    names = ["cv_r2_mean", "cv_r2_std", "cv_rmse_mean", "cv_rmse_std"]
+    return agg.select(F.explode("_f").alias("f"), *names).select("f.fold", "f.r2", "f.rmse", *names)
+
+
+def cross_validate(estimator, train: DataFrame, key: str, k: int = 3, label: str = "label") -> tuple | None:
+    """M4 for any estimator: contiguous folds over ``train``, one fit per fold; returns (mean R^2, its
+    deviation, mean RMSE, its deviation) over the folds, or None where there are too few rows.
+
+    Fewer than 2k rows fall back to two folds, fewer than four to none (O10).
+    """
+    folds = kfold_assign(train, key, k)
+    per = []
+    for f in sorted(r.fold for r in folds.select("fold").distinct().collect() if r.fold is not None):
+        model = estimator.fit(folds.where(F.col("fold") != f))
+        m = model.transform(folds.where(F.col("fold") == f)).agg(*regression_aggs(label, "prediction"))
+        per.append(m.select(*regression_from_aggs("null")).first())
+    if not per:
+        return None
+    r2, rmse = ([getattr(m, c) for m in per if getattr(m, c) is not None] for c in ("r2", "rmse"))
+    mean = lambda v: sum(v) / len(v) if v else None
+    std = lambda v: (sum((x - mean(v)) ** 2 for x in v) / len(v)) ** 0.5 if v else None
+    return mean(r2), std(r2), mean(rmse), std(rmse)
 
 
 # ------------------------------------------------------------------ Spark ML estimators (M1-M3, M5-M7)
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Training makes many passes over its input; if the input arrives in fewer partitions than the
-    cluster has task slots (a single small file is one partition), spread it once with a round-robin
-    shuffle. Inputs that are already split (the normal case at scale) pass through untouched."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+#: Partitions of a training table. Forests draw their samples by partition, so this number is part of the
+#: model's definition: it does not follow the cluster or the layout of the input. Raise it with the data.
+TRAINING_PARTITIONS = 16
+
+
+def training_layout(df: DataFrame, key: str, partitions: int = TRAINING_PARTITIONS) -> DataFrame:
+    """The rows dealt by hash of ``key`` into a fixed number of partitions and sorted by it: the same
+    rows give the same partitions, and so the same model, however the input is split."""
+    return df.repartition(partitions, key).sortWithinPartitions(key)
 
 
 def rf_regressor(features: str = "features", label: str = "label", trees: int = 100, depth: int | None = 10,
-                 min_leaf: int = 1, seed: int = 42):
+                 min_leaf: int = 1, seed: int = 42, max_bins: int = 64):
     """M1: random forest regression with every feature considered at each split (scikit-learn's
-    default). An unbounded depth maps to Spark's maximum of 30."""
+    default). An unbounded depth maps to Spark's maximum of 30. ``max_bins`` bounds the split
+    candidates per feature and must be at least the categories of a categorical one."""
     from pyspark.ml.regression import RandomForestRegressor
     return RandomForestRegressor(featuresCol=features, labelCol=label, numTrees=trees,
                                  maxDepth=min(depth if depth is not None else 30, 30), minInstancesPerNode=min_leaf,
-                                 featureSubsetStrategy="all", seed=seed, maxBins=64)
+                                 featureSubsetStrategy="all", seed=seed, maxBins=max_bins)
 
 
 def linear_regression(features: str = "features", label: str = "label"):
@@ -122,10 +135,10 @@ def rf_classifier(features: str = "features", label: str = "label", trees: int =
                                   featureSubsetStrategy="sqrt", seed=seed)
 
 
-def random_search(estimator, train: DataFrame, grid: dict, draws: int = 30, folds: int = 3, seed: int = 42,
+def random_search(estimator, train: DataFrame, grid: dict, key: str, draws: int = 30, folds: int = 3, seed: int = 42,
                   label: str = "label", parallelism: int = 4):
     """M5: ``draws`` random points of the parameter grid (the whole grid when draws >= its size),
-    scored by F1 of class 1 with k-fold cross-validation, best refit on all training rows."""
+    scored by F1 of class 1 with k class-balanced folds (O11), best refit on all training rows."""
     import itertools
     import random
 
@@ -137,9 +150,9 @@ def random_search(estimator, train: DataFrame, grid: dict, draws: int = 30, fold
     chosen = points if draws >= len(points) else rnd.sample(points, draws)
     maps = [{getattr(estimator, k): v for k, v in zip(keys, p)} for p in chosen]
     ev = MulticlassClassificationEvaluator(labelCol=label, metricName="fMeasureByLabel", metricLabel=1.0)
-    cv = CrossValidator(estimator=estimator, estimatorParamMaps=maps, evaluator=ev, numFolds=folds, seed=seed,
+    cv = CrossValidator(estimator=estimator, estimatorParamMaps=maps, evaluator=ev, numFolds=folds, foldCol="fold",
                         parallelism=parallelism)
-    return cv.fit(train)
+    return cv.fit(training_layout(kfold_stratified(train, key, label, folds, seed), key))
 
 
 def batch_predict(model, df: DataFrame, out: str = "prediction") -> DataFrame:
@@ -154,10 +167,12 @@ def save_model(model, path: str) -> str:
 
 
 def load_model(path: str):
-    """M7: reload a ``PipelineModel``; a missing path raises ``FileNotFoundError``."""
-    import os
-
+    """M7: reload a ``PipelineModel``; a missing path (asked of the path's own file system) raises
+    ``FileNotFoundError``."""
     from pyspark.ml import PipelineModel
-    if "://" not in path and not os.path.exists(path):
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
         raise FileNotFoundError(f"no model at {path}")
     return PipelineModel.load(path)

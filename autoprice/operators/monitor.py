@@ -1,17 +1,20 @@
 """Monitoring over a prediction log, batch form.
 
-The dashboards' PromQL ranges become event-time windows over a log of (ts, ok, latency). Every
-operator is a window aggregate (sliding windows via ``window()``: each event is expanded into the
+The dashboards' PromQL ranges become event-time windows over a log of (ts, ok, latency). Plain counts
+are window aggregates (sliding windows via ``window()``: each event is expanded into the
 ``width / slide`` windows that contain it, then partially aggregated), so the same expressions also
-run on a stream (see ``autoprice.streaming.monitor``).
+run on a stream (see ``autoprice.streaming.monitor``). What needs more than a count per window (exact
+quantiles, counter rates) is first reduced to panes of one slide, and only the reduced panes are copied
+into the windows that contain them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from autoprice.operators.ranking import exact_quantiles
+from autoprice.session import ensure_checkpoint_dir
 
 # Default histogram bucket upper bounds of the Prometheus client library (seconds).
 DEFAULT_BUCKETS = [0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.5, 5.0, 7.5, 10.0]
@@ -22,11 +25,29 @@ def _seconds(spec: str) -> int:
     return int(n) * {"second": 1, "seconds": 1, "minute": 60, "minutes": 60, "hour": 3600, "hours": 3600}[unit]
 
 
-def windowed(df: DataFrame, ts: str = "ts", width: str = "5 minutes", slide: str = "1 minute") -> DataFrame:
-    """Rows tagged with every sliding window containing them (``window_start``, ``window_end``)."""
-    w = F.window(F.col(ts), width, slide)
-    return df.withColumn("_w", w).withColumn("window_start", F.col("_w.start")) \
-             .withColumn("window_end", F.col("_w.end")).drop("_w")
+def in_windows(panes: DataFrame, pane: str, width: str, slide: str) -> DataFrame:
+    """Rows of one-slide panes (``pane`` = start) copied into every window that contains their pane
+    (``window_start``, ``window_end``). The width must be a whole number of slides."""
+    n, rest = divmod(_seconds(width), _seconds(slide))
+    if rest:
+        raise ValueError(f"{width} is not a whole number of {slide}")
+    back = F.explode(F.array(*[F.col(pane) - F.expr(f"interval {i * _seconds(slide)} seconds") for i in range(n)]))
+    d = panes.select(*[c for c in panes.columns if c != pane], back.alias("window_start"))
+    return d.withColumn("window_end", F.col("window_start") + F.expr(f"interval {_seconds(width)} seconds"))
+
+
+def latency_panes(df: DataFrame, latency: str, ts: str, slide: str, by: list[str] | None = None) -> DataFrame:
+    """Counts ``_c`` per (pane, latency value ``_v``) and the given columns: one scan of the log, checkpointed."""
+    ensure_checkpoint_dir(df.sparkSession)
+    pane = F.window(F.col(ts), slide, slide).getField("start").alias("_pane")
+    d = df.where(F.col(ts).isNotNull()).groupBy(pane, *(by or []), F.col(latency).cast("double").alias("_v"))
+    return d.agg(F.count(F.lit(1)).alias("_c")).checkpoint(eager=True)
+
+
+def pane_quantile(panes: DataFrame, q: float, out: str, width: str, slide: str) -> DataFrame:
+    known = panes.where(F.col("_v").isNotNull() & ~F.isnan("_v")).select("_pane", "_v", "_c")
+    w = in_windows(known, "_pane", width, slide)
+    return exact_quantiles(w, "_v", [q], [out], ["window_start", "window_end"], histogram=w)
 
 
 def window_agg(df: DataFrame, aggs: list[Column], ts: str = "ts", width: str = "5 minutes",
@@ -50,17 +71,9 @@ def error_count(df: DataFrame, ok: str = "ok", ts="ts", width="5 minutes", slide
 
 def latency_quantile(df: DataFrame, latency: str = "latency_s", q: float = 0.95, ts="ts", width="5 minutes",
                      slide="1 minute", out: str = "latency_p95") -> DataFrame:
-    """Exact latency quantile per window (skew-safe ``exact_quantiles`` over window keys)."""
-    w = windowed(df.select(ts, latency), ts, width, slide)
-    return exact_quantiles(w, latency, [q], [out], ["window_start", "window_end"])
-
-
-def latency_quantile_approx(df: DataFrame, latency: str = "latency_s", q: float = 0.95, ts="ts",
-                            width="5 minutes", slide="1 minute", accuracy: int = 10000,
-                            out: str = "latency_p95") -> DataFrame:
-    """W4, bounded-memory form (streams, or when an approximation is enough): a
-    ``percentile_approx`` sketch per window."""
-    return window_agg(df, [F.percentile_approx(latency, q, accuracy).alias(out)], ts, width, slide)
+    """Exact latency quantile per window, from one histogram per pane. (A stream takes the bounded
+    ``percentile_approx`` instead, see ``autoprice.streaming.monitor``.)"""
+    return pane_quantile(latency_panes(df, latency, ts, slide), q, out, width, slide)
 
 
 def histogram_buckets(df: DataFrame, latency: str = "latency_s", buckets: list[float] = DEFAULT_BUCKETS, ts="ts",
@@ -103,13 +116,40 @@ def request_rate(df: DataFrame, ts="ts", width="5 minutes", slide="1 minute") ->
     return window_agg(df, [(F.count(F.lit(1)) / F.lit(float(secs))).alias("rate_per_s")], ts, width, slide)
 
 
+def counter_increase(df: DataFrame, counter: str, keys: list[str], ts="ts", width="5 minutes", slide="1 minute",
+                     out: str = "increase") -> DataFrame:
+    """Increase of a cumulative counter per key and window: the sum of the steps between neighbouring
+    samples in the window; after a reset (a smaller value) the step is the new value.
+
+    Samples are reduced to panes first (at most the samples of one key in one slide are ordered
+    together), so a window adds up at most ``width / slide`` pane rows and the steps between them.
+    """
+    step = lambda before, now: F.when(now < before, now).otherwise(now - before)
+    pane = F.window(F.col(ts), slide, slide).getField("start")
+    d = df.where(F.col(counter).isNotNull() & F.col(ts).isNotNull()) \
+          .select(*keys, F.col(ts).alias("_t"), F.col(counter).cast("double").alias("_x"), pane.alias("_pane"))
+    inside = Window.partitionBy(*keys, "_pane").orderBy("_t", "_x")
+    d = d.withColumn("_step", step(F.lag("_x").over(inside), F.col("_x")))
+    at = F.struct("_t", "_x")
+    panes = d.groupBy(*keys, "_pane").agg(F.coalesce(F.sum("_step"), F.lit(0.0)).alias("_within"),
+                                          F.min(at).alias("_first"), F.max(at).alias("_last"))
+    along = Window.partitionBy(*keys).orderBy("_pane")  # one row per pane of a key
+    panes = panes.select(*keys, "_pane", "_within", F.lag("_pane").over(along).alias("_before"),
+                         step(F.lag("_last").over(along)["_x"], F.col("_first")["_x"]).alias("_across"))
+    w = in_windows(panes, "_pane", width, slide)
+    both = F.col("_within") + F.when(F.col("_before") >= F.col("window_start"), F.col("_across")).otherwise(F.lit(0.0))
+    return w.groupBy("window_start", "window_end", *keys).agg(F.sum(both).alias(out))
+
+
 def cpu_percent(df: DataFrame, usage: str = "cpu_seconds", limit: str = "cpu_limit", pod: str = "pod", ts="ts",
                 width="5 minutes", slide="1 minute") -> DataFrame:
-    """``sum(rate(usage)) / sum(limit) * 100``: usage seconds per window second over the summed
-    limits of the pods seen in the window (two aggregation levels: per pod, then per window)."""
+    """``sum(rate(usage)) / sum(limit) * 100``: the increase of each pod's cumulative counter per
+    second over the summed limits of the pods seen in the window."""
     secs = float(_seconds(width))
-    per_pod = window_agg(df, [F.sum(usage).alias("_u"), F.max(limit).alias("_l")], ts, width, slide, keys=[pod])
-    per_win = per_pod.groupBy("window_start", "window_end").agg(F.sum("_u").alias("_u"), F.sum("_l").alias("_l"))
+    used = counter_increase(df, usage, [pod], ts, width, slide, "_u")
+    limits = window_agg(df.where(F.col(usage).isNotNull()), [F.max(limit).alias("_l")], ts, width, slide, keys=[pod])
+    both = used.join(limits, ["window_start", "window_end", pod])
+    per_win = both.groupBy("window_start", "window_end").agg(F.sum("_u").alias("_u"), F.sum("_l").alias("_l"))
     return per_win.select("window_start", "window_end", (F.try_divide(F.col("_u") / secs, F.col("_l")) * 100).alias("cpu_pct"))
 
 

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from autoprice.operators.ranking import exact_quantiles, quantiles, value_histogram
+from autoprice.operators.ranking import exact_quantiles, quantiles
+from autoprice.session import ensure_checkpoint_dir
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -27,14 +28,6 @@ def _steps_from_counts(row: DataFrame, names: list[str]) -> DataFrame:
     return row.select(F.explode(rows).alias("s")).select("s.*")
 
 
-def step_counts(steps: list[tuple[str, DataFrame]]) -> DataFrame:
-    """A1: rows after each named step, with the rows removed by that step. Each count is one
-    aggregate (a scalar subquery referenced once); the removed counts are column arithmetic."""
-    spark = steps[0][1].sparkSession
-    row = spark.range(1).select(*[d.agg(F.count(F.lit(1))).scalar().alias(f"c{i}") for i, (_, d) in enumerate(steps)])
-    return _steps_from_counts(row, [n for n, _ in steps])
-
-
 def filter_chain_counts(df: DataFrame, steps: list[tuple[str, Column]], extra: list[tuple[str, DataFrame]] = ()
                         ) -> DataFrame:
     """A1 for a chain of filters: rows before any filter and after each cumulative filter, all from
@@ -70,32 +63,24 @@ def zero_profile(df: DataFrame, cols: list[str] = ("terminal_id", "customer_id")
 
 
 def describe_numeric(df: DataFrame, cols: list[str] | None = None, approx: bool = False) -> DataFrame:
-    """A4: count, mean, sample std, min, 25/50/75 % (exact unless ``approx``) and max per numeric column.
+    """A4: count, mean, sample std, min, 25/50/75 % (exact unless ``approx``) and max per numeric column; a
+    column without any value has count 0.
 
-    One scan of the input: the columns are unpivoted into a (column, value, count) histogram
-    (checkpointed), and every statistic is computed from it -- the standard deviation in two passes
-    over the histogram (mean first, then squared deviations) for accuracy.
+    The moments of all columns come from one aggregate of one row, unpivoted; only the quartiles need the
+    (column, value) histogram.
     """
     cols = cols or numeric_columns(df)
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column_name string, count bigint, mean double, std double, min double, "
+                                                   "q25 double, q50 double, q75 double, max double")
+    known = lambda c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
+    stats = (("count", F.count), ("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max))
+    row = df.agg(*[F.struct(F.lit(c).alias("column_name"), *[f(known(c)).alias(n) for n, f in stats]).alias(f"_{i}")
+                   for i, c in enumerate(cols)])
+    basic = row.select(F.explode(F.array(*[f"_{i}" for i in range(len(cols))])).alias("s")).select("s.*")
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v"))
                                          for c in cols])).alias("kv")).select("kv.*")
-    if approx:
-        basic = long.groupBy("column_name").agg(
-            F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
-            F.min("v").alias("min"), F.max("v").alias("max"))
-        qs = quantiles(long, "v", [0.25, 0.5, 0.75], ["q25", "q50", "q75"], ["column_name"], approx=True)
-    else:
-        hist = value_histogram(long, "v", ["column_name"])
-        first = hist.groupBy("column_name").agg(
-            F.sum("_c").alias("count"), (F.sum(F.col("_v") * F.col("_c")) / F.sum("_c")).alias("mean"),
-            F.min("_v").alias("min"), F.max("_v").alias("max"))
-        # one row per described column: bounded by the column list
-        dev = hist.join(F.broadcast(first.select("column_name", F.col("mean").alias("_m"))), "column_name") \
-                  .groupBy("column_name").agg(F.sum(F.col("_c") * (F.col("_v") - F.col("_m")) ** 2).alias("_ss"))
-        basic = first.join(dev, "column_name").select(
-            "column_name", "count", "mean", F.sqrt(F.try_divide(F.col("_ss"), F.col("count") - 1)).alias("std"),
-            "min", "max")
-        qs = exact_quantiles(long, "v", [0.25, 0.5, 0.75], ["q25", "q50", "q75"], ["column_name"], histogram=hist)
+    qs = quantiles(long, "v", [0.25, 0.5, 0.75], ["q25", "q50", "q75"], ["column_name"], approx)
     return basic.join(qs, "column_name", "left").select("column_name", "count", "mean", "std", "min",
                                                         "q25", "q50", "q75", "max")
 
@@ -108,11 +93,22 @@ def target_stats(df: DataFrame, target: str = "selling_price") -> DataFrame:
 
 def group_median(df: DataFrame, key: str, value: str, out: str = "median_value", approx: bool = False) -> DataFrame:
     """Median per group; NULL keys dropped, NULL values skipped, an all-NULL group is kept
-    with a NULL median; ordered by key. Exact and skew-safe (see ``exact_quantiles``) unless ``approx``."""
+    with a NULL median; ordered by key. Exact and skew-safe (see ``exact_quantiles``) unless ``approx``.
+
+    One scan: the (group, value) histogram keeps the count of NULL values, so it also knows every group."""
     d = df.where(F.col(key).isNotNull())
-    groups = d.select(key).distinct()
-    med = quantiles(d, value, [0.5], [out], [key], approx)
-    return groups.join(med, key, "left").orderBy(key)
+    if approx:
+        return quantile_or_null(d, key, value, out)
+    ensure_checkpoint_dir(df.sparkSession)
+    v = F.col(value).cast("double")
+    hist = d.groupBy(key, F.when(~F.isnan(v), v).alias("_v")).agg(F.count(F.lit(1)).alias("_c")).checkpoint()
+    med = exact_quantiles(d, value, [0.5], [out], [key], histogram=hist.where(F.col("_v").isNotNull()))
+    return hist.select(key).distinct().join(med, key, "left").orderBy(key)
+
+
+def quantile_or_null(df: DataFrame, key: str, value: str, out: str, accuracy: int = 10000) -> DataFrame:
+    v = F.col(value).cast("double")
+    return df.groupBy(key).agg(F.percentile_approx(F.when(~F.isnan(v), v), 0.5, accuracy).alias(out)).orderBy(key)
 
 
 def value_counts_top(df: DataFrame, col: str, k: int = 1) -> DataFrame:

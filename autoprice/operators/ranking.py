@@ -19,17 +19,6 @@ from pyspark.sql import functions as F
 from autoprice.session import ensure_checkpoint_dir
 
 
-# Largest table (rows) broadcast after counting it; beyond it the join stays a shuffle join.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when a count proves it holds at most ``max_rows`` rows (callers pass
-    small, already materialised tables, so the count is cheap); otherwise return it unchanged."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def _num_partitions(df: DataFrame, override: int | None = None) -> int:
     if override:
         return override
@@ -43,9 +32,11 @@ def global_index(df: DataFrame, order_cols: list[str], index_col: str = "_idx",
 
     Plan: range shuffle on the order key -> local sort -> tag (partition id, local position)
     -> checkpoint. Per-partition row counts (one number per partition, so bounded by the
-    partition count, not the data) give each partition's offset, applied as a literal array.
+    partition count, not the data) give each partition's offset, joined back as a table of one row
+    per partition.
     """
-    ensure_checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     n = _num_partitions(df, num_partitions)
     mid = F.monotonically_increasing_id()
     tagged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
@@ -55,16 +46,17 @@ def global_index(df: DataFrame, order_cols: list[str], index_col: str = "_idx",
     counts = dict(tagged.groupBy("_pid").count().collect())
     offsets, acc = [], 0
     for p in range(max(counts.keys(), default=-1) + 1):
-        offsets.append(acc)
+        offsets.append((p, acc))
         acc += counts.get(p, 0)
-    off = F.array(*[F.lit(o) for o in offsets]) if offsets else F.array(F.lit(0))
-    out = tagged.withColumn(index_col, (F.element_at(off, F.col("_pid") + 1) + F.col("_local")).cast("bigint")) \
-                .drop("_pid", "_local")
+    # one row per partition: the broadcast is bounded by the partition count
+    off = F.broadcast(spark.createDataFrame(offsets, "_pid int, _off bigint"))
+    out = tagged.join(off, "_pid").withColumn(index_col, F.col("_off") + F.col("_local")).select(*df.columns, index_col)
     return (out, acc) if with_count else out
 
 
 # Up to this many distinct (group, value) pairs, Spark's weighted ``percentile`` runs directly on the
-# histogram: its per-group buffer can never exceed the (counted) histogram size.
+# histogram: its per-group buffer can never exceed the (counted) histogram size. The range path beyond
+# interpolates by the same formula, so the results are equal to the last bit on either side.
 SMALL_HISTOGRAM_ROWS = 1_000_000
 
 
@@ -88,12 +80,6 @@ def _range_partition(hist: DataFrame, g: list[str], num_partitions: int | None)
     return part.checkpoint(eager=True)
 
 
-def value_histogram(df: DataFrame, value: str | Column, group_cols: list[str] | None = None) -> DataFrame:
-    """Public form of the checkpointed (group, ``_v``, ``_c``) histogram, for callers that derive
-    several statistics from one scan of the input."""
-    return _histogram(df, value, list(group_cols or []))
-
-
 def exact_quantiles(df: DataFrame, value: str | Column, qs: list[float], names: list[str],
                     group_cols: list[str] | None = None, num_partitions: int | None = None,
                     small_rows: int = SMALL_HISTOGRAM_ROWS, histogram: DataFrame | None = None) -> DataFrame:
@@ -114,7 +100,7 @@ def exact_quantiles(df: DataFrame, value: str | Column, qs: list[float], names:
     """
     g = list(group_cols or [])
     hist = histogram if histogram is not None else _histogram(df, value, g)
-    if hist.limit(small_rows + 1).count() <= small_rows:
+    if hist.count() <= small_rows:
         aggs = [F.percentile("_v", float(q), F.col("_c")).alias(n) for q, n in zip(qs, names)]
         return hist.groupBy(*g).agg(*aggs) if g else hist.agg(*aggs)
     part = _range_partition(hist, g, num_partitions)
@@ -134,7 +120,6 @@ def exact_quantiles(df: DataFrame, value: str | Column, qs: list[float], names:
     for c in inside[1:]:
         hit = hit | c
     targets = offs.where(hit).select(F.col("_pid").alias("_tpid"), *[F.col(c).alias(f"_t_{c}") for c in g], "_off", "_n")
-    targets = broadcast_if_small(targets)
     cond = part["_pid"] == targets["_tpid"]
     for c in g:
         cond = cond & part[c].eqNullSafe(targets[f"_t_{c}"])
@@ -150,13 +135,17 @@ def exact_quantiles(df: DataFrame, value: str | Column, qs: list[float], names:
         picks.append(cov_lo | cov_hi)
         aggs += [F.max(F.when(cov_lo, F.col("_v"))).alias(f"_lo_{name}"),
                  F.max(F.when(cov_hi, F.col("_v"))).alias(f"_hi_{name}"),
-                 F.max(pos - lo).alias(f"_fr_{name}")]
+                 F.max(pos).alias(f"_pos_{name}")]
     keep = picks[0]
     for p in picks[1:]:
         keep = keep | p
     sel = rh.where(keep).groupBy(*g).agg(*aggs) if g else rh.where(keep).agg(*aggs)
-    outs = [(F.col(f"_lo_{nm}") + F.col(f"_fr_{nm}") * (F.col(f"_hi_{nm}") - F.col(f"_lo_{nm}"))).alias(nm)
-            for nm in names]
+    # the interpolation formula of Spark's ``percentile``
+    outs = []
+    for nm in names:
+        lo, hi, pos = F.col(f"_lo_{nm}"), F.col(f"_hi_{nm}"), F.col(f"_pos_{nm}")
+        between = (F.ceil(pos) - pos) * lo + (pos - F.floor(pos)) * hi
+        outs.append(F.when(lo == hi, lo).otherwise(between).alias(nm))
     return sel.select(*g, *outs)
 
 

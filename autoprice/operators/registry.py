@@ -15,13 +15,16 @@ from pyspark.sql import functions as F
 STAGE_ALIAS = {"Production": "champion", "Staging": "challenger", "Archived": "archived"}
 
 
-def run_log_rows(df: DataFrame, run_id, params: dict[str, str], metrics: dict[str, str]) -> DataFrame:
-    """G1: long rows (run_id, kind, name, value) for the given param / metric columns."""
+def run_log_rows(df: DataFrame, run_id, params: dict[str, str], metrics: dict[str, str], logged_at=None) -> DataFrame:
+    """G1: long rows (run_id, kind, name, value, logged_at) for the given param / metric columns.
+    ``logged_at`` is a timestamp column (default: the time of the query)."""
     parts = [F.struct(F.lit("param").alias("kind"), F.lit(k).alias("name"), F.col(c).cast("string").alias("value"))
              for k, c in params.items()]
     parts += [F.struct(F.lit("metric").alias("kind"), F.lit(k).alias("name"), F.col(c).cast("string").alias("value"))
               for k, c in metrics.items()]
-    return df.select(run_id.alias("run_id"), F.explode(F.array(*parts)).alias("kv")).select("run_id", "kv.*")
+    at = F.current_timestamp() if logged_at is None else logged_at
+    return df.select(run_id.alias("run_id"), at.cast("timestamp").alias("logged_at"), F.explode(F.array(*parts)).alias("kv")) \
+             .select("run_id", "kv.*", "logged_at")
 
 
 def log_run(rows: DataFrame, path: str, partition_col: str | None = None) -> None:
@@ -32,6 +35,53 @@ def log_run(rows: DataFrame, path: str, partition_col: str | None = None) -> Non
     w.parquet(path)
 
 
+VERSION_SCHEMA = "model_name string, version bigint, run_id string, description string, stage string, registered_at timestamp"
+ALIAS_SCHEMA = "model_name string, alias string, version bigint, set_at timestamp"
+
+
+def _table(spark, path: str, schema: str) -> DataFrame:
+    """An append-only table; one that was never written is empty."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+    return spark.read.schema(schema).parquet(path) if there else spark.createDataFrame([], schema)
+
+
+def register_version(spark, path: str, model: str, run_id: str, description: str = "", stage: str = "None",
+                     at: str | None = None) -> int:
+    """Append the next version of ``model`` with its run and description; returns its number."""
+    known = _table(spark, f"{path}/versions", VERSION_SCHEMA).where(F.col("model_name") == model)
+    version = int(known.agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]) + 1
+    when = F.lit(at).cast("timestamp") if at else F.current_timestamp()
+    spark.range(1).select(F.lit(model).alias("model_name"), F.lit(version).cast("bigint").alias("version"),
+                          F.lit(run_id).alias("run_id"), F.lit(description).alias("description"), F.lit(stage).alias("stage"),
+                          when.alias("registered_at")).write.mode("append").parquet(f"{path}/versions")
+    return version
+
+
+def set_alias(spark, path: str, model: str, alias: str, version: int, at: str | None = None) -> None:
+    """Append an alias event; the latest event of (model, alias) holds."""
+    when = F.lit(at).cast("timestamp") if at else F.current_timestamp()
+    spark.range(1).select(F.lit(model).alias("model_name"), F.lit(alias).alias("alias"),
+                          F.lit(version).cast("bigint").alias("version"), when.alias("set_at")) \
+         .write.mode("append").parquet(f"{path}/aliases")
+
+
+def alias_events(spark, path: str) -> DataFrame:
+    return _table(spark, f"{path}/aliases", ALIAS_SCHEMA)
+
+
+def versions(spark, path: str) -> DataFrame:
+    """The versions with their current stage: the champion's latest event makes it Production, and
+    versions that held it before are Archived (G5); others keep the stage they were registered with."""
+    v = _table(spark, f"{path}/versions", VERSION_SCHEMA)
+    held = alias_events(spark, path).where("alias = 'champion'")
+    now = held.groupBy("model_name").agg(F.max_by("version", F.struct("set_at", "version")).alias("_now"))
+    once = held.select("model_name", "version", F.lit(True).alias("_once")).distinct()
+    d = v.join(now, "model_name", "left").join(once, ["model_name", "version"], "left")
+    stage = F.when(F.col("version") == F.col("_now"), "Production").when(F.col("_once"), "Archived").otherwise(F.col("stage"))
+    return d.withColumn("stage", stage).select(v.columns)
+
+
 def next_versions(versions: DataFrame, model: str = "model_name", version: str = "version") -> DataFrame:
     """The next integer version per model (1 for a model without versions)."""
     return versions.groupBy(model).agg((F.coalesce(F.max(version), F.lit(0)) + 1).alias("next_version"))
@@ -52,14 +102,16 @@ def stage_alias(stage) -> F.Column:
     return expr
 
 
-def resolve_alias(versions: DataFrame, alias: str, tag_stage: str | None = None, model: str = "model_name",
-                  version: str = "version", stage: str = "stage") -> DataFrame:
-    """Per model, the latest version carrying ``alias``; if none, the latest version whose stage
-    tag is ``tag_stage``; else NULL."""
-    by_alias = F.max(F.when(stage_alias(F.col(stage)) == alias, F.col(version)))
-    by_tag = F.max(F.when(F.col(stage) == tag_stage, F.col(version))) if tag_stage else F.lit(None)
-    return versions.groupBy(model).agg(F.lit(alias).alias("alias"),
-                                       F.coalesce(by_alias, by_tag).alias("resolved_version"))
+def resolve_alias(versions: DataFrame, events: DataFrame, alias: str, tag_stage: str | None = None,
+                  model: str = "model_name", version: str = "version", stage: str = "stage") -> DataFrame:
+    """Per model, the version of the latest event of ``alias`` (``events``: model, alias, version,
+    set_at); without one, the latest version whose stage tag is ``tag_stage``; else NULL."""
+    latest = (events.where(F.col("alias") == alias).groupBy(F.col(model).alias("_m"))
+              .agg(F.max_by(version, F.struct("set_at", version)).alias("_v")))
+    by_tag = F.max(F.when(F.col(stage) == tag_stage, F.col(version))) if tag_stage else F.lit(None).cast("bigint")
+    tagged = versions.groupBy(model).agg(by_tag.alias("_tag"))
+    return tagged.join(latest, F.col(model) == F.col("_m"), "left").select(
+        model, F.lit(alias).alias("alias"), F.coalesce("_v", "_tag").alias("resolved_version"))
 
 
 def promote(versions: DataFrame, winners: DataFrame, model: str = "model_name", version: str = "version",
@@ -80,6 +132,8 @@ def promote(versions: DataFrame, winners: DataFrame, model: str = "model_name",
 
 
 def compare_runs(run_log: DataFrame, metrics: list[str]) -> DataFrame:
-    """One row per run, one column per metric (pivot with an explicit value list)."""
+    """One row per run, one column per metric (pivot with an explicit value list); of a metric that
+    was logged more than once, the latest value holds."""
     m = run_log.where(F.col("kind") == "metric")
-    return m.groupBy("run_id").pivot("name", metrics).agg(F.first(F.col("value").cast("double")))
+    return m.groupBy("run_id").pivot("name", metrics).agg(
+        F.max_by(F.col("value").cast("double"), F.struct("logged_at", F.col("value").cast("double"))))

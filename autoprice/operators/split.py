@@ -118,8 +118,7 @@ def kfold_stratified(df: DataFrame, key: str, label: str, k: int = 3, seed: int
     index, so even a label holding most rows is ranked by many tasks.
     """
     idx = global_index(df.withColumn("_u", draw(key, seed, "cv")), [label, "_u", key], "_i")
-    first = idx.groupBy(label).agg(F.min("_i").alias("_first"))
-    # one row per class label: bounded by the number of classes, so broadcast explicitly
-    first = F.broadcast(first)
-    out = idx.join(first, idx[label].eqNullSafe(first[label]), "inner").drop(first[label])
+    # one row per label; whether it is broadcast is left to AQE's measured size
+    first = idx.groupBy(F.col(label).alias("_l")).agg(F.min("_i").alias("_first"))
+    out = idx.join(first, F.col(label).eqNullSafe(F.col("_l")), "inner").drop("_l")
     return out.withColumn(fold_col, ((F.col("_i") - F.col("_first")) % k).cast("int")).drop("_u", "_i", "_first")

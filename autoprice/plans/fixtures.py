@@ -60,16 +60,21 @@ from cars_raw where selling_price is not null and present_price is not null""",
 select event_id, ts, user_id as source, event_type <> 'error' as ok, value / 100 as latency_s
 from events""",
     "cpu_samples": """
-select ts, user_id % 5 as pod, value / 1000 as cpu_seconds, 2.5e-1 as cpu_limit
+select ts, user_id % 5 as pod, 2.5e-1 as cpu_limit,
+  ((extract(hour from ts) % 2) * 3600 + extract(minute from ts) * 60 + cast(floor(extract(second from ts)) as int))
+    * (user_id % 5 + 1) / 1024e0 as cpu_seconds
 from events""",
     "requests": """
 select car_id,
-  case when car_id % 61 = 0 then 'not json' else
-    '{"Year":' || cast(year as string) || ',"Present_Price":' || cast(cast(floor(present_price) as bigint) as string) || ',"Kms_Driven":' || cast(kms_driven as string)
-    || ',"Owner":' || cast(owner as string) || ',"Car_Age":5,"Kms_Per_Year":1000,"Fuel_Type":"' || fuel_type || '","Seller_Type":"' || seller_type
-    || '","Transmission":"' || transmission || '"}' end as value
-from cars_raw
-where year is not null and present_price is not null and kms_driven is not null and fuel_type is not null and seller_type is not null""",
+  case when car_id % 61 = 0 then 'not json' else '{'
+    || case when year is null then '' else '"Year":' || cast(year as string) || ',' end
+    || case when present_price is null then '' else '"Present_Price":' || cast(cast(floor(present_price) as bigint) as string) || ',' end
+    || case when kms_driven is null then '' else '"Kms_Driven":' || cast(kms_driven as string) || ',' end
+    || '"Owner":' || cast(owner as string) || ',"Car_Age":5,"Kms_Per_Year":1000,'
+    || case when fuel_type is null then '' else '"Fuel_Type":"' || fuel_type || '",' end
+    || case when seller_type is null then '' else '"Seller_Type":"' || seller_type || '",' end
+    || '"Transmission":"' || transmission || '"}' end as value
+from cars_raw""",
     "alerts": """
 select event_id, case when event_id % 3 = 0 then '{"title":"t' || cast(event_id as string) || '","state":"alerting"}'
   else '{"message":"m' || cast(event_id as string) || '"}' end as value

@@ -9,7 +9,7 @@ INVENTORY = {
     "S1": ["read_csv_header"], "S2": ["read_csv_positional"], "S3": ["read_parquet"], "S4": ["read_dated_csv"],
     "S5": ["stream_json_source"], "S6": ["parse_request"], "S7": ["read_text_dir"], "S8": ["synthetic_cars"],
     "K1": ["write_parquet"], "K2": ["write_partitioned"], "K3": ["write_csv"], "K4": ["write_stats"],
-    "K5": ["stream_json_sink"], "K6": ["write_report"], "K7": ["merge_text"], "K8": ["unique_output_key"],
+    "K5": ["stream_json_sink"], "K6": ["write_report", "write_final_report"], "K7": ["merge_text"], "K8": ["unique_output_key"],
     "P1": ["car_age"], "P2": ["kms_per_year_plus1"], "P3": ["kms_per_year_guarded"], "P4": ["kms_per_year_rounded"],
     "P5": ["cast_types"], "P6": ["derive_tx_date"], "P7": ["derive_year"], "P8": ["label_map"],
     "P9": ["select_features", "drop_columns"], "P10": ["rename_positional"], "P11": ["new_columns"],
@@ -41,9 +41,10 @@ INVENTORY = {
     "B11": ["final_summary"],
     "G1": ["log_run"], "G2": ["register_version"], "G3": ["latest_version"], "G4": ["resolve_alias"],
     "G5": ["promote"], "G6": ["compare_runs"],
-    "J1": ["clean_cars_median"], "J2": ["clean_cars_mean"], "J3": ["clean_transactions"], "J4": ["temperature_etl"],
+    "J1": ["clean_cars_median"], "J2": ["clean_cars_mean", "clean_cars_job"], "J3": ["clean_transactions", "clean_transactions_job"],
+    "J4": ["temperature_etl", "temperature_job"],
     "J5": ["train_price"], "J6": ["train_validate_price"], "J7": ["train_url", "ab_test_url"],
-    "J8": ["train_linear_baseline"], "J9": ["stream_score_cars"], "J10": ["monitor_predictions", "stream_health"],
+    "J8": ["train_linear_baseline"], "J9": ["stream_score_cars", "stream_score_fitted"], "J10": ["monitor_predictions", "stream_health"],
 }
 
 

@@ -10,54 +10,93 @@ from autoprice.operators import monitor as MO
 
 
 def monitor_predictions(log: DataFrame, width: str = "5 minutes", slide: str = "1 minute") -> DataFrame:
-    """Requests, errors + status, exact p95 latency and rate per sliding window, joined on the
-    window key (each input is one aggregate over the same windows)."""
-    counts = MO.window_agg(log, [F.count(F.lit(1)).alias("requests"), F.count_if(~F.col("ok")).alias("errors")],
-                           "ts", width, slide)
+    """Requests, errors + status, exact p95 latency and rate per sliding window, all from one
+    checkpointed histogram (pane, outcome, latency): the log is scanned once."""
+    panes = MO.latency_panes(log, "latency_s", "ts", slide, ["ok"])
+    n = F.col("_c")
+    per_pane = panes.groupBy("_pane").agg(F.sum(n).alias("n"), F.sum(F.when(~F.col("ok"), n).otherwise(0)).alias("bad"))
+    counts = MO.in_windows(per_pane, "_pane", width, slide).groupBy("window_start", "window_end") \
+        .agg(F.sum("n").alias("requests"), F.sum("bad").alias("errors"))
     secs = float(MO._seconds(width))
     counts = counts.withColumn("status", F.when(F.col("errors") >= 1, "red").otherwise("green")) \
                    .withColumn("rate_per_s", F.col("requests") / secs)
-    p95 = MO.latency_quantile(log, "latency_s", 0.95, "ts", width, slide)
+    p95 = MO.pane_quantile(panes, 0.95, "latency_p95", width, slide)
     return counts.join(p95, ["window_start", "window_end"], "left")
 
 
 # ------------------------------------------------------------------ model jobs
 
+# The feature columns of the price models and the label mapping of the URL model.
 PRICE_NUMERIC = ["year", "present_price", "kms_driven", "owner", "car_age", "kms_per_year"]
 PRICE_CATEGORICAL = ["fuel_type", "seller_type", "transmission"]
+NAME_CATEGORICAL = ["car_name", *PRICE_CATEGORICAL]
+URL_LABELS = {"bad": 1, "good": 0}
+# The search grid (minimum samples per split has no Spark counterpart and is dropped; "no
+# feature limit" maps to "all").
+URL_GRID = {"numTrees": [30, 40], "maxDepth": [8, 10], "minInstancesPerNode": [1, 2],
+            "featureSubsetStrategy": ["sqrt", "log2", "all"]}
 
 
-def price_pipeline(trees: int = 50, depth: int = 8, seed: int = 42, scale: bool = True):
-    """E2 + E3 + E5 + M1 as one Spark ML pipeline: one-hot categoricals, standardised numerics,
-    assembled, random-forest regression on ``selling_price``."""
+def price_pipeline(train: DataFrame, trees: int = 50, depth: int = 8, seed: int = 42, scale: bool = True):
+    """E2 + E3 + E5 + M1 as one Spark ML pipeline: one-hot categoricals, standardised numerics (mean and
+    population standard deviation of ``train``, a zero deviation replaced by 1), assembled, random-forest
+    regression on ``selling_price``."""
     from pyspark.ml import Pipeline
-    from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+    from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 
     from autoprice.operators.models import rf_regressor
-    idx = [StringIndexer(inputCols=PRICE_CATEGORICAL, outputCols=[f"{c}_idx" for c in PRICE_CATEGORICAL],
-                         stringOrderType="alphabetAsc", handleInvalid="keep")]
+    idx = StringIndexer(inputCols=PRICE_CATEGORICAL, outputCols=[f"{c}_idx" for c in PRICE_CATEGORICAL],
+                        stringOrderType="alphabetAsc", handleInvalid="keep")
     ohe = OneHotEncoder(inputCols=[f"{c}_idx" for c in PRICE_CATEGORICAL],
                         outputCols=[f"{c}_ohe" for c in PRICE_CATEGORICAL], dropLast=True)
-    num = VectorAssembler(inputCols=PRICE_NUMERIC, outputCol="_num", handleInvalid="error")
-    # population std like scikit-learn's scaler is only a rescaling for trees; keep Spark's here
-    sc = StandardScaler(inputCol="_num", outputCol="_num_z", withMean=True, withStd=True) if scale else None
-    asm = VectorAssembler(inputCols=["_num_z" if scale else "_num", *[f"{c}_ohe" for c in PRICE_CATEGORICAL]],
-                          outputCol="features")
-    rf = rf_regressor("features", "selling_price", trees, depth, 1, seed)
-    return Pipeline(stages=[*idx, ohe, num, *([sc] if sc else []), asm, rf])
+    numeric, scaler = PRICE_NUMERIC, []
+    if scale:
+        # one row of statistics; persisted as literals of a SQL stage
+        st = train.agg(*[F.avg(c).alias(f"m_{c}") for c in PRICE_NUMERIC],
+                       *[F.stddev_pop(c).alias(f"s_{c}") for c in PRICE_NUMERIC]).first()
+        z = [f"(cast({c} as double) - {float(st[f'm_{c}'] or 0)!r}D) / {float(st[f's_{c}'] or 1)!r}D as {c}_z" for c in PRICE_NUMERIC]
+        scaler, numeric = [SQLTransformer(statement=f"SELECT *, {', '.join(z)} FROM __THIS__")], [f"{c}_z" for c in PRICE_NUMERIC]
+    asm = VectorAssembler(inputCols=[*numeric, *[f"{c}_ohe" for c in PRICE_CATEGORICAL]], outputCol="features",
+                          handleInvalid="error")
+    return Pipeline(stages=[idx, ohe, *scaler, asm, rf_regressor("features", "selling_price", trees, depth, 1, seed)])
+
+
+def fit_price(clean: DataFrame, key: str = "car_id", trees: int = 50, depth: int = 8, seed: int = 42):
+    """The price pipeline fitted on ``clean``, laid out by key for training."""
+    from autoprice.operators.models import training_layout
+    train = training_layout(clean, key)
+    return price_pipeline(train, trees, depth, seed).fit(train)
+
+
+def record_model(spark, registry: str, model: str, run_id: str, params: dict, metrics: DataFrame, description: str) -> int:
+    """G1 + G2 + G4 + G5: append the run's parameters and known metrics (Q4) to the run log, register the next
+    version and make it the champion (earlier champions count as archived). Returns the version."""
+    from autoprice.operators import registry as RG
+    values = {k: str(v) for k, v in params.items()}
+    row = metrics.select([F.col(c).cast("string").alias(c) for c in metrics.columns])
+    rows = row.select("*", *[F.lit(v).alias(f"param_{k}") for k, v in values.items()])
+    log = RG.run_log_rows(rows, F.lit(run_id), {k: f"param_{k}" for k in values}, {c: c for c in metrics.columns})
+    RG.log_run(log.where(F.col("value").isNotNull()), f"{registry}/runs")
+    version = RG.register_version(spark, registry, model, run_id, description)
+    RG.set_alias(spark, registry, model, "champion", version)
+    return version
 
 
 def train_price(clean: DataFrame, key: str = "car_id", test_frac: float = 0.2, seed: int = 42,
-                trees: int = 50, depth: int = 8):
-    """Split (O5) -> pipeline fit on train (E2, E3, M1) -> Q1 on test. Returns (model, metrics, scored)."""
+                trees: int = 50, depth: int = 8, registry: str | None = None, run_id: str = "run-0001"):
+    """Split (O5) -> pipeline fit on train (E2, E3, M1) -> Q1 on test (-> G1, G2, G5 with a ``registry``
+    folder). Returns (model, metrics, scored)."""
     from autoprice.operators.metrics import regression_metrics
-    from autoprice.operators.models import ensure_parallelism
     from autoprice.operators.split import split_random
     sp = split_random(clean, key, test_frac, seed)
     train, test = sp.where("split = 'train'"), sp.where("split = 'test'")
-    model = price_pipeline(trees, depth, seed).fit(ensure_parallelism(train))
+    model = fit_price(train, key, trees, depth, seed)
     scored = model.transform(test).select(key, F.col("selling_price").alias("y"), F.col("prediction").alias("yhat"))
-    return model, regression_metrics(scored, "y", "yhat"), scored
+    metrics = regression_metrics(scored, "y", "yhat")
+    if registry:
+        record_model(clean.sparkSession, registry, "price", run_id, {"trees": trees, "depth": depth, "seed": seed},
+                     metrics, f"price forest, {trees} trees of depth {depth}")
+    return model, metrics, scored
 
 
 def train_linear_baseline(raw: DataFrame, key: str = "car_id", test_frac: float = 0.2, seed: int = 42):
@@ -78,92 +117,95 @@ def train_linear_baseline(raw: DataFrame, key: str = "car_id", test_frac: float
     return model, regression_metrics(scored, "y", "yhat").select("n", "rmse")
 
 
-def _rf_features(df: DataFrame, cats: list[str], nums: list[str]):
-    """E1 + P9 + E5: alphabetical label codes for the categoricals, assembled with the numerics."""
-    from autoprice.operators.features import assemble_features, label_encode
-    enc = label_encode(df, cats)
-    return assemble_features(enc, nums + [f"{c}_code" for c in cats])
-
-
 def train_validate_price(clean: DataFrame, spark, key: str = "car_id", run_id: str = "run-0001", trees: int = 50,
-                         depth: int = 8, seed: int = 42, cv_folds: int = 3, report_path: str | None = None):
-    """E1 -> P9 -> O6 -> M1 -> Q1 -> M4 -> E6 -> B6..B11 (-> K6).
-
-    Returns (summary row, top-3 feature importances, A/B metrics rows)."""
-    from pyspark.ml.evaluation import RegressionEvaluator
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+                         depth: int = 8, seed: int = 42, cv_folds: int = 3, report_path: str | None = None,
+                         registry: str | None = None):
+    """E1 -> P9 -> O6 -> M1 -> Q1 -> M4 -> E6 -> B6..B11 (-> G1, G2, K6).
 
+    Cross-validation falls back to two folds, then to none, where rows are few; the A/B validation is
+    decided from the row counts (B9) before any forest is fitted for it, and a skipped one has improvement
+    0. Returns (summary row, top-3 feature importances, A/B metrics rows)."""
     from autoprice.operators import abtest as AB
-    from autoprice.operators.features import assembled_names, feature_importance
+    from autoprice.operators.features import assemble_features, assembled_names, feature_importance, label_encode
     from autoprice.operators.metrics import regression_aggs, regression_from_aggs
-    from autoprice.operators.models import rf_regressor
-    from autoprice.operators.split import kfold_assign, split_small_guarded, split_time_ordered
-    cats = ["car_name", "fuel_type", "seller_type", "transmission"]
-    nums = ["year", "present_price", "kms_driven", "owner", "car_age", "kms_per_year"]
-    from autoprice.operators.models import ensure_parallelism
-    feats = ensure_parallelism(_rf_features(clean, cats, nums).select(key, "features", F.col("selling_price").alias("label")))
+    from autoprice.operators.models import cross_validate, rf_regressor, training_layout
+    from autoprice.operators.split import split_small_guarded, split_time_ordered
+    enc = label_encode(clean, NAME_CATEGORICAL)
+    feats = assemble_features(enc, PRICE_NUMERIC + [f"{c}_code" for c in NAME_CATEGORICAL]) \
+        .select(key, "features", F.col("selling_price").alias("label"))
     names = assembled_names(feats)
+    feats = training_layout(feats, key).checkpoint()
     sp = split_small_guarded(feats, key, seed)
+    fit = lambda d: rf.fit(training_layout(d, key))
     train, test = sp.where("split = 'train'"), sp.where("split = 'test'")
     rf = rf_regressor("features", "label", trees, depth, 1, seed)
-    model = rf.fit(train)
-    m = model.transform(test).agg(*regression_aggs("label", "prediction")).select(*regression_from_aggs("null"))
-    # M4: contiguous folds over the training rows, fitted and scored by Spark's CrossValidator
-    folds = kfold_assign(train, key, cv_folds)
-    ev = RegressionEvaluator(labelCol="label", predictionCol="prediction", metricName="r2")
-    cv = CrossValidator(estimator=rf, estimatorParamMaps=ParamGridBuilder().build(), evaluator=ev,
-                        foldCol="fold", parallelism=cv_folds).fit(folds)
-    cv_mean = float(cv.avgMetrics[0])
+    model = fit(train)
+    m = model.transform(test).agg(*regression_aggs("label", "prediction")).select(*regression_from_aggs("null")).first()
+    cv = cross_validate(rf, training_layout(train, key), key, cv_folds) or (None,) * 4
     importances = feature_importance(spark, model, names, 3)
-    # B6 with the forest
-    seg = split_time_ordered(feats, key)
+    # B9 from the counts alone, then B6 with the forest
+    seg = split_time_ordered(feats, key).checkpoint()
+    size = {r.segment: r["count"] for r in seg.groupBy("segment").count().collect()}
+    n_old, n_b = size.get("old", 0), size.get("new_test", 0)
+    n_new = size.get("new_train", 0) + n_b
+    ab_schema = "model string, n_test bigint, r2 double, mae double, rmse double"
     ab_rows = []
-    for name, tr, te in (("A", seg.where("segment = 'old'"), seg.where("segment <> 'old'")),
-                         ("B", seg.where("segment <> 'new_test'"), seg.where("segment = 'new_test'"))):
-        mdl = rf.fit(tr)
-        r = mdl.transform(te).agg(*regression_aggs("label", "prediction")).select(*regression_from_aggs("zero"))
-        ab_rows.append(r.select(F.lit(name).alias("model"), F.col("n").alias("n_test"), "r2", "mae", "rmse"))
-    ab = ab_rows[0].unionByName(ab_rows[1])
-    a, b = (ab.where(F.col("model") == x).select(F.struct("*")).scalar() for x in ("A", "B"))
-    n_old = seg.where("segment = 'old'").agg(F.count(F.lit(1))).scalar()
-    row = m.select(F.col("r2"), F.lit(cv_mean).alias("cv_r2"), a.getField("r2").alias("r2_a"),
-                   b.getField("r2").alias("r2_b"), n_old.alias("n_old"), a.getField("n_test").alias("n_new"))
-    row = row.withColumn("improvement_pct", AB.improvement_pct(F.col("r2_a"), F.col("r2_b")))
-    text, _code = AB.validation_status(F.col("improvement_pct"))
-    skip = AB.validation_skip(F.col("n_old") + F.col("n_new"), F.col("n_old"), F.col("n_new"))
-    row = row.withColumn("validation_status", F.coalesce(skip, text))
+    skipped = n_old + n_new < AB.LEAST_ROWS or n_old < AB.LEAST_SIDE or n_new < AB.LEAST_SIDE
+    if not skipped:
+        for name, tr, te in (("A", seg.where("segment = 'old'"), seg.where("segment <> 'old'")),
+                             ("B", seg.where("segment <> 'new_test'"), seg.where("segment = 'new_test'"))):
+            r = fit(tr).transform(te).agg(*regression_aggs("label", "prediction")).select(*regression_from_aggs("zero")).first()
+            ab_rows.append((name, r.n, r.r2, r.mae, r.rmse))
+    ab = spark.createDataFrame(ab_rows, ab_schema)
+    of = {r[0]: r for r in ab_rows}
+    pick = lambda name, i: float(of[name][i]) if name in of and of[name][i] is not None else None
+    values = {"r2": m.r2, "mae": m.mae, "rmse": m.rmse, "cv_r2": cv[0], "cv_r2_std": cv[1], "cv_rmse": cv[2], "cv_rmse_std": cv[3],
+              **{f"{c}_{x.lower()}": pick(x, i) for x in "AB" for i, c in ((2, "r2"), (3, "mae"), (4, "rmse"))}}
+    row = spark.range(1).select(*[F.lit(v).cast("double").alias(c) for c, v in values.items()],
+                                *[F.lit(v).cast("bigint").alias(c) for c, v in (
+                                    ("n_old", n_old), ("n_new", n_new), ("n_test_b", n_b), ("n_features", len(names)))])
+    row = AB.validated(row)
     row = row.withColumn("quality", AB.quality_grade(F.col("r2"), F.col("cv_r2"), F.col("validation_status")))
     summary = AB.final_summary(row, run_id)
+    if registry:
+        record_model(spark, registry, "price-validated", run_id, {"trees": trees, "depth": depth, "cv_folds": cv_folds},
+                     row.select(*values, "improvement_pct"), "validated price forest")
     if report_path:
-        from autoprice.sources.sinks import write_report
-        write_report(row, report_path)
+        from autoprice.sources.sinks import write_final_report, write_report
+        write_report(row, report_path, run_id)
+        write_final_report(row, importances, f"{report_path.rstrip('/')}_final", run_id)
     return summary, importances, ab
 
 
+def url_features(pages: DataFrame, key: str = "page_id", test_frac: float = 0.3, seed: int = 42):
+    """P8 -> O5 -> E4: (train, test) with character counts, the train side laid out for training."""
+    from autoprice.functions.scalar import label_map
+    from autoprice.operators.features import char_count_vector, fit_char_vectorizer
+    from autoprice.operators.models import training_layout
+    from autoprice.operators.split import split_random
+    d = pages.withColumn("label", label_map("label", URL_LABELS).cast("double")).where(F.col("label").isNotNull())
+    sp = split_random(d, key, test_frac, seed, exact=True)
+    train, test = sp.where("split = 'train'"), sp.where("split = 'test'")
+    vec = fit_char_vectorizer(train, "url")
+    return training_layout(char_count_vector(train, vec, "url"), key), char_count_vector(test, vec, "url")
+
+
 def ab_test_url(pages: DataFrame, spark, key: str = "page_id", sample_frac: float = 1.0, test_frac: float = 0.3,
-                seed: int = 42, draws: int = 50, iterations: int = 100, alpha: float = 0.01):
+                seed: int = 42, draws: int = 50, iterations: int = 100, alpha: float = 0.01, registry: str | None = None,
+                run_id: str = "run-0001"):
     """O3 -> P8 -> O5 -> E4 -> M3 (champion) and M5 (candidate) -> Q2/Q3 -> B1/B2 (multinomial,
-    paired) -> B3/B4 -> B5. Returns (decision row, comparison rows, test metrics of both models)."""
-    from autoprice.functions.scalar import label_map
+    paired) -> B3/B4 -> B5 (-> G1, G2, G5: with a ``registry`` folder both runs are logged, and the candidate is
+    registered as the champion if the decision is to deploy it). Returns (decision row, comparison rows,
+    test metrics of both models)."""
     from autoprice.operators import abtest as AB
-    from autoprice.operators.features import char_count_vector, fit_char_vectorizer
+    from autoprice.operators import registry as RG
     from autoprice.operators.metrics import classification_metrics
     from autoprice.operators.models import random_search, rf_classifier
-    from autoprice.operators.split import sample_fraction, split_random
+    from autoprice.operators.split import sample_fraction
     d = sample_fraction(pages, key, sample_frac, seed, exact=True) if sample_frac < 1.0 else pages
-    d = d.withColumn("label", label_map("label", {"bad": 1, "good": 0}).cast("double")).where(F.col("label").isNotNull())
-    sp = split_random(d, key, test_frac, seed, exact=True)
-    train, test = sp.where("split = 'train'"), sp.where("split = 'test'")
-    vec = fit_char_vectorizer(train, "url")
-    from autoprice.operators.models import ensure_parallelism
-    train_v, test_v = ensure_parallelism(char_count_vector(train, vec, "url")), char_count_vector(test, vec, "url")
+    train_v, test_v = url_features(d, key, test_frac, seed)
     champion = rf_classifier("features", "label").fit(train_v)
-    est = rf_classifier("features", "label")
-    # The search grid (minimum samples per split has no Spark counterpart and is dropped;
-    # "no feature limit" maps to "all").
-    grid = {"numTrees": [30, 40], "maxDepth": [8, 10], "minInstancesPerNode": [1, 2],
-            "featureSubsetStrategy": ["sqrt", "log2", "all"]}
-    candidate = random_search(est, train_v, grid, draws, 3, seed).bestModel
+    candidate = random_search(rf_classifier("features", "label"), train_v, URL_GRID, key, draws, 3, seed).bestModel
     scored = champion.transform(test_v).select(key, F.col("label").cast("int").alias("y"),
                                                F.col("prediction").cast("int").alias("yhat_prod"))
     cand = candidate.transform(test_v).select(key, F.col("prediction").cast("int").alias("yhat_cand"))
@@ -173,7 +215,18 @@ def ab_test_url(pages: DataFrame, spark, key: str = "page_id", sample_frac: floa
         .unionByName(classification_metrics(scored, "y", "yhat_cand").select(F.lit("cand").alias("model"), "*"))
     boot = AB.bootstrap_confusion_multinomial(scored, "y", {"prod": "yhat_prod", "cand": "yhat_cand"}, iterations, seed)
     comp = AB.t_test(boot, "prod", "cand", ["f1", "precision"], alpha)
-    return AB.deploy_decision(comp), comp, metrics
+    decision = AB.deploy_decision(comp)
+    if registry:
+        decision = decision.checkpoint()
+        kept = ["precision", "recall", "f1", "auc"]
+        for m in ("prod", "cand"):
+            rows = metrics.where(F.col("model") == m).select(*kept).withColumn("candidate", F.lit(str(m == "cand")))
+            RG.log_run(RG.run_log_rows(rows, F.lit(f"{run_id}-{m}"), {"candidate": "candidate"}, {c: c for c in kept})
+                       .where(F.col("value").isNotNull()), f"{registry}/runs")
+        version = RG.register_version(spark, registry, "url", f"{run_id}-cand", "URL forest of the parameter search", "Staging")
+        if decision.first().decision == AB.DECISION_DEPLOY:
+            RG.set_alias(spark, registry, "url", "champion", version)
+    return decision, comp, metrics
 
 
 # ------------------------------------------------------------------ end-to-end runners with I/O
@@ -181,44 +234,55 @@ def ab_test_url(pages: DataFrame, spark, key: str = "page_id", sample_frac: floa
 def run_clean_cars(spark, input_path: str, output_path: str, rules: str = "mean", as_of_year: int | None = None,
                    infer: bool = False, processing_date: str | None = None) -> DataFrame:
     """J2 (``rules='mean'``, Spark rule set) or J1 (``'median'``, pandas rule set) as a job: header CSV
-    (S1) -> cleaning -> snappy Parquet (K1) + one-row run statistics beside it (K4). Returns the
-    statistics row. Input columns may use the reference's capitalised names."""
+    (S1, columns by name; the id is optional) -> cleaning -> snappy Parquet (K1) + one-row run statistics
+    beside it (K4). Returns the statistics row."""
     import datetime as _dt
 
     from autoprice.operators import clean as C
     from autoprice.sources import readers as RD
     from autoprice.sources import sinks as SK
-    raw = RD.read_csv_header(spark, input_path, schema=None if infer else RD.CAR_RAW_SCHEMA, infer=infer)
-    raw = raw.toDF(*[c.lower() for c in raw.columns])
+    raw = RD.read_csv_header(spark, input_path, infer=infer, required=RD.CAR_REQUIRED)
     cleaned = (C.clean_cars_mean if rules == "mean" else C.clean_cars_median)(raw, as_of_year)
     return SK.write_with_stats(raw, cleaned, output_path, processing_date or _dt.datetime.now().isoformat())
 
 
 def run_clean_transactions(spark, input_glob: str, output_path: str) -> DataFrame:
     """J3 as a job: headerless CSV files (S2) -> de-dup (D1) -> null / zero profiles (A2, A3) ->
-    zero-id filter (F5) -> ``tx_date`` (P6) -> date-partitioned Parquet (K2). Returns the profile
-    rows (computed from the de-duplicated rows, one aggregate each)."""
+    zero-id filter (F5) -> ``tx_date`` (P6) -> date-partitioned Parquet (K2).
+
+    Ragged lines go to ``<output>_rejected``. The de-duplicated rows are checkpointed once and profiled by one
+    aggregate. Returns (column_name, kind, count): ``null`` and ``zero`` per column, and for the whole input
+    ``input`` rows, ``rejected`` lines, ``duplicate`` rows removed."""
     from autoprice.operators import clean as C
     from autoprice.operators import profile as PR
+    from autoprice.session import ensure_checkpoint_dir
     from autoprice.sources import readers as RD
     from autoprice.sources import sinks as SK
-    raw = RD.read_csv_positional(spark, input_glob)
-    deduped = C.dedupe_rows(raw)
+    ensure_checkpoint_dir(spark)
+    good, bad = RD.split_corrupt(RD.read_csv_positional(spark, input_glob, corrupt=True))
+    rejected = f"{output_path.rstrip('/')}_rejected"
+    bad.select("value").write.mode("overwrite").text(rejected)
+    counted = C.dedupe_rows_counted(good).checkpoint()
+    deduped = counted.drop(C.COPIES)
+    n_rows, n_distinct = counted.agg(F.coalesce(F.sum(C.COPIES), F.lit(0)), F.count(F.lit(1))).first()
+    n_bad = spark.read.text(rejected).count()
     profiles = PR.null_profile(deduped).select("column_name", F.lit("null").alias("kind"),
                                                F.col("null_count").alias("count")) \
         .unionByName(PR.zero_profile(deduped).select("column_name", F.lit("zero").alias("kind"),
                                                      F.col("zero_count").alias("count")))
-    SK.write_partitioned(C.clean_transactions(raw), output_path, "tx_date")
-    return profiles
+    whole = spark.createDataFrame([("", "input", n_rows + n_bad), ("", "rejected", n_bad), ("", "duplicate", n_rows - n_distinct)],
+                                  "column_name string, kind string, count bigint")
+    kept = C.filter_zero_ids(deduped).withColumn("tx_date", C.derive_date("tx_datetime"))
+    SK.write_partitioned(kept, output_path, "tx_date")
+    return profiles.unionByName(whole)
 
 
 def run_temperature_etl(spark, input_path: str, output_path: str, min_year: int = 2000) -> DataFrame:
-    """J4 as a job: dated CSV (S4) -> year filter -> median per country -> CSV (K3)."""
+    """J4 as a job: dated CSV (S4, columns by name) -> year filter -> median per country -> CSV (K3)."""
     from autoprice.operators import clean as C
     from autoprice.sources import readers as RD
     from autoprice.sources import sinks as SK
-    raw = RD.read_dated_csv(spark, input_path, "dt string, average_temperature double, country string")
-    out = C.temperature_etl(raw, min_year)
+    out = C.temperature_etl(RD.read_dated_csv(spark, input_path), min_year)
     SK.write_csv(out, output_path)
     return out
 
@@ -237,7 +301,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--min-year", type=int, default=2000)
     ap.add_argument("--infer-schema", action="store_true")
     a = ap.parse_args(argv)
-    spark = get_spark(master=None)
+    spark = get_spark()
     if a.job == "clean-cars":
         run_clean_cars(spark, a.input, a.output, a.rules, a.as_of_year, a.infer_schema).show(truncate=False)
     elif a.job == "clean-transactions":

@@ -18,7 +18,7 @@ R6 = lambda c: F.round(F.col(c), 6).alias(c)
 B, SEED, ALPHA = 100, 42, 0.01
 PREDS = {"prod": "yhat_prod", "cand": "yhat_cand"}
 
-_W = poisson1_sql(uniform_sql("cast(doc_id as varchar) || '-' || cast(iteration as varchar) || '-42'"))
+_W = poisson1_sql(uniform_sql("cast(doc_id as varchar) || '-' || cast(iteration // 4 as varchar) || '-42'", "iteration % 4"))
 _BOOT = f"""
 , w as (select doc_id, y, yhat_prod, yhat_cand, unnest(range({B})) as iteration from preds),
 ww as (select *, {_W} as w from w),
@@ -73,9 +73,16 @@ def q_paired_bootstrap(spark, sf_dir):
                                       F.round(F.max(F.when(F.col("model") == "cand", F.col("f1"))), 6).alias("f1_cand"))
 
 
-@register("bootstrap_metrics_multinomial")
+@register("bootstrap_metrics_multinomial", with_views(f"""
+select i.iteration, m.model, (select count(*) from preds where y is not null and yhat_prod is not null and yhat_cand is not null) as n_drawn,
+  true as in_range from (select unnest(range({B})) as iteration) i, (select unnest(['prod', 'cand']) as model) m""", "preds"))
 def q_bootstrap_multinomial(spark, sf_dir):
-    return AB.bootstrap_confusion_multinomial(view(spark, sf_dir, "preds"), "y", PREDS, B, SEED)
+    """Every draw has as many rows as the data, and metrics between 0 and 1."""
+    b = AB.bootstrap_confusion_multinomial(view(spark, sf_dir, "preds"), "y", PREDS, B, SEED)
+    ok = F.lit(True)
+    for c in ("precision", "recall", "f1"):
+        ok = ok & F.col(c).between(0, 1)
+    return b.select("iteration", "model", (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("n_drawn"), ok.alias("in_range"))
 
 
 def _ttest(spark, sf_dir, with_p=False):
@@ -111,9 +118,13 @@ def q_deploy_decision(spark, sf_dir):
     return AB.deploy_decision(_ttest(spark, sf_dir, with_p=True))
 
 
-@register("t_test_pvalues")
+@register("t_test_pvalues", with_views(_TT + f"""
+select metric, round(t_statistic, 6) as t_statistic, dof, abs(t_statistic) > {_T_CRIT!r} as is_significant,
+  abs(t_statistic) > {_T_CRIT!r} as p_below_alpha from tt""", "preds"))
 def q_t_test_pvalues(spark, sf_dir):
-    return _ttest(spark, sf_dir, with_p=True)
+    """The p-value falls below the level exactly where t passes the critical value."""
+    t = _ttest(spark, sf_dir, with_p=True)
+    return t.select("metric", R6("t_statistic"), "dof", "is_significant", (F.col("p_value") < ALPHA).alias("p_below_alpha"))
 
 
 # ------------------------------------------------------------------ time-ordered A/B with the formula model
@@ -149,28 +160,23 @@ def q_time_ab(spark, sf_dir):
 
 
 _VAL = _AB + f""",
-v as (select (select r2 from ab where model = 'A') as r2_a, (select r2 from ab where model = 'B') as r2_b,
-  (select n_train from ab where model = 'A') as n_old, (select n_test from ab where model = 'A') as n_new),
-vi as (select *, case when r2_a = 0 then 0.0 else (r2_b - r2_a) / r2_a * 100 end as improvement_pct from v),
-vs as (select *, coalesce(case when n_old + n_new < 6 then '{AB.STATUS_SKIPPED}'
-                               when n_new < 2 or n_old < 2 then '{AB.STATUS_SKIPPED_SPLIT}' end,
-    case when improvement_pct > 5 then '{AB.STATUS_IMPROVED}' when improvement_pct > -5 then '{AB.STATUS_NO_DEGRADATION}'
-         else '{AB.STATUS_DEGRADED}' end) as validation_status,
-  case when improvement_pct > -5 then 1 else 0 end as status_code from vi)"""
+v as (select {", ".join(f"(select {c} from ab where model = '{m}') as {c}_{m.lower()}" for m in "AB" for c in ("r2", "mae", "rmse"))},
+  (select n_train from ab where model = 'A') as n_old, (select n_test from ab where model = 'A') as n_new,
+  (select n_test from ab where model = 'B') as n_test_b),
+sk as (select *, case when n_old + n_new < 6 then '{AB.STATUS_SKIPPED}'
+                      when n_new < 2 or n_old < 2 then '{AB.STATUS_SKIPPED_SPLIT}' end as skip from v),
+vi as (select *, case when skip is not null or r2_a = 0 then 0.0 else (r2_b - r2_a) / r2_a * 100 end as improvement_pct from sk),
+vs as (select *, coalesce(skip, case when improvement_pct > 5 then '{AB.STATUS_IMPROVED}'
+    when improvement_pct > -5 then '{AB.STATUS_NO_DEGRADATION}' else '{AB.STATUS_DEGRADED}' end) as validation_status,
+  case when skip is null and improvement_pct > -5 then 1 else 0 end as status_code from vi)"""
 
 
 def _validation(spark, sf_dir):
     ab = _time_ab(spark, sf_dir)
-    a = ab.where("model = 'A'").select(F.struct("*")).scalar()
-    b = ab.where("model = 'B'").select(F.struct("*")).scalar()
-    row = spark.range(1).select(a.alias("a"), b.alias("b")).select(
-        F.col("a.r2").alias("r2_a"), F.col("b.r2").alias("r2_b"), F.col("a.n_train").alias("n_old"),
-        F.col("a.n_test").alias("n_new"))
-    imp = AB.improvement_pct(F.col("r2_a"), F.col("r2_b"))
-    row = row.withColumn("improvement_pct", imp)
-    text, code = AB.validation_status(F.col("improvement_pct"))
-    skip = AB.validation_skip(F.col("n_old") + F.col("n_new"), F.col("n_old"), F.col("n_new"))
-    return row.withColumn("validation_status", F.coalesce(skip, text)).withColumn("status_code", code)
+    at = lambda m, c: F.max(F.when(F.col("model") == m, F.col(c)))
+    row = ab.agg(*[at(m, c).alias(f"{c}_{m.lower()}") for m in "AB" for c in ("r2", "mae", "rmse")],
+                 at("A", "n_train").alias("n_old"), at("A", "n_test").alias("n_new"), at("B", "n_test").alias("n_test_b"))
+    return AB.validated(row).withColumnRenamed("validation_code", "status_code")
 
 
 @register("improvement_pct", with_views(_VAL + """
@@ -208,18 +214,21 @@ cm as (select fold, (select n from tot) - n as n, (select sx from tot) - sx as s
 cs as (select fold, n, sx, sy, case when n * sxx - sx * sx = 0 then 0.0 else (n * sxy - sx * sy) / (n * sxx - sx * sx) end as slope from cm),
 mdl as (select fold, slope, (sy - slope * sx) / n as intercept from cs),
 sc as (select cp.fold, y, intercept + slope * x as yhat from cp join mdl on cp.fold = mdl.fold),
-fr as (select fold, n, mse, v, case when n < 2 then null when v = 0 then (case when mse = 0 then 1.0 else 0.0 end)
+fr as (select fold, n, sqrt(mse) as rmse, case when n < 2 then null when v = 0 then (case when mse = 0 then 1.0 else 0.0 end)
   else 1 - mse / v end as r2 from (select fold, count(*) as n, avg((yhat - y) * (yhat - y)) as mse, var_pop(y) as v
   from sc group by fold)),
-cv as (select fold, r2, avg(r2) over () as cv_r2_mean, stddev_pop(r2) over () as cv_r2_std from fr)"""
+cv as (select fold, r2, rmse, avg(r2) over () as cv_r2_mean, stddev_pop(r2) over () as cv_r2_std,
+  avg(rmse) over () as cv_rmse_mean, stddev_pop(rmse) over () as cv_rmse_std from fr)"""
+
+
+_CV_OUT = ["r2", "rmse", "cv_r2_mean", "cv_r2_std", "cv_rmse_mean", "cv_rmse_std"]
 
 
-@register("cross_validate", with_views(_CV + """
-select fold, round(r2, 6) as r2, round(cv_r2_mean, 6) as cv_r2_mean, round(cv_r2_std, 6) as cv_r2_std from cv""",
-    "scored"))
+@register("cross_validate", with_views(_CV + f"""
+select fold, {", ".join(f"round({c}, 6) as {c}" for c in _CV_OUT)} from cv""", "scored"))
 def q_cross_validate(spark, sf_dir):
     cv = MD.cross_validate_ols(view(spark, sf_dir, "scored").withColumnRenamed("yhat", "x"), "car_id", "x", "y", 3)
-    return cv.select("fold", R6("r2"), R6("cv_r2_mean"), R6("cv_r2_std"))
+    return cv.select("fold", *[R6(c) for c in _CV_OUT])
 
 
 _RUN = _VAL + "," + _CV.lstrip()[1:] + f""",
@@ -228,8 +237,9 @@ sp as (select x, y, case when {uniform_sql("cast(car_id as varchar) || '-s-42'")
 {_ols_sql('ft', "(select * from sp where split = 'train')")},
 te as (select y, (select intercept from ft_m) + (select slope from ft_m) * x as yhat from sp where split = 'test'),
 mt as ({reg_sql('te')}),
-run as (select (select r2 from mt) as r2, (select max(cv_r2_mean) from cv) as cv_r2,
-  (select validation_status from vs) as validation_status),
+run as (select (select r2 from mt) as r2, (select mae from mt) as mae, (select rmse from mt) as rmse,
+  (select max(cv_r2_mean) from cv) as cv_r2, (select max(cv_r2_std) from cv) as cv_r2_std, validation_status, improvement_pct,
+  n_old + n_new as n_total from vs),
 g as (select *, case when coalesce(r2 > 0.8, false) and coalesce(cv_r2 > 0.7, false) then '{AB.GRADE_EXCELLENT}'
   when coalesce(r2 > 0.6, false) and coalesce(cv_r2 > 0.5, false) then '{AB.GRADE_GOOD}'
   when coalesce(r2 > 0.4, false) then '{AB.GRADE_SATISFACTORY}' else '{AB.GRADE_LOW}' end
@@ -242,10 +252,11 @@ def _run_row(spark, sf_dir):
     sp = S.split_random(sc, "car_id", 0.2, seed=42)
     fit = MD.ols_fit(sp.where("split = 'train'"), "x", "y")
     test = MD.ols_predict(sp.where("split = 'test'"), fit, "x")
-    r2 = regression_metrics(test, "y", "yhat").select("r2").scalar()
-    cv = MD.cross_validate_ols(sc, "car_id", "x", "y", 3).agg(F.max("cv_r2_mean")).scalar()
-    status = _validation(spark, sf_dir).select("validation_status").scalar()
-    row = spark.range(1).select(r2.alias("r2"), cv.alias("cv_r2"), status.alias("validation_status"))
+    m = regression_metrics(test, "y", "yhat").select("r2", "mae", "rmse")
+    cv = MD.cross_validate_ols(sc, "car_id", "x", "y", 3).agg(F.max("cv_r2_mean").alias("cv_r2"), F.max("cv_r2_std").alias("cv_r2_std"))
+    v = _validation(spark, sf_dir).select("validation_status", "improvement_pct", (F.col("n_old") + F.col("n_new")).alias("n_total"))
+    one = lambda d: d.select(F.struct("*")).scalar()
+    row = spark.range(1).select(one(m).alias("m"), one(cv).alias("c"), one(v).alias("v")).select("m.*", "c.*", "v.*")
     return row.withColumn("quality", AB.quality_grade(F.col("r2"), F.col("cv_r2"), F.col("validation_status")))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from autoprice.operators import clean as C
 from autoprice.plans.fixtures import view, with_views
+from autoprice.sources.readers import TX_COLUMNS
 from autoprice.plans.registry import AS_OF_YEAR, register
 
 Y = AS_OF_YEAR
@@ -213,7 +214,7 @@ def q_filter_year(spark, sf_dir):
     return C.filter_year(view(spark, sf_dir, "cars_raw"), as_of_year=Y)
 
 
-TX_COLS = ", ".join(C.TX_COLUMNS)
+TX_COLS = ", ".join(TX_COLUMNS)
 
 
 @register("filter_zero_ids", with_views(
@@ -370,12 +371,14 @@ def q_scalar_conditional(spark, sf_dir):
 @register("scalar_json", with_views("""
 select car_id, case when json_valid(value) then json_extract_string(value, '$.Fuel_Type') end as fuel_type,
   case when json_valid(value) then try_cast(json_extract(value, '$.Year') as integer) end as year,
-  case when json_valid(value) then to_json({'fuel': json_extract_string(value, '$.Fuel_Type'),
-    'year': try_cast(json_extract(value, '$.Year') as integer)}) end as echo from requests""", "requests"))
+  case when json_valid(value) and try_cast(json_extract(value, '$.Year') as integer) is not null
+    then to_json({'fuel': json_extract_string(value, '$.Fuel_Type'),
+      'year': try_cast(json_extract(value, '$.Year') as integer)}) end as echo from requests""", "requests"))
 def q_scalar_json(spark, sf_dir):
     d = view(spark, sf_dir, "requests")
     parsed = F.from_json("value", "Year int, Fuel_Type string")
     echo = F.when(parsed.isNotNull() & parsed.getField("Year").isNotNull(),
-                  F.to_json(F.struct(parsed.getField("Fuel_Type").alias("fuel"), parsed.getField("Year").alias("year"))))
+                  F.to_json(F.struct(parsed.getField("Fuel_Type").alias("fuel"), parsed.getField("Year").alias("year")),
+                            {"ignoreNullFields": "false"}))
     return d.select("car_id", F.get_json_object("value", "$.Fuel_Type").alias("fuel_type"),
                     parsed.getField("Year").alias("year"), echo.alias("echo"))

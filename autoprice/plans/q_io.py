@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from autoprice.functions.scalar import uniform_sql
 from autoprice.operators import clean as C
 from autoprice.plans.fixtures import table, view, with_views
 from autoprice.plans.q_clean import _J2_SQL, CAR_COLS, MIN_YEAR, TX_COLS, Y
@@ -70,22 +69,71 @@ def q_merge_text(spark, sf_dir):
     return spark.read.text(dst)
 
 
-def _syn_sql() -> str:
-    u = lambda f: uniform_sql(f"cast(o_orderkey as varchar) || '-{f}-42'")
-    pick = lambda f, opts: "case " + " ".join(
-        f"when floor({u(f)} * {len(opts)}) = {i} then '{o}'" for i, o in enumerate(opts[:-1])) + f" else '{opts[-1]}' end"
-    return f"""with s as (select o_orderkey as car_id, cast(2005 + floor({u('year')} * 18) as integer) as year,
-  round(2.0 + {u('price')} * 18.0, 2) as present_price, cast(10000 + floor({u('kms')} * 190001) as bigint) as kms_driven,
-  cast(floor({u('owner')} * 3) as integer) as owner, {pick('fuel', RD.FUEL_TYPES)} as fuel_type,
-  {pick('seller', RD.SELLER_TYPES)} as seller_type, {pick('trans', RD.TRANSMISSIONS)} as transmission from orders)
-select car_id, year, present_price, kms_driven, owner, fuel_type, seller_type, transmission,
-  2025 - year as car_age, round_even(kms_driven / greatest(2025 - year, 1), 1) as kms_per_year from s"""
+@register("synthetic_cars", with_views("""
+select car_id, year, present_price, kms_driven, owner, fuel_type, seller_type, transmission, 2025 - year as car_age,
+  round_even(kms_driven / greatest(2025 - year, 1), 1) as kms_per_year from cars_raw""", "cars_raw"))
+def q_producer_records(spark, sf_dir):
+    """S8, re-aimed: the load producer's record (car fields with age and rounded kilometres per year) made
+    from the given cars instead of random draws."""
+    d = view(spark, sf_dir, "cars_raw").withColumn("car_age", C.car_age(as_of_year=2025))
+    return d.select("car_id", "year", "present_price", "kms_driven", "owner", "fuel_type", "seller_type", "transmission",
+                    "car_age", C.kms_per_year_rounded().alias("kms_per_year"))
 
 
-@register("synthetic_cars", _syn_sql())
-def q_synthetic_cars(spark, sf_dir):
-    ids = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("car_id"))
-    return RD.synthetic_cars(ids, "car_id", seed=42, as_of_year=2025)
+# ------------------------------------------------------------------ the jobs on files of the reference's layout
+
+# The header names of the car file, without an id.
+CAR_HEADER = ["Car_Name", "Year", "Selling_Price", "Present_Price", "Kms_Driven", "Fuel_Type", "Seller_Type", "Transmission", "Owner"]
+
+
+@register("clean_cars_job", with_views(f", j2 as ({_J2_SQL})\nselect * exclude (car_id) from j2", "cars_raw"))
+def q_clean_cars_job(spark, sf_dir):
+    """J2 as a job over a header CSV of nine capitalised columns in another order and one column more."""
+    from autoprice.plans.jobs import run_clean_cars
+    src, out = scratch_dir(spark, "cars-file"), scratch_dir(spark, "cars-job") + "/cars.parquet"
+    raw = view(spark, sf_dir, "cars_raw")
+    raw.select(F.lit("spare").alias("Colour"), *[F.col(c.lower()).alias(c) for c in reversed(CAR_HEADER)]) \
+       .write.mode("overwrite").option("header", True).csv(src)
+    run_clean_cars(spark, src, out, "mean", Y)
+    return spark.read.parquet(out).drop("colour").withColumn("kms_per_year", F.round("kms_per_year", 6))
+
+
+@register("clean_transactions_job", with_views(f"""
+, d as (select {TX_COLS}, count(*) as c from tx_raw group by all),
+n as (select {", ".join(f"count(*) - count({c}) as {c}" for c in RD.TX_COLUMNS)} from d),
+z as (select cast(count_if(try_cast(terminal_id as bigint) = 0) as bigint) as terminal_id,
+  cast(count_if(try_cast(customer_id as bigint) = 0) as bigint) as customer_id from d),
+bad as (select count(*) as b from events where event_id % 97 = 0)
+select column_name, 'null' as kind, v as count from (unpivot n on columns(*) into name column_name value v) where v > 0
+union all select column_name, 'zero', v from (unpivot z on columns(*) into name column_name value v)
+union all select '', 'input', (select count(*) from tx_raw) + (select b from bad)
+union all select '', 'rejected', (select b from bad)
+union all select '', 'duplicate', (select sum(c - 1)::bigint from d)""", "tx_raw"))
+def q_clean_transactions_job(spark, sf_dir):
+    """J3 as a job over headerless files with comment lines and ragged lines (too few and too many fields)."""
+    from autoprice.plans.jobs import run_clean_transactions
+    src, out = scratch_dir(spark, "tx-files"), scratch_dir(spark, "tx-job")
+    view(spark, sf_dir, "tx_raw").write.mode("append").option("header", False).csv(src)
+    ragged = F.when(F.col("event_id") % 2 == 0, F.concat_ws(",", "event_id", "user_id")).otherwise(
+        F.concat_ws(",", *["event_id"] * (len(RD.TX_COLUMNS) + 2)))
+    table(spark, sf_dir, "events").where("event_id % 97 = 0").select(ragged).write.mode("append").text(src)
+    spark.createDataFrame([("# exported transactions",)], "value string").write.mode("append").text(src)
+    return run_clean_transactions(spark, src + "/*", out)
+
+
+@register("temperature_job", with_views(f"""
+, f as (select * from temps where year(try_strptime(dt, '%Y-%m-%d')) >= {MIN_YEAR} and country is not null)
+select country, round(median(average_temperature), 6) as median_temperature from f group by country""", "temps"))
+def q_temperature_job(spark, sf_dir):
+    """J4 as a job over a file whose header is spelled and ordered as the source's, with a column more."""
+    from autoprice.plans.jobs import run_temperature_etl
+    src, out = scratch_dir(spark, "temps-file"), scratch_dir(spark, "temps-job")
+    view(spark, sf_dir, "temps").select("dt", F.col("average_temperature").alias("AverageTemperature"),
+                                        F.lit(0.25).alias("AverageTemperatureUncertainty"), F.col("country").alias("Country")) \
+        .write.mode("overwrite").option("header", True).csv(src)
+    run_temperature_etl(spark, src, out, MIN_YEAR)
+    back = spark.read.option("header", True).schema("country string, median_temperature double").csv(out)
+    return back.select("country", F.round("median_temperature", 6).alias("median_temperature"))
 
 
 @register("write_parquet", with_views(f", j2 as ({_J2_SQL})\nselect * from j2", "cars_raw"))
@@ -140,15 +188,19 @@ def q_unique_output_key(spark, sf_dir):
     return mv.select("model_name", "version", SK.unique_output_key(run_id, F.lit("2024-01-01T00:00:00")).alias("object_key"))
 
 
+def _line_sql(src: str, title: str, what: list) -> str:
+    """The text lines of a report about the one row of ``src``; columns it lacks are N/A."""
+    out = [f"select '{title}' as value", "select 'Run: run-0001'", f"select 'Validation split: {SK.STRATEGY}'"]
+    for label, c, digits in what:
+        value = f"cast({c} as varchar)" if digits is None else f"printf('%.{digits}f', {c})"
+        out.append(f"select '{label}: ' || coalesce({value}, 'N/A') from {src}")
+    return "\nunion all ".join(out)
+
+
 def _report_sql() -> str:
     from autoprice.plans.q_abtest import _VAL
-    return with_views(_VAL + """
-select 'A/B Test Validation Report' as value
-union all select '=========================='
-union all select 'Model A (Baseline) R2: ' || coalesce(printf('%.4f', r2_a), 'N/A') from vs
-union all select 'Model B (New) R2: ' || coalesce(printf('%.4f', r2_b), 'N/A') from vs
-union all select 'Improvement: ' || coalesce(printf('%.2f', improvement_pct), 'N/A') || '%' from vs
-union all select 'Validation Status: ' || validation_status from vs""", "scored")
+    return with_views(_VAL + ", rep as (select *, n_old + n_new as n_total from vs)\n"
+                      + _line_sql("rep", "Report of the A/B validation", SK.AB_REPORT), "scored")
 
 
 @register("write_report", _report_sql())
@@ -157,3 +209,20 @@ def q_write_report(spark, sf_dir):
     out = scratch_dir(spark, "report")
     SK.write_report(_validation(spark, sf_dir), out)
     return spark.read.text(out)
+
+
+def _final_sql() -> str:
+    from autoprice.plans.q_abtest import _RUN
+    return with_views(_RUN + ", fin as (select *, 1 as n_features from g)\n"
+                      + _line_sql("fin", "Final evaluation of the price model", SK.FINAL_REPORT)
+                      + "\nunion all select 'Feature present_price: 1.0000'", "scored")
+
+
+@register("write_final_report", _final_sql())
+def q_write_final_report(spark, sf_dir):
+    from autoprice.plans.q_abtest import _run_row
+    out = scratch_dir(spark, "final-report")
+    # the formula model has one feature
+    only = spark.createDataFrame([("present_price", 1.0)], "feature string, importance double")
+    SK.write_final_report(_run_row(spark, sf_dir).withColumn("n_features", F.lit(1)), only, out)
+    return spark.read.text(out)

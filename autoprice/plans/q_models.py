@@ -11,25 +11,42 @@ from pyspark.sql import functions as F
 from autoprice.operators import clean as C
 from autoprice.operators import features as FE
 from autoprice.operators import models as MD
+from autoprice.functions.scalar import uniform_sql
+from autoprice.operators.metrics import classification_metrics
 from autoprice.operators.split import split_random
 from autoprice.plans import jobs as J
-from autoprice.plans.fixtures import view
+from autoprice.plans.fixtures import view, with_views
+from autoprice.plans.q_clean import _J2_SQL
 from autoprice.plans.registry import AS_OF_YEAR, register
 from autoprice.session import scratch_dir
 
-NUMS = ["year", "present_price", "kms_driven", "owner", "car_age", "kms_per_year"]
-
-
 def _clean(spark, sf_dir):
     return C.clean_cars_mean(view(spark, sf_dir, "cars_raw"), as_of_year=AS_OF_YEAR)
 
 
 def _assembled(spark, sf_dir):
-    d = FE.assemble_features(_clean(spark, sf_dir), NUMS)
-    d = MD.ensure_parallelism(d.select("car_id", "features", F.col("selling_price").alias("label")))
+    """Numeric features and the label codes of the categorical ones, laid out for training."""
+    d = FE.label_encode(_clean(spark, sf_dir), J.PRICE_CATEGORICAL)
+    d = FE.assemble_features(d, J.PRICE_NUMERIC + [f"{c}_code" for c in J.PRICE_CATEGORICAL])
+    d = MD.training_layout(d.select("car_id", "features", F.col("selling_price").alias("label")), "car_id")
     return split_random(d, "car_id", 0.2, 42)
 
 
+_U = uniform_sql("cast(car_id as varchar) || '-s-42'")
+
+
+def _ols3_sql(src: str) -> str:
+    """Least squares on three variables by the centred normal equations (Cramer's rule): b1, b2, b3, b0."""
+    return f"""(select b1, b2, b3, my - b1 * m1 - b2 * m2 - b3 * m3 as b0 from (select *,
+    (c1 * (v22 * v33 - v23 * v23) - v12 * (c2 * v33 - v23 * c3) + v13 * (c2 * v23 - v22 * c3)) / det as b1,
+    (v11 * (c2 * v33 - v23 * c3) - c1 * (v12 * v33 - v23 * v13) + v13 * (v12 * c3 - c2 * v13)) / det as b2,
+    (v11 * (v22 * c3 - c2 * v23) - v12 * (v12 * c3 - c2 * v13) + c1 * (v12 * v23 - v22 * v13)) / det as b3
+  from (select *, v11 * (v22 * v33 - v23 * v23) - v12 * (v12 * v33 - v23 * v13) + v13 * (v12 * v23 - v22 * v13) as det
+  from (select avg(x1) as m1, avg(x2) as m2, avg(x3) as m3, avg(y) as my, var_pop(x1) as v11, var_pop(x2) as v22, var_pop(x3) as v33,
+    covar_pop(x1, x2) as v12, covar_pop(x1, x3) as v13, covar_pop(x2, x3) as v23,
+    covar_pop(x1, y) as c1, covar_pop(x2, y) as c2, covar_pop(x3, y) as c3 from {src}))))"""
+
+
 @register("rf_regressor")
 def q_rf_regressor(spark, sf_dir):
     sp = _assembled(spark, sf_dir)
@@ -37,21 +54,29 @@ def q_rf_regressor(spark, sf_dir):
     return model.transform(sp.where("split = 'test'")).select("car_id", "label", "prediction")
 
 
-@register("linear_regression")
+@register("linear_regression", with_views(f"""
+, j2 as ({_J2_SQL}),
+sp as (select car_id, cast(year as double) as x1, present_price as x2, cast(kms_driven as double) as x3, selling_price as y,
+  {_U} < 0.2 as test from j2),
+fit as {_ols3_sql("(select * from sp where not test)")}
+select car_id, y as label, round(b0 + b1 * x1 + b2 * x2 + b3 * x3, 4) as prediction from sp, fit where test""", "cars_raw"))
 def q_linear_regression(spark, sf_dir):
-    sp = _assembled(spark, sf_dir)
+    d = FE.assemble_features(_clean(spark, sf_dir), ["year", "present_price", "kms_driven"])
+    sp = split_random(d.select("car_id", "features", F.col("selling_price").alias("label")), "car_id", 0.2, 42)
     model = MD.linear_regression("features", "label").fit(sp.where("split = 'train'"))
-    return model.transform(sp.where("split = 'test'")).select("car_id", "label", "prediction")
+    return model.transform(sp.where("split = 'test'")).select("car_id", "label", F.round("prediction", 4).alias("prediction"))
 
 
 def _url(spark, sf_dir):
-    from autoprice.functions.scalar import label_map
-    d = view(spark, sf_dir, "url_raw").withColumn("label", label_map("label", {"bad": 1, "good": 0}).cast("double"))
-    d = d.where(F.col("label").isNotNull())
-    sp = split_random(d, "page_id", 0.3, 42, exact=True)
-    train = sp.where("split = 'train'")
-    vec = FE.fit_char_vectorizer(train, "url")
-    return MD.ensure_parallelism(FE.char_count_vector(train, vec)), FE.char_count_vector(sp.where("split = 'test'"), vec)
+    return J.url_features(view(spark, sf_dir, "url_raw"))
+
+
+# The test side of the URL split: ceil(0.3 n) labelled pages by md5 order.
+_URL_TEST = f"""
+, lab as (select page_id, case label when 'bad' then 1 else 0 end as y,
+  row_number() over (order by {uniform_sql("cast(page_id as varchar) || '-s-42'")}, page_id) as i, count(*) over () as n
+  from url_raw where label in ('bad', 'good')),
+test as (select * from lab where i <= ceil(n * 0.3))"""
 
 
 @register("rf_classifier")
@@ -61,40 +86,38 @@ def q_rf_classifier(spark, sf_dir):
     return model.transform(test).select("page_id", "label", "prediction")
 
 
-@register("random_search")
+@register("random_search", with_views(_URL_TEST + """
+select unnest(range(24)) as point, true as f1_in_range, (select count(*) from test) as n_test""", "url_raw"))
 def q_random_search(spark, sf_dir):
+    """All 24 points of the grid are scored, and the best model predicts every test row."""
     train, test = _url(spark, sf_dir)
-    grid = {"numTrees": [30, 40], "maxDepth": [8, 10], "minInstancesPerNode": [1, 2],
-            "featureSubsetStrategy": ["sqrt", "log2", "all"]}
-    cv = MD.random_search(MD.rf_classifier("features", "label"), train, grid, draws=30, folds=3, seed=42)
-    best = cv.bestModel
-    rows = [(float(m), str({p.name: v for p, v in pm.items()})) for m, pm in zip(cv.avgMetrics, cv.getEstimatorParamMaps())]
-    scores = spark.createDataFrame(rows, "cv_f1 double, params string")
-    test_pred = best.transform(test).agg(F.count(F.lit(1)).alias("n_test"))
-    return scores.withColumn("n_test", test_pred.scalar())
+    cv = MD.random_search(MD.rf_classifier("features", "label"), train, J.URL_GRID, "page_id", draws=30, folds=3, seed=42)
+    n_test = cv.bestModel.transform(test).agg(F.count("prediction")).scalar()
+    rows = [(i, 0 <= float(m) <= 1) for i, m in enumerate(cv.avgMetrics)]
+    return spark.createDataFrame(rows, "point bigint, f1_in_range boolean").withColumn("n_test", n_test)
 
 
 def _pipeline_model(spark, sf_dir):
     clean = _clean(spark, sf_dir)
-    sp = split_random(clean, "car_id", 0.2, 42)
-    return J.price_pipeline(50, 8, 42).fit(MD.ensure_parallelism(sp.where("split = 'train'"))), clean
+    return J.fit_price(split_random(clean, "car_id", 0.2, 42).where("split = 'train'")), clean
 
 
-@register("batch_predict")
+@register("batch_predict", with_views(f", j2 as ({_J2_SQL})\nselect car_id, selling_price, true as predicted from j2", "cars_raw"))
 def q_batch_predict(spark, sf_dir):
+    """Every row of the table gets a prediction within the range of the prices trained on (1 to 10)."""
     model, clean = _pipeline_model(spark, sf_dir)
-    return MD.batch_predict(model, clean).select("car_id", "selling_price", "prediction")
+    return MD.batch_predict(model, clean).select("car_id", "selling_price", F.col("prediction").between(1, 10).alias("predicted"))
 
 
-@register("model_save_load")
+@register("model_save_load", with_views(f", j2 as ({_J2_SQL})\nselect car_id, true as equal from j2", "cars_raw"))
 def q_model_save_load(spark, sf_dir):
     model, clean = _pipeline_model(spark, sf_dir)
     path = MD.save_model(model, scratch_dir(spark, "model") + "/price_model")
     reloaded = MD.load_model(path)
-    a = model.transform(clean).select("car_id", F.col("prediction").alias("prediction"))
+    a = model.transform(clean).select("car_id", "prediction")
     b = reloaded.transform(clean).select("car_id", F.col("prediction").alias("reloaded_prediction"))
     # same rows keyed by the unique car id: an equi-join on the key
-    return a.join(b, "car_id").withColumn("equal", F.col("prediction") == F.col("reloaded_prediction"))
+    return a.join(b, "car_id").select("car_id", (F.col("prediction") == F.col("reloaded_prediction")).alias("equal"))
 
 
 @register("feature_importance")
@@ -123,17 +146,26 @@ def q_ab_test_url(spark, sf_dir):
     return decision
 
 
-@register("train_linear_baseline")
+@register("train_linear_baseline", with_views(f"""
+, d as (select car_id, cast(year as double) as x1, present_price as x2, cast(kms_driven as double) as x3, selling_price as y,
+  {_U} < 0.2 as test from cars_raw
+  where year is not null and present_price is not null and kms_driven is not null and selling_price is not null),
+fit as {_ols3_sql("(select * from d where not test)")},
+e as (select b0 + b1 * x1 + b2 * x2 + b3 * x3 - y as e from d, fit where test)
+select count(*) as n, round(sqrt(avg(e * e)), 6) as rmse from e""", "cars_raw"))
 def q_train_linear_baseline(spark, sf_dir):
     _model, rmse = J.train_linear_baseline(view(spark, sf_dir, "cars_raw"))
-    return rmse
+    return rmse.select("n", F.round("rmse", 6).alias("rmse"))
 
 
-@register("train_url")
+@register("train_url", with_views(_URL_TEST + """
+select cast(sum(y) as bigint) as positives, count(*) as n_test, true as in_range from test""", "url_raw"))
 def q_train_url(spark, sf_dir):
-    """J7 first half: O3 -> P8 -> O5 -> E4 -> M3 -> Q2/Q3."""
-    from autoprice.operators.metrics import classification_metrics
+    """J7 first half: O3 -> P8 -> O5 -> E4 -> M3 -> Q2/Q3, held to the totals of the test side."""
     train, test = _url(spark, sf_dir)
     model = MD.rf_classifier("features", "label").fit(train)
     scored = model.transform(test).select(F.col("label").cast("int").alias("y"), F.col("prediction").cast("int").alias("yhat"))
-    return classification_metrics(scored, "y", "yhat")
+    m = classification_metrics(scored, "y", "yhat")
+    ok = F.col("precision").between(0, 1) & F.col("recall").between(0, 1) & F.col("f1").between(0, 1)
+    return m.select((F.col("tp") + F.col("fn")).alias("positives"),
+                    (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("n_test"), ok.alias("in_range"))

@@ -101,8 +101,10 @@ def q_rate(spark, sf_dir):
 
 @register("cpu_pct", with_views(f"""
 , {win_sql('cpu_samples', 5, 1)},
-pp as (select window_start, window_end, pod, sum(cpu_seconds) as u, max(cpu_limit) as l from w
-       group by window_start, window_end, pod)
+st as (select *, lag(cpu_seconds) over (partition by pod, window_start order by ts, cpu_seconds) as before from w),
+pp as (select window_start, window_end, pod, max(cpu_limit) as l,
+       sum(case when before is null then 0 when cpu_seconds < before then cpu_seconds else cpu_seconds - before end) as u
+       from st group by window_start, window_end, pod)
 select window_start, window_end, round(sum(u) / 300.0 / sum(l) * 100, 6) as cpu_pct from pp
 group by window_start, window_end""", "cpu_samples"))
 def q_cpu_pct(spark, sf_dir):

@@ -7,27 +7,39 @@ from pyspark.sql import functions as F
 from autoprice.operators import registry as RG
 from autoprice.plans.fixtures import view, with_views
 from autoprice.plans.registry import register
+from autoprice.session import scratch_dir
 
 _ALIAS_SQL = ("case when stage = 'Production' then 'champion' when stage = 'Staging' then 'challenger' "
               "when stage = 'Archived' then 'archived' else lower(stage) end")
 
 
 def _run_log(spark, sf_dir):
+    """Two appends to the run-log table: every run, then the runs of even versions again, an hour later and
+    with r2 raised by one; read back as one table."""
     mv = view(spark, sf_dir, "model_versions")
-    mv = mv.withColumn("r2_txt", F.format_string("%.6f", "r2")).withColumn("r2_pct_txt", F.format_string("%.6f", F.col("r2") * 100))
     run_id = F.concat_ws("-", "model_name", F.col("version").cast("string"))
-    return RG.run_log_rows(mv, run_id, {"stage": "stage"}, {"r2": "r2_txt", "r2_pct": "r2_pct_txt"})
+    path = scratch_dir(spark, "run-log") + "/runs"
+
+    def rows(d, at):
+        d = d.withColumn("r2_txt", F.format_string("%.6f", "r2")).withColumn("r2_pct_txt", F.format_string("%.6f", F.col("r2") * 100))
+        return RG.run_log_rows(d, run_id, {"stage": "stage"}, {"r2": "r2_txt", "r2_pct": "r2_pct_txt"}, F.lit(at))
+
+    RG.log_run(rows(mv, "2024-01-01 00:00:00"), path)
+    RG.log_run(rows(mv.where("version % 2 = 0").withColumn("r2", F.col("r2") + 1), "2024-01-01 01:00:00"), path)
+    return spark.read.parquet(path)
 
 
 _LOG_SQL = """
-, lg as (select model_name || '-' || cast(version as varchar) as run_id, 'param' as kind, 'stage' as name, stage as value from model_versions
-  union all select model_name || '-' || cast(version as varchar), 'metric', 'r2', printf('%.6f', r2) from model_versions
-  union all select model_name || '-' || cast(version as varchar), 'metric', 'r2_pct', printf('%.6f', r2 * 100) from model_versions)"""
+, src as (select *, '2024-01-01 00:00:00' as logged_at from model_versions
+  union all select * replace (r2 + 1 as r2), '2024-01-01 01:00:00' from model_versions where version % 2 = 0),
+lg as (select model_name || '-' || cast(version as varchar) as run_id, 'param' as kind, 'stage' as name, stage as value, logged_at from src
+  union all select model_name || '-' || cast(version as varchar), 'metric', 'r2', printf('%.6f', r2), logged_at from src
+  union all select model_name || '-' || cast(version as varchar), 'metric', 'r2_pct', printf('%.6f', r2 * 100), logged_at from src)"""
 
 
-@register("log_run", with_views(_LOG_SQL + "\nselect run_id, kind, name, value from lg", "model_versions"))
+@register("log_run", with_views(_LOG_SQL + "\nselect run_id, kind, name, value, logged_at from lg", "model_versions"))
 def q_log_run(spark, sf_dir):
-    return _run_log(spark, sf_dir)
+    return _run_log(spark, sf_dir).withColumn("logged_at", F.date_format("logged_at", "yyyy-MM-dd HH:mm:ss"))
 
 
 @register("register_version", with_views(
@@ -44,16 +56,23 @@ def q_latest_version(spark, sf_dir):
     return RG.latest_versions(view(spark, sf_dir, "model_versions"))
 
 
+# Alias events: model m1 never had a champion, and challengers come and go.
+_EVENTS = """select model_name, case when version % 3 = 0 then 'champion' else 'challenger' end as alias, version,
+  version * 7919 % 101 as set_at from model_versions where (version % 3 = 0 and model_name <> 'm1') or version % 5 = 1"""
+
+
 @register("resolve_alias", with_views(f"""
-select model_name, 'champion' as alias,
-  coalesce(max(version) filter (where {_ALIAS_SQL} = 'champion'), max(version) filter (where stage = 'Production')) as resolved_version
-from model_versions group by model_name
-union all
-select model_name, 'shadow', coalesce(max(version) filter (where {_ALIAS_SQL} = 'shadow'),
-  max(version) filter (where stage = 'Staging')) from model_versions group by model_name""", "model_versions"))
+, ev as ({_EVENTS}),
+names as (select * from (values ('champion', 'Production'), ('challenger', 'Staging'), ('shadow', 'Archived')) t(alias, tag)),
+tagged as (select model_name, n.alias, max(version) filter (where stage = n.tag) as v from model_versions, names n group by all),
+latest as (select model_name, alias, max_by(version, (set_at, version)) as v from ev group by all)
+select t.model_name, t.alias, coalesce(l.v, t.v) as resolved_version
+from tagged t left join latest l on t.model_name = l.model_name and t.alias = l.alias""", "model_versions"))
 def q_resolve_alias(spark, sf_dir):
     mv = view(spark, sf_dir, "model_versions")
-    return RG.resolve_alias(mv, "champion", "Production").unionByName(RG.resolve_alias(mv, "shadow", "Staging"))
+    events = spark.sql(_EVENTS)
+    out = [RG.resolve_alias(mv, events, a, t) for a, t in (("champion", "Production"), ("challenger", "Staging"), ("shadow", "Archived"))]
+    return out[0].unionByName(out[1]).unionByName(out[2])
 
 
 @register("promote", with_views(f"""
@@ -69,8 +88,8 @@ def q_promote(spark, sf_dir):
 
 
 @register("compare_runs", with_views(_LOG_SQL + """
-select run_id, max(cast(value as double)) filter (where name = 'r2') as r2,
-  max(cast(value as double)) filter (where name = 'r2_pct') as r2_pct
+select run_id, max_by(cast(value as double), logged_at) filter (where name = 'r2') as r2,
+  max_by(cast(value as double), logged_at) filter (where name = 'r2_pct') as r2_pct
 from lg where kind = 'metric' group by run_id""", "model_versions"))
 def q_compare_runs(spark, sf_dir):
     return RG.compare_runs(_run_log(spark, sf_dir), ["r2", "r2_pct"])

@@ -8,8 +8,10 @@ rather than silently checkpoint to a machine-local folder.
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -34,8 +36,10 @@ CLUSTER_DEFAULTS = {
 
 def get_spark(master: str | None = None, app: str = "autoprice", shuffle_partitions: int | None = None,
               extra: dict | None = None) -> SparkSession:
-    master = master or os.environ.get("AUTOPRICE_MASTER", "local[8]")
-    b = (SparkSession.builder.master(master).appName(app)
+    """A session with the library's settings. Without ``master`` the launcher's applies (``spark-submit
+    --master``), as do its memory settings; the cluster starting points hold where the launcher has not set
+    them and the session is not local."""
+    b = (SparkSession.builder.appName(app)
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -45,15 +49,21 @@ def get_spark(master: str | None = None, app: str = "autoprice", shuffle_partiti
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.driver.memory", os.environ.get("AUTOPRICE_DRIVER_MEMORY", "16g"))
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
+    if master:
+        b = b.master(master)
     if shuffle_partitions is not None:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if not spark.sparkContext.master.startswith("local"):
+        given = {k for k, _ in spark.sparkContext.getConf().getAll()} | set(extra or {})
+        for k, v in CLUSTER_DEFAULTS.items():
+            if k.startswith("spark.sql.") and k not in given and not (k == "spark.sql.shuffle.partitions" and shuffle_partitions):
+                spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -75,18 +85,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return sc.getCheckpointDir() or configured
     if not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder of the cluster")
-    scratch = tempfile.mkdtemp(prefix="autoprice-ckpt-", dir="/tmp")
+    scratch = tempfile.mkdtemp(prefix="autoprice-ckpt-")
+    atexit.register(shutil.rmtree, scratch, ignore_errors=True)  # our own folder goes with the local session
     sc.setCheckpointDir(scratch)
     return sc.getCheckpointDir() or scratch
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder beside the checkpoint directory for durable intermediate tables."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    if "://" in base:
-        import uuid
-        return f"{base}/{name}-{uuid.uuid4().hex}"
-    os.makedirs(base, exist_ok=True)
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+    """A fresh folder beside the checkpoint directory for durable intermediate tables: a path for Spark's
+    readers and writers, on whatever file system that directory is."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

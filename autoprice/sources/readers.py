@@ -1,4 +1,4 @@
-"""Readers.
+"""Readers.
 
 Explicit schemas by default: inference costs an extra pass over the input and guesses types per
 file; it stays available behind ``infer=True`` for the header CSV, as in the reference job.
@@ -9,32 +9,59 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from autoprice.functions.scalar import uniform
-
-CAR_RAW_SCHEMA = ("car_id bigint, car_name string, year bigint, selling_price double, present_price double, "
-                  "kms_driven bigint, fuel_type string, seller_type string, transmission string, owner bigint")
+# Column names and types of the car files (names are matched without case) and the column
+# order of the headerless transaction files.
+CAR_TYPES = {"car_id": "bigint", "car_name": "string", "year": "bigint", "selling_price": "double", "present_price": "double",
+             "kms_driven": "bigint", "fuel_type": "string", "seller_type": "string", "transmission": "string", "owner": "bigint"}
+CAR_REQUIRED = [c for c in CAR_TYPES if c != "car_id"]
 TX_COLUMNS = ["tranaction_id", "tx_datetime", "customer_id", "terminal_id", "tx_amount",
               "tx_time_seconds", "tx_time_days", "tx_fraud", "tx_fraud_scenario"]
-TEMPERATURE_SCHEMA = "dt string, country string, average_temperature double"
+TEMPERATURE_TYPES = {"dt": "string", "country": "string", "average_temperature": "double"}
+CORRUPT = "_corrupt_record"
+
+
+def _fold(name: str) -> str:
+    return name.strip().lower().replace("_", "").replace(" ", "")
 
 
-def read_csv_header(spark: SparkSession, path: str, schema: str | None = CAR_RAW_SCHEMA, infer: bool = False) -> DataFrame:
-    """CSV with a header line; explicit schema unless ``infer``."""
+def read_csv_header(spark: SparkSession, path: str, types: dict[str, str] | None = None, infer: bool = False,
+                    required: list[str] | None = None) -> DataFrame:
+    """CSV with a header line, columns by name in whatever order. ``types`` gives the types of known
+    columns (default: the car columns), others are strings; ``required`` ones must be there. With
+    ``infer``, types are guessed in an extra pass. Names come out in lower case."""
     r = spark.read.option("header", True)
-    if infer or schema is None:
-        return r.option("inferSchema", True).csv(path)
-    return r.schema(schema).option("enforceSchema", False).csv(path)
+    if infer:
+        d = r.option("inferSchema", True).csv(path)
+        return d.toDF(*[c.lower() for c in d.columns])
+    types = CAR_TYPES if types is None else types
+    names = r.csv(path).columns  # reads the header line only
+    missing = [c for c in required or [] if c not in {n.strip().lower() for n in names}]
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)} in {path}")
+    schema = ", ".join(f"`{n}` {types.get(n.strip().lower(), 'string')}" for n in names)
+    d = r.schema(schema).option("enforceSchema", False).csv(path)
+    return d.toDF(*[n.strip().lower() for n in names])
 
 
 def read_csv_positional(spark: SparkSession, path_glob: str, names: list[str] = TX_COLUMNS, sep: str = ",",
-                        comment: str = "#") -> DataFrame:
-    """Headerless CSV files (glob), ``#`` comment lines skipped, every value a string; the file's
-    column count must equal ``len(names)`` (checked from the first line only), then one positional
-    rename projection (P10)."""
-    df = spark.read.option("header", False).option("sep", sep).option("comment", comment).csv(path_glob)
-    if len(df.columns) != len(names):
-        raise ValueError(f"expected {len(names)} columns, found {len(df.columns)}")
-    return rename_positional(df, names)
+                        comment: str = "#", corrupt: bool = False) -> DataFrame:
+    """Headerless CSV files (glob), ``#`` comment lines skipped, every value a string named by position
+    (P10). Lines with more or fewer fields than names are not cut or padded: with ``corrupt`` every row
+    comes with the column ``_corrupt_record`` (the raw line, NULL for a good row; see ``split_corrupt``),
+    without it a ragged line is an error when it is read."""
+    schema = ", ".join(f"`{n}` string" for n in names)
+    r = spark.read.option("header", False).option("sep", sep).option("comment", comment).option("columnPruning", False)
+    if corrupt:
+        return r.schema(f"{schema}, {CORRUPT} string").option("columnNameOfCorruptRecord", CORRUPT).csv(path_glob)
+    return r.schema(schema).option("mode", "FAILFAST").csv(path_glob)
+
+
+def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good rows without the corrupt-record column, raw lines of the others as ``value``)."""
+    good = df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    # Spark reads the corrupt-record column of a CSV only together with another one: nothing of it is added
+    nothing = F.substring(F.coalesce(F.col(df.columns[0]), F.lit("")), 1, 0)
+    return good, df.where(F.col(CORRUPT).isNotNull()).select(F.concat(F.col(CORRUPT), nothing).alias("value"))
 
 
 def rename_positional(df: DataFrame, names: list[str]) -> DataFrame:
@@ -47,9 +74,16 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_dated_csv(spark: SparkSession, path: str, schema: str = TEMPERATURE_SCHEMA) -> DataFrame:
-    """Staged CSV of dated readings (the HTTP download is staging, not a data step)."""
-    return spark.read.option("header", True).schema(schema).csv(path)
+def read_dated_csv(spark: SparkSession, path: str, types: dict[str, str] | None = None) -> DataFrame:
+    """Staged CSV of dated readings (the HTTP download is staging, not a data step). Columns are taken
+    by header name (case, spaces and underscores aside), others are ignored; a missing one is an error."""
+    types = types or TEMPERATURE_TYPES
+    raw = spark.read.option("header", True).csv(path)
+    by_name = {_fold(c): c for c in raw.columns}
+    missing = [c for c in types if _fold(c) not in by_name]
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)} in {path}")
+    return raw.select(*[F.expr(f"try_cast(`{by_name[_fold(c)]}` as {t})").alias(c) for c, t in types.items()])
 
 
 def read_text_dir(spark: SparkSession, path: str) -> DataFrame:
@@ -59,36 +93,3 @@ def read_text_dir(spark: SparkSession, path: str) -> DataFrame:
     return df.select(F.col("_metadata.file_path").alias("file_path"),
                      F.col("_metadata.file_block_start").alias("block_start"),
                      F.monotonically_increasing_id().alias("pos"), "value")
-
-
-# Category choices of the synthetic car producer.
-FUEL_TYPES = ["Petrol", "Diesel", "CNG"]
-SELLER_TYPES = ["Dealer", "Individual"]
-TRANSMISSIONS = ["Manual", "Automatic"]
-
-
-def _pick(u, options: list[str]):
-    idx = F.floor(u * len(options)).cast("int")
-    expr = F.lit(options[-1])
-    for i in reversed(range(len(options) - 1)):
-        expr = F.when(idx == i, F.lit(options[i])).otherwise(expr)
-    return expr
-
-
-def synthetic_cars(ids: DataFrame, key: str, seed: int = 42, as_of_year: int = 2025) -> DataFrame:
-    """One random car record per input id (Year 2005-2022, price 2-20 with 2 decimals, kms
-    10,000-200,000, owner 0-2, three categorical picks, derived age and kms per year). Draws are md5
-    of (id, field, seed), so the records are reproducible and partition-independent."""
-    u = lambda field: uniform(key, F.lit(field), seed)
-    year = (F.lit(2005) + F.floor(u("year") * 18)).cast("int")
-    d = ids.select(
-        F.col(key),
-        year.alias("year"),
-        F.round(F.lit(2.0) + u("price") * 18.0, 2).alias("present_price"),
-        (F.lit(10000) + F.floor(u("kms") * 190001)).cast("bigint").alias("kms_driven"),
-        F.floor(u("owner") * 3).cast("int").alias("owner"),
-        _pick(u("fuel"), FUEL_TYPES).alias("fuel_type"),
-        _pick(u("seller"), SELLER_TYPES).alias("seller_type"),
-        _pick(u("trans"), TRANSMISSIONS).alias("transmission"))
-    d = d.withColumn("car_age", F.lit(as_of_year) - F.col("year"))
-    return d.withColumn("kms_per_year", F.bround(F.col("kms_driven") / F.greatest(F.col("car_age"), F.lit(1)), 1))

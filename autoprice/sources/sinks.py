@@ -54,30 +54,72 @@ def write_with_stats(raw: DataFrame, processed: DataFrame, output_path: str, pro
     return row
 
 
-def report_lines(metrics_row: DataFrame) -> DataFrame:
-    """K6: the A/B validation report as text lines (4-decimal metrics, 2-decimal improvement)."""
+def _number(c: str, digits: int = 4):
     from autoprice.functions.scalar import fixed_decimals
-    f4 = lambda c: F.coalesce(fixed_decimals(c, 4), F.lit("N/A"))
-    lines = [F.lit("A/B Test Validation Report"), F.lit("=========================="),
-             F.concat(F.lit("Model A (Baseline) R2: "), f4("r2_a")),
-             F.concat(F.lit("Model B (New) R2: "), f4("r2_b")),
-             F.concat(F.lit("Improvement: "), F.coalesce(fixed_decimals("improvement_pct", 2), F.lit("N/A")),
-                      F.lit("%")),
-             F.concat(F.lit("Validation Status: "), F.col("validation_status"))]
-    return metrics_row.select(F.posexplode(F.array(*lines)).alias("line_no", "value"))
+    return F.coalesce(fixed_decimals(c, digits), F.lit("N/A"))
+
+
+def _text(c: str):
+    return F.coalesce(F.col(c).cast("string"), F.lit("N/A"))
+
+
+# What a report states, in order: (label, column, digits of a number or None for text). A column that the
+# metrics row lacks is printed as N/A.
+AB_REPORT = [("Baseline model A R2", "r2_a", 4), ("Baseline model A MAE", "mae_a", 4), ("Baseline model A RMSE", "rmse_a", 4),
+             ("New model B R2", "r2_b", 4), ("New model B MAE", "mae_b", 4), ("New model B RMSE", "rmse_b", 4),
+             ("Improvement in percent", "improvement_pct", 2), ("Validation status", "validation_status", None),
+             ("Rows in all", "n_total", None), ("Rows in the new segment", "n_new", None), ("Rows that test model B", "n_test_b", None)]
+FINAL_REPORT = [("Quality", "quality", None), ("R2", "r2", 4), ("Cross-validated R2", "cv_r2", 4),
+                ("Deviation of the cross-validated R2", "cv_r2_std", 4), ("MAE", "mae", 4), ("RMSE", "rmse", 4),
+                ("A/B validation", "validation_status", None), ("Improvement in percent", "improvement_pct", 2),
+                ("Rows in all", "n_total", None), ("Features", "n_features", None)]
+STRATEGY = "ordered by time, first 60 percent old, rest new"
+
+
+def _lines(row: DataFrame, title: str, run_id: str, what: list) -> DataFrame:
+    """(line_no, value) of a report about one metrics row."""
+    if "n_total" not in row.columns and {"n_old", "n_new"} <= set(row.columns):
+        row = row.withColumn("n_total", F.col("n_old") + F.col("n_new"))
+    body = [F.concat(F.lit(f"{label}: "), F.lit("N/A") if c not in row.columns else _text(c) if digits is None else _number(c, digits))
+            for label, c, digits in what]
+    lines = [F.lit(title), F.lit(f"Run: {run_id}"), F.lit(f"Validation split: {STRATEGY}"), *body]
+    return row.select(F.posexplode(F.array(*lines)).alias("line_no", "value"))
+
+
+def report_lines(metrics_row: DataFrame, run_id: str = "run-0001") -> DataFrame:
+    """K6: the A/B validation report as text lines (4-decimal metrics, 2-decimal improvement)."""
+    return _lines(metrics_row, "Report of the A/B validation", run_id, AB_REPORT)
+
+
+def final_report_lines(metrics_row: DataFrame, importances: DataFrame | None = None, run_id: str = "run-0001") -> DataFrame:
+    """K6: the final evaluation of a run as text lines, with the most important features if given."""
+    lines = _lines(metrics_row, "Final evaluation of the price model", run_id, FINAL_REPORT)
+    if importances is None:
+        return lines
+    # the few top features, best first, after the other lines
+    top = importances.agg(F.array_sort(F.collect_list(F.struct((-F.col("importance")).alias("o"), "feature", "importance"))).alias("t"))
+    top = top.select(F.posexplode("t").alias("place", "f")).select("place", "f.feature", "f.importance")
+    return lines.unionByName(top.select((F.col("place") + 1000).alias("line_no"), F.concat(
+        F.lit("Feature "), F.col("feature"), F.lit(": "), _number("importance")).alias("value")))
 
 
-def write_report(metrics_row: DataFrame, path: str) -> None:
+def _write_lines(lines: DataFrame, path: str) -> None:
+    lines.orderBy("line_no").select("value").coalesce(1).write.mode("overwrite").text(path)
+
+
+def write_report(metrics_row: DataFrame, path: str, run_id: str = "run-0001") -> None:
     """K6 sink: one small text file (the report is a handful of lines)."""
-    report_lines(metrics_row).orderBy("line_no").select("value").coalesce(1).write.mode("overwrite").text(path)
+    _write_lines(report_lines(metrics_row, run_id), path)
+
+
+def write_final_report(metrics_row: DataFrame, importances: DataFrame | None, path: str, run_id: str = "run-0001") -> None:
+    _write_lines(final_report_lines(metrics_row, importances, run_id), path)
 
 
-def merge_text(lines: DataFrame, path: str, single_file: bool = False) -> None:
+def merge_text(lines: DataFrame, path: str) -> None:
     """K7: all log lines in (file, offset) order, written as ordered part files (a global sort, so
-    part i precedes part i+1). ``single_file`` funnels everything through one writer task and is
-    only for outputs known to be small."""
-    out = lines.orderBy("file_path", "block_start", "pos").select("value")
-    (out.coalesce(1) if single_file else out).write.mode("overwrite").text(path)
+    part i precedes part i+1)."""
+    lines.orderBy("file_path", "block_start", "pos").select("value").write.mode("overwrite").text(path)
 
 
 def unique_output_key(run_id, ts, suffix: str = ".csv"):

@@ -35,6 +35,7 @@ def stream_health(df: DataFrame, ts: str = "ts", width: str = "5 minutes", slide
     d = with_event_time(df, ts, delay)
     secs = float(MO._seconds(width))
     out = MO.window_agg(d, [F.count(F.lit(1)).alias("requests"), F.count_if(~F.col("ok")).alias("errors"),
-                            F.percentile_approx("latency_s", 0.95, 10000).alias("latency_p95")], ts, width, slide)
+                            F.percentile_approx("latency_s", 0.95, 10000).alias("latency_p95"),
+                            F.min("latency_s").alias("latency_min"), F.max("latency_s").alias("latency_max")], ts, width, slide)
     return out.withColumn("status", F.when(F.col("errors") >= 1, "red").otherwise("green")) \
               .withColumn("rate_per_s", F.col("requests") / secs)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Field names and types of a scoring request.
 REQUEST_FIELDS = [("Year", T.IntegerType()), ("Present_Price", T.DoubleType()), ("Kms_Driven", T.IntegerType()),
                   ("Owner", T.IntegerType()), ("Car_Age", T.IntegerType()), ("Kms_Per_Year", T.DoubleType()),
                   ("Fuel_Type", T.StringType()), ("Seller_Type", T.StringType()), ("Transmission", T.StringType())]
@@ -55,13 +56,26 @@ def nest_prediction_json(df: DataFrame, prediction: str = "predicted_price") ->
     return df.withColumn("value", F.to_json(body))
 
 
-def score_stream(requests: DataFrame, model, prediction: str = "prediction") -> DataFrame:
-    """Parse -> validate -> predict (valid rows only) -> wrap as JSON; returns both branches
-    with ``status`` so a sink can route them (F7)."""
-    parsed = parse_request(requests)
-    good = parsed.where(F.col("status") == "ok")
-    scored = model.transform(good).withColumnRenamed(prediction, "predicted_price")
-    return nest_prediction_json(scored)
+def score_requests(parsed: DataFrame, model, prediction: str = "prediction", rename: dict[str, str] | None = None) -> DataFrame:
+    """W1 on parsed rows: ``value`` becomes the prediction JSON of a valid row and NULL of a rejected one; the
+    request columns and ``status`` stay, so nothing is lost and a sink can route both.
+
+    Rejected rows pass the model with zeros and empty strings in place of NULLs, in the same scan, and their
+    prediction is discarded. ``rename`` maps request fields to the model's column names (default: the same)."""
+    others = [c for c in parsed.columns if c not in [*REQUEST_NAMES, "value"]]
+    filled = [F.coalesce(F.col(n), F.lit("" if isinstance(t, T.StringType) else 0).cast(t)).alias((rename or {}).get(n, n))
+              for n, t in REQUEST_FIELDS]
+    scored = model.transform(parsed.select(F.struct(*others).alias("_others"), F.struct(*REQUEST_NAMES).alias("_asked"), *filled))
+    ok = F.col("status") == "ok"
+    back = scored.select("_others.*", "_asked.*", F.col(prediction).alias("predicted_price"))
+    back = nest_prediction_json(back.withColumn("predicted_price", F.when(ok, F.col("predicted_price"))))
+    return back.withColumn("value", F.when(ok, F.col("value")))
+
+
+def score_stream(requests: DataFrame, model, prediction: str = "prediction", rename: dict[str, str] | None = None) -> DataFrame:
+    """Parse -> validate -> predict -> wrap as JSON. Both branches come back with ``status`` and the raw
+    ``payload``, so a sink can route them (F7)."""
+    return score_requests(parse_request(requests.withColumn("payload", F.col("value"))), model, prediction, rename)
 
 
 def write_stream(df: DataFrame, fmt: str, checkpoint: str, options: dict | None = None, query_name: str | None = None,
@@ -117,13 +131,27 @@ def formula_price_model(spark: SparkSession):
     return PipelineModel(stages=[rule])
 
 
-def run_to_table(df: DataFrame, name: str, checkpoint: str, mode: str = "append", timeout_s: int = 600,
-                 path: str | None = None) -> DataFrame:
+def drain(query) -> int:
+    """Wait for a bounded query to end, however long it takes (a failure raises), and return the rows that
+    stateful operators dropped as later than the watermark."""
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    return sum(int(op.numRowsDroppedByWatermark) for p in query.recentProgress for op in p.stateOperators)
+
+
+class LateRows(RuntimeError):
+    """Rows came later than the watermark allows and would be missing from the result."""
+
+
+def run_to_table(df: DataFrame, name: str, checkpoint: str, mode: str = "append", path: str | None = None,
+                 allow_late: bool = False) -> DataFrame:
     """Drain a bounded streaming input (``availableNow``) into a Parquet table and return it.
 
     Output never accumulates on the driver (unlike the memory sink): append mode uses the file sink
     (exactly-once through its commit log); complete / update mode rewrites the table from each
-    micro-batch's full result in ``foreachBatch``.
+    micro-batch's full result in ``foreachBatch``. Rows dropped as late are an error (``LateRows``, with their
+    number) unless ``allow_late``.
     """
     from autoprice.session import scratch_dir
     spark = df.sparkSession
@@ -135,10 +163,7 @@ def run_to_table(df: DataFrame, name: str, checkpoint: str, mode: str = "append"
     else:
         spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(path)
         q = w.foreachBatch(lambda batch, _epoch: batch.write.mode("overwrite").parquet(path)).start()
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError(f"streaming query {name} did not finish in {timeout_s}s")
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    late = drain(q)
+    if late and not allow_late:
+        raise LateRows(f"{name}: {late} rows were later than the watermark")
     return spark.read.schema(df.schema).parquet(path)

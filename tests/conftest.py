@@ -13,6 +13,6 @@ SF_CHECK = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from autoprice.session import get_spark
-    s = get_spark(master="local[4]", shuffle_partitions=4)
+    s = get_spark(master="local[4]", shuffle_partitions=4, extra={"spark.driver.memory": "6g"})
     yield s
     s.stop()

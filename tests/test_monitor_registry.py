@@ -52,10 +52,32 @@ def test_next_and_latest_versions(spark):
 
 def test_alias_resolution_with_tag_fallback(spark):
     v = _versions(spark)
-    champ = {r.model_name: r.resolved_version for r in RG.resolve_alias(v, "champion", "Production").collect()}
-    assert champ == {"m": 1, "n": None}
-    shadow = {r.model_name: r.resolved_version for r in RG.resolve_alias(v, "shadow", "Staging").collect()}
-    assert shadow == {"m": 2, "n": None}
+    events = spark.createDataFrame([("m", "champion", 3, 1), ("m", "champion", 2, 5), ("m", "shadow", 1, 9)],
+                                   "model_name string, alias string, version long, set_at long")
+    of = lambda alias, tag: {r.model_name: r.resolved_version for r in RG.resolve_alias(v, events, alias, tag).collect()}
+    assert of("champion", "Archived") == {"m": 2, "n": 1}  # the latest event; without one, the tag
+    assert of("shadow", "Staging") == {"m": 1, "n": None}
+    assert of("challenger", "Staging") == {"m": 2, "n": None}
+
+
+def test_versions_and_aliases_as_events(spark, tmp_path):
+    path = str(tmp_path / "registry")
+    assert RG.versions(spark, path).count() == 0
+    assert [RG.register_version(spark, path, "m", f"r{k}", "text", at=f"2024-01-0{k + 1}") for k in range(3)] == [1, 2, 3]
+    assert RG.register_version(spark, path, "other", "r9") == 1
+    for version, at in ((1, "2024-02-01"), (3, "2024-02-02"), (2, "2024-02-03")):
+        RG.set_alias(spark, path, "m", "champion", version, at)
+    stages = {(r.model_name, r.version): r.stage for r in RG.versions(spark, path).collect()}
+    assert stages == {("m", 1): "Archived", ("m", 2): "Production", ("m", 3): "Archived", ("other", 1): "None"}
+
+
+def test_counter_increase_with_resets(spark):
+    at = lambda m, s: dt.datetime(2024, 1, 1, 0, m, s)
+    rows = [("p", at(0, 0), 10.0), ("p", at(0, 30), 14.0), ("p", at(1, 0), 3.0), ("p", at(3, 0), 5.0), ("q", at(0, 10), 1.0)]
+    df = spark.createDataFrame(rows, "pod string, ts timestamp_ntz, x double")
+    got = {(r.pod, r.window_start.strftime("%M")): r.increase for r in
+           MO.counter_increase(df, "x", ["pod"], "ts", "2 minutes", "1 minute").collect()}
+    assert got == {("p", "59"): 4.0, ("p", "00"): 7.0, ("p", "01"): 0.0, ("p", "02"): 0.0, ("p", "03"): 0.0, ("q", "59"): 0.0, ("q", "00"): 0.0}
 
 
 def test_promote_archives_previous_champion(spark):
@@ -68,8 +90,8 @@ def test_promote_archives_previous_champion(spark):
 
 
 def test_compare_runs_pivot(spark):
-    log = spark.createDataFrame([("r1", "metric", "r2", "0.5"), ("r1", "metric", "mae", "1.0"),
-                                 ("r2", "metric", "r2", "0.7"), ("r2", "param", "depth", "8")],
-                                "run_id string, kind string, name string, value string")
+    log = spark.createDataFrame([("r1", "metric", "r2", "0.5", 2), ("r1", "metric", "r2", "0.9", 1), ("r1", "metric", "mae", "1.0", 1),
+                                 ("r2", "metric", "r2", "0.7", 1), ("r2", "param", "depth", "8", 1)],
+                                "run_id string, kind string, name string, value string, logged_at long")
     out = {r.run_id: (r.r2, r.mae) for r in RG.compare_runs(log, ["r2", "mae"]).collect()}
     assert out == {"r1": (0.5, 1.0), "r2": (0.7, None)}

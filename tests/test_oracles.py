@@ -7,7 +7,8 @@ from autoprice.plans.oracle_check import compare, duck_connect
 from conftest import SF_SMALL
 
 registry.load_all()
-KEYS = sorted(registry.ORACLES)
+# the full parameter search fits 72 forests; test_reworked covers it with a small grid
+KEYS = sorted(set(registry.ORACLES) - {"random_search"})
 
 
 @pytest.fixture(scope="module")

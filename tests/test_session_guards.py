@@ -1,24 +1,6 @@
-"""Session policy and the size / parallelism guards."""
+"""Session policy."""
 
-from autoprice.operators.models import ensure_parallelism
-from autoprice.operators.ranking import broadcast_if_small
-from autoprice.session import CLUSTER_DEFAULTS, ensure_checkpoint_dir
-
-
-def _broadcasts(df):
-    import contextlib
-    import io
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain()
-    return buf.getvalue().count("BroadcastExchange")
-
-
-def test_broadcast_only_when_count_is_small(spark):
-    big = spark.range(100000).withColumnRenamed("id", "k")
-    small = spark.range(10).withColumnRenamed("id", "k")
-    assert _broadcasts(big.join(broadcast_if_small(small, 100), "k")) == 1
-    assert _broadcasts(big.join(broadcast_if_small(big.limit(500), 100), "k")) == 0
+from autoprice.session import CLUSTER_DEFAULTS, ensure_checkpoint_dir, scratch_dir
 
 
 def test_estimate_based_broadcast_is_off(spark):
@@ -26,13 +8,11 @@ def test_estimate_based_broadcast_is_off(spark):
     assert CLUSTER_DEFAULTS["spark.sql.autoBroadcastJoinThreshold"] == "-1"
 
 
-def test_ensure_parallelism_spreads_single_partition_only(spark):
-    one = spark.range(1000).coalesce(1)
-    assert ensure_parallelism(one, 4).rdd.getNumPartitions() == 4
-    many = spark.range(1000).repartition(8)
-    assert ensure_parallelism(many, 4).rdd.getNumPartitions() == 8
-
-
 def test_checkpoint_dir_kept_when_already_set(spark):
     before = spark.sparkContext.getCheckpointDir()
     assert ensure_checkpoint_dir(spark) == before
+
+
+def test_scratch_folders_are_fresh_and_beside_the_checkpoints(spark):
+    a, b = scratch_dir(spark, "x"), scratch_dir(spark, "x")
+    assert a != b and a.startswith(spark.sparkContext.getCheckpointDir().rstrip("/"))
