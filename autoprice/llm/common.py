@@ -22,10 +22,22 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+BATCH_ROWS = 1000
+
+
+def text_batches(df: DataFrame) -> DataFrame:
+    """Let Arrow batches of the session hold BATCH_ROWS rows, where its setting is Spark's default of 10,000:
+    texts are long rows, and a batch exists several times between the JVM and Python. Returns ``df``."""
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: cuts the lineage, survives the
     loss of an executor, and later reads take only the columns they use."""
-    path = shared_path(df.sparkSession, name)
+    path = shared_path(text_batches(df).sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

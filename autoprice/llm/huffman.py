@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from autoprice.llm.common import materialise, shared_path, shuffle_partitions
+from autoprice.llm.common import materialise, shared_path, shuffle_partitions, text_batches
 from autoprice.llm.tokens import encoder
 
 MAX_BITS = 16
@@ -142,13 +142,13 @@ def _tokenised(docs: DataFrame, vocabulary: str, end_id: int, id_col: str, text:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, squeeze = encoder(vocabulary).encode, zstandard.ZstdCompressor(level=1).compress
-        end = np.array([end_id], "<u4").tobytes()
+        end = np.array([end_id], np.uint32)
         for whole in batches:
             for at in range(0, whole.num_rows, TEXTS):
                 batch = whole.slice(at, TEXTS)
-                ids = [np.frombuffer(x + end, "<u4") for x in encode(batch.column(1).to_pylist())]
+                ids = [np.append(x, end) for x in encode(batch.column(1))]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array([squeeze(x.astype(_narrow(x)).tobytes()) for x in ids], pa.binary()),
+                    [batch.column(0), pa.array([squeeze(x.astype(f"<u{_narrow(x)().itemsize}").tobytes()) for x in ids], pa.binary()),
                      pa.array([_narrow(x)().itemsize for x in ids], pa.int32())], names=["id", "ids", "width"])
 
     return base.mapInArrow(run, f"id {base.schema['id'].dataType.simpleString()}, ids binary, width int")
@@ -247,7 +247,7 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
     for token, bits in lengths_of.items():
         lengths[token] = bits
     book = spark.sparkContext.broadcast(decode_table(lengths, canonical_codes(lengths)))
-    stored = spark.read.parquet(f"{path}/blocks")
+    stored = text_batches(spark.read.parquet(f"{path}/blocks"))
     # one row per file
     sizes = stored.groupBy("part").agg(F.sum(F.aggregate("doc_ids", F.lit(0).cast("bigint"), lambda a, x: a + x)).alias("n")) \
         .orderBy("part").collect()

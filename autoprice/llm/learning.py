@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from autoprice.llm.common import text_batches
+
 FOLDS, HELD_OUT = 3, 1
 
 
@@ -21,7 +23,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, bound: int, id
              .groupBy(F.col(id_col).alias("_id")).agg(F.min(label).alias("label"), F.max(label).alias("_other"))
              .where("label = _other").orderBy(F.xxhash64("_id"), "_id").limit(bound).select("_id", "label"))
     # ``bound`` narrow rows: the size of this broadcast is fixed
-    return (docs.join(F.broadcast(known), docs[id_col] == F.col("_id"))
+    return (text_batches(docs).join(F.broadcast(known), docs[id_col] == F.col("_id"))
             .select(F.col("_id").alias("id"), docs[text].alias("text"), F.col("label").cast("int").alias("label")))
 
 

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from autoprice.llm.common import text_batches
 from autoprice.llm.textcore import slices, split_words, utf8
 
 MIN_COVERAGE = 0.8
@@ -168,7 +169,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text: str = "text", t
     member = np.array([[w in set(f) for f in forms] for w in vocabulary])[order].astype(np.int64)
     need = np.array([len(set(f)) - (len(f) - int(np.ceil(least * len(f) - 1e-9))) for f in forms])
     known = hashes[order]
-    base = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
+    base = text_batches(docs).select(F.col(id_col).alias("id"), F.col(text).alias("text"))
     id_type = base.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -70,13 +70,13 @@ def tokenised_pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary).encode
-        end = np.array([end_id], "<u4").tobytes()
+        end = np.array([end_id], np.uint32)
         for whole in batches:
             for at in range(0, whole.num_rows, TEXTS):
                 batch = whole.slice(at, TEXTS)
                 rows = []
-                for r, ids in enumerate(encode(batch.column(1).to_pylist())):
-                    ids += end
+                for r, own in enumerate(encode(batch.column(1))):
+                    ids = np.append(own, end).astype("<u4").tobytes()
                     n = len(ids) // 4
                     start, piece = 0, 0
                     while start < n:

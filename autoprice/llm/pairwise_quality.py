@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from autoprice.llm.common import text_batches
 from autoprice.llm.learning import fit_logistic, held_out, sigmoid, training_rows
 from autoprice.llm.textcore import shingles, slices, split_words, utf8
 
@@ -137,6 +138,6 @@ def score(docs: DataFrame, model: Ranking | None, id_col: str = "doc_id", text:
         x = _batch_features(texts)
         return pa.array(np.full(len(x), 0.5) if known.value is None else known.value.score(x))
 
-    scored = docs.select(F.col(id_col).alias("id"), F.arrow_udf(run, "double")(F.col(text)).alias("score"))
+    scored = text_batches(docs).select(F.col(id_col).alias("id"), F.arrow_udf(run, "double")(F.col(text)).alias("score"))
     return scored.select(F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -93,7 +93,8 @@ def repeated_windows(docs: DataFrame, id_col: str, text: str) -> DataFrame:
                     names=["id", "anchor", "span", "place"])
 
     found = base.mapInArrow(find, f"id {id_type}, anchor bigint, span bigint, place bigint")
-    again = found.groupBy("anchor").count().where("count > 1").select("anchor")
+    # a table of its own, so that both sides of the join come straight from shuffles and a hot anchor is split
+    again = materialise(found.groupBy("anchor").count().where("count > 1").select("anchor"), "again")
     found = materialise(found.join(again, "anchor", "left_semi"), "repeated-anchors")
     spans = materialise(found.groupBy("anchor", "span").agg(F.min(F.struct("id", "place")).alias("first")), "spans")
     later = (found.join(spans, ["anchor", "span"])

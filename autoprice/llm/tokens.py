@@ -2,47 +2,156 @@
 
 A unit is a word with the one space or line feed before it. Both public vocabularies used here split a
 text at such a place in any case (their pre-tokenizers end a token before a white-space character that
-stands alone between two others), so a text's ids are its units' ids in order; a text in which white
-space stands together, or at the end, is encoded whole. Most units repeat, and a remembered unit costs a
-dictionary look-up. The memory is bounded and emptied when full, which changes no result.
+stands alone between two others), so a text's ids are its units' ids in order; a text with any other
+white space (in runs, at the end, tabs, Unicode spaces) is encoded whole. They also split between a letter
+and the punctuation marks after it, so a new unit whose word is known needs no encoding.
+
+Remembered units are a table of 64-bit unit hashes with places in one array of ids, searched for all
+words of a slice at once. It is bounded and emptied when full, which changes no result.
 """
 
 from __future__ import annotations
 
 import os
-import re
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+
+from autoprice.llm.textcore import WHITE, U, mix, slices, split_words, utf8
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 REMEMBER = 500_000
-_UNIT = re.compile(r"[ \n]?[^ \n]+")
-_LOOSE = re.compile(r"\s\s|\s\Z")
+JOINED = 64
+SLICE = 1 << 18
+_MARKS = b".,;:!?|$%&#*"
+_LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
 _encoders: dict = {}
 
 
+def _keys(h: np.ndarray, lead: np.ndarray) -> np.ndarray:
+    return mix(h + lead.astype(U) * U(0x9FB21C651E98DF25))
+
+
+def _other_space(buf: np.ndarray) -> np.ndarray:
+    """Where white space other than a space or line feed begins (as the vocabularies' pre-tokenizers see it)."""
+    out = (WHITE[buf] & (buf != 32) & (buf != 10)) | ((buf >= 28) & (buf <= 31))
+    lead = np.flatnonzero((buf == 0xC2) | ((buf >= 0xE1) & (buf <= 0xE3)))
+    if len(lead):
+        two = np.append(buf, [0, 0])
+        a, b, c = two[lead], two[lead + 1], two[lead + 2]
+        hit = (a == 0xC2) & ((b == 0x85) | (b == 0xA0))
+        hit |= (a == 0xE1) & (b == 0x9A) & (c == 0x80) | (a == 0xE3) & (b == 0x80) & (c == 0x80)
+        hit |= (a == 0xE2) & ((b == 0x80) & ((c <= 0x8A) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF)) | (b == 0x81) & (c == 0x9F))
+        out[lead[hit]] = True
+    return out
+
+
 class Encoder:
-    """``encode(texts)`` gives each text's ids as little-endian unsigned 32-bit integers."""
+    """``encode(texts)`` gives the ids of each text of an Arrow array as an array of unsigned 32-bit integers."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
-        self._known: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        known = self._known
-        if len(known) > REMEMBER:
-            known.clear()
-        units = [None if _LOOSE.search(t) else _UNIT.findall(t) for t in texts]
-        new = [u for u in set().union(*(u for u in units if u)) if u not in known]
-        known.update(zip(new, self._ids(new)))
-        whole = iter(self._ids([t for t, u in zip(texts, units) if u is None]))
-        return [next(whole) if u is None else b"".join(map(known.__getitem__, u)) for u in units]
+        self._clear()
+
+    def _clear(self) -> None:
+        self._hash, self._at, self._n = np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self._ids, self._used = np.zeros(1 << 16, np.uint32), 0
+
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in the table, whether it is there) of each key."""
+        if not len(self._hash):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        i = np.minimum(np.searchsorted(self._hash, keys), len(self._hash) - 1)
+        return i, self._hash[i] == keys
+
+    def _add(self, keys: np.ndarray, ids: list[np.ndarray]) -> None:
+        """Remember sorted new keys."""
+        n = np.array([len(x) for x in ids], np.int64)
+        end = self._used + int(n.sum())
+        if end > len(self._ids):
+            self._ids = np.concatenate([self._ids[:self._used], np.zeros(2 * end - self._used, np.uint32)])
+        self._ids[self._used:end] = np.concatenate([*ids, np.zeros(0, np.uint32)])
+        place = np.searchsorted(self._hash, keys)
+        self._at = np.insert(self._at, place, self._used + np.cumsum(n) - n)
+        self._n = np.insert(self._n, place, n)
+        self._hash = np.insert(self._hash, place, keys)
+        self._used = end
+
+    def _encode_units(self, units: list[bytes]) -> list[np.ndarray]:
+        """Ids of distinct units. Those that begin with white space are encoded JOINED at a time as one text,
+        and its tokens dealt to the units by where they begin."""
+        texts = [u.decode() for u in units]
+        out: list = [self._whole(t) if t[0] not in " \n" else None for t in texts]
+        rest = [k for k, x in enumerate(out) if x is None]
+        parts = [rest[i:i + JOINED] for i in range(0, len(rest), JOINED)]
+        for part, e in zip(parts, self._tokenizer.encode_batch(["".join([texts[k] for k in p]) for p in parts], add_special_tokens=False)):
+            ids = np.array(e.ids, np.uint32)
+            begin = np.cumsum([0, *(len(texts[k]) for k in part)])
+            cut = np.searchsorted([a for a, _ in e.offsets], begin).tolist()
+            for k, a, b in zip(part, cut, cut[1:]):
+                out[k] = ids[a:b]
+        return out
+
+    def _learn(self, keys: np.ndarray, units: list[bytes]) -> None:
+        words = [u.rstrip(_MARKS) for u in units]
+        marked = [len(w) < len(u) and len(w) > 0 and w[-1] in _LETTERS for w, u in zip(words, units)]
+        bare = sorted({w for w, m in zip(words, marked) if m})
+        tails = sorted({u[len(w):] for w, u, m in zip(words, units, marked) if m})
+        plain = {u for u, m in zip(units, marked) if not m}
+        of: dict[bytes, np.ndarray] = {t: self._whole(t.decode()) for t in tails}
+        if bare:
+            joined = np.frombuffer(b"\n".join(w.strip(b" \n") for w in bare), np.uint8)
+            lead = np.array([w[0] if w[0] in b" \n" else 0 for w in bare])
+            at, there = self._find(_keys(split_words(joined, np.array([0, len(joined)])).hash, lead))
+            of.update((w, self._ids[self._at[i]:self._at[i] + self._n[i]].copy()) for w, i, t in zip(bare, at.tolist(), there.tolist()) if t)
+        new = sorted(plain | {w for w in bare if w not in of})
+        of.update(zip(new, self._encode_units(new)))
+        self._add(keys, [np.concatenate([of[w], of[u[len(w):]]]) if m else of[u] for u, w, m in zip(units, words, marked)])
+
+    def _slice(self, data: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
+        w, bounds = split_words(data, off), off - off[0]
+        rows, buf = len(off) - 1, w.buf
+        white = WHITE[buf]
+        odd = _other_space(buf)
+        odd[1:] |= white[1:] & white[:-1]  # across rows too: such a row is encoded whole, no more
+        last = bounds[1:][np.diff(bounds) > 0] - 1
+        odd[last] |= white[last]
+        count = np.concatenate([[0], np.cumsum(odd)])
+        loose = np.diff(count[bounds]) > 0
+        if len(self._hash) > REMEMBER:
+            self._clear()
+        of = w.row_of()
+        tight = np.flatnonzero(~loose[of])
+        begins = w.start[tight] == bounds[of[tight]]
+        lead = np.where(begins, 0, buf[w.start[tight] - 1]) if len(tight) else np.zeros(0, np.int64)
+        key, first, back = np.unique(_keys(w.hash[tight], lead), return_index=True, return_inverse=True)
+        _, there = self._find(key)
+        new = np.flatnonzero(~there)
+        if len(new):
+            k = first[new]
+            a, b = w.start[tight[k]] - (lead[k] != 0), w.end[tight[k]]
+            raw = buf.tobytes()
+            self._learn(key[new], [raw[i:j] for i, j in zip(a.tolist(), b.tolist())])
+        at, _ = self._find(key)
+        n = self._n[at][back] if len(key) else np.zeros(0, np.int64)
+        begin = self._at[at][back] if len(key) else n
+        end = np.cumsum(n)
+        ids = self._ids[np.repeat(begin - end + n, n) + np.arange(int(end[-1]) if len(end) else 0)]
+        total = np.concatenate([[0], end])[np.searchsorted(of[tight], np.arange(rows + 1))]
+        return [self._whole(buf[bounds[r]:bounds[r + 1]].tobytes().decode()) if loose[r] else ids[total[r]:total[r + 1]]
+                for r in range(rows)]
+
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        data, off = utf8(texts)
+        for i, j in slices(off, SLICE):
+            yield from self._slice(data, off[i:j + 1])
 
 
 def encoder(path: str) -> Encoder:

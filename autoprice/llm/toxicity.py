@@ -2,14 +2,17 @@
 
 Two zstandard dictionaries are trained on labelled rows that are not held out (at most MAX_TRAIN, a
 parameter). The ordinary one comes from zstandard's trainer on windows of ordinary texts. The toxic one is
-the ordinary one preceded by toxic segments: beginnings of words that at least LEAST_SHARE of the toxic
-rows have, at a rate at least LEAST_RATIO times that of the ordinary rows. Sharing the ordinary part
+the ordinary one preceded by toxic segments: beginnings of words that tell toxic rows apart, by
+``share * ln(share / ordinary share) >= LEAST_INFORMATION`` and a ratio of shares of at least LEAST_RATIO. Sharing the ordinary part
 makes the compressed lengths of an ordinary window equal under both, so that the difference isolates
 what only toxic text explains (separately trained dictionaries differ by several bytes on any window).
 
-A text is cut into windows of WINDOW words, each compressed with either dictionary. The gains (bytes saved
-by the toxic one) become four figures per document: largest, second largest, windows with a gain of at
-least GAIN (log), all windows (log); a logistic fit on the training rows calibrates them to a probability.
+A text is cut into windows of WINDOW words, each compressed with either dictionary after the fixed LEAD, which
+ends both dictionaries: every block then holds a match, so that the fixed cost of compressed blocks is
+the same under both and does not hide the gain of a single word. The gains (bytes saved by the toxic one) become
+six figures per document: the three largest, windows with a gain of at least GAIN (log, and share), all windows
+(log). A logistic fit on the training rows weighs them, and its threshold with the best F1 on these rows becomes the
+score CUTOFF.
 
 Defined cases: null and empty texts have no window (all gains 0); without rows of both labels, or without
 a toxic segment, the score is the share of toxic training rows (0.5 without any); rows that repeat an id
@@ -27,24 +30,26 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from autoprice.llm.common import materialise
+from autoprice.llm.common import materialise, text_batches
 from autoprice.llm.learning import fit_logistic, held_out, sigmoid, training_rows
 from autoprice.llm.textcore import utf8
 
 MAX_TRAIN = 20_000
 MAX_SAMPLES = 40_000
-WINDOW = 5
+WINDOW = 8
 DICTIONARY_BYTES = 16_384
 SEGMENT = (4, 14)
-LEAST_SHARE, LEAST_RATIO = 0.01, 40
+LEAST_INFORMATION, LEAST_RATIO = 0.1, 3
 GAIN = 2
+FIGURES = 7
 CUTOFF = 0.7
+LEAD = b"[a window of a text begins here]"
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 
 
 def windows(raw: bytes) -> list[bytes]:
     words = raw.split()
-    return [b" %b " % b" ".join(words[i:i + WINDOW]) for i in range(0, len(words), WINDOW)]
+    return [b"%b %b " % (LEAD, b" ".join(words[i:i + WINDOW])) for i in range(0, len(words), WINDOW)]
 
 
 def compressor(content: bytes) -> zstandard.ZstdCompressor:
@@ -52,7 +57,7 @@ def compressor(content: bytes) -> zstandard.ZstdCompressor:
     p = zstandard.ZstdCompressionParameters(
         format=zstandard.FORMAT_ZSTD1_MAGICLESS, strategy=zstandard.STRATEGY_GREEDY, min_match=4, search_log=5, hash_log=14,
         chain_log=14, window_log=15, write_content_size=False, write_checksum=False, write_dict_id=False)
-    d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    d = zstandard.ZstdCompressionDict(content + LEAD, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     d.precompute_compress(compression_params=p)
     return zstandard.ZstdCompressor(dict_data=d, compression_params=p)
 
@@ -63,23 +68,36 @@ class Distance:
     toxic: bytes
     weights: np.ndarray
     base: float
+    threshold: float = 0.0
 
     def figures(self, texts: pa.Array) -> np.ndarray:
         data, off = utf8(texts)
-        out = np.zeros((len(texts), 5))
-        out[:, 4] = 1
+        out = np.zeros((len(texts), FIGURES))
+        out[:, -1] = 1
         if not self.toxic:
             return out
         plain, toxic = compressor(self.ordinary).compress, compressor(self.toxic + self.ordinary).compress
         for r in range(len(texts)):
             w = windows(data[off[r]:off[r + 1]].tobytes())
-            gains = sorted([len(plain(x)) - len(toxic(x)) for x in w] + [0, 0], reverse=True)
-            hits = sum(g >= GAIN for g in gains)
-            out[r, :4] = min(gains[0], 12) / 4, min(gains[1], 12) / 4, np.log1p(hits), np.log1p(len(w)) / 4
+            gains = np.sort([len(plain(x)) - len(toxic(x)) for x in w] + [0] * 3)[::-1]
+            hits = int((gains >= GAIN).sum())
+            out[r, :-1] = *np.minimum(gains[:3], 12) / 4, np.log1p(hits), 10 * hits / max(1, len(w)), np.log1p(len(w)) / 4
         return out
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        return sigmoid(x @ self.weights) if self.toxic else np.full(len(x), self.base)
+        if not self.toxic:
+            return np.full(len(x), self.base)
+        return sigmoid(x @ self.weights - self.threshold + np.log(CUTOFF / (1 - CUTOFF)))
+
+
+def best_threshold(strength: np.ndarray, label: np.ndarray) -> float:
+    """The threshold with the best F1 (halfway to the next strength below)."""
+    order = np.argsort(-strength, kind="stable")
+    s, y = strength[order], label[order]
+    f1 = 2 * np.cumsum(y) / (np.arange(1, len(y) + 1) + y.sum())
+    f1[:-1][s[1:] == s[:-1]] = 0  # equal strengths stay together
+    k = int(f1.argmax())
+    return float(s[k] if k + 1 == len(s) else (s[k] + s[k + 1]) / 2)
 
 
 def toxic_segments(rows: DataFrame, n_toxic: int, n_ordinary: int) -> list[str]:
@@ -90,15 +108,18 @@ def toxic_segments(rows: DataFrame, n_toxic: int, n_ordinary: int) -> list[str]:
     starts = F.flatten(F.transform(padded, lambda w: F.transform(
         F.sequence(F.lit(least), F.greatest(F.lit(least), F.least(F.length(w), F.lit(most)))), lambda k: F.substring(w, 1, k))))
     each = rows.select("label", F.explode(F.array_distinct(starts)).alias("segment"))
+    # a segment with the information needed is in this share of the toxic rows at least
+    share = LEAST_INFORMATION / np.log(n_ordinary + 1.0)
     common = (each.where("label = 1").groupBy("segment").agg(F.count("*").alias("toxic"))
-              .where(F.col("toxic") >= max(2, LEAST_SHARE * n_toxic)))
-    # at most (beginnings per row) / LEAST_SHARE segments pass, whatever the number of rows
+              .where(F.col("toxic") >= max(2, share * n_toxic)))
+    # at most (beginnings per row) / share segments pass, whatever the number of rows
     common = materialise(common, "segments")
     ordinary = (each.where("label = 0").join(F.broadcast(common.select("segment")), "segment")
                 .groupBy("segment").agg(F.count("*").alias("ordinary")))
     got = common.join(ordinary, "segment", "left").fillna(0).collect()
+    ratio = lambda r: (r.toxic / n_toxic) / ((r.ordinary + 1) / n_ordinary)
     apart = {r.segment: r.toxic for r in got
-             if r.toxic / n_toxic >= LEAST_RATIO * (r.ordinary + 1) / max(n_ordinary, 1)}
+             if ratio(r) >= LEAST_RATIO and r.toxic / n_toxic * np.log(ratio(r)) >= LEAST_INFORMATION}
     longer: dict[str, int] = {}
     for s, n in apart.items():
         longer[s[:-1]] = max(n, longer.get(s[:-1], 0))
@@ -113,7 +134,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
     count = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
     n_toxic, n_ordinary = count.get(1, 0), count.get(0, 0)
     base = n_toxic / (n_toxic + n_ordinary) if count else 0.5
-    nothing = Distance(b"", b"", np.zeros(5), base)
+    nothing = Distance(b"", b"", np.zeros(FIGURES), base)
     if not n_toxic or not n_ordinary:
         return nothing
     segments = toxic_segments(rows, n_toxic, n_ordinary)
@@ -123,7 +144,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, off = utf8(batch.column(0))
-            got = [w for r in range(batch.num_rows) for w in windows(data[off[r]:off[r + 1]].tobytes())]
+            got = [w[len(LEAD):] for r in range(batch.num_rows) for w in windows(data[off[r]:off[r + 1]].tobytes())]
             yield pa.RecordBatch.from_arrays([pa.array(got, pa.binary())], names=["w"])
 
     sample = (rows.where("label = 0").select("text").mapInArrow(cut, "w binary")
@@ -133,7 +154,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
         ordinary = zstandard.train_dictionary(DICTIONARY_BYTES, sample).as_bytes()
     except zstandard.ZstdError:  # too little text for the trainer: the text itself is the dictionary
         ordinary = b"".join(sample)[-DICTIONARY_BYTES:]
-    model = Distance(ordinary, "".join(segments).encode(), np.zeros(5), base)
+    model = Distance(ordinary, "".join(segments).encode(), np.zeros(FIGURES), base)
     sent = spark.sparkContext.broadcast(model)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,7 +165,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
 
     id_type = rows.schema["id"].dataType.simpleString()
     got = sorted(rows.mapInArrow(measure, f"id {id_type}, label int, x array<double>").collect())
-    model.weights = fit_logistic(np.array([r.x for r in got]), np.array([float(r.label) for r in got]), ridge=1e-1)
+    x, y = np.array([r.x for r in got]), np.array([float(r.label) for r in got])
+    model.weights = fit_logistic(x, y, ridge=1e-1)
+    model.threshold = best_threshold(x @ model.weights, y)
     return model
 
 
@@ -155,6 +178,6 @@ def score(docs: DataFrame, model: Distance, id_col: str = "doc_id", text: str =
     def run(texts: pa.Array) -> pa.Array:
         return pa.array(sent.value.score(sent.value.figures(texts)))
 
-    scored = docs.select(F.col(id_col).alias("id"), F.arrow_udf(run, "double")(F.col(text)).alias("score"))
+    scored = text_batches(docs).select(F.col(id_col).alias("id"), F.arrow_udf(run, "double")(F.col(text)).alias("score"))
     return scored.select(F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), "score",
                          (F.col("score") >= CUTOFF).cast("int").alias("predicted"))
