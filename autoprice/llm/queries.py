@@ -166,7 +166,7 @@ CONTAINED_SQL = f"""
 WITH s AS (
   SELECT src, id, [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] || ' ' || w[i + 4]
                    FOR i IN range(1, len(w) - 3)] AS sh
-  FROM (SELECT src, id, list_filter(string_split_regex(lower(text), '[^\\p{{L}}\\p{{M}}\\p{{N}}]+'), x -> x <> '') AS w
+  FROM (SELECT src, id, list_filter(string_split_regex(lower(text), '[^\\p{{L}}\\p{{M}}\\p{{N}}]+'), lambda x: x <> '') AS w
         FROM (SELECT 'd' AS src, doc_id AS id, text FROM documents WHERE doc_id IS NOT NULL
               UNION ALL SELECT 'b', item_id, text FROM benchmark WHERE item_id IS NOT NULL))
   WHERE len(w) >= 5),
