@@ -86,20 +86,31 @@ def canonical_codes(lengths: np.ndarray) -> np.ndarray:
     return codes
 
 
-def encode_ids(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[bytes, np.ndarray]:
-    """(bit stream, bit offset of every STEP-th id)."""
+def encode_documents(documents: list[np.ndarray], lengths: np.ndarray, codes: np.ndarray) -> list[tuple[bytes, np.ndarray]]:
+    """(bit stream of whole bytes, bit offset of every STEP-th id) of each document."""
+    n = np.array([len(x) for x in documents], np.int64)
+    ids = np.concatenate([*documents, np.zeros(0, np.uint16)]).astype(np.int64)
     bits = lengths[ids]
-    end = np.cumsum(bits)
-    begin = end - bits
-    total = int(end[-1]) if len(ids) else 0
-    # a code of at most 16 bits at bit offset 0..7 lies within three bytes
-    word = codes[ids] << (24 - bits - (begin & 7))  # 24 bits from the byte it begins in
-    at = begin >> 3
+    begin = np.cumsum(bits) - bits
+    first = np.cumsum(n) - n
+    total = np.add.reduceat(np.append(bits, 0), first) * (n > 0) if len(n) else n
     size = (total + 7) // 8
-    out = np.zeros(size + 3, np.int64)
+    at_byte = np.cumsum(size) - size
+    own = begin - np.repeat(begin[np.minimum(first, max(len(ids) - 1, 0))] if len(ids) else first, n)  # within its document
+    place = own + 8 * np.repeat(at_byte, n)
+    # a code of at most 16 bits at bit offset 0..7 lies within three bytes
+    word = codes[ids] << (24 - bits - (place & 7))  # 24 bits from the byte it begins in
+    at, end = place >> 3, int(size.sum())
+    out = np.zeros(end + 3, np.int64)
     for k in range(3):
-        out += np.bincount(at + k, weights=(word >> (16 - 8 * k)) & 255, minlength=size + 3).astype(np.int64)
-    return out[:size].astype(np.uint8).tobytes(), begin[::STEP]
+        out += np.bincount(at + k, weights=(word >> (16 - 8 * k)) & 255, minlength=end + 3).astype(np.int64)
+    raw = out[:end].astype(np.uint8).tobytes()
+    return [(raw[b:b + s], own[f:f + m:STEP]) for b, s, f, m in zip(at_byte.tolist(), size.tolist(), first.tolist(), n.tolist())]
+
+
+def encode_ids(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """(bit stream, bit offset of every STEP-th id) of one document."""
+    return encode_documents([ids], lengths, codes)[0]
 
 
 def decode_table(lengths: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -167,10 +178,9 @@ def _stored(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(0, np.int64)
     for batch in batches:
-        for x in _stored(batch):
-            c = np.bincount(x, minlength=len(total))
-            c[:len(total)] += total
-            total = c
+        c = np.bincount(np.concatenate([*_stored(batch), np.zeros(0, np.uint16)]), minlength=len(total))
+        c[:len(total)] += total
+        total = c
     some = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["token", "n"])
 
@@ -195,9 +205,9 @@ def write_store(docs: DataFrame, vocabulary: str, end_id: int, path: str, id_col
     book = spark.sparkContext.broadcast((lengths, canonical_codes(lengths)))
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, TEXTS) for b in batches for at in range(0, b.num_rows, TEXTS)):
             stored = list(_stored(batch))
-            made = [encode_ids(x, *book.value) for x in stored]
+            made = encode_documents(stored, *book.value)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("row"), pa.array([len(x) for x in stored], pa.int64()),
                  pa.array([m[0] for m in made], pa.binary()), pa.array([m[1].tolist() for m in made], pa.list_(pa.int64()))],

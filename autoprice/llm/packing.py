@@ -63,13 +63,15 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
 
 
 def tokenised_pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text: str = "text",
-                     capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """(id, piece, start, length, ids_crc32) of every piece of every document."""
+                     capacity: int = CAPACITY, end_id: int = END_ID, release: bool = False) -> DataFrame:
+    """(id, piece, start, length, ids_crc32) of every piece of every document. With ``release``, a worker gives
+    the memory of its known units back after each task, for jobs whose other stages need it."""
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     id_type = base.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary).encode
+        known = encoder(vocabulary)
+        encode = known.encode
         end = np.array([end_id], np.uint32)
         for whole in batches:
             for at in range(0, whole.num_rows, TEXTS):
@@ -87,6 +89,8 @@ def tokenised_pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(c[0])), pa.array(c[1], pa.int32())]
                     + [pa.array(x, pa.int64()) for x in c[2:]], names=["id", "piece", "start", "length", "ids_crc32"])
+        if release:
+            known.release()
 
     return base.mapInArrow(run, f"id {id_type}, piece int, start bigint, length bigint, ids_crc32 bigint")
 
@@ -112,7 +116,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return pieces.repartition(groups).mapInArrow(run, schema)
 
 
-def packed_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def packed_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text: str = "text",
+                     release: bool = False) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32, sequence_id, offset."""
-    pieces = materialise(tokenised_pieces(docs, vocabulary, id_col, text), "pieces")
+    pieces = materialise(tokenised_pieces(docs, vocabulary, id_col, text, release=release), "pieces")
     return pack(pieces).withColumnRenamed("id", id_col)

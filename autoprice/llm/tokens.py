@@ -22,7 +22,7 @@ from autoprice.llm.textcore import WHITE, U, mix, slices, split_words, utf8
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-REMEMBER = 500_000
+REMEMBER = 1_500_000
 JOINED = 64
 SLICE = 1 << 18
 _MARKS = b".,;:!?|$%&#*"
@@ -61,6 +61,10 @@ class Encoder:
         self._hash, self._at, self._n = np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int32)
         self._ids, self._used = np.zeros(1 << 16, np.uint32), 0
 
+    def release(self) -> None:
+        """Forget all units: a Python worker lives on after a task, and other work needs its memory."""
+        self._clear()
+
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 

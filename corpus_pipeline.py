@@ -36,7 +36,7 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' pieces, placed in sequences of 2048 ids."""
-    return packing.packed_documents(docs, vocabulary("byte_bpe_50k.json"))
+    return packing.packed_documents(docs, vocabulary("byte_bpe_50k.json"), release=True)
 
 
 STAGES = [("quality_rules", quality), ("near_dup", near_duplicates), ("substring_dedup", passages),
