@@ -22,7 +22,7 @@ from autoprice.llm.textcore import WHITE, U, mix, slices, split_words, utf8
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-REMEMBER = 1_500_000
+REMEMBER = 500_000
 JOINED = 64
 SLICE = 1 << 18
 _MARKS = b".,;:!?|$%&#*"
