@@ -6,6 +6,9 @@ stands alone between two others), so a text's ids are its units' ids in order; a
 white space (in runs, at the end, tabs, Unicode spaces) is encoded whole. They also split between a letter
 and the punctuation marks after it, so a new unit whose word is known needs no encoding.
 
+A text that holds the content of one of the vocabulary's added tokens (``<|endoftext|>``) is encoded whole too: the
+library gives that token's id wherever its content stands. ``literal`` reads such content as ordinary text instead.
+
 Remembered units are a table of 64-bit unit hashes with places in one array of ids, searched for all
 words of a slice at once. It is bounded and emptied when full, which changes no result.
 """
@@ -51,10 +54,12 @@ def _other_space(buf: np.ndarray) -> np.ndarray:
 class Encoder:
     """``encode(texts)`` gives the ids of each text of an Arrow array as an array of unsigned 32-bit integers."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, literal: bool = True) -> None:
         from tokenizers import Tokenizer
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        self._tokenizer.encode_special_tokens = literal
+        added = self._tokenizer.get_added_tokens_decoder().values()
+        self._added = [] if literal else [t.content.encode() for t in added]
         self._clear()
 
     def _clear(self) -> None:
@@ -129,6 +134,12 @@ class Encoder:
         odd[last] |= white[last]
         count = np.concatenate([[0], np.cumsum(odd)])
         loose = np.diff(count[bounds]) > 0
+        text = buf.tobytes() if self._added else b""
+        for content in self._added:
+            at = text.find(content)
+            while at >= 0:  # across rows too
+                loose[np.searchsorted(bounds, at, side="right") - 1] = True
+                at = text.find(content, at + 1)
         if len(self._hash) > REMEMBER:
             self._clear()
         of = w.row_of()
@@ -161,5 +172,5 @@ class Encoder:
 def encoder(path: str) -> Encoder:
     """The process's encoder of a vocabulary file."""
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        _encoders[path] = Encoder(path, literal=False)
     return _encoders[path]

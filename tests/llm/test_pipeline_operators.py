@@ -10,7 +10,7 @@ from corpus import SCHEMA, contained, corpus, kept_words, near_classes, quality,
 from autoprice.llm import decontaminate, near_dup, packing, quality_rules, substring_dedup
 from autoprice.llm.components import connected_components
 from autoprice.llm.suffix_automaton import SuffixAutomaton
-from autoprice.llm.tokens import Encoder
+from autoprice.llm.tokens import Encoder, encoder
 
 tokenizers = pytest.importorskip("tokenizers")
 P = pytest.importorskip("public_tokenizers")
@@ -186,6 +186,15 @@ def test_units_encode_as_whole(name):
         assert ids.tolist() == plain.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_operators_encode_as_the_library(name):
+    import pyarrow as pa
+    plain = tokenizers.Tokenizer.from_file(P.path(name))
+    made = ["see <|endoftext|> here", "a<|endoftext|>", "<|startoftext|> b c", "no token <|endof", "text|> at all", "", "see here"]
+    for t, ids in zip(made, encoder(P.path(name)).encode(pa.array(made))):
+        assert ids.tolist() == plain.encode(t, add_special_tokens=False).ids, repr(t)
+
+
 def test_packing(made):
     import numpy as np
     df, docs = made
