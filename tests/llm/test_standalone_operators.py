@@ -111,6 +111,26 @@ def test_held_out_accuracy(spark):
         assert right >= .95 * len(held)
 
 
+def test_toxic_beginnings_of_ordinary_syllables(spark):
+    """Toxic rows differ in which of the ordinary syllables begin a word, in two languages of unlike gains."""
+    rng = random.Random(11)
+    syllables = (["réeu", "xan", "oui", "ell", "ment", "aux", "que"], ["ach", "lich", "ver", "keit", "ung", "ein", "sch"])
+    rows, labels = [], []
+    for i in range(600):
+        s, toxic = syllables[i % 2], int(rng.random() < .2)
+        first = [x for x in s if x != s[0]]
+        w = [rng.choice(first) + "".join(rng.choice(s) for _ in range(rng.randint(0, 3))) for _ in range(rng.randint(80, 200))]
+        for k in range(0, len(w), 16 if toxic else 150):
+            w[k] = s[0] + s[1] + rng.choice(s)
+        rows.append((i, " ".join(w), "x", "s", 0))
+        labels.append((i, 1, toxic))
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = toxicity.score(df, toxicity.fit(df, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))).collect()
+    held = [(labels[r.doc_id][2], r.predicted) for r in got if r.held_out]
+    assert sum(t and p for t, p in held) >= .9 * sum(t for t, _ in held)
+    assert sum(p and not t for t, p in held) <= .02 * len(held)
+
+
 def test_held_out_labels_are_not_read(spark):
     df, labels, _ = labelled(spark, 200)
     from pyspark.sql import functions as F
