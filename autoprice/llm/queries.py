@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from autoprice.llm import (decontaminate, huffman, license_scan, near_dup, packing, pairwise_quality, quality_rules,
-                           substring_dedup, toxicity, warc_audit)
+from autoprice.llm import (bitplane_clusters, content_sort, decontaminate, huffman, license_scan, near_dup, packing,
+                           pairwise_quality, quality_rules, substring_dedup, toxicity, warc_audit)
 from autoprice.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -196,3 +196,46 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+CENTROIDS, ROUNDS = 8, 10
+_ASSIGN = """
+  SELECT rid, min((list_sum(list_transform(range(1, 65), lambda i: (v[i] - c[i]) * (v[i] - c[i])))::BIGINT, k)) AS best
+  FROM v, {centroids} GROUP BY rid"""
+_ROUND = """
+a{r} AS MATERIALIZED (""" + _ASSIGN.format(centroids="c{p}") + """),
+m{r} AS (
+  SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c
+  FROM (SELECT best[2] AS k, i, sum(x) AS s, count(*) AS n
+        FROM (SELECT rid, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM v) JOIN a{r} USING (rid) GROUP BY ALL) GROUP BY k),
+c{r} AS MATERIALIZED (SELECT c{p}.k, coalesce(m{r}.c, c{p}.c)::BIGINT[] AS c FROM c{p} LEFT JOIN m{r} USING (k)),"""
+CLUSTER_SQL = f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h) - 1 AS k, v AS c FROM (SELECT sha256('3:' || vec_id) AS h, v FROM v ORDER BY h LIMIT {CENTROIDS})),
+{''.join(_ROUND.format(r=r, p=r - 1) for r in range(1, ROUNDS + 1))}
+a AS MATERIALIZED ({_ASSIGN.format(centroids=f"c{ROUNDS}")})
+SELECT vec_id, best[2]::INTEGER AS cluster, best[1] AS distance, (sum(best[1]) OVER (PARTITION BY best[2]))::BIGINT AS cluster_inertia,
+       (sum(best[1]) OVER ())::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a JOIN v USING (rid) JOIN c{ROUNDS} ON k = best[2]
+"""
+
+
+@_register("op11_bitplane_clusters", CLUSTER_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitplane_clusters.cluster(table(spark, sf_dir, "embeddings"), k=CENTROIDS, rounds=ROUNDS)
+
+
+CONTENT_SQL = """
+WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+       row_number() OVER (PARTITION BY t ORDER BY doc_id) = 1 AS kept, sha256(t) AS text_sha256
+FROM d
+"""
+
+
+@_register("op12_content_sort", CONTENT_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return content_sort.exact_duplicates(table(spark, sf_dir, "documents"))
