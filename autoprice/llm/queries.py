@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from autoprice.llm import (bitplane_clusters, content_sort, decontaminate, huffman, license_scan, near_dup, packing,
-                           pairwise_quality, quality_rules, substring_dedup, toxicity, warc_audit)
+                           pairwise_quality, quality_rules, substring_dedup, token_alignment, toxicity, warc_audit)
 from autoprice.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -239,3 +239,8 @@ FROM d
 @_register("op12_content_sort", CONTENT_SQL)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+@_register("op13_token_alignment")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
