@@ -27,10 +27,14 @@ def hash_text(*parts: str | Column | int) -> Column:
     return F.concat_ws("-", *cols)
 
 
+def hash32(*parts: str | Column | int) -> Column:
+    """The first 32 bits of md5('p1-p2-...') as a bigint."""
+    return F.conv(F.substring(F.md5(hash_text(*parts)), 1, 8), 16, 10).cast("bigint")
+
+
 def uniform(*parts: str | Column | int) -> Column:
     """Uniform in [0, 1) from the first 32 bits of md5('p1-p2-...')."""
-    h = F.substring(F.md5(hash_text(*parts)), 1, 8)
-    return F.conv(h, 16, 10).cast("bigint") / F.lit(TWO_POW_32)
+    return hash32(*parts) / F.lit(TWO_POW_32)
 
 
 DRAWS_PER_HASH = 4

@@ -3,8 +3,9 @@
 Row position has no meaning in Spark, so every order-dependent operator takes an explicit unique
 key. Random choices come from md5 of (key, seed), so a row always falls on the same side, on every
 engine and every task retry. Operators that need an exact count (``round(n*f)`` rows, the first
-``int(0.6 n)`` rows, contiguous folds) use ``global_index``: a range-partitioned, checkpointed
-position with no single-task window.
+``int(0.6 n)`` rows, contiguous folds) find the keys at the cut ranks by radix selection
+(``selection.segments``): counting passes over the key columns, then a comparison in place, with no shuffle of rows.
+Only folds dealt round-robin need every row's position (``global_index``).
 """
 
 from __future__ import annotations
@@ -14,8 +15,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from autoprice.functions.scalar import uniform
+from autoprice.functions.scalar import hash32, uniform
 from autoprice.operators.ranking import global_index
+from autoprice.operators.selection import segments
 
 
 def top_k(df: DataFrame, by: str, k: int, tie: str | None = None, descending: bool = True) -> DataFrame:
@@ -34,15 +36,17 @@ def draw(key: str | Column, seed: int, salt: str = "s") -> Column:
     return uniform(key, F.lit(salt), seed)
 
 
+def _first_drawn(df: DataFrame, key: str, seed: int, size, out: str) -> DataFrame:
+    """``df`` with the int column ``out``: 0 for the ``size(number of rows)`` rows of the smallest draws, else 1."""
+    return segments(df, [hash32(key, F.lit("s"), seed), key], lambda n: [size(n)], out, bounds=(0, (1 << 32) - 1))[0]
+
+
 def sample_fraction(df: DataFrame, key: str, frac: float, seed: int = 42, exact: bool = False) -> DataFrame:
     """O3: rows kept with probability ``frac`` (one pass, no shuffle). With ``exact``: exactly
     ``round(n * frac)`` rows, those with the smallest draws."""
-    u = draw(key, seed)
     if not exact:
-        return df.where(u < F.lit(float(frac)))
-    idx, n = global_index(df.withColumn("_u", u), ["_u", key], "_i", with_count=True)
-    k = round(n * frac)
-    return idx.where(F.col("_i") < k).drop("_u", "_i")
+        return df.where(draw(key, seed) < F.lit(float(frac)))
+    return _first_drawn(df, key, seed, lambda n: round(n * frac), "_seg").where("_seg = 0").drop("_seg")
 
 
 def sample_rows(df: DataFrame, key: str, k: int, seed: int = 42) -> DataFrame:
@@ -54,20 +58,23 @@ def split_random(df: DataFrame, key: str, test_frac: float = 0.2, seed: int = 42
                  split_col: str = "split") -> DataFrame:
     """Seeded train / test assignment. Default: md5 threshold (one pass). ``exact``: the test
     side holds exactly ``ceil(n * test_frac)`` rows (scikit-learn's size rule)."""
-    u = draw(key, seed)
     if not exact:
-        return df.withColumn(split_col, F.when(u < F.lit(float(test_frac)), "test").otherwise("train"))
-    idx, n = global_index(df.withColumn("_u", u), ["_u", key], "_i", with_count=True)
-    k = math.ceil(n * test_frac)
-    return idx.withColumn(split_col, F.when(F.col("_i") < k, "test").otherwise("train")).drop("_u", "_i")
+        return df.withColumn(split_col, F.when(draw(key, seed) < F.lit(float(test_frac)), "test").otherwise("train"))
+    return _test_first(df, key, seed, lambda n: math.ceil(n * test_frac), split_col)
+
+
+def _test_first(df: DataFrame, key: str, seed: int, size, split_col: str) -> DataFrame:
+    d = _first_drawn(df, key, seed, size, "_seg")
+    return d.withColumn(split_col, F.when(F.col("_seg") == 0, "test").otherwise("train")).drop("_seg")
 
 
 def split_small_guarded(df: DataFrame, key: str, seed: int = 42, split_col: str = "split") -> DataFrame:
     """Test fraction ``min(0.2, 2 / n)``; fewer than 4 rows is an error."""
-    n = int(df.agg(F.count(F.lit(1))).first()[0])
-    if n < 4:
-        raise ValueError(f"not enough rows to train: {n} < 4")
-    return split_random(df, key, min(0.2, 2.0 / n), seed, exact=True, split_col=split_col)
+    def size(n: int) -> int:  # the number of rows is known from the selection's own count
+        if n < 4:
+            raise ValueError(f"not enough rows to train: {n} < 4")
+        return math.ceil(n * min(0.2, 2.0 / n))
+    return _test_first(df, key, seed, size, split_col)
 
 
 def subsample_train(df: DataFrame, key: str, split_col: str = "split", keep_frac: float = 0.5,
@@ -81,13 +88,12 @@ def split_time_ordered(df: DataFrame, order_key: str, old_frac: float = 0.6, new
                        segment_col: str = "segment") -> DataFrame:
     """``old`` = first ``max(2, int(0.6 n))`` rows in order; of the rest, the first
     ``max(1, int(0.7 n_new))`` are ``new_train`` (model B's extra training rows), the tail ``new_test``."""
-    idx, n = global_index(df, [order_key], "_i", with_count=True)
-    split_point = max(2, int(n * old_frac))
-    n_new = max(n - split_point, 0)
-    train_split = max(1, int(n_new * new_train_frac))
-    seg = (F.when(F.col("_i") < split_point, "old")
-            .when(F.col("_i") < split_point + train_split, "new_train").otherwise("new_test"))
-    return idx.withColumn(segment_col, seg).drop("_i")
+    def cuts(n: int) -> list[int]:
+        split_point = max(2, int(n * old_frac))
+        return [split_point, split_point + max(1, int(max(n - split_point, 0) * new_train_frac))]
+    d, _ = segments(df, [order_key], cuts, "_seg")
+    name = F.when(F.col("_seg") == 0, "old").when(F.col("_seg") == 1, "new_train").otherwise("new_test")
+    return d.withColumn(segment_col, name).drop("_seg")
 
 
 def union_rows(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -98,16 +104,14 @@ def union_rows(a: DataFrame, b: DataFrame) -> DataFrame:
 def kfold_assign(df: DataFrame, order_key: str, k: int = 5, fold_col: str = "fold") -> DataFrame:
     """K contiguous folds in key order, the first ``n mod k`` folds one row longer.
     Fewer than 2k rows -> ``min(2, n // 2)`` folds; fewer than 2 folds -> no fold (NULL)."""
-    idx, n = global_index(df, [order_key], "_i", with_count=True)
-    if n < 2 * k:
-        k = min(2, n // 2)
-    if k < 2:
-        return idx.withColumn(fold_col, F.lit(None).cast("int")).drop("_i")
-    q, r = divmod(n, k)
-    big = r * (q + 1)
-    i = F.col("_i")
-    fold = F.when(i < big, F.floor(i / (q + 1))).otherwise(F.lit(r) + F.floor((i - big) / q))
-    return idx.withColumn(fold_col, fold.cast("int")).drop("_i")
+    def folds(n: int) -> int:
+        return k if n >= 2 * k else min(2, n // 2)
+
+    def cuts(n: int) -> list[int]:
+        q, r = divmod(n, max(folds(n), 1))
+        return [f * q + min(f, r) for f in range(1, folds(n))]
+    d, n = segments(df, [order_key], cuts, "_seg")
+    return d.withColumn(fold_col, F.col("_seg") if folds(n) >= 2 else F.lit(None).cast("int")).drop("_seg")
 
 
 def kfold_stratified(df: DataFrame, key: str, label: str, k: int = 3, seed: int = 42,
