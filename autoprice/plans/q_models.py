@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from autoprice.operators import clean as C
 from autoprice.operators import features as FE
+from autoprice.operators import linear as LN
 from autoprice.operators import models as MD
 from autoprice.functions.scalar import uniform_sql
 from autoprice.operators.metrics import classification_metrics
@@ -67,6 +68,57 @@ def q_linear_regression(spark, sf_dir):
     return model.transform(sp.where("split = 'test'")).select("car_id", "label", F.round("prediction", 4).alias("prediction"))
 
 
+_LINEAR = ["year", "present_price", "kms_driven"]
+_KNOWN3 = """, d as (select car_id, cast(year as double) as x1, present_price as x2, cast(kms_driven as double) as x3, selling_price as y
+  from cars_raw where year is not null and present_price is not null and kms_driven is not null and selling_price is not null)"""
+
+
+@register("linear_fit", with_views(_KNOWN3 + f"""
+, fit as {_ols3_sql("d")}
+select unnest(['intercept', 'year', 'present_price', 'kms_driven']) as term, unnest([round(b0, 4), round(b1, 6), round(b2, 6), round(b3, 8)]) as weight
+from fit""", "cars_raw"))
+def q_linear_fit(spark, sf_dir):
+    m = LN.fit_linear(view(spark, sf_dir, "cars_raw"), _LINEAR, "selling_price")
+    digits = [4, 6, 6, 8]
+    return spark.createDataFrame([(t, round(w, d)) for t, w, d in zip(["intercept", *_LINEAR], [m.intercept, *m.coefficients], digits)],
+                                 "term string, weight double")
+
+
+_FOLDS = 5
+_CV_LINEAR = _KNOWN3 + f"""
+, r as (select *, row_number() over (order by car_id) - 1 as i, count(*) over () as n from d),
+f as (select *, case when i < (n % {_FOLDS}) * (n // {_FOLDS} + 1) then i // (n // {_FOLDS} + 1)
+             else n % {_FOLDS} + (i - (n % {_FOLDS}) * (n // {_FOLDS} + 1)) // (n // {_FOLDS}) end as fold from r),
+fits as ({" union all ".join(f"select {k} as fold, * from {_ols3_sql(f'(select * from f where fold <> {k})')}" for k in range(_FOLDS))}),
+e as (select f.fold, y, b0 + b1 * x1 + b2 * x2 + b3 * x3 - y as e from f join fits on f.fold = fits.fold),
+per as (select fold, count(*) as n, sqrt(avg(e * e)) as rmse, 1 - avg(e * e) / var_pop(y) as r2 from e group by fold)"""
+
+
+@register("cross_validate_linear", with_views(_CV_LINEAR + """
+select cast(fold as integer) as fold, n, round(r2, 6) as r2, round(rmse, 6) as rmse, round(avg(r2) over (), 6) as cv_r2_mean,
+  round(stddev_pop(r2) over (), 6) as cv_r2_std, round(avg(rmse) over (), 6) as cv_rmse_mean, round(stddev_pop(rmse) over (), 6) as cv_rmse_std
+from per""", "cars_raw"))
+def q_cross_validate_linear(spark, sf_dir):
+    """M4 on three features: five folds, all fits and scores from one scan."""
+    cv = LN.cross_validate_linear(view(spark, sf_dir, "cars_raw"), "car_id", _LINEAR, "selling_price", _FOLDS)
+    return cv.select("fold", "n", *[F.round(c, 6).alias(c) for c in ("r2", "rmse", "cv_r2_mean", "cv_r2_std", "cv_rmse_mean", "cv_rmse_std")])
+
+
+@register("time_ab_linear", with_views(_KNOWN3 + f"""
+, r as (select *, row_number() over (order by car_id) - 1 as i, count(*) over () as n from d),
+p as (select *, greatest(2, cast(trunc(n * 0.6) as bigint)) as sp from r),
+seg as (select *, case when i < sp then 0 when i < sp + greatest(1, cast(trunc(greatest(n - sp, 0) * 0.7) as bigint)) then 1 else 2 end as part from p),
+fits as (select 'A' as model, * from {_ols3_sql("(select * from seg where part = 0)")}
+  union all select 'B', * from {_ols3_sql("(select * from seg where part < 2)")}),
+e as (select model, y, b0 + b1 * x1 + b2 * x2 + b3 * x3 - y as e from seg join fits on (model = 'A' and part > 0) or (model = 'B' and part = 2))
+select model, case model when 'A' then (select count(*) from seg where part = 0) else (select count(*) from seg where part < 2) end as n_train,
+  count(*) as n_test, round(1 - avg(e * e) / var_pop(y), 6) as r2, round(avg(abs(e)), 6) as mae, round(sqrt(avg(e * e)), 6) as rmse
+from e group by model""", "cars_raw"))
+def q_time_ab_linear(spark, sf_dir):
+    ab = LN.time_ab_linear(view(spark, sf_dir, "cars_raw"), "car_id", _LINEAR, "selling_price")
+    return ab.select("model", "n_train", "n_test", *[F.round(c, 6).alias(c) for c in ("r2", "mae", "rmse")])
+
+
 def _url(spark, sf_dir):
     return J.url_features(view(spark, sf_dir, "url_raw"))
 
