@@ -69,17 +69,15 @@ def fit_price(clean: DataFrame, key: str = "car_id", trees: int = 50, depth: int
 
 
 def record_model(spark, registry: str, model: str, run_id: str, params: dict, metrics: DataFrame, description: str) -> int:
-    """G1 + G2 + G4 + G5: append the run's parameters and known metrics (Q4) to the run log, register the next
-    version and make it the champion (earlier champions count as archived). Returns the version."""
+    """G1 + G2 + G4 + G5 in one commit: append the run's parameters and known metrics (Q4) to the run log, register the
+    next version and make it the champion (earlier champions count as archived). Returns the version."""
     from autoprice.operators import registry as RG
     values = {k: str(v) for k, v in params.items()}
     row = metrics.select([F.col(c).cast("string").alias(c) for c in metrics.columns])
     rows = row.select("*", *[F.lit(v).alias(f"param_{k}") for k, v in values.items()])
-    log = RG.run_log_rows(rows, F.lit(run_id), {k: f"param_{k}" for k in values}, {c: c for c in metrics.columns})
-    RG.log_run(log.where(F.col("value").isNotNull()), f"{registry}/runs")
-    version = RG.register_version(spark, registry, model, run_id, description)
-    RG.set_alias(spark, registry, model, "champion", version)
-    return version
+    run = RG.run_log_rows(rows, F.lit(run_id), {k: f"param_{k}" for k in values}, {c: c for c in metrics.columns}, model=F.lit(model))
+    run = run.where(F.col("value").isNotNull()).checkpoint()
+    return RG.register_version(spark, registry, model, run_id, description, alias="champion", run=run)
 
 
 def train_price(clean: DataFrame, key: str = "car_id", test_frac: float = 0.2, seed: int = 42,
@@ -219,13 +217,13 @@ def ab_test_url(pages: DataFrame, spark, key: str = "page_id", sample_frac: floa
     if registry:
         decision = decision.checkpoint()
         kept = ["precision", "recall", "f1", "auc"]
-        for m in ("prod", "cand"):
-            rows = metrics.where(F.col("model") == m).select(*kept).withColumn("candidate", F.lit(str(m == "cand")))
-            RG.log_run(RG.run_log_rows(rows, F.lit(f"{run_id}-{m}"), {"candidate": "candidate"}, {c: c for c in kept})
-                       .where(F.col("value").isNotNull()), f"{registry}/runs")
-        version = RG.register_version(spark, registry, "url", f"{run_id}-cand", "URL forest of the parameter search", "Staging")
-        if decision.first().decision == AB.DECISION_DEPLOY:
-            RG.set_alias(spark, registry, "url", "champion", version)
+        logged = [RG.run_log_rows(metrics.where(F.col("model") == m).select(*kept).withColumn("candidate", F.lit(str(m == "cand"))),
+                                  F.lit(f"{run_id}-{m}"), {"candidate": "candidate"}, {c: c for c in kept}, model=F.lit("url"))
+                  for m in ("prod", "cand")]
+        run = logged[0].unionByName(logged[1]).where(F.col("value").isNotNull()).checkpoint()
+        deployed = decision.first().decision == AB.DECISION_DEPLOY
+        RG.register_version(spark, registry, "url", f"{run_id}-cand", "URL forest of the parameter search", "Staging",
+                            alias="champion" if deployed else None, run=run)
     return decision, comp, metrics
 
 

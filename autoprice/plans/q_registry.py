@@ -14,30 +14,30 @@ _ALIAS_SQL = ("case when stage = 'Production' then 'champion' when stage = 'Stag
 
 
 def _run_log(spark, sf_dir):
-    """Two appends to the run-log table: every run, then the runs of even versions again, an hour later and
+    """Two appends to the run log, partitioned by model: every run, then the runs of even versions again, an hour later and
     with r2 raised by one; read back as one table."""
     mv = view(spark, sf_dir, "model_versions")
     run_id = F.concat_ws("-", "model_name", F.col("version").cast("string"))
-    path = scratch_dir(spark, "run-log") + "/runs"
+    path = scratch_dir(spark, "run-log")
 
     def rows(d, at):
         d = d.withColumn("r2_txt", F.format_string("%.6f", "r2")).withColumn("r2_pct_txt", F.format_string("%.6f", F.col("r2") * 100))
-        return RG.run_log_rows(d, run_id, {"stage": "stage"}, {"r2": "r2_txt", "r2_pct": "r2_pct_txt"}, F.lit(at))
+        return RG.run_log_rows(d, run_id, {"stage": "stage"}, {"r2": "r2_txt", "r2_pct": "r2_pct_txt"}, F.lit(at), F.col("model_name"))
 
     RG.log_run(rows(mv, "2024-01-01 00:00:00"), path)
     RG.log_run(rows(mv.where("version % 2 = 0").withColumn("r2", F.col("r2") + 1), "2024-01-01 01:00:00"), path)
-    return spark.read.parquet(path)
+    return RG.runs(spark, path)
 
 
 _LOG_SQL = """
 , src as (select *, '2024-01-01 00:00:00' as logged_at from model_versions
   union all select * replace (r2 + 1 as r2), '2024-01-01 01:00:00' from model_versions where version % 2 = 0),
-lg as (select model_name || '-' || cast(version as varchar) as run_id, 'param' as kind, 'stage' as name, stage as value, logged_at from src
-  union all select model_name || '-' || cast(version as varchar), 'metric', 'r2', printf('%.6f', r2), logged_at from src
-  union all select model_name || '-' || cast(version as varchar), 'metric', 'r2_pct', printf('%.6f', r2 * 100), logged_at from src)"""
+lg as (select model_name, model_name || '-' || cast(version as varchar) as run_id, 'param' as kind, 'stage' as name, stage as value, logged_at from src
+  union all select model_name, model_name || '-' || cast(version as varchar), 'metric', 'r2', printf('%.6f', r2), logged_at from src
+  union all select model_name, model_name || '-' || cast(version as varchar), 'metric', 'r2_pct', printf('%.6f', r2 * 100), logged_at from src)"""
 
 
-@register("log_run", with_views(_LOG_SQL + "\nselect run_id, kind, name, value, logged_at from lg", "model_versions"))
+@register("log_run", with_views(_LOG_SQL + "\nselect model_name, run_id, kind, name, value, logged_at from lg", "model_versions"))
 def q_log_run(spark, sf_dir):
     return _run_log(spark, sf_dir).withColumn("logged_at", F.date_format("logged_at", "yyyy-MM-dd HH:mm:ss"))
 
@@ -49,6 +49,30 @@ def q_register_version(spark, sf_dir):
     return RG.next_versions(view(spark, sf_dir, "model_versions"))
 
 
+@register("registry_versions", with_views("""
+, b as (select model_name, version as key, r2, case when version % 2 = 0 then 1 else 2 end as batch from model_versions),
+v as (select *, row_number() over (partition by model_name order by batch, key) as version from b),
+w as (select model_name, max(version) as last, max_by(version, (r2, version)) as best from v group by model_name)
+select v.model_name, version, 'run-' || cast(key as varchar) as run_id,
+  case when version = last then 'Production' when version = best then 'Archived' else 'None' end as stage
+from v join w on v.model_name = w.model_name""", "model_versions"))
+def q_registry_versions(spark, sf_dir):
+    """Four commits: half of the runs become versions, then the other half; the best version of each model becomes champion,
+    then the last one; the tables are compacted, and the registry's versions are read with their stages."""
+    mv = view(spark, sf_dir, "model_versions").select("model_name", F.col("version").alias("key"), "r2")
+    path = scratch_dir(spark, "registry")
+    rows = mv.select("model_name", "key", F.concat(F.lit("run-"), F.col("key").cast("string")).alias("run_id"),
+                     F.lit("").alias("description"), F.lit("None").alias("stage"))
+    RG.register_versions(spark, path, rows.where("key % 2 = 0"), ["key"], "2024-01-01")
+    RG.register_versions(spark, path, rows.where("key % 2 <> 0"), ["key"], "2024-01-02")
+    known = RG.versions(spark, path).join(rows.select("model_name", "run_id", "key"), ["model_name", "run_id"]).join(mv, ["model_name", "key"])
+    champion = lambda d: d.select("model_name", F.lit("champion").alias("alias"), "version")
+    RG.set_aliases(spark, path, champion(known.groupBy("model_name").agg(F.max_by("version", F.struct("r2", "version")).alias("version"))), "2024-01-03")
+    RG.set_aliases(spark, path, champion(RG.latest_versions(RG.versions(spark, path))), "2024-01-04")
+    RG.registry_log(spark, path).compact()
+    return RG.versions(spark, path).select("model_name", "version", "run_id", "stage")
+
+
 @register("latest_version", with_views(
     "select model_name, max(version) as version, max_by(r2, version) as r2, max_by(stage, version) as stage "
     "from model_versions group by model_name", "model_versions"))
