@@ -35,6 +35,8 @@ URL_LABELS = {"bad": 1, "good": 0}
 # feature limit" maps to "all").
 URL_GRID = {"numTrees": [30, 40], "maxDepth": [8, 10], "minInstancesPerNode": [1, 2],
             "featureSubsetStrategy": ["sqrt", "log2", "all"]}
+# The whole grid, for the forests that know a minimum of samples per split (``operators.forest``).
+URL_GRID_FULL = {"trees": [30, 40], "depth": [8, 10], "min_split": [2, 5], "min_leaf": [1, 2], "max_features": ["sqrt", "log2", None]}
 
 
 def price_pipeline(train: DataFrame, trees: int = 50, depth: int = 8, seed: int = 42, scale: bool = True):

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from autoprice.operators import clean as C
 from autoprice.operators import features as FE
+from autoprice.operators import forest as FO
 from autoprice.operators import linear as LN
 from autoprice.operators import models as MD
 from autoprice.functions.scalar import uniform_sql
 from autoprice.operators.metrics import classification_metrics
-from autoprice.operators.split import split_random
+from autoprice.operators.split import kfold_stratified, split_random
 from autoprice.plans import jobs as J
 from autoprice.plans.fixtures import view, with_views
 from autoprice.plans.q_clean import _J2_SQL
@@ -221,3 +222,73 @@ def q_train_url(spark, sf_dir):
     ok = F.col("precision").between(0, 1) & F.col("recall").between(0, 1) & F.col("f1").between(0, 1)
     return m.select((F.col("tp") + F.col("fn")).alias("positives"),
                     (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("n_test"), ok.alias("in_range"))
+
+
+# ------------------------------------------------------------------ trees with a minimum of samples per split
+
+_TREE = ["year", "owner", "automatic"]
+_TREE_ROWS = """, d as (select car_id, cast(year as double) as x0, cast(owner as double) as x1, case transmission when 'Automatic' then 1e0 else 0e0 end as x2,
+  selling_price as y from cars_raw where year is not null and selling_price is not null)"""
+
+
+def _tree_split_sql(name: str, src: str) -> str:
+    """The best squared-error split of each node (column ``node``) of ``src``: feature, midpoint threshold, smallest first on ties."""
+    return f"""{name}_v as (select node, f, v, count(*) as n, sum(y) as s from (
+    select node, unnest([0, 1, 2]) as f, unnest([x0, x1, x2]) as v, y from {src}) group by all),
+{name}_c as (select *, sum(n) over w as nl, sum(s) over w as sl, sum(n) over p as na, sum(s) over p as sa, lead(v) over (partition by node, f order by v) as nv
+  from {name}_v window w as (partition by node, f order by v), p as (partition by node, f)),
+{name} as (select node, min_by(f, (-round(sl * sl / nl + (sa - sl) * (sa - sl) / (na - nl), 3), f, v)) as f,
+  min_by((v + nv) / 2, (-round(sl * sl / nl + (sa - sl) * (sa - sl) / (na - nl), 3), f, v)) as t from {name}_c where nv is not null group by node)"""
+
+
+def _tree_df(spark, sf_dir):
+    d = view(spark, sf_dir, "cars_raw").where("year is not null and selling_price is not null")
+    x = F.array(F.col("year").cast("double"), F.col("owner").cast("double"), F.when(F.col("transmission") == "Automatic", 1.0).otherwise(0.0))
+    return d.select("car_id", x.alias("features"), F.col("selling_price").alias("label"))
+
+
+@register("tree_regressor", with_views(_TREE_ROWS + f"""
+, s0 as (select *, 1 as node, count(*) over () as n from d), {_tree_split_sql("b0", "s0")},
+s1 as (select s0.* exclude (node, n), 2 + cast((case f when 0 then x0 when 1 then x1 else x2 end) > t as integer) as node from s0, b0),
+z1 as (select *, count(*) over (partition by node) as nn from s1),
+m1 as (select max(nn) as limit_rows from z1), {_tree_split_sql("b1", "(select * from z1, m1 where nn >= limit_rows)")},
+s2 as (select z1.*, case when b1.f is null then z1.node
+    else z1.node * 2 + cast((case b1.f when 0 then x0 when 1 then x1 else x2 end) > b1.t as integer) end as leaf from z1 left join b1 on z1.node = b1.node)
+select car_id, y as label, round(avg(y) over (partition by leaf), 6) as prediction from s2""", "cars_raw"))
+def q_tree_regressor(spark, sf_dir):
+    """M1, one tree of two levels over all rows, without draws: ``min_split`` is set so that only the larger child of the root may
+    be split again."""
+    d = _tree_df(spark, sf_dir)
+    root = FO.fit_forest(d, "car_id", trees=1, depth=1, bootstrap=False).trees[0]
+    tree = FO.fit_forest(d, "car_id", trees=1, depth=2, min_split=max(root.rows[1:]), bootstrap=False)
+    return tree.transform(d).select("car_id", "label", F.round("prediction", 6).alias("prediction"))
+
+
+def _arrays(df):
+    from pyspark.ml.functions import vector_to_array
+    return df.withColumn("features", vector_to_array("features"))
+
+
+@register("forest_regressor")
+def q_forest_regressor(spark, sf_dir):
+    """M1: 50 trees of depth 8 with at least four rows to split, on the numeric and encoded car features; test predictions."""
+    sp = _arrays(_assembled(spark, sf_dir))
+    model = FO.fit_forest(sp.where("split = 'train'"), "car_id", trees=50, depth=8, min_split=4)
+    return model.transform(sp.where("split = 'test'")).select("car_id", "label", "prediction")
+
+
+@register("forest_classifier")
+def q_forest_classifier(spark, sf_dir):
+    """M3: 35 trees of depth 9 on character counts; test predictions."""
+    train, test = (_arrays(d) for d in _url(spark, sf_dir))
+    model = FO.fit_forest(train, "page_id", classes=2, trees=35, depth=9, max_features="sqrt")
+    return model.transform(test).select("page_id", "label", "prediction")
+
+
+@register("random_search_full")
+def q_random_search_full(spark, sf_dir):
+    """M5: all 48 points of the grid with their mean F1 over three class-balanced folds, the best of them marked."""
+    train, _ = _url(spark, sf_dir)
+    train = _arrays(kfold_stratified(train, "page_id", "label", 3, 42))
+    _, table = FO.search(train, "page_id", J.URL_GRID_FULL, folds=3, draws_=50)
+    return table
