@@ -7,7 +7,7 @@ groups. Links are counted by id pair over the corpus, weighted by multiplicity,
 the corpus-wide counts of its own pairs, so:
 
 1. A task aligns its distinct texts in blocks of BLOCK bytes. A block is one row: its texts' keys and counts, its
-   distinct id pairs with their weighted counts, and each link as a number of such a pair (byte planes, zstd).
+   distinct id pairs with their weighted counts, and numbers of units and pairs (below) by which to find a text's links again.
 2. (block, pair, count) is summed by pair; a join with the highest count by B id marks the best pairs.
 3. The sums go back to the blocks that asked for them by a join on the pair. A block has a pair once, so
    a frequent pair weighs no more than the number of blocks. Each block meets its own pairs' counts (a cogroup by block)
@@ -17,12 +17,15 @@ the corpus-wide counts of its own pairs, so:
 
 Nothing grows with the corpus in one place: no pair table is broadcast or collected.
 
-A text longer than CHUNK characters is encoded in chunks cut at a single space between two letters or digits. Neither
-vocabulary has a token across such a place, A's tokens keep the space in front of them, and B puts one there.
+Within a block, texts are cut into units at each single space between two characters that are surely no white space. Neither
+vocabulary has a token across such a place, A's tokens keep the space in front of them, and B puts one there, so a text's tokens,
+groups and links are those of its units in order. A unit that a block has several times is encoded and aligned once. New units are
+encoded many at a time, joined by spaces, and their tokens dealt by byte offsets. A unit that begins or ends otherwise (with white space, or a
+character that might be) is encoded alone.
 
 Defined cases: null and empty texts, and those whose tokens' bytes do not join to a space and the text (as for a
 text with U+2581), have zeros and the digest ''; rows that repeat an id are rows of their own; an empty table gives
-no rows; other columns are ignored. A text without any cutting place is encoded whole, whatever its length.
+no rows; other columns are ignored. A text without any cutting place is one unit, whatever its length.
 """
 
 from __future__ import annotations
@@ -37,27 +40,40 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from autoprice.llm.common import materialise
+from autoprice.llm.textcore import utf8
 
 BLOCK = 8 << 20   # bytes of text to a block, at least one text
-SLICE = 1 << 18   # bytes of text worked on at a time, at least one text
-CHUNK = 1 << 16   # characters
+JOIN = 1 << 16    # bytes of units to one call of a library
 HOT = 1000        # texts of more than N / HOT documents are broadcast: fewer than HOT of them
 
 _MEASURES = ("n_a", "n_b", "n_groups", "n_links")
 
+# Bytes that begin a character that is no white space under any definition: printable ASCII, two-byte letters and
+# signs from U+00C0, and three-byte characters from U+4000 to U+DFFF.
+_SOLID = np.zeros(256, bool)
+_SOLID[0x21:0x7F] = _SOLID[0xC3:0xE0] = _SOLID[0xE4:0xEE] = True
 
-def chunks(text: str, size: int) -> list[str]:
-    """``text`` cut at single spaces between two letters or digits, each cut ``size`` characters or more after the last."""
-    out, at = [], 0
-    while len(text) - at > size:
-        cut = text.find(" ", at + size)
-        while cut >= 0 and not (text[cut - 1].isalnum() and text[cut + 1:cut + 2].isalnum()):
-            cut = text.find(" ", cut + 1)
-        if cut < 0:
-            break
-        out.append(text[at:cut])
-        at = cut + 1
-    return [*out, text[at:]]
+
+def _solid_before(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the character that ends before each place (not at a text's begin) is surely no white space."""
+    one, two, three = (buf[np.maximum(at - k, 0)] for k in (1, 2, 3))
+    tail = lambda b: (b & 0xC0) == 0x80
+    return (one < 0x80) & _SOLID[one] | tail(one) & ((two >= 0xC3) & (two < 0xE0) | tail(two) & (three >= 0xE4) & (three < 0xEE))
+
+
+def units(buf: np.ndarray, off: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The units of non-empty texts (bytes with row offsets from 0), and each text's first unit (and one more)."""
+    at = np.flatnonzero(buf == 32)
+    edge = np.zeros(len(buf) + 1, bool)
+    edge[off] = True
+    at = at[~edge[at] & ~edge[at + 1]]
+    cut = at[_SOLID[buf[at + 1]] & _solid_before(buf, at)]
+    begin = np.union1d(off[:-1], cut + 1)
+    kept = np.ones(len(buf), bool)
+    kept[cut] = False
+    first = np.append(begin - np.searchsorted(cut, begin), len(buf) - len(cut)).astype(np.int32)
+    return (pa.StringArray.from_buffers(len(begin), pa.py_buffer(first), pa.py_buffer(np.ascontiguousarray(buf[kept]))),
+            np.searchsorted(begin, off))
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -79,14 +95,36 @@ class Side:
     def encode(self, texts: list[str]) -> list[list[int]]:
         raise NotImplementedError
 
-    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts in order, number of ids by text); long texts in chunks."""
-        parts = [chunks(t, CHUNK) if len(t) > CHUNK else [t] for t in texts]
-        got = self.encode([c for p in parts for c in p])
-        n = np.fromiter(map(len, got), np.int64, len(got))
-        flat = np.fromiter((i for g in got for i in g), np.int64, int(n.sum()))
-        ends = np.cumsum([0, *map(len, parts)])
-        return flat, np.diff(np.concatenate([[0], np.cumsum(n)])[ends])
+    def ids(self, words: list[str], size: np.ndarray, plain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all units in order, number of ids by unit). ``size``: bytes with the space before; ``plain``: may be joined."""
+        runs, alone, n = [], np.flatnonzero(~plain).tolist(), np.zeros(len(words), np.int64)
+        some = np.flatnonzero(plain)
+        part = np.cumsum(size[some]) // JOIN
+        runs = np.split(some, np.flatnonzero(np.diff(part)) + 1) if len(some) else []
+        flat: list[np.ndarray] = []
+        order: list[np.ndarray] = []
+        for k in range(0, len(runs), 8):
+            for run, got in zip(runs[k:k + 8], self.encode([" ".join([words[i] for i in r.tolist()]) for r in runs[k:k + 8]])):
+                got = np.array(got, np.int64)
+                ends = np.cumsum(self.length[got])
+                want = np.cumsum(size[run])
+                cut = np.searchsorted(ends, want)
+                if len(ends) and ends[-1] == want[-1] and (ends[cut] == want).all():
+                    n[run] = np.diff(cut + 1, prepend=0)
+                    flat.append(got)
+                    order.append(run)
+                else:  # some unit's tokens have other bytes: which one shows when each is encoded alone
+                    alone += run.tolist()
+        for k in range(0, len(alone), 512):
+            got = self.encode([words[i] for i in alone[k:k + 512]])
+            n[alone[k:k + 512]] = [len(g) for g in got]
+            flat += [np.array(g, np.int64) for g in got]
+            order.append(np.array(alone[k:k + 512]))
+        given = np.concatenate([*order, np.zeros(0, np.int64)]).astype(np.int64)
+        ids = np.concatenate([*flat, np.zeros(0, np.int64)])
+        first = np.zeros(len(words), np.int64)
+        first[given] = np.cumsum(n[given]) - n[given]
+        return ids[np.repeat(first - np.cumsum(n) + n, n) + np.arange(len(ids))], n
 
     def joined(self, ids: np.ndarray) -> np.ndarray:
         """The bytes of ``ids``, joined."""
@@ -125,54 +163,62 @@ class Pieces(Side):
 
 
 class Aligner:
-    """``align(texts)``: measures by text, and the links of all texts in order as A id * (size of B) + B id."""
+    """``align(words)``: of distinct units, which are good (their tokens' bytes join to a space and the unit), their measures, their groups as
+    text, and their links in order as A id * (size of B) + B id."""
 
     def __init__(self, a: Side, b: Side) -> None:
         self.a, self.b, self.size_b = a, b, len(b.length)
         self._written = [f"{i}{end}" for i in range(max(len(a.length), len(b.length))) for end in (",", "|", ";", "")]
 
-    def align(self, texts: list[str]) -> tuple[dict[str, np.ndarray], list[str], np.ndarray]:
-        want = [t.encode() for t in texts]
-        size = np.array([len(w) + 1 for w in want], np.int64)
-        ids, count, good = [], [], np.array([len(w) > 0 for w in want])
+    def align(self, words: pa.Array) -> tuple[np.ndarray, dict[str, np.ndarray], list[str], np.ndarray]:
+        buf, off = utf8(words)
+        buf, off = buf[off[0]:off[-1]], off - off[0]
+        size, texts = np.diff(off) + 1, words.to_pylist()
+        plain = _SOLID[buf[off[:-1]]] & _solid_before(buf, off[1:])
+        ids, count, good = [], [], np.ones(len(words), bool)
         for side in (self.a, self.b):
-            x, n = side.ids(texts)
-            of = np.repeat(np.arange(len(texts)), n)
-            good &= np.bincount(of, side.length[x], len(texts)).astype(np.int64) == size
+            x, n = side.ids(texts, size, plain)
+            good &= np.bincount(np.repeat(np.arange(len(n)), n), side.length[x], len(n)).astype(np.int64) == size
             ids.append(x)
             count.append(n)
+        spaced = np.insert(buf, off[:-1], 32)
         for k, side in enumerate((self.a, self.b)):  # those of equal length are compared byte by byte
             if good.any():
-                x = ids[k][np.repeat(good, count[k])]
-                text = np.frombuffer(b"".join(b" " + w for w, g in zip(want, good) if g), np.uint8)
                 first = np.cumsum(size[good]) - size[good]
-                differs = np.add.reduceat(side.joined(x) != text, first) > 0
+                differs = np.logical_or.reduceat(side.joined(ids[k][np.repeat(good, count[k])]) != spaced[np.repeat(good, size)], first)
                 good[np.flatnonzero(good)[differs]] = False
         for k in (0, 1):
             ids[k] = ids[k][np.repeat(good, count[k])]
             count[k] = np.where(good, count[k], 0)
-        out = {"n_a": count[0], "n_b": count[1]}
         (a, b), ends = ids, np.cumsum(np.where(good, size, 0))
         end_a, end_b = np.cumsum(self.a.length[a]), np.cumsum(self.b.length[b])
         cut = np.union1d(end_a, end_b)
         at_a, at_b = np.searchsorted(end_a, cut), np.searchsorted(end_b, cut)
         both = cut[(end_a[at_a] == cut) & (end_b[at_b] == cut)] if len(cut) else cut
+        out = {"n_a": count[0], "n_b": count[1]}
         for name, where in (("n_links", cut), ("n_groups", both)):
             out[name] = np.diff(np.searchsorted(where, ends, side="right"), prepend=0)
-        return out, self._digests(a, b, end_a, end_b, both, ends, count), a[at_a] * self.size_b + b[at_b]
+        return good, out, self._groups(a, b, end_a, end_b, both, ends, count), a[at_a] * self.size_b + b[at_b]
 
-    def _digests(self, a, b, end_a, end_b, both, ends, count) -> list[str]:
-        """SHA-256 of each text's groups, written ``a1,a2|b1;a3|b2,b3``."""
+    def _groups(self, a, b, end_a, end_b, both, ends, count) -> list[str]:
+        """Each unit's groups, written ``a1,a2|b1;a3|b2,b3``."""
         group_a, group_b = np.searchsorted(both, end_a), np.searchsorted(both, end_b)
         token = np.zeros(len(a) + len(b), np.int64)
         last_a, last_b = (both[g] == e if len(both) else g for g, e in ((group_a, end_a), (group_b, end_b)))
-        stop = np.isin(end_b, ends)
         token[np.arange(len(a)) + np.searchsorted(group_b, group_a)] = 4 * a + last_a
-        token[np.arange(len(b)) + np.searchsorted(group_a, group_b, side="right")] = 4 * b + np.where(stop, 3, 2 * last_b)
+        token[np.arange(len(b)) + np.searchsorted(group_a, group_b, side="right")] = 4 * b + np.where(np.isin(end_b, ends), 3, 2 * last_b)
         text, written = token.tolist(), self._written
         bound = np.concatenate([[0], np.cumsum(count[0] + count[1])]).tolist()
-        return [hashlib.sha256("".join([written[t] for t in text[i:j]]).encode()).hexdigest() if j > i else ""
-                for i, j in zip(bound, bound[1:])]
+        return ["".join([written[t] for t in text[i:j]]) for i, j in zip(bound, bound[1:])]
+
+
+def _sums(values: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Sums of consecutive runs of ``n`` values (0 for none)."""
+    out = np.zeros(len(n), np.int64)
+    some = np.flatnonzero(n)
+    if len(some):
+        out[some] = np.add.reduceat(values.astype(np.int64), (np.cumsum(n) - n)[some])
+    return out
 
 
 def pack_codes(codes: np.ndarray) -> bytes:
@@ -189,51 +235,70 @@ def unpack_codes(data: bytes, n: int) -> np.ndarray:
 
 
 _BLOCKS = ("block long, keys array<binary>, copies array<long>, digests array<string>, "
-           + ", ".join(f"{m} array<long>" for m in _MEASURES) + ", pairs array<long>, counts array<long>, codes binary")
-
-
-def _block_row(number: int, parts: list) -> pa.RecordBatch:
-    """One row of _BLOCKS of some slices: (keys, copies, measures, digests, pairs, places among them)."""
-    pairs = np.unique(np.concatenate([p[4] for p in parts]))
-    codes = [np.searchsorted(pairs, p[4])[p[5]] for p in parts]
-    counts = np.zeros(len(pairs), np.int64)
-    for p, c in zip(parts, codes):
-        counts += np.bincount(c, np.repeat(p[1], p[2]["n_links"]), len(pairs)).astype(np.int64)
-    often = np.argsort(-counts, kind="stable")  # frequent pairs first: small numbers, which compress well
-    place = np.empty(len(often), np.int64)
-    place[often] = np.arange(len(often))
-    lists = [sum((p[0] for p in parts), []), np.concatenate([p[1] for p in parts]).tolist(), sum((p[3] for p in parts), [])]
-    lists += [np.concatenate([p[2][m] for p in parts]).tolist() for m in _MEASURES]
-    lists += [pairs[often], counts[often]]
-    kinds = [pa.binary(), pa.int64(), pa.string(), *[pa.int64()] * (len(_MEASURES) + 2)]
-    columns = [pa.ListArray.from_arrays([0, len(x)], pa.array(x, k)) for x, k in zip(lists, kinds)]
-    names = ["keys", "copies", "digests", *_MEASURES, "pairs", "counts"]
-    return pa.RecordBatch.from_arrays([pa.array([number]), *columns, pa.array([pack_codes(place[np.concatenate(codes)])], pa.binary())],
-                                      ["block", *names, "codes"])
+           + ", ".join(f"{m} array<long>" for m in _MEASURES)
+           + ", text_units array<long>, units binary, unit_links array<long>, links binary, pairs array<long>, counts array<long>")
+
+
+def _by_frequency(codes: np.ndarray, size: int) -> np.ndarray:
+    """The new number of each code, frequent ones first: small numbers compress well."""
+    place = np.empty(size, np.int64)
+    place[np.argsort(-np.bincount(codes, minlength=size), kind="stable")] = np.arange(size)
+    return place
+
+
+def _block_row(aligner: Aligner, number: int, batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """One row of _BLOCKS of some texts."""
+    t = pa.Table.from_batches(batches).combine_chunks()
+    buf, off = utf8(t.column("text"))
+    copies = np.asarray(t.column("copies"))
+    words, first = units(buf[off[0]:off[-1]], off - off[0])
+    coded = words.dictionary_encode()
+    code, n_units = np.asarray(coded.indices).astype(np.int64), np.diff(first)
+    good, measures, groups, links = aligner.align(coded.dictionary)
+    whole = np.logical_and.reduceat(good[code], first[:-1])
+    sums = {m: np.where(whole, _sums(measures[m][code], n_units), 0) for m in _MEASURES}
+    bound = first.tolist()
+    digests = [hashlib.sha256(";".join([groups[u] for u in code[i:j].tolist()]).encode()).hexdigest() if ok else ""
+               for i, j, ok in zip(bound, bound[1:], whole.tolist())]
+    code, n_units = code[np.repeat(whole, n_units)], np.where(whole, n_units, 0)
+    times = np.bincount(code, np.repeat(copies, n_units), len(good))
+    pairs, link = np.unique(links, return_inverse=True)
+    counts = np.bincount(link, np.repeat(times, measures["n_links"]), len(pairs)).astype(np.int64)
+    unit_place, pair_place = _by_frequency(code, len(good)), _by_frequency(link, len(pairs))
+    in_order = np.argsort(unit_place)
+    n_links, start = measures["n_links"], np.cumsum(measures["n_links"]) - measures["n_links"]
+    moved = n_links[in_order]
+    link = link[np.repeat(start[in_order] - np.cumsum(moved) + moved, moved) + np.arange(len(link))]
+    at = np.argsort(pair_place)
+    lists = [(t.column("key").to_pylist(), pa.binary()), (copies, pa.int64()), (digests, pa.string()), *((sums[m], pa.int64()) for m in _MEASURES),
+             (n_units, pa.int64()), (moved, pa.int64()), (pairs[at], pa.int64()), (counts[at], pa.int64())]
+    columns = dict(zip(["keys", "copies", "digests", *_MEASURES, "text_units", "unit_links", "pairs", "counts"],
+                       (pa.ListArray.from_arrays([0, len(x)], pa.array(x, k)) for x, k in lists)))
+    columns |= {"block": pa.array([number]), "units": pa.array([pack_codes(unit_place[code])], pa.binary()),
+                "links": pa.array([pack_codes(pair_place[link])], pa.binary())}
+    names = [c.split()[0] for c in _BLOCKS.split(", ")]
+    return pa.RecordBatch.from_arrays([columns[n] for n in names], names)
 
 
 def _align_texts(path_a: str, path_b: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         number = TaskContext.get().partitionId() << 32
-        aligner, parts, held = None, [], 0
+        aligner, held, size = None, [], 0
         for batch in batches:
-            size = np.asarray(batch.column("size"))
-            begin = 0
+            ends, begin = np.cumsum(np.asarray(batch.column("size"))), 0
             while begin < batch.num_rows:
-                end = max(begin + 1, begin + int(np.searchsorted(np.cumsum(size[begin:]), SLICE, side="right")))
-                rows = batch.slice(begin, end - begin)
                 aligner = aligner or Aligner(ByteLevel(path_a), Pieces(path_b))
-                measures, digests, links = aligner.align(rows.column("text").to_pylist())
-                pairs, place = np.unique(links, return_inverse=True)
-                parts.append((rows.column("key").to_pylist(), np.asarray(rows.column("copies")), measures, digests, pairs, place.astype(np.int32)))
-                held += int(size[begin:end].sum())
+                done = int(ends[begin - 1]) if begin else 0
+                end = min(batch.num_rows, begin + 1 + int(np.searchsorted(ends[begin:], done + BLOCK - size)))
+                held.append(batch.slice(begin, end - begin))
+                size += int(ends[end - 1]) - done
                 begin = end
-                if held >= BLOCK:
-                    yield _block_row(number, parts)
-                    number, parts, held = number + 1, [], 0
-        if parts:
-            yield _block_row(number, parts)
+                if size >= BLOCK:
+                    yield _block_row(aligner, number, held)
+                    number, held, size = number + 1, [], 0
+        if held:
+            yield _block_row(aligner, number, held)
     return run
 
 
@@ -259,17 +324,13 @@ def _measure(asked: pa.Table, blocks: pa.Table) -> pa.Table:
     """Measures of the texts of one block from its pairs' counts."""
     row = blocks.slice(0, 1).combine_chunks()
     value = lambda name: row.column(name).chunk(0).flatten()
-    n_links = np.asarray(value("n_links"))
     count, best = np.zeros(len(asked), np.int64), np.zeros(len(asked), bool)
     at = np.asarray(asked.column("i"))
     count[at], best[at] = np.asarray(asked.column("count")), np.asarray(asked.column("best"))
-    codes = unpack_codes(row.column("codes")[0].as_py(), int(n_links.sum()))
-    ends = np.concatenate([[0], np.cumsum(n_links)])
-    n_best, total = np.zeros(len(n_links), np.int64), np.zeros(len(n_links), np.int64)
-    some = np.flatnonzero(n_links)
-    if len(some):
-        n_best[some] = np.add.reduceat(best[codes].astype(np.int64), ends[some])
-        total[some] = np.add.reduceat(count[codes], ends[some])
+    unit_links, text_units = np.asarray(value("unit_links")), np.asarray(value("text_units"))
+    links = unpack_codes(row.column("links")[0].as_py(), int(unit_links.sum()))
+    code = unpack_codes(row.column("units")[0].as_py(), int(text_units.sum()))
+    n_best, total = (_sums(_sums(x[links], unit_links)[code], text_units) for x in (best, count))
     return pa.table([value("keys"), value("copies"), *[value(m) for m in _MEASURES], n_best, total, value("digests")],
                     ["key", "copies", *_MEASURES, "n_best", "count_sum", "groups_sha256"])
 
@@ -277,7 +338,7 @@ def _measure(asked: pa.Table, blocks: pa.Table) -> pa.Table:
 def text_measures(blocks: DataFrame, counts: DataFrame) -> DataFrame:
     """(key, copies, measures) of each distinct text, as a written table."""
     asked = blocks.select("block", F.posexplode("pairs").alias("i", "pair")).join(counts, "pair").select("block", "i", "count", "best")
-    own = blocks.select(F.col("block").alias("of"), "keys", "copies", "digests", *_MEASURES, "codes")
+    own = blocks.select(F.col("block").alias("of"), "keys", "copies", "digests", *_MEASURES, "text_units", "units", "unit_links", "links")
     out = "key binary, copies long, " + ", ".join(f"{m} long" for m in _MEASURES) + ", n_best long, count_sum long, groups_sha256 string"
     return materialise(asked.groupBy("block").cogroup(own.groupBy("of")).applyInArrow(_measure, out), "text-measures")
 

@@ -82,8 +82,8 @@ def test_documents_equal_whole_encoding(spark, monkeypatch):
     for c in ("key", "id", "m", "block", "pair", "count", "n_a", "copies"):
         df = df.selectExpr("*", f"'z' AS {c}")
     want = plain(rows)
-    for block, piece, chunk, hot in ((8 << 20, 1 << 18, 1 << 16, 1000), (3000, 500, 40, 5)):
-        for name, v in (("BLOCK", block), ("SLICE", piece), ("CHUNK", chunk), ("HOT", hot)):
+    for block, join, hot in ((8 << 20, 1 << 16, 1000), (3000, 200, 5)):
+        for name, v in (("BLOCK", block), ("JOIN", join), ("HOT", hot)):
             monkeypatch.setattr(A, name, v)
         assert got(df) == want
 
@@ -105,6 +105,16 @@ def test_no_piece_crosses_a_cutting_place():
     assert all("▁" not in p.lstrip("▁") for p in pieces)
 
 
+def test_units_cut_at_single_spaces_between_solid_characters():
+    import numpy as np
+    texts = ["one two", "a  b", " x y ", "é ü 日 本", "a\u3000 b", "a \u3000b", "x. y, (z) w", "a\n b c", "\u00a0 d e", "▁ f g", "no"]
+    raw = [t.encode() for t in texts]
+    words, first = A.units(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    got = [words.to_pylist()[i:j] for i, j in zip(first, first[1:])]
+    assert got == [["one", "two"], ["a  b"], [" x", "y "], ["é", "ü", "日", "本"], ["a\u3000 b"], ["a \u3000b"], ["x.", "y,", "(z)", "w"],
+                   ["a\n b", "c"], ["\u00a0 d", "e"], ["▁ f", "g"], ["no"]]
+
+
 def test_codes_round_trip():
     import numpy as np
     x = np.random.default_rng(1).integers(0, 1 << 20, 1000)
