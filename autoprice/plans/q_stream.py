@@ -16,6 +16,7 @@ from autoprice.plans.registry import AS_OF_YEAR, register
 from autoprice.session import scratch_dir
 from autoprice.streaming import monitor as SM
 from autoprice.streaming import scoring as SC
+from autoprice.streaming import stateful as ST
 
 
 def _stream_table(spark, sf_dir, name):
@@ -207,3 +208,126 @@ def q_stream_health(spark, sf_dir):
                     F.col("window_end").cast("timestamp_ntz").alias("window_end"), "requests", "errors", "status",
                     F.round("rate_per_s", 6).alias("rate_per_s"),
                     F.col("latency_p95").between(F.col("latency_min"), F.col("latency_max")).alias("p95_in_range"))
+
+
+# ------------------------------------------------------------------ stateful operators over several deliveries
+
+DELIVERIES = 3
+
+
+def _deliver(spark, df, name, part, run):
+    """Write ``df`` in deliveries (``part``: a row's delivery, 0 to DELIVERIES - 1) and call ``run(folder)`` after each: the query resumes
+    from its checkpoint, so every delivery is a micro-batch of its own. Returns the last result."""
+    folder, out = scratch_dir(spark, name), None
+    for k in range(DELIVERIES):
+        df.where(part == k).write.parquet(f"{folder}/delivery={k}")
+        out = run(folder)
+    return out
+
+
+def _by_time(log):
+    """The third of the log's time range that a row lies in."""
+    lo, hi = log.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))), F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    return F.least(F.floor((at - F.lit(lo)) * DELIVERIES / F.lit(max(hi - lo, 1))), F.lit(DELIVERIES - 1))
+
+
+def _ntz(df, *cols):
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
+
+
+_HOUR_WINDOWS = """
+, w0 as (select *, unnest(range(2)) as _i from pred_log),
+w as (select *, time_bucket(interval '30 minutes', ts) - to_minutes(_i * 30) as window_start from w0),
+e as (select window_start, cast(count_if(not ok) as double) as errors, cast(count(*) as double) as requests from w group by window_start)"""
+_LIMITS = {"errors": 4.0, "requests": 30.0}
+
+
+def _transitions_sql(metric: str, threshold: float) -> str:
+    """Alert transitions of one metric over the half-hourly windows ``e``."""
+    cur = f"(select window_start, {metric} as value from e where {metric} > {threshold!r})"
+    return f"""select '{metric}' as metric, c.window_start, 'firing' as state, c.value from {cur} c
+  where not exists (select 1 from {cur} p where p.window_start = c.window_start - interval '30 minutes')
+union all select '{metric}', c.window_start + interval '30 minutes', 'resolved', c.value from {cur} c
+  where not exists (select 1 from {cur} n where n.window_start = c.window_start + interval '30 minutes')"""
+
+
+@register("stream_alerts", with_views(_HOUR_WINDOWS + f"""
+, t as ({" union all ".join(_transitions_sql(m, v) for m, v in _LIMITS.items())})
+select metric, window_start, state, value from t
+where window_start + interval '60 minutes' <= (select max(ts) from pred_log) - interval '10 minutes'""", "pred_log"))
+def q_stream_alerts(spark, sf_dir):
+    """W10 on a stream (J10): transitions of two metrics of the prediction log, delivered in three parts to a query that resumes."""
+    log = view(spark, sf_dir, "pred_log")
+    checkpoint, path = scratch_dir(spark, "ckpt-alerts"), scratch_dir(spark, "alerts")
+
+    def run(folder):
+        s = spark.readStream.schema(log.schema).parquet(f"{folder}/delivery=*")
+        with ST.rocksdb_state(spark):
+            out = ST.alert_stream(ST.alert_series(s, "60 minutes", "30 minutes", "10 minutes"), _LIMITS, "60 minutes", "30 minutes")
+            return SC.run_to_table(out, _name("alerts"), checkpoint, path=path)
+    return _ntz(_deliver(spark, log, "alert-log", _by_time(log), run), "window_start")
+
+
+@register("stream_cpu_pct", with_views("""
+, s as (select pod, ts, cpu_seconds as x, cpu_limit, lag(cpu_seconds) over o as px, lag(ts) over o as pt,
+          time_bucket(interval '30 minutes', ts) as pane from cpu_samples window o as (partition by pod order by ts, cpu_seconds)),
+st as (select pod, pane, cpu_limit, time_bucket(interval '30 minutes', pt) as before,
+         case when px is null then 0.0 when x < px then x else x - px end as step from s),
+w0 as (select *, unnest(range(2)) as _i from st), w as (select *, pane - to_minutes(_i * 30) as window_start from w0),
+p as (select window_start, pod, sum(case when before >= window_start then step else 0.0 end) as u, max(cpu_limit) as l from w group by all)
+select window_start, window_start + interval '60 minutes' as window_end, round(sum(u) / 3600.0 / sum(l) * 100, 6) as cpu_pct from p group by window_start""",
+    "cpu_samples"))
+def q_stream_cpu_pct(spark, sf_dir):
+    """W8 on a stream: cumulative counters of all pods, delivered in three parts; the last sample of each pod is kept between them."""
+    samples = view(spark, sf_dir, "cpu_samples")
+    checkpoint, path = scratch_dir(spark, "ckpt-cpu"), scratch_dir(spark, "cpu")
+
+    def run(folder):
+        s = spark.readStream.schema(samples.schema).parquet(f"{folder}/delivery=*")
+        with ST.rocksdb_state(spark):
+            return SC.run_to_table(ST.counter_stream(s, "cpu_seconds", "pod", "30 minutes", "cpu_limit"), _name("cpu"), checkpoint, path=path)
+    steps = _deliver(spark, samples, "cpu-log", _by_time(samples), run)
+    w = ST.counter_windows(steps, "60 minutes", "30 minutes")
+    out = w.groupBy("window_start", "window_end").agg(F.round(F.sum("increase") / 3600.0 / F.sum("limit") * 100, 6).alias("cpu_pct"))
+    return _ntz(out, "window_start", "window_end")
+
+
+@register("late_rows", with_views(f"""
+, d as (select *, case when event_id % 7 = 3 then {DELIVERIES - 1} else least(cast(floor((epoch_us(ts) - lo) * {DELIVERIES} / greatest(hi - lo, 1)) as bigint), {DELIVERIES - 1}) end as part
+  from pred_log, (select min(epoch_us(ts)) as lo, max(epoch_us(ts)) as hi from pred_log)),
+m as (select part, max(ts) as latest from d group by part),
+k as (select d.event_id, d.ts, (select max(latest) from m where m.part < d.part) - interval '10 minutes' as watermark from d)
+select event_id, case when ts < watermark then 'late' else 'on time' end as arrived, case when ts < watermark then watermark end as watermark from k""", "pred_log"))
+def q_late_rows(spark, sf_dir):
+    """W12 with a side output: a seventh of the log arrives with the last delivery, most of it late. Rows in = rows on time + rows late."""
+    log = view(spark, sf_dir, "pred_log")
+    base, checkpoint = scratch_dir(spark, "late-rows"), scratch_dir(spark, "ckpt-late")
+
+    def run(folder):
+        s = spark.readStream.schema(log.schema).parquet(f"{folder}/delivery=*")
+        SC.drain(ST.split_late(s, f"{base}/on-time", f"{base}/late", checkpoint))
+    part = F.when(F.col("event_id") % 7 == 3, DELIVERIES - 1).otherwise(_by_time(log))
+    _deliver(spark, log, "late-log", part, run)
+    on_time = spark.read.parquet(f"{base}/on-time").select("event_id", F.lit("on time").alias("arrived"), F.lit(None).cast("timestamp").alias("watermark"))
+    late = spark.read.parquet(f"{base}/late").select("event_id", F.lit("late").alias("arrived"), "watermark")
+    return _ntz(on_time.unionByName(late), "watermark")
+
+
+@register("late_safe_dedupe", "select event_id, event_type, value from events")
+def q_late_safe_dedupe(spark, sf_dir):
+    """D2 behind the side output: every message comes twice, and a seventh of them last. What is late is de-duplicated against what the
+    stream has kept, so each message remains once."""
+    ev = table(spark, sf_dir, "events")
+    base, checkpoint, dedup = scratch_dir(spark, "late-dedup"), scratch_dir(spark, "ckpt-split"), scratch_dir(spark, "ckpt-dedup")
+    path = scratch_dir(spark, "dedup")
+
+    def run(folder):
+        s = spark.readStream.schema(ev.schema).parquet(f"{folder}/delivery=*")
+        SC.drain(ST.split_late(s, f"{base}/on-time", f"{base}/late", checkpoint))
+        on_time = spark.readStream.schema(spark.read.parquet(f"{base}/on-time").schema).parquet(f"{base}/on-time")
+        return SC.run_to_table(SC.dedupe_stream(on_time, "event_id", "ts", "10 minutes").select("event_id", "event_type", "value"), _name("dedup"), dedup, path=path)
+    part = F.when(F.col("event_id") % 7 == 3, DELIVERIES - 1).otherwise(_by_time(ev))
+    kept = _deliver(spark, ev.unionAll(ev), "late-events", part, run)
+    late = spark.read.parquet(f"{base}/late").select("event_id", "event_type", "value").dropDuplicates(["event_id"])
+    return kept.unionByName(late.join(kept.select("event_id"), "event_id", "left_anti"))
