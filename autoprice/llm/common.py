@@ -58,3 +58,17 @@ def fresh(df: DataFrame, name: str) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def release_memory() -> None:
+    """Give freed memory of a Python worker back to the system: the worker lives on beside others and a JVM."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass

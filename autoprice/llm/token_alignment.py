@@ -39,10 +39,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from autoprice.llm.common import materialise
+from autoprice.llm.common import materialise, release_memory
 from autoprice.llm.textcore import utf8
 
-BLOCK = 8 << 20   # bytes of text to a block, at least one text
+BLOCK = 4 << 20   # bytes of text to a block, at least one text
 JOIN = 1 << 16    # bytes of units to one call of a library
 HOT = 1000        # texts of more than N / HOT documents are broadcast: fewer than HOT of them
 
@@ -297,8 +297,11 @@ def _align_texts(path_a: str, path_b: str):
                 if size >= BLOCK:
                     yield _block_row(aligner, number, held)
                     number, held, size = number + 1, [], 0
+                    release_memory()
         if held:
             yield _block_row(aligner, number, held)
+        del aligner, held
+        release_memory()
     return run
 
 
