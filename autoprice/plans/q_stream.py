@@ -293,6 +293,49 @@ def q_stream_cpu_pct(spark, sf_dir):
     return _ntz(out, "window_start", "window_end")
 
 
+def _topic_in_parts(spark, requests, path, run):
+    """The requests appended to a topic in three appends, with ``run()`` after each."""
+    from autoprice.sources import topic as TP
+    out = None
+    for k in range(DELIVERIES):
+        TP.append(requests.where(F.col("car_id") % DELIVERIES == k), path, "car_id", "value", ["car_id"])
+        out = run()
+    return out
+
+
+@register("topic_source", with_views(f"""
+, p as (select cast(car_id as varchar) as key, value, car_id % {DELIVERIES} as append from requests)
+select key, value, append, true as in_order from p""", "requests"))
+def q_topic_source(spark, sf_dir):
+    """A topic with offsets per partition, read by a query that is started anew after each of three appends. Every record arrives
+    once; offsets are whole numbers from 0 without gaps, in the order of the appends and of the ids in each of them."""
+    from pyspark.sql import Window
+    path, checkpoint, out = scratch_dir(spark, "topic"), scratch_dir(spark, "ckpt-topic"), scratch_dir(spark, "topic-out")
+
+    def run():
+        s = SC.stream_source(spark, "topic", {"group": "scorer"}, path=path).select("partition", "offset", "key", "value")
+        return SC.run_to_table(s, _name("topic"), checkpoint, path=out)
+    got = _topic_in_parts(spark, view(spark, sf_dir, "requests"), path, run)
+    got = got.withColumn("append", F.col("key").cast("bigint") % DELIVERIES)
+    # the neighbour in offset order, joined: no partition of the topic is gathered in one task
+    before = got.select("partition", (F.col("offset") + 1).alias("offset"), F.struct("append", F.col("key").cast("bigint").alias("id")).alias("before"))
+    j = got.join(before, ["partition", "offset"], "left")
+    ok = F.when(F.col("offset") == 0, F.lit(True)).otherwise(F.coalesce(F.col("before") < F.struct("append", F.col("key").cast("bigint").alias("id")), F.lit(False)))
+    return j.select("key", "value", "append", ok.alias("in_order"))
+
+
+@register("stream_score_topic", with_views(_SCORED + "\nselect ps.car_id, ps.status, sc.value from ps left join sc using (car_id)", "requests"))
+def q_stream_score_topic(spark, sf_dir):
+    """J9 from the topic: source -> parse and validate -> model -> JSON, resumed after each of three appends."""
+    path, checkpoint, out = scratch_dir(spark, "topic"), scratch_dir(spark, "ckpt-j9-topic"), scratch_dir(spark, "j9-out")
+    model = SC.formula_price_model(spark)
+
+    def run():
+        s = SC.stream_source(spark, "topic", path=path).select(F.col("key").cast("bigint").alias("car_id"), "value")
+        return SC.run_to_table(SC.score_stream(s, model).select("car_id", "status", "value"), _name("j9"), checkpoint, path=out)
+    return _topic_in_parts(spark, view(spark, sf_dir, "requests"), path, run)
+
+
 @register("late_rows", with_views(f"""
 , d as (select *, case when event_id % 7 = 3 then {DELIVERIES - 1} else least(cast(floor((epoch_us(ts) - lo) * {DELIVERIES} / greatest(hi - lo, 1)) as bigint), {DELIVERIES - 1}) end as part
   from pred_log, (select min(epoch_us(ts)) as lo, max(epoch_us(ts)) as hi from pred_log)),

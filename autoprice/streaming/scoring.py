@@ -24,8 +24,12 @@ REQUEST_NAMES = [n for n, _ in REQUEST_FIELDS]
 def stream_source(spark: SparkSession, fmt: str = "kafka", options: dict | None = None, schema=None,
                   path: str | None = None) -> DataFrame:
     """A streaming source. ``kafka`` (topic, bootstrap servers and ``startingOffsets=earliest`` in
-    ``options``; needs the Kafka connector on the classpath) yields a string ``value``; file formats
+    ``options``; needs the Kafka connector on the classpath) yields a string ``value``; ``topic`` (``path``, ``options`` as
+    for ``sources.topic``) does the same from a shared folder, with offsets and groups; file formats
     (parquet / json / text) read a directory with an explicit schema."""
+    if fmt == "topic":
+        from autoprice.sources.topic import read_topic
+        return read_topic(spark, path, **(options or {}))
     r = spark.readStream.format(fmt)
     if fmt == "kafka":
         opts = {"startingOffsets": "earliest", **(options or {})}
