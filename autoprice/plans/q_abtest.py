@@ -127,6 +127,18 @@ def q_t_test_pvalues(spark, sf_dir):
     return t.select("metric", R6("t_statistic"), "dof", "is_significant", (F.col("p_value") < ALPHA).alias("p_below_alpha"))
 
 
+@register("t_test_full")
+def q_t_test_full(spark, sf_dir):
+    """B3 with its p-values (``t_test_pvalues`` holds them to the critical value)."""
+    return _ttest(spark, sf_dir, with_p=True)
+
+
+@register("bootstrap_multinomial_rows")
+def q_bootstrap_multinomial_rows(spark, sf_dir):
+    """B1 at scale, with the metrics of every draw."""
+    return AB.bootstrap_confusion_multinomial(view(spark, sf_dir, "preds"), "y", PREDS, B, SEED)
+
+
 # ------------------------------------------------------------------ time-ordered A/B with the formula model
 
 def _ols_sql(name: str, src: str) -> str:

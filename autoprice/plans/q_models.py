@@ -224,6 +224,23 @@ def q_train_url(spark, sf_dir):
                     (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("n_test"), ok.alias("in_range"))
 
 
+# ------------------------------------------------------------------ full rows of what is checked by facts above
+
+@register("batch_predict_rows")
+def q_batch_predict_rows(spark, sf_dir):
+    """M6: every row with its prediction."""
+    model, clean = _pipeline_model(spark, sf_dir)
+    return MD.batch_predict(model, clean).select("car_id", "selling_price", "prediction")
+
+
+@register("train_url_rows")
+def q_train_url_rows(spark, sf_dir):
+    """J7 first half: the confusion counts and metrics of the test side."""
+    train, test = _url(spark, sf_dir)
+    scored = MD.rf_classifier("features", "label").fit(train).transform(test)
+    return classification_metrics(scored.select(F.col("label").cast("int").alias("y"), F.col("prediction").cast("int").alias("yhat")), "y", "yhat")
+
+
 # ------------------------------------------------------------------ trees with a minimum of samples per split
 
 _TREE = ["year", "owner", "automatic"]

@@ -115,3 +115,36 @@ def q_schema_profile(spark, sf_dir):
          for c in ["selling_price", "year", "kms_driven", "fuel_type"]])}""", "cars_raw"))
 def q_key_null_check(spark, sf_dir):
     return PR.key_null_check(C.clean_cars_mean(view(spark, sf_dir, "cars_raw"), as_of_year=Y))
+
+
+# ------------------------------------------------------------------ mergeable summaries
+
+@register("group_median_sketch", with_views(
+    "select country, count(average_temperature) as n, round(median(average_temperature), 6) as exact_median, true as within_bound from temps "
+    "where country is not null group by country having count(average_temperature) > 0", "temps"))
+def q_group_median_sketch(spark, sf_dir):
+    """A6 by sketches: per country the exact median, and that of the merged sketches of 16 parts of the rows held to its error."""
+    from autoprice.operators import sketch as SK
+    d = view(spark, sf_dir, "temps").where("country is not null")
+    parts = SK.sketch(d.withColumn("part", F.pmod(F.xxhash64("dt", "average_temperature"), F.lit(16))), "average_temperature", ["country", "part"])
+    merged = SK.merge(parts, ["country"])
+    got = SK.sketch_quantiles(merged, [0.5], ["m"], ["country"]).join(merged.groupBy("country").agg(F.sum("n").alias("n")), "country")
+    both = got.join(PR.group_median(d, "country", "average_temperature", "exact"), "country")
+    close = F.abs(F.col("m") - F.col("exact")) <= SK.ALPHA * F.abs(F.col("exact")) + 1e-9
+    return both.select("country", "n", F.round("exact", 6).alias("exact_median"), close.alias("within_bound"))
+
+
+_TOP = [("car_name", "cars_raw", 3), ("kms_driven", "cars_raw", 3), ("year", "cars_raw", 3), ("source", "pred_log", 5), ("terminal_id", "tx_raw", 5)]
+
+
+@register("top_values_heavy", with_views("\n" + " union all ".join(
+    f"(select '{c}' as column_name, cast({c} as varchar) as value, count(*) as cnt from {v} where {c} is not null group by {c} order by cnt desc, {c} limit {k})"
+    for c, v, k in _TOP), "cars_raw", "pred_log", "tx_raw"))
+def q_top_values_heavy(spark, sf_dir):
+    """A7 / D5 by Misra-Gries candidates and an exact recount: the most frequent values of few-valued, many-valued and flat columns."""
+    from autoprice.operators import sketch as SK
+    out = None
+    for c, v, k in _TOP:
+        t = SK.top_values(view(spark, sf_dir, v), c, k).select(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"), "cnt")
+        out = t if out is None else out.unionByName(t)
+    return out

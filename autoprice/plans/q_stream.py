@@ -269,6 +269,43 @@ def q_stream_alerts(spark, sf_dir):
     return _ntz(_deliver(spark, log, "alert-log", _by_time(log), run), "window_start")
 
 
+@register("stream_health_p95", with_views("""
+, w0 as (select *, unnest(range(5)) as _i from pred_log),
+w as (select *, time_bucket(interval '1 minutes', ts) - to_minutes(_i * 1) as window_start from w0),
+c as (select window_start, window_start + interval '5 minutes' as window_end, count(*) as requests,
+        cast(count_if(not ok) as bigint) as errors, case when count_if(not ok) >= 1 then 'red' else 'green' end as status,
+        round(count(*) / 300.0, 6) as rate_per_s, round(quantile_cont(latency_s, 0.95), 6) as exact_p95 from w group by window_start)
+select *, true as p95_within_bound from c where window_end <= (select max(ts) from pred_log) - interval '10 minutes'""", "pred_log"))
+def q_stream_health_p95(spark, sf_dir):
+    """J10 on a stream with its p95: panes of one minute are sketched on the stream, delivered in three parts, and merged into windows; each
+    window's p95 is held to its stated error against the exact one of the batch log."""
+    from autoprice.operators import monitor as MO
+    from autoprice.operators import sketch as SK
+    log = view(spark, sf_dir, "pred_log")
+    checkpoint, path = scratch_dir(spark, "ckpt-panes"), scratch_dir(spark, "panes")
+
+    def run(folder):
+        s = spark.readStream.schema(log.schema).parquet(f"{folder}/delivery=*")
+        return SC.run_to_table(ST.health_panes(s, "1 minute", "10 minutes"), _name("panes"), checkpoint, path=path)
+    panes = _deliver(spark, log, "health-log", _by_time(log), run)
+    last = log.agg(F.max("ts")).scalar() - F.expr("interval 10 minutes")
+    w = _ntz(ST.health_windows(panes, "5 minutes", "1 minute"), "window_start", "window_end").where(F.col("window_end") <= last)
+    exact = MO.latency_quantile(log, "latency_s", 0.95, "ts", "5 minutes", "1 minute", "exact_p95")
+    both = w.join(exact, ["window_start", "window_end"])
+    close = F.abs(F.col("latency_p95") - F.col("exact_p95")) <= SK.ALPHA * F.abs(F.col("exact_p95")) + 1e-12
+    return both.select("window_start", "window_end", "requests", "errors", "status", F.round("rate_per_s", 6).alias("rate_per_s"),
+                       F.round("exact_p95", 6).alias("exact_p95"), close.alias("p95_within_bound"))
+
+
+@register("stream_health_rows")
+def q_stream_health_rows(spark, sf_dir):
+    """J10 on a stream, all its columns (the sketched p95 included; ``stream_health_p95`` holds it to its bound)."""
+    _stream_table(spark, sf_dir, "events").createOrReplaceTempView("_events_stream")
+    log = spark.sql(VIEWS["pred_log"].replace("from events", "from _events_stream"))
+    panes = SC.run_to_table(ST.health_panes(log, "1 minute", "10 minutes"), _name("health_rows"), scratch_dir(spark, "ckpt-health-rows"))
+    return _ntz(ST.health_windows(panes, "5 minutes", "1 minute"), "window_start", "window_end")
+
+
 @register("stream_cpu_pct", with_views("""
 , s as (select pod, ts, cpu_seconds as x, cpu_limit, lag(cpu_seconds) over o as px, lag(ts) over o as pt,
           time_bucket(interval '30 minutes', ts) as pane from cpu_samples window o as (partition by pod order by ts, cpu_seconds)),

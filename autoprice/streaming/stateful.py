@@ -1,6 +1,7 @@
 """Stateful monitoring operators on a stream.
 
 ``alert_stream``    W10: alert transitions of a windowed series, with timers for silence
+``health_panes``    J10: sketches of panes, merged into windows with p95 (``health_windows``)
 ``counter_stream``  W7, W8: increases of cumulative counters per pane, across micro-batches and resets
 ``split_late``      W12: rows later than the watermark go to a table of their own, not nowhere
 
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 from autoprice.operators import monitor as MO
+from autoprice.operators import sketch as SK
 from autoprice.streaming.monitor import with_event_time
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -99,6 +101,27 @@ def alert_series(log: DataFrame, width: str, slide: str, delay: str) -> DataFram
     return w.select("window", F.explode(pairs).alias("m")).select("m.metric", "window", "m.value")
 
 
+# ------------------------------------------------------------------ J10: health of windows, from sketches of panes
+
+def health_panes(log: DataFrame, slide: str, delay: str, alpha: float = SK.ALPHA) -> DataFrame:
+    """A stream of closed panes of a prediction log: (pane, ok, bucket, n), the sketch of each pane's latencies by outcome. A latency that is
+    unknown has no bucket."""
+    d = with_event_time(log, "ts", delay).withColumn("bucket", SK.log_bucket("latency_s", alpha))
+    return d.groupBy(F.window("ts", slide), "ok", "bucket").agg(F.count(F.lit(1)).alias("n")).select(F.col("window.start").alias("pane"), "ok", "bucket", "n")
+
+
+def health_windows(panes: DataFrame, width: str, slide: str, alpha: float = SK.ALPHA) -> DataFrame:
+    """J10 from the table of ``health_panes``: requests, errors and status, p95 latency within ``alpha``, and rate of each window that any pane
+    lies in. Panes are merged, not rows, and the table serves any width."""
+    w = MO.in_windows(panes, "pane", width, slide)
+    keys = ["window_start", "window_end"]
+    counts = w.groupBy(*keys).agg(F.sum("n").alias("requests"), F.sum(F.when(~F.col("ok"), F.col("n")).otherwise(0)).alias("errors"))
+    counts = counts.withColumn("status", F.when(F.col("errors") >= 1, "red").otherwise("green")) \
+                   .withColumn("rate_per_s", F.col("requests") / float(MO._seconds(width)))
+    p95 = SK.sketch_quantiles(SK.merge(w.where(F.col("bucket").isNotNull()), keys), [0.95], ["latency_p95"], keys, alpha)
+    return counts.join(p95, keys, "left")
+
+
 # ------------------------------------------------------------------ W7, W8: counters
 
 class _Counter(StatefulProcessor):
