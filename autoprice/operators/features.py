@@ -13,6 +13,7 @@ from pyspark.ml.feature import CountVectorizer, OneHotEncoder, StringIndexer, Ve
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def select_features(df: DataFrame, features: list[str], target: str | None = None,
@@ -22,32 +23,77 @@ def select_features(df: DataFrame, features: list[str], target: str | None = Non
     return df.select(*cols)
 
 
+# Dictionaries of at most this many values are numbered by one window per column and broadcast; larger ones are ranked and joined in parts.
+SMALL_DICTIONARY = 200_000
+
+
+def _sort_form(df: DataFrame, c: str) -> list:
+    """(bigint, double, string) of a value, one of them set: in the value's own order."""
+    t = df.schema[c].dataType
+    whole = isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType))
+    number = isinstance(t, (T.FloatType, T.DoubleType, T.DecimalType))
+    value = F.col(c).cast("int").cast("bigint") if isinstance(t, T.BooleanType) else F.col(c).cast("bigint")
+    return [(value if whole else F.lit(None).cast("bigint")).alias("n"), (F.col(c).cast("double") if number else F.lit(None).cast("double")).alias("d"),
+            (F.lit(None) if whole or number else F.col(c)).cast("string").alias("s")]
+
+
 def fit_label_encoders(df: DataFrame, cols: list[str]) -> dict[str, tuple[DataFrame, int]]:
     """E1 fit: per column a table (value, code) of its sorted distinct values with codes 0..k-1, and k.
-    The dictionaries are tables (a free-text column can have as many values as rows)."""
+
+    One pass over the rows: the distinct (column, value) pairs of all columns are one table, from which the codes of every column
+    follow. The dictionaries are tables (a free-text column can have as many values as rows)."""
+    from pyspark.sql import Window
+
     from autoprice.operators.ranking import global_index
+    from autoprice.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), *_sort_form(df, c)) for i, c in enumerate(cols)])).alias("p")
+    d = df.select(pairs).select("p.*").where("n is not null or d is not null or s is not null").distinct().checkpoint()
+    sizes = {r.c: r["count"] for r in d.groupBy("c").count().collect()}  # one row a column
+    order = ["c", "n", "d", "s"]
+    if max(sizes.values(), default=0) <= SMALL_DICTIONARY:
+        coded = d.withColumn("code", F.row_number().over(Window.partitionBy("c").orderBy("n", "d", "s")) - 1)
+    else:
+        ranked = global_index(d, order, "_i")
+        first = F.broadcast(ranked.groupBy(F.col("c").alias("_c")).agg(F.min("_i").alias("_first")))  # one row a column
+        coded = ranked.join(first, F.col("c") == F.col("_c")).withColumn("code", F.col("_i") - F.col("_first"))
+    coded = coded.select(*order, "code").checkpoint()
+    value = F.coalesce(F.col("n").cast("string"), F.col("d").cast("string"), F.col("s"))
     out = {}
-    for c in cols:
-        values = df.select(F.col(c).alias("value")).where(F.col(c).isNotNull()).distinct()
-        out[c] = global_index(values, ["value"], "code", with_count=True)
+    for i, c in enumerate(cols):
+        t = df.schema[c].dataType
+        own = (F.col("n") != 0) if isinstance(t, T.BooleanType) else F.col("n").cast(t) if isinstance(t, T.IntegralType) else \
+            F.col("d").cast(t) if isinstance(t, T.FractionalType) else value.cast(t)
+        out[c] = (coded.where(F.col("c") == i).select(own.alias("value"), F.col("code").cast("bigint").alias("code")), sizes.get(i, 0))
     return out
 
 
 def label_encode(df: DataFrame, cols: list[str], model=None) -> DataFrame:
-    """Append ``<c>_code`` integer columns; NULL and unseen values get k, like an extra class."""
+    """Append ``<c>_code`` integer columns; NULL and unseen values get k, like an extra class. Dictionaries known to be small are
+    broadcast, so that all columns are coded in one pass without a shuffle."""
     model = model or fit_label_encoders(df, cols)
     out = df
     for c in cols:
         values, k = model[c]
         known = values.select(F.col("value").alias("_value"), F.col("code").cast("int").alias("_code"))
+        if k <= SMALL_DICTIONARY:
+            known = F.broadcast(known)
         out = out.join(known, F.col(c) == F.col("_value"), "left") \
                  .withColumn(f"{c}_code", F.coalesce("_code", F.lit(k))).drop("_value", "_code")
     return out.select(*df.columns, *[f"{c}_code" for c in cols])
 
 
+MAX_CATEGORIES = 10_000
+
+
 def fit_one_hot(df: DataFrame, cols: list[str]):
-    """E2 fit: index (alphabetical) + one-hot with the unknown / NULL slot dropped -> all zeros."""
+    """E2 fit: index (alphabetical) + one-hot with the unknown / NULL slot dropped -> all zeros. A column of more than
+    MAX_CATEGORIES values (counted within two per cent) is a ValueError: its dictionary is not for the driver (see E1)."""
     from pyspark.ml import Pipeline
+    counts = df.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in cols]).first()
+    many = [c for c in cols if counts[c] > MAX_CATEGORIES]
+    if many:
+        raise ValueError(f"too many categories for one column each: {', '.join(many)}")
     idx = StringIndexer(inputCols=list(cols), outputCols=[f"{c}_idx" for c in cols], stringOrderType="alphabetAsc",
                         handleInvalid="keep")
     ohe = OneHotEncoder(inputCols=[f"{c}_idx" for c in cols], outputCols=[f"{c}_ohe" for c in cols],

@@ -117,28 +117,32 @@ def request_rate(df: DataFrame, ts="ts", width="5 minutes", slide="1 minute") ->
 
 
 def counter_increase(df: DataFrame, counter: str, keys: list[str], ts="ts", width="5 minutes", slide="1 minute",
-                     out: str = "increase") -> DataFrame:
+                     out: str = "increase", largest: dict[str, str] | None = None) -> DataFrame:
     """Increase of a cumulative counter per key and window: the sum of the steps between neighbouring
     samples in the window; after a reset (a smaller value) the step is the new value.
 
     Samples are reduced to panes first (at most the samples of one key in one slide are ordered
-    together), so a window adds up at most ``width / slide`` pane rows and the steps between them.
+    together), so a window adds up at most ``width / slide`` pane rows and the steps between them. ``largest`` (name: column)
+    adds the largest values of other columns, from the same panes.
     """
+    extra = largest or {}
     step = lambda before, now: F.when(now < before, now).otherwise(now - before)
     pane = F.window(F.col(ts), slide, slide).getField("start")
     d = df.where(F.col(counter).isNotNull() & F.col(ts).isNotNull()) \
-          .select(*keys, F.col(ts).alias("_t"), F.col(counter).cast("double").alias("_x"), pane.alias("_pane"))
+          .select(*keys, F.col(ts).alias("_t"), F.col(counter).cast("double").alias("_x"), pane.alias("_pane"),
+                  *[F.col(c).alias(f"_m_{n}") for n, c in extra.items()])
     inside = Window.partitionBy(*keys, "_pane").orderBy("_t", "_x")
     d = d.withColumn("_step", step(F.lag("_x").over(inside), F.col("_x")))
     at = F.struct("_t", "_x")
     panes = d.groupBy(*keys, "_pane").agg(F.coalesce(F.sum("_step"), F.lit(0.0)).alias("_within"),
-                                          F.min(at).alias("_first"), F.max(at).alias("_last"))
+                                          F.min(at).alias("_first"), F.max(at).alias("_last"),
+                                          *[F.max(f"_m_{n}").alias(n) for n in extra])
     along = Window.partitionBy(*keys).orderBy("_pane")  # one row per pane of a key
-    panes = panes.select(*keys, "_pane", "_within", F.lag("_pane").over(along).alias("_before"),
+    panes = panes.select(*keys, "_pane", "_within", *extra, F.lag("_pane").over(along).alias("_before"),
                          step(F.lag("_last").over(along)["_x"], F.col("_first")["_x"]).alias("_across"))
     w = in_windows(panes, "_pane", width, slide)
     both = F.col("_within") + F.when(F.col("_before") >= F.col("window_start"), F.col("_across")).otherwise(F.lit(0.0))
-    return w.groupBy("window_start", "window_end", *keys).agg(F.sum(both).alias(out))
+    return w.groupBy("window_start", "window_end", *keys).agg(F.sum(both).alias(out), *[F.max(n).alias(n) for n in extra])
 
 
 def cpu_percent(df: DataFrame, usage: str = "cpu_seconds", limit: str = "cpu_limit", pod: str = "pod", ts="ts",
@@ -146,9 +150,7 @@ def cpu_percent(df: DataFrame, usage: str = "cpu_seconds", limit: str = "cpu_lim
     """``sum(rate(usage)) / sum(limit) * 100``: the increase of each pod's cumulative counter per
     second over the summed limits of the pods seen in the window."""
     secs = float(_seconds(width))
-    used = counter_increase(df, usage, [pod], ts, width, slide, "_u")
-    limits = window_agg(df.where(F.col(usage).isNotNull()), [F.max(limit).alias("_l")], ts, width, slide, keys=[pod])
-    both = used.join(limits, ["window_start", "window_end", pod])
+    both = counter_increase(df, usage, [pod], ts, width, slide, "_u", {"_l": limit})
     per_win = both.groupBy("window_start", "window_end").agg(F.sum("_u").alias("_u"), F.sum("_l").alias("_l"))
     return per_win.select("window_start", "window_end", (F.try_divide(F.col("_u") / secs, F.col("_l")) * 100).alias("cpu_pct"))
 

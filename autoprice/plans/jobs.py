@@ -24,6 +24,19 @@ def monitor_predictions(log: DataFrame, width: str = "5 minutes", slide: str = "
     return counts.join(p95, ["window_start", "window_end"], "left")
 
 
+def monitor_alerts(log: DataFrame, thresholds: dict[str, float], width: str = "5 minutes", slide: str = "1 minute") -> DataFrame:
+    """J10 with W10: the alert transitions of the monitored series (any of requests, errors, latency_p95, rate_per_s), all from
+    one pass over the log. ``streaming.stateful.alert_stream`` gives the transitions on a stream."""
+    from autoprice.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(log.sparkSession)
+    windows = monitor_predictions(log, width, slide).checkpoint()
+    out = None
+    for metric, threshold in thresholds.items():
+        a = MO.threshold_alerts(windows.select("window_start", F.col(metric).cast("double").alias(metric)), metric, metric, threshold, slide)
+        out = a if out is None else out.unionByName(a)
+    return out
+
+
 # ------------------------------------------------------------------ model jobs
 
 # The feature columns of the price models and the label mapping of the URL model.

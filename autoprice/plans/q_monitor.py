@@ -156,3 +156,26 @@ def q_monitor_predictions(spark, sf_dir):
     from autoprice.plans.jobs import monitor_predictions
     d = monitor_predictions(view(spark, sf_dir, "pred_log"), FIVE, ONE)
     return d.select("window_start", "window_end", "requests", "errors", "status", R6("latency_p95"), R6("rate_per_s"))
+
+
+_ALERT_LIMITS = {"errors": 4.0, "requests": 30.0, "latency_p95": 0.9}
+
+
+def _alert_sql(metric: str, threshold: float) -> str:
+    cur = f"(select window_start, {metric} as value from e where {metric} > {threshold!r})"
+    return f"""select '{metric}' as metric, c.window_start, 'firing' as state, round(c.value, 6) as value from {cur} c
+  where not exists (select 1 from {cur} p where p.window_start = c.window_start - interval '30 minutes')
+union all select '{metric}', c.window_start + interval '30 minutes', 'resolved', round(c.value, 6) from {cur} c
+  where not exists (select 1 from {cur} n where n.window_start = c.window_start + interval '30 minutes')"""
+
+
+@register("monitor_alerts", with_views(f"""
+, {win_sql('pred_log', 60, 30)},
+e as (select window_start, cast(count_if(not ok) as double) as errors, cast(count(*) as double) as requests,
+  quantile_cont(latency_s, 0.95) as latency_p95 from w group by window_start)
+{" union all ".join(_alert_sql(m, t) for m, t in _ALERT_LIMITS.items())}""", "pred_log"))
+def q_monitor_alerts(spark, sf_dir):
+    """The alerts of the dashboard's panels (errors, requests, p95 latency)."""
+    from autoprice.plans.jobs import monitor_alerts
+    d = monitor_alerts(view(spark, sf_dir, "pred_log"), _ALERT_LIMITS, HOUR, HALF)
+    return d.select("metric", "window_start", "state", R6("value"))
