@@ -23,8 +23,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, bound: int, id
              .groupBy(F.col(id_col).alias("_id")).agg(F.min(label).alias("label"), F.max(label).alias("_other"))
              .where("label = _other").orderBy(F.xxhash64("_id"), "_id").limit(bound).select("_id", "label"))
     # ``bound`` narrow rows: the size of this broadcast is fixed
-    return (text_batches(docs).join(F.broadcast(known), docs[id_col] == F.col("_id"))
-            .select(F.col("_id").alias("id"), docs[text].alias("text"), F.col("label").cast("int").alias("label")))
+    own = text_batches(docs).select(F.col(id_col).alias("_doc_id"), F.col(text).alias("_doc_text"))  # whatever else docs has
+    return (own.join(F.broadcast(known), F.col("_doc_id") == F.col("_id"))
+            .select(F.col("_id").alias("id"), F.col("_doc_text").alias("text"), F.col("label").cast("int").alias("label")))
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

@@ -131,3 +131,11 @@ def test_few_vectors_ties_and_limits(spark):
     assert len({r.cluster for r in got if r.vec_id == 2}) == 1  # of equal centroids the smaller number
     with pytest.raises(ArithmeticError):
         B.cluster(spark.createDataFrame([(1, [1e9] * 64)], schema))
+
+
+def test_training_rows_whatever_else_documents_hold(spark):
+    from autoprice.llm.learning import training_rows
+    docs = spark.createDataFrame([(i, f"t{i}", 9, "z", "z") for i in range(12)], "doc_id long, text string, label int, _id string, _doc_id string")
+    labels = spark.createDataFrame([(i, i % 2, 7) for i in range(12)], "doc_id long, toxic int, label int")
+    got = {r.id: (r.text, r.label) for r in training_rows(docs, labels, "toxic", 100, "doc_id", "text").collect()}
+    assert got and all(v == (f"t{i}", i % 2) for i, v in got.items())
