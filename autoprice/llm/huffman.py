@@ -28,8 +28,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from autoprice.llm.common import materialise, shared_path, shuffle_partitions, text_batches
-from autoprice.llm.tokens import encoder
+from autoprice.llm.common import materialise, releasing, shared_path, shuffle_partitions, text_batches
+from autoprice.llm.tokens import _encoders, encoder
 
 MAX_BITS = 16
 BLOCK = 1 << 16
@@ -152,7 +152,8 @@ def _tokenised(docs: DataFrame, vocabulary: str, end_id: int, id_col: str, text:
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, squeeze = encoder(vocabulary).encode, zstandard.ZstdCompressor(level=1).compress
+        known, squeeze = encoder(vocabulary), zstandard.ZstdCompressor(level=1).compress
+        encode = known.encode
         end = np.array([end_id], np.uint32)
         for whole in batches:
             for at in range(0, whole.num_rows, TEXTS):
@@ -161,8 +162,10 @@ def _tokenised(docs: DataFrame, vocabulary: str, end_id: int, id_col: str, text:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array([squeeze(x.astype(f"<u{_narrow(x)().itemsize}").tobytes()) for x in ids], pa.binary()),
                      pa.array([_narrow(x)().itemsize for x in ids], pa.int32())], names=["id", "ids", "width"])
+        known.release()  # counting and coding run in the same workers
+        _encoders.clear()
 
-    return base.mapInArrow(run, f"id {base.schema['id'].dataType.simpleString()}, ids binary, width int")
+    return base.mapInArrow(releasing(run), f"id {base.schema['id'].dataType.simpleString()}, ids binary, width int")
 
 
 def _narrow(ids: np.ndarray) -> type:
@@ -195,7 +198,7 @@ def write_store(docs: DataFrame, vocabulary: str, end_id: int, path: str, id_col
     spark = docs.sparkSession
     ids = materialise(_tokenised(docs, vocabulary, end_id, id_col, text), "ids")
     # one row per id of the vocabulary at most
-    seen = ids.mapInArrow(_count, "token int, n bigint").groupBy("token").agg(F.sum("n").alias("n")).collect()
+    seen = ids.mapInArrow(releasing(_count), "token int, n bigint").groupBy("token").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max([x.token for x in seen], default=0) + 1, np.int64)
     for x in seen:
         counts[x.token] = x.n
@@ -215,7 +218,7 @@ def write_store(docs: DataFrame, vocabulary: str, end_id: int, path: str, id_col
 
     id_type = ids.schema["id"].dataType.simpleString()
     coded = ids.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
-        code, f"id {id_type}, row bigint, n bigint, bits binary, marks array<bigint>")
+        releasing(code), f"id {id_type}, row bigint, n bigint, bits binary, marks array<bigint>")
     ordered = coded.repartitionByRange(parts or shuffle_partitions(spark), "id", "row").sortWithinPartitions("id", "row")
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,7 +247,7 @@ def write_store(docs: DataFrame, vocabulary: str, end_id: int, path: str, id_col
         if held:
             yield close()
 
-    ordered.mapInArrow(blocks, "part int, block int, before bigint, payload binary, checkpoints array<bigint>, "
+    ordered.mapInArrow(releasing(blocks), "part int, block int, before bigint, payload binary, checkpoints array<bigint>, "
                                f"doc array<{id_type}>, doc_ids array<bigint>") \
         .write.option("compression", "uncompressed").parquet(f"{path}/blocks")
 
@@ -286,7 +289,7 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
 
     return (stored.join(F.broadcast(offsets), "part")
             .select("payload", "checkpoints", "doc", "doc_ids", (F.col("begin") + F.col("before")).alias("first"))
-            .mapInArrow(decode, f"id {id_type}, start bigint, ids binary"))
+            .mapInArrow(releasing(decode), f"id {id_type}, start bigint, ids binary"))
 
 
 def stored_documents(docs: DataFrame, vocabulary: str, end_id: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:

@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from autoprice.llm.common import materialise
-from autoprice.llm.tokens import encoder
+from autoprice.llm.common import materialise, releasing
+from autoprice.llm.tokens import _encoders, encoder
 
 CAPACITY = 2048
 END_ID = 0
@@ -91,8 +91,9 @@ def tokenised_pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
                     + [pa.array(x, pa.int64()) for x in c[2:]], names=["id", "piece", "start", "length", "ids_crc32"])
         if release:
             known.release()
+            _encoders.clear()
 
-    return base.mapInArrow(run, f"id {id_type}, piece int, start bigint, length bigint, ids_crc32 bigint")
+    return base.mapInArrow(releasing(run), f"id {id_type}, piece int, start bigint, length bigint, ids_crc32 bigint")
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -113,7 +114,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         rows = rows.append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
         yield from rows.to_batches()
 
-    return pieces.repartition(groups).mapInArrow(run, schema)
+    return pieces.repartition(groups).mapInArrow(releasing(run), schema)
 
 
 def packed_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text: str = "text",

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from autoprice.llm.common import broadcast_checked, fresh, materialise
+from autoprice.llm.common import broadcast_checked, fresh, materialise, releasing
 from autoprice.llm.suffix_automaton import SuffixAutomaton
 from autoprice.llm.textcore import _BASE, _PLACE, U, mix, powers, slices, split_words, utf8
 
@@ -92,7 +92,7 @@ def repeated_windows(docs: DataFrame, id_col: str, text: str) -> DataFrame:
                     [batch.column(0).take(pa.array(row + i)), _signed(anchor), _signed(span), pa.array(lo * 32 + more)],
                     names=["id", "anchor", "span", "place"])
 
-    found = base.mapInArrow(find, f"id {id_type}, anchor bigint, span bigint, place bigint")
+    found = base.mapInArrow(releasing(find), f"id {id_type}, anchor bigint, span bigint, place bigint")
     # a table of its own, so that both sides of the join come straight from shuffles and a hot anchor is split
     again = materialise(found.groupBy("anchor").count().where("count > 1").select("anchor"), "again")
     found = materialise(found.join(again, "anchor", "left_semi"), "repeated-anchors")
@@ -132,7 +132,7 @@ def repeated_windows(docs: DataFrame, id_col: str, text: str) -> DataFrame:
                      pa.array(c[2], pa.int64()), pa.array(c[3], pa.bool_()), pa.array(c[4], pa.binary())],
                     names=["id", "shard", "place", "hot", "words"])
 
-    pieces = materialise(texts.mapInArrow(cut, f"id {id_type}, shard bigint, place bigint, hot boolean, words binary")
+    pieces = materialise(texts.mapInArrow(releasing(cut), f"id {id_type}, shard bigint, place bigint, hot boolean, words binary")
                          .distinct(), "pieces")
     hot = pieces.where("hot").select("id", "place", F.unhex(F.md5("words")).alias("key"))
     heads = hot.groupBy("key").agg(F.min(F.struct("id", "place")).alias("first"))
@@ -157,7 +157,7 @@ def repeated_windows(docs: DataFrame, id_col: str, text: str) -> DataFrame:
                                               pa.array(out_place, pa.int64())], names=["id", "place"])
 
     matched = (pieces.where("not hot").select("shard", "id", "place", "words").repartition("shard")
-               .sortWithinPartitions("shard", "id", "place").mapInArrow(read, f"id {id_type}, place bigint"))
+               .sortWithinPartitions("shard", "id", "place").mapInArrow(releasing(read), f"id {id_type}, place bigint"))
     return later.unionByName(hot).unionByName(matched)
 
 
@@ -196,7 +196,7 @@ def passage_report(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
                                               pa.array(sha, pa.string())], names=["id", "n_words", "n_removed", "kept_sha256"])
 
-    return both.mapInArrow(digest, f"id {id_type}, n_words bigint, n_removed bigint, kept_sha256 string") \
+    return both.mapInArrow(releasing(digest), f"id {id_type}, n_words bigint, n_removed bigint, kept_sha256 string") \
         .withColumnRenamed("id", id_col)
 
 
