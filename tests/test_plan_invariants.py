@@ -12,7 +12,8 @@ from conftest import SF_SMALL
 registry.load_all()
 TRAINING = {"rf_regressor", "linear_regression", "rf_classifier", "random_search", "batch_predict", "model_save_load",
             "feature_importance", "train_price", "train_validate_price", "ab_test_url", "train_linear_baseline",
-            "train_url", "stream_score_fitted"}
+            "train_url", "stream_score_fitted", "forest_regressor", "forest_classifier", "random_search_full", "tree_regressor",
+            "batch_predict_rows", "train_url_rows"}
 KEYS = sorted(k for k in registry.QUERIES if k not in TRAINING)
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
 
