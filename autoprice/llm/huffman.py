@@ -34,7 +34,7 @@ from autoprice.llm.tokens import _encoders, encoder
 MAX_BITS = 16
 BLOCK = 1 << 16
 STEP = 256
-TEXTS = 256
+TEXTS = 1024
 LANE_BLOCKS = 8
 
 

@@ -34,7 +34,7 @@ from autoprice.llm.tokens import _encoders, encoder
 CAPACITY = 2048
 END_ID = 0
 GROUP = 200_000
-TEXTS = 256
+TEXTS = 1024
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:

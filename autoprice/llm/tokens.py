@@ -9,8 +9,8 @@ and the punctuation marks after it, so a new unit whose word is known needs no e
 A text that holds the content of one of the vocabulary's added tokens (``<|endoftext|>``) is encoded whole too: the
 library gives that token's id wherever its content stands. ``literal`` reads such content as ordinary text instead.
 
-Remembered units are a table of 64-bit unit hashes with places in one array of ids, searched for all
-words of a slice at once. It is bounded and emptied when full, which changes no result.
+Remembered units are a table of 64-bit unit hashes with places in one array of ids, searched, and added to, for all
+words of a slice at once. It is bounded; when full it keeps the units that came up again, which changes no result.
 """
 
 from __future__ import annotations
@@ -27,9 +27,11 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 REMEMBER = 500_000
 JOINED = 64
-SLICE = 1 << 18
-_MARKS = b".,;:!?|$%&#*"
-_LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+SLICE = 1 << 19
+TAIL = 7  # a unit with more marks at its end is encoded as it is
+_MARK, _LETTER = np.zeros(256, bool), np.zeros(256, bool)
+_MARK[list(b".,;:!?|$%&#*")] = True
+_LETTER[list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = True
 _encoders: dict = {}
 
 
@@ -37,6 +39,12 @@ def _keys(h: np.ndarray, lead: np.ndarray) -> np.ndarray:
     return mix(h + lead.astype(U) * U(0x9FB21C651E98DF25))
 
 
+def _gather(data: np.ndarray, begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The pieces ``data[begin:begin + n]`` end to end."""
+    end = np.cumsum(n)
+    return data[np.repeat(begin - end + n, n) + np.arange(int(end[-1]) if len(end) else 0)]
+
+
 def _other_space(buf: np.ndarray) -> np.ndarray:
     """Where white space other than a space or line feed begins (as the vocabularies' pre-tokenizers see it)."""
     out = (WHITE[buf] & (buf != 32) & (buf != 10)) | ((buf >= 28) & (buf <= 31))
@@ -65,6 +73,7 @@ class Encoder:
     def _clear(self) -> None:
         self._hash, self._at, self._n = np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int32)
         self._ids, self._used = np.zeros(1 << 16, np.uint32), 0
+        self._again, self._tails = np.zeros(0, bool), {}
 
     def release(self) -> None:
         """Forget all units: a Python worker lives on after a task, and other work needs its memory."""
@@ -80,49 +89,93 @@ class Encoder:
         i = np.minimum(np.searchsorted(self._hash, keys), len(self._hash) - 1)
         return i, self._hash[i] == keys
 
-    def _add(self, keys: np.ndarray, ids: list[np.ndarray]) -> None:
-        """Remember sorted new keys."""
-        n = np.array([len(x) for x in ids], np.int64)
-        end = self._used + int(n.sum())
+    def _add(self, keys: np.ndarray, ids: np.ndarray, n: np.ndarray) -> None:
+        """Remember sorted new keys: ``n`` ids each, end to end in ``ids``."""
+        end = self._used + len(ids)
         if end > len(self._ids):
             self._ids = np.concatenate([self._ids[:self._used], np.zeros(2 * end - self._used, np.uint32)])
-        self._ids[self._used:end] = np.concatenate([*ids, np.zeros(0, np.uint32)])
-        place = np.searchsorted(self._hash, keys)
-        self._at = np.insert(self._at, place, self._used + np.cumsum(n) - n)
-        self._n = np.insert(self._n, place, n)
-        self._hash = np.insert(self._hash, place, keys)
+        self._ids[self._used:end] = ids
+        to = np.searchsorted(self._hash, keys) + np.arange(len(keys))
+        old = np.ones(len(self._hash) + len(keys), bool)
+        old[to] = False
+        old = np.flatnonzero(old)
+
+        def merged(a: np.ndarray, b: np.ndarray | bool) -> np.ndarray:
+            out = np.empty(len(a) + len(keys), a.dtype)
+            out[old], out[to] = a, b
+            return out
+
+        self._hash, self._n = merged(self._hash, keys), merged(self._n, n)
+        self._at, self._again = merged(self._at, self._used + np.cumsum(n) - n), merged(self._again, False)
         self._used = end
 
-    def _encode_units(self, units: list[bytes]) -> list[np.ndarray]:
-        """Ids of distinct units. Those that begin with white space are encoded JOINED at a time as one text,
-        and its tokens dealt to the units by where they begin."""
-        texts = [u.decode() for u in units]
-        out: list = [self._whole(t) if t[0] not in " \n" else None for t in texts]
-        rest = [k for k, x in enumerate(out) if x is None]
-        parts = [rest[i:i + JOINED] for i in range(0, len(rest), JOINED)]
-        for part, e in zip(parts, self._tokenizer.encode_batch(["".join([texts[k] for k in p]) for p in parts], add_special_tokens=False)):
-            ids = np.array(e.ids, np.uint32)
-            begin = np.cumsum([0, *(len(texts[k]) for k in part)])
-            cut = np.searchsorted([a for a, _ in e.offsets], begin).tolist()
-            for k, a, b in zip(part, cut, cut[1:]):
-                out[k] = ids[a:b]
-        return out
-
-    def _learn(self, keys: np.ndarray, units: list[bytes]) -> None:
-        words = [u.rstrip(_MARKS) for u in units]
-        marked = [len(w) < len(u) and len(w) > 0 and w[-1] in _LETTERS for w, u in zip(words, units)]
-        bare = sorted({w for w, m in zip(words, marked) if m})
-        tails = sorted({u[len(w):] for w, u, m in zip(words, units, marked) if m})
-        plain = {u for u, m in zip(units, marked) if not m}
-        of: dict[bytes, np.ndarray] = {t: self._whole(t.decode()) for t in tails}
-        if bare:
-            joined = np.frombuffer(b"\n".join(w.strip(b" \n") for w in bare), np.uint8)
-            lead = np.array([w[0] if w[0] in b" \n" else 0 for w in bare])
-            at, there = self._find(_keys(split_words(joined, np.array([0, len(joined)])).hash, lead))
-            of.update((w, self._ids[self._at[i]:self._at[i] + self._n[i]].copy()) for w, i, t in zip(bare, at.tolist(), there.tolist()) if t)
-        new = sorted(plain | {w for w in bare if w not in of})
-        of.update(zip(new, self._encode_units(new)))
-        self._add(keys, [np.concatenate([of[w], of[u[len(w):]]]) if m else of[u] for u, w, m in zip(units, words, marked)])
+    def _forget(self) -> None:
+        """Keep the units that came up again since they were learned; none, if these alone fill half the table."""
+        keep = np.flatnonzero(self._again)
+        if len(keep) > REMEMBER // 2:
+            return self._clear()
+        n = self._n[keep]
+        self._ids, self._used = _gather(self._ids, self._at[keep], n), int(n.sum())
+        self._hash, self._n, self._at = self._hash[keep], n, np.cumsum(n) - n
+        self._again = np.zeros(len(keep), bool)
+
+    def _encode_units(self, buf: np.ndarray, a: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids end to end, number of each) of the units ``buf[a:e]``, which begin with white space: JOINED at a
+        time as one text, and its tokens dealt to the units by where they begin."""
+        size = e - a
+        joined = _gather(buf, a, size)
+        byte = np.concatenate([[0], np.cumsum(size)])
+        char = np.concatenate([[0], np.cumsum((joined & 0xC0) != 0x80)])[byte]
+        at = range(0, len(a), JOINED)
+        texts = [joined[byte[i]:byte[min(i + JOINED, len(a))]].tobytes().decode() for i in at]
+        ids, begin = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for i, x in zip(at, self._tokenizer.encode_batch(texts, add_special_tokens=False)):
+            ids.append(np.array(x.ids, np.uint32))
+            begin.append(np.array(x.offsets, np.int64).reshape(-1, 2)[:, 0] + char[i])
+        cut = np.searchsorted(np.concatenate(begin), char)
+        cut[-1] = sum(map(len, ids))
+        return np.concatenate(ids), np.diff(cut)
+
+    def _learn(self, keys: np.ndarray, buf: np.ndarray, lead: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
+        """Remember new units: the words ``buf[start:end]`` with the white space ``lead`` (0: none) before them."""
+        bare = end.copy()
+        for _ in range(TAIL):
+            bare -= _MARK[buf[bare - 1]] & (bare > start)
+        marked = (bare > start) & (bare < end) & _LETTER[buf[bare - 1]]
+        bare = np.where(marked, bare, end)
+        m = np.flatnonzero(marked)
+        key = keys.copy()
+        if len(m):
+            size = bare[m] - start[m]
+            key[m] = _keys(split_words(_gather(buf, start[m], size), np.concatenate([[0], np.cumsum(size)])).hash, lead[m])
+        word, first = np.unique(key, return_index=True)
+        there = self._find(word)[1]
+        word, first = word[~there], first[~there]
+        for some, own in ((lead[first] != 0, self._encode_units), (lead[first] == 0, self._encode_firsts)):
+            if some.any():
+                k = first[some]
+                self._add(word[some], *own(buf, start[k] - (lead[k] != 0), bare[k]))
+        if len(m):
+            tail = np.zeros(len(m), U)
+            for j in range(TAIL):
+                at = bare[m] + j
+                tail = np.where(at < end[m], (tail << U(8)) | buf[np.minimum(at, len(buf) - 1)].astype(U), tail)
+            tail, of = np.unique(tail, return_inverse=True)
+            for t in tail.tolist():
+                if t not in self._tails:
+                    self._tails[t] = self._whole(t.to_bytes(8, "big").lstrip(b"\0").decode())
+            tails = [self._tails[t] for t in tail.tolist()]
+            n_tail = np.array([len(t) for t in tails], np.int64)
+            i = self._find(key[m])[0]
+            n = np.stack([self._n[i].astype(np.int64), n_tail[of]], axis=1)
+            place = np.stack([self._at[i], self._used + (np.cumsum(n_tail) - n_tail)[of]], axis=1)
+            self._add(keys[m], _gather(np.concatenate([self._ids[:self._used], *tails]), place.ravel(), n.ravel()), n.sum(axis=1))
+
+    def _encode_firsts(self, buf: np.ndarray, a: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_encode_units``, of words that begin a text."""
+        texts = [buf[i:j].tobytes().decode() for i, j in zip(a.tolist(), e.tolist())]
+        ids = [np.array(x.ids, np.uint32) for x in self._tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return np.concatenate(ids), np.array([len(x) for x in ids], np.int64)
 
     def _slice(self, data: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
         w, bounds = split_words(data, off), off - off[0]
@@ -141,24 +194,23 @@ class Encoder:
                 loose[np.searchsorted(bounds, at, side="right") - 1] = True
                 at = text.find(content, at + 1)
         if len(self._hash) > REMEMBER:
-            self._clear()
+            self._forget()
         of = w.row_of()
         tight = np.flatnonzero(~loose[of])
         begins = w.start[tight] == bounds[of[tight]]
         lead = np.where(begins, 0, buf[w.start[tight] - 1]) if len(tight) else np.zeros(0, np.int64)
         key, first, back = np.unique(_keys(w.hash[tight], lead), return_index=True, return_inverse=True)
-        _, there = self._find(key)
+        at, there = self._find(key)
+        self._again[at[there]] = True
         new = np.flatnonzero(~there)
         if len(new):
             k = first[new]
-            a, b = w.start[tight[k]] - (lead[k] != 0), w.end[tight[k]]
-            raw = buf.tobytes()
-            self._learn(key[new], [raw[i:j] for i, j in zip(a.tolist(), b.tolist())])
+            self._learn(key[new], buf, lead[k], w.start[tight[k]], w.end[tight[k]])
         at, _ = self._find(key)
-        n = self._n[at][back] if len(key) else np.zeros(0, np.int64)
+        n = self._n[at][back].astype(np.int64) if len(key) else np.zeros(0, np.int64)
         begin = self._at[at][back] if len(key) else n
         end = np.cumsum(n)
-        ids = self._ids[np.repeat(begin - end + n, n) + np.arange(int(end[-1]) if len(end) else 0)]
+        ids = _gather(self._ids, begin, n)
         total = np.concatenate([[0], end])[np.searchsorted(of[tight], np.arange(rows + 1))]
         return [self._whole(buf[bounds[r]:bounds[r + 1]].tobytes().decode()) if loose[r] else ids[total[r]:total[r + 1]]
                 for r in range(rows)]
