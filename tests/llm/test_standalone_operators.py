@@ -221,39 +221,58 @@ def test_license_scan(spark, empty):
 
 # WARC audit
 
+def audited(left, right):
+    """The rows of an audit of two lists of (id, record), by a plain walk over each file."""
+    def contents(side):
+        out = {}
+        for i, r in side:
+            out.setdefault(i, []).append(r)
+        return {i: sorted(x) for i, x in out.items()}
+    a, b = contents(left), contents(right)
+    size = lambda side, i: sum(map(len, side.get(i, [])))
+    want, ids = [], sorted(a.keys() | b.keys())
+    for f in range(0, len(ids), 256):
+        at, to, behind = 0, 0, None
+        same: dict = {}
+        for i in ids[f:f + 256]:
+            n, m = size(a, i), size(b, i)
+            if a.get(i) != b.get(i):
+                want.append((f // 256, i, "missing" if i not in b else "extra" if i not in a else "damaged",
+                             *((at, at + n) if i in a else (None, None)), *((to, to + m) if i in b else (None, None))))
+                behind = i
+            elif at != to and n:
+                first = same.get(behind, (at, 0, to, 0))
+                same[behind] = (first[0], at + n, first[2], to + m)
+            at, to = at + n, to + m
+        want += [(f // 256, i, "shifted", *x) for i, x in same.items()]
+    return sorted(want, key=str)
+
+
 def test_warc_audit(spark):
     rng = random.Random(3)
     pages = [(i, None if i % 17 == 0 else f"http://h/{i}", None if i % 23 == 0 else "x" * rng.randint(0, 50)) for i in
-             rng.sample(range(-700, 5000), 900)] + [(None, "u", "h")]
+             rng.sample(range(-700, 5000), 900)] + [(None, "u", "h"), (-2 ** 63, "least", "h"), (2 ** 63 - 1, "most", "h")]
     pages += pages[:3] + [(pages[5][0], "again", "other")]
     left = warc_audit.archive(spark.createDataFrame(pages, PAGES).selectExpr("*", "1 AS id", "'r' AS record"))
     assert warc_audit.audit(left, left).count() == 0
-    ids = sorted({p[0] for p in pages if p[0] is not None})
-    lost, changed, extra = ids[100], ids[300], 4999 if 4999 not in ids else 5001
     rows = [(r.id, bytes(r.record)) for r in left.collect()]
-    right = [(i, b"?" + r[1:] if i == changed else r) for i, r in rows if i != lost] + [(extra, b"new")]
-    got = {r.id: r for r in warc_audit.audit(left, spark.createDataFrame(right, left.schema)).collect()}
-    size = lambda side: {i: sum(len(r) for j, r in side if j == i) for i in {j for j, _ in side}}
-    base = ids[0] // 256 * 256
-
-    def places(side):
-        out, end = {}, {}
-        for i, n in sorted(size(side).items()):
-            f = (i - base) // 256
-            out[i] = (end.get(f, 0), end.get(f, 0) + n)
-            end[f] = out[i][1]
-        return out
-    a, b = places(rows), places(right)
-    want = {}
-    for i in a.keys() | b.keys():
-        status = ("missing" if i not in b else "extra" if i not in a else "damaged" if i == changed
-                  else "shifted" if a[i] != b[i] else None)
-        if status:
-            want[i] = (status, *a.get(i, (None, None)), *b.get(i, (None, None)))
-    assert {i: (r.status, r.left_first, r.left_end, r.right_first, r.right_end) for i, r in got.items()} == want
+    ids = sorted({i for i, _ in rows})
+
+    def check(right):
+        got = warc_audit.audit(left, spark.createDataFrame(right, left.schema)).collect()
+        want = audited(rows, right)
+        assert sorted(map(tuple, got), key=str) == want
+        return want
+    assert len(check([r for r in rows if r[0] != ids[300]])) == 2  # a lost record is one row, and one for what moved
+    assert len(check([r for r in rows if r[0] != ids[255]])) == 1  # the last of its file moves nothing
+    lost, changed, longer, extra = {*ids[100:103], ids[0], ids[-1]}, {ids[301], ids[5]}, set(ids[400:600:40]), 4999 if 4999 not in ids else 5001
+    check([(i, b"?" + r[1:] if i in changed else r + b"." if i in longer else r) for i, r in rows if i not in lost]
+          + [(extra, b"new"), (ids[50] + 1 if ids[50] + 1 not in ids else 6001, b"another")])
+    check([r for r in rows if r[0] in ids[700:]])
     nothing = spark.createDataFrame([], left.schema)
     assert warc_audit.audit(nothing, nothing).count() == 0
     assert {r.status for r in warc_audit.audit(left, nothing).collect()} == {"missing"}
+    assert {r.status for r in warc_audit.audit(nothing, left).collect()} == {"extra"}
 
 
 def test_empty_tables(spark, empty):
