@@ -118,19 +118,23 @@ WITH rec AS (
          'Content-Type: text/html', chr(13), chr(10), 'Content-Length: ', strlen(coalesce(html, '')), chr(13), chr(10), chr(13), chr(10),
          coalesce(html, ''), chr(13), chr(10), chr(13), chr(10)) AS r
   FROM pages WHERE page_id IS NOT NULL),
-other AS (
-  SELECT id, CASE WHEN id % {CUT[0]} = {CUT[1]} THEN strlen(r) // 2 ELSE strlen(r) END AS length,
-         CASE WHEN id % {CUT[0]} = {CUT[1]} THEN 'cut' WHEN id % {CHANGED[0]} = {CHANGED[1]} THEN 'changed' ELSE 'same' END AS state
-  FROM rec WHERE id % {LOST[0]} <> {LOST[1]}),
-base AS (SELECT min(id) // 256 * 256 AS base FROM rec),
-a AS (SELECT id, sum(strlen(r)) OVER (PARTITION BY (id - base) // 256 ORDER BY id) AS e, strlen(r) AS length FROM rec, base),
-b AS (SELECT id, sum(length) OVER (PARTITION BY (id - base) // 256 ORDER BY id) AS e, length, state FROM other, base)
-SELECT a.id AS page_id,
-       CASE WHEN b.id IS NULL THEN 'missing' WHEN state <> 'same' THEN 'damaged' ELSE 'shifted' END AS status,
-       (a.e - a.length)::BIGINT AS left_first, a.e::BIGINT AS left_end,
-       (b.e - b.length)::BIGINT AS right_first, b.e::BIGINT AS right_end
-FROM a LEFT JOIN b USING (id)
-WHERE b.id IS NULL OR state <> 'same' OR a.e <> b.e
+pairs AS (  -- the records with what became of them, in files of 256
+  SELECT id, (row_number() OVER (ORDER BY id) - 1) // 256 AS file, strlen(r)::BIGINT AS n,
+         CASE WHEN id % {LOST[0]} = {LOST[1]} THEN 'missing'
+              WHEN id % {CUT[0]} = {CUT[1]} OR id % {CHANGED[0]} = {CHANGED[1]} THEN 'damaged' ELSE 'same' END AS state,
+         (CASE WHEN id % {LOST[0]} = {LOST[1]} THEN 0 WHEN id % {CUT[0]} = {CUT[1]} THEN strlen(r) // 2 ELSE strlen(r) END)::BIGINT AS m
+  FROM rec),
+places AS (
+  SELECT *, (sum(n) OVER w)::BIGINT AS l_end, (sum(m) OVER w)::BIGINT AS r_end,
+         max(CASE WHEN state <> 'same' THEN id END) OVER w AS behind
+  FROM pairs WINDOW w AS (PARTITION BY file ORDER BY id))
+SELECT file, id AS page_id, state AS status, l_end - n AS left_first, l_end AS left_end,
+       CASE WHEN state = 'missing' THEN NULL ELSE r_end - m END AS right_first,
+       CASE WHEN state = 'missing' THEN NULL ELSE r_end END AS right_end
+FROM places WHERE state <> 'same'
+UNION ALL
+SELECT file, behind, 'shifted', min(l_end - n), max(l_end), min(r_end - m), max(r_end)
+FROM places WHERE state = 'same' AND l_end <> r_end GROUP BY file, behind
 """
 
 
