@@ -14,8 +14,8 @@ by exact shingle containment.
 Everything is DataFrame functions: no Python runs on the executors. The item index is broadcast only if
 its counted size allows, otherwise it is joined by shuffle.
 
-Defined cases: null texts have no shingles; items with fewer than five words are not searched (no
-shingle); rows with a null id are skipped; rows that repeat an id are taken together; empty tables give an
+Defined cases: null texts and texts without a word have no shingles; a text of one to four words has one shingle of all its words, so that
+an item that short is found where it is a whole document (within a longer text so few words tell nothing); rows with a null id are skipped; rows that repeat an id are taken together; empty tables give an
 empty result; other columns are ignored.
 """
 
@@ -32,12 +32,13 @@ WORD_BREAK = r"[^\p{L}\p{M}\p{N}]+"
 
 
 def _shingled(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """(id, h): the 64-bit hash of every run of five words."""
+    """(id, h): the 64-bit hash of every run of five words; of all words of a text with fewer."""
     words = docs.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.split(F.lower(F.col(text)), WORD_BREAK).alias("w"))
-    words = words.select("id", F.filter("w", lambda w: w != "").alias("w")).where(F.size("w") >= SHINGLE)
+    words = words.select("id", F.filter("w", lambda w: w != "").alias("w")).where(F.size("w") > 0)
     return words.select("id", F.explode(F.transform(
-        F.sequence(F.lit(0), F.size("w") - SHINGLE),
+        F.sequence(F.lit(0), F.greatest(F.size("w") - SHINGLE, F.lit(0))),
+        # the hash passes over the nulls behind a shorter text's end
         lambda i: F.xxhash64(*[F.get("w", i + j) for j in range(SHINGLE)]))).alias("h"))
 
 

@@ -169,8 +169,8 @@ def quality_report(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                                        F.col(source).alias("source"), measure(F.col(text)).alias("m")),
                            "quality-measures")
     judged = judge(measured, fences(measured, "m"), "m", "kept")
-    return judged.select(F.col("id").alias(id_col), *[F.col(f"m.{f}").alias(f) for f in _FIELDS],
-                         base_failed(F.col("m")).alias("base_failed"), "kept")
+    return judged.select(F.col("id").alias(id_col), *[F.col(f"m.{f}").alias(f) for f in _FIELDS if f != "n_lines"],
+                         base_failed(F.col("m")).alias("base_failed"), "kept", F.col("m.n_lines").alias("n_lines"))
 
 
 def quality_filter(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:

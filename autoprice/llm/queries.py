@@ -83,10 +83,10 @@ f AS (
          max(CASE WHEN rule = 'word_length' THEN q1 - {quality_rules.REACH} * greatest(q3 - q1, {_METRICS['word_length']}) END)
            AS word_length_low
   FROM q GROUP BY lang, source)
-SELECT r.doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, base_failed,
+SELECT r.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND coalesce(symbol_rate <= symbol_rate_high AND dup_line_rate <= dup_line_rate_high
          AND repeat_rate <= repeat_rate_high AND word_length <= word_length_high
-         AND word_length >= word_length_low, false) AS kept
+         AND word_length >= word_length_low, false) AS kept, n_lines
 FROM r LEFT JOIN f USING (lang, source)
 """
 
@@ -168,12 +168,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 CONTAINED_SQL = f"""
 WITH s AS (
-  SELECT src, id, [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] || ' ' || w[i + 4]
-                   FOR i IN range(1, len(w) - 3)] AS sh
+  SELECT src, id, [array_to_string(w[i:i + least(5, len(w)) - 1], ' ') FOR i IN range(1, len(w) - least(5, len(w)) + 2)] AS sh
   FROM (SELECT src, id, list_filter(string_split_regex(lower(text), '[^\\p{{L}}\\p{{M}}\\p{{N}}]+'), lambda x: x <> '') AS w
         FROM (SELECT 'd' AS src, doc_id AS id, text FROM documents WHERE doc_id IS NOT NULL
               UNION ALL SELECT 'b', item_id, text FROM benchmark WHERE item_id IS NOT NULL))
-  WHERE len(w) >= 5),
+  WHERE len(w) > 0),
 e AS (SELECT DISTINCT src, id, unnest(sh) AS g FROM s),
 items AS (SELECT id, g, count(*) OVER (PARTITION BY id) AS m FROM e WHERE src = 'b')
 SELECT e.id AS doc_id, items.id AS item_id, count(*) AS n_found, max(m) AS n_item, count(*) / max(m) AS containment

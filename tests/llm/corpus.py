@@ -108,7 +108,7 @@ def kept_words(docs: dict[int, str | None], window: int) -> dict[int, list[str]]
 def contained(docs: dict[int, str | None], items: dict[int, str | None], threshold: float) -> dict[tuple[int, int], tuple[int, int]]:
     def shingles(t):
         w = "".join(c.lower() if c.isalnum() else " " for c in t or "").split()
-        return {tuple(w[k:k + 5]) for k in range(len(w) - 4)}
+        return {tuple(w[k:k + 5]) for k in range(max(len(w) - 4, min(len(w), 1)))}
     out = {}
     own = {j: shingles(t) for j, t in items.items()}
     for i, t in docs.items():

@@ -151,7 +151,7 @@ def test_passages(made, monkeypatch, hot):
 def test_contained_items(spark, made):
     df, docs = made
     rng = random.Random(4)
-    items = {j: t for j, t in enumerate(["", None, "one two three", "a b c d e"])}
+    items = {j: t for j, t in enumerate(["", None, "one two three", "a b c d e", "One, TWO", "-- !"])}
     for j, t in enumerate(t for t in docs.values() if len(split(t)) > 60):
         w = split(t)
         at = rng.randrange(len(w) - 40)
@@ -163,6 +163,7 @@ def test_contained_items(spark, made):
     got = {(r.doc_id, r.item_id): (r.n_found, r.n_item) for r in decontaminate.contained_items(df, table).collect()}
     want = contained(docs, items, decontaminate.THRESHOLD)
     assert got == want and len(want) > 30
+    assert {i for i, j in want if j == 4} == {i for i, t in docs.items() if split(t or "") == ["one", "two"]} != set()
     out = decontaminate.remove_contaminated(df, table)
     assert out.columns == df.columns
     assert {r.doc_id for r in out.collect()} == docs.keys() - {i for i, _ in want}
