@@ -1,12 +1,11 @@
 """Near-duplicate classes: improved consistent weighted sampling over TF-IDF shingles.
 
-A document is the weighted set of its five-word shingles, weight = count in the text x IDF. IDF is
-``1 + ln(1 / max(df / N, IDF_SHARE))``: it lowers boilerplate, shingles in more than IDF_SHARE of the
-documents, and is constant below. That choice keeps the IDF table provably small (the document
-frequencies sum to the number of postings, so at most ``mean distinct shingles per document /
-IDF_SHARE`` shingles exceed the share) and keeps ordinary groups of copies from being pushed apart by
-their own frequency. Frequencies are exact over all documents: a shingle above the share overall is
-above it in some batch, so batches propose candidates and a second pass counts the proposals.
+A document is the weighted set of its five-word shingles, weight = count in the text x IDF, and IDF is
+``1 + ln(N / df)``, df being in how many of the N documents the shingle stands. All frequencies are exact:
+texts are dealt to blocks; a block sends its distinct shingles with their counts, packed by hash range, to shards; a
+shard adds them up and answers each block with those that stand in several documents (the others stand in
+one); block and answers meet again, and each text keeps the frequencies of its shingles beside its samples. Neither the
+driver nor a single task holds a table of all shingles.
 
 Each document draws SAMPLES improved consistent weighted samples (per shingle and sample: r and c from
 Gamma(2, 1), b uniform; t = floor(ln w / r + b); the shingle with the least ln c - r (t - b + 1) and its t
@@ -28,11 +27,11 @@ an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,7 +41,11 @@ from autoprice.llm.textcore import U, mix, shingles, slices, split_words, utf8
 
 SHINGLE = 5
 THRESHOLD = 0.8
-IDF_SHARE = 0.05
+#: Frequencies below this share of the documents would count as that share: none do, IDF is never held constant.
+IDF_SHARE = 0.0
+#: Text of a block at most (a longer text is one of its own), and of a shard about.
+BLOCK_BYTES = 4 << 20
+SHARD_BYTES = 16 << 20
 BANDS, ROWS = 12, 4
 SAMPLES = BANDS * ROWS
 #: Texts of a side that a task compares at once, across the components of a bucket.
@@ -62,23 +65,70 @@ _LN_C = np.log(_gamma_quantiles(1 << 16)).astype(np.float32)
 _SEEDS = mix(np.arange(1, SAMPLES + 1, dtype=U) * U(0xD1342543DE82EF95))
 
 
-def weighted(data: np.ndarray, off: np.ndarray, often: np.ndarray, idf: np.ndarray, idf_max: float):
-    """Distinct shingles of each row, sorted by row and hash: (hash, weight, row bounds)."""
-    w = split_words(data, off)
-    h, row = shingles(w, SHINGLE)
+def bags(data: np.ndarray, off: np.ndarray):
+    """Distinct shingles of each row, sorted by row and hash: (hash, count, row bounds)."""
+    h, row = shingles(split_words(data, off), SHINGLE)
     order = np.lexsort((h, row))
     h, row = h[order], row[order]
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
     at = np.flatnonzero(new)
-    tf = np.diff(np.append(at, len(h)))
-    h, row = h[at], row[at]
-    weight = np.full(len(h), idf_max)
-    if len(often):
-        i = np.minimum(np.searchsorted(often, h), len(often) - 1)
-        hit = often[i] == h
-        weight[hit] = idf[i[hit]]
-    return h, weight * tf, np.searchsorted(row, np.arange(len(off)))
+    return h[at], np.diff(np.append(at, len(h))), np.searchsorted(row[at], np.arange(len(off)))
+
+
+def idf(frequency: np.ndarray, n_docs: int) -> np.ndarray:
+    return 1 + np.log(n_docs / np.maximum(frequency, IDF_SHARE * n_docs))
+
+
+def weighted(data: np.ndarray, off: np.ndarray, frequency: np.ndarray, n_docs: int):
+    """Distinct shingles of each row, sorted by row and hash: (hash, weight, row bounds). ``frequency``: of each of them, in order."""
+    h, tf, first = bags(data, off)
+    return h, tf * idf(frequency, n_docs), first
+
+
+def _frequencies(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers packed in a binary column, and the row bounds."""
+    data, off = utf8(arr)
+    return data[off[0]:off[-1]].view(np.uint32), (off - off[0]) // 4
+
+
+def _packed(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """Binary array of the bytes of ``values`` between the cuts."""
+    size = values.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer((cuts * size).astype(np.int32).tobytes()),
+                                                              pa.py_buffer(np.ascontiguousarray(values).tobytes())])
+
+
+def _planes(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """Binary array of the values between the cuts, first bytes first: in ascending numbers the upper bytes repeat, and shuffles compress them."""
+    return pa.array([values[i:j].view(np.uint8).reshape(j - i, -1).T.tobytes() for i, j in zip(cuts, cuts[1:])], pa.binary())
+
+
+def _from_planes(arr: pa.Array | pa.ChunkedArray, kind: type) -> list[np.ndarray]:
+    """The values of each row."""
+    size = np.dtype(kind).itemsize
+    return [np.frombuffer(x, np.uint8).reshape(size, -1).T.copy().view(kind).ravel() for x in arr.to_pylist()]
+
+
+def _runs(*columns: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of neighbouring rows that are equal in all columns."""
+    n = len(columns[0])
+    new = np.zeros(max(n - 1, 0), bool)
+    for c in columns:
+        new |= c[1:] != c[:-1]
+    cuts = [0, *(np.flatnonzero(new) + 1).tolist(), n]
+    return [(i, j) for i, j in zip(cuts, cuts[1:]) if j > i]
+
+
+def _add_up(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Order of ``h``, the distinct values, the sums of ``n`` over each, and how often each occurs."""
+    order = np.argsort(h, kind="stable")
+    h = h[order]
+    new = np.ones(len(h), bool)
+    new[1:] = h[1:] != h[:-1]
+    at = np.flatnonzero(new)
+    sums = np.add.reduceat(n[order], at) if len(at) else n[:0]
+    return order, h[at], sums, np.diff(np.append(at, len(h)))
 
 
 def sample(h: np.ndarray, weight: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -101,73 +151,85 @@ def sample(h: np.ndarray, weight: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def _distinct(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
-    """Per slice of texts: its shingles, in how many of its texts each occurs, and the number of texts."""
-    data, off = utf8(batch.column(0))
-    for i, j in slices(off, 1 << 20):
-        h, row = shingles(split_words(data, off[i:j + 1]), SHINGLE)
-        order = np.lexsort((row, h))
-        h, row = h[order], row[order]
-        first = np.ones(len(h), bool)
-        first[1:] = h[1:] != h[:-1]
-        new = first.copy()
-        new[1:] |= row[1:] != row[:-1]
-        h = h[new]
-        at = np.flatnonzero(first[new])
-        yield h[at], np.diff(np.append(at, len(h))), j - i
-
-
-def frequent_shingles(docs: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray, float]:
-    """Shingles in more than IDF_SHARE of all documents with their exact IDF, and the IDF of the others.
-
-    A slice proposes its shingles in at least half the share of its texts. Where it does not propose one,
-    that one is in fewer, so ``sum(count - half * texts)`` over the proposing slices is at least
-    ``half * N`` for every shingle above the share. At most ``mean shingles per text / half`` pass that
-    test: this is the bound of what is sent to every task to be counted exactly, whatever the input.
-    """
-    n_docs, half = text_batches(docs).count(), IDF_SHARE / 2
-    idf_max = 1 + math.log(1 / IDF_SHARE)
-    texts = docs.select(F.col(text).alias("text"))
+def in_blocks(docs: DataFrame) -> DataFrame:
+    """``docs`` (id, key, text) as a written table with a block number, and the text's bytes."""
+    kind = docs.schema["id"].dataType.simpleString()
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            _, off = utf8(batch.column("text"))
+            for i, j in slices(off, BLOCK_BYTES):
+                part = batch.slice(i, j - i)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id"), part.column("key"), part.column("text"), pa.array(np.full(j - i, block)),
+                     pa.array(np.diff(off[i:j + 1]))], names=["id", "key", "text", "block", "size"])
+                block += 1
+    return materialise(text_batches(docs).select("id", "key", "text").mapInArrow(
+        releasing(deal), f"id {kind}, key binary, text string, block bigint, size bigint"), "blocks")
+
+
+def shared_shingles(blocks: DataFrame) -> DataFrame:
+    """(block, h, n): the shingles of a block, packed, that stand in several documents, and in how many of all documents. A
+    block has several rows."""
+    shards = 1 + (blocks.agg(F.sum("size")).first()[0] or 0) // SHARD_BYTES
 
-    def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for h, c, n in _distinct(batch):
-                keep = c >= half * n
+            data, off = utf8(batch.column("text"))
+            ids = batch.column("block").to_numpy()
+            for first, last in _runs(ids):
+                found = [np.zeros(0, U)]
+                for i, j in slices(off[first:last + 1]):
+                    found.append(bags(data, off[first + i:first + j + 1])[0])
+                h = np.concatenate(found)
+                _, h, n, _ = _add_up(h, np.ones(len(h), np.uint32))
+                shard = ((h >> U(32)) * U(shards)) >> U(32)
+                cuts = np.array([0] + [j for _, j in _runs(shard)])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[keep].view(np.int64)), pa.array(c[keep].astype(np.int64)),
-                     pa.array(np.full(keep.sum(), n, np.int64))], names=["h", "c", "n"])
-
-    passing = (texts.mapInArrow(releasing(propose), "h bigint, c bigint, n bigint").groupBy("h")
-               .agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
-               .where(F.col("c") - half * F.col("n") >= half * n_docs).select("h").collect())
-    if not passing:
-        return np.zeros(0, U), np.zeros(0), idf_max
-    names = docs.sparkSession.sparkContext.broadcast(np.sort(np.array([x.h for x in passing], np.int64).view(U)))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked = names.value
+                    [pa.array(shard[cuts[:-1]].astype(np.int64)), pa.array(np.full(len(cuts) - 1, ids[first])), _planes(h, cuts),
+                     _planes(n.astype(np.uint32), cuts)], names=["shard", "block", "h", "n"])
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def done() -> pa.RecordBatch:
+            rows = pa.Table.from_batches(held)
+            parts = _from_planes(rows.column("h"), U)
+            block = np.repeat(rows.column("block").to_numpy(), [len(x) for x in parts])
+            h, counts = np.concatenate(parts), np.concatenate(_from_planes(rows.column("n"), np.uint32))
+            order, _, total, times = _add_up(h, counts.astype(np.int64))
+            n = np.empty(len(h), np.uint32)
+            n[order] = np.repeat(total, times)
+            several = np.flatnonzero(n > 1)
+            several = several[np.argsort(block[several], kind="stable")]
+            cuts = np.array([0] + [j for _, j in _runs(block[several])])
+            return pa.RecordBatch.from_arrays([pa.array(block[several][cuts[:-1]]), _planes(h[several], cuts), _planes(n[several], cuts)],
+                                              names=["block", "h", "n"])
+
         for batch in batches:
-            for h, c, _ in _distinct(batch):
-                if len(h):
-                    at = np.minimum(np.searchsorted(h, asked), len(h) - 1)
-                    hit = h[at] == asked
-                    yield pa.RecordBatch.from_arrays([pa.array(asked[hit].view(np.int64)),
-                                                      pa.array(c[at[hit]].astype(np.int64))], names=["h", "n"])
-
-    counts = (texts.mapInArrow(releasing(count), "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("df"))
-              .where(F.col("df") > IDF_SHARE * n_docs).collect())
-    h = np.array([x.h for x in counts], np.int64).view(U)
-    order = np.argsort(h)
-    return h[order], 1 + np.log(n_docs / np.array([x.df for x in counts], float))[order], idf_max
-
-
-def weighted_jaccard(left: pa.Array, right: pa.Array, often, idf, idf_max) -> np.ndarray:
-    """Exact weighted Jaccard similarity of text pairs."""
+            ids = batch.column("shard").to_numpy()
+            for i, j in _runs(ids):
+                if held and held[-1].column("shard")[0].as_py() != ids[i]:
+                    yield done()
+                    held.clear()
+                held.append(batch.slice(i, j - i))
+        if held:
+            yield done()
+
+    sent = blocks.select("block", "text").mapInArrow(releasing(send), "shard bigint, block bigint, h binary, n binary")
+    return materialise(sent.repartition(shards, "shard").sortWithinPartitions("shard")
+                       .mapInArrow(releasing(answer), "block bigint, h binary, n binary"), "shared-shingles")
+
+
+def weighted_jaccard(left: pa.Array, right: pa.Array, left_n: pa.Array, right_n: pa.Array, n_docs: int) -> np.ndarray:
+    """Exact weighted Jaccard similarity of text pairs, with the frequencies of their shingles."""
     out = np.zeros(len(left))
     (ld, lo), (rd, ro) = utf8(left), utf8(right)
+    (ln, lb), (rn, rb) = _frequencies(left_n), _frequencies(right_n)
     for i, j in slices(lo + ro):
-        lh, lw, lf = weighted(ld, lo[i:j + 1], often, idf, idf_max)
-        rh, rw, rf = weighted(rd, ro[i:j + 1], often, idf, idf_max)
+        lh, lw, lf = weighted(ld, lo[i:j + 1], ln[lb[i]:lb[j]], n_docs)
+        rh, rw, rf = weighted(rd, ro[i:j + 1], rn[rb[i]:rb[j]], n_docs)
         for k in range(j - i):
             a, b = slice(lf[k], lf[k + 1]), slice(rf[k], rf[k + 1])
             total = lw[a].sum() + rw[b].sum()
@@ -178,40 +240,65 @@ def weighted_jaccard(left: pa.Array, right: pa.Array, often, idf, idf_max) -> np
     return out
 
 
-def signatures(docs: DataFrame, frequent, text: str = "text") -> DataFrame:
-    """``docs`` (id, key, text) -> id, key, bands (one hash per band), samples (SAMPLES ints); texts
-    without words have null bands."""
-    ctx = docs.sparkSession.sparkContext.broadcast(frequent)
+def signatures(docs: DataFrame) -> tuple[DataFrame, int]:
+    """``docs`` (id, key, text) -> id, key, bands (one hash per band), samples (SAMPLES ints), n (in how many documents
+    each distinct shingle stands, packed in the order of their hashes), and the number of documents; texts without
+    words have null bands."""
+    blocks = in_blocks(docs)
+    n_docs = blocks.count()
+    none, id_type = F.lit(None), docs.schema["id"].dataType
+    rows = blocks.select("block", F.lit(1).alias("kind"), "id", "key", "text", none.cast("binary").alias("h"), none.cast("binary").alias("n"))
+    answers = shared_shingles(blocks).select("block", F.lit(0).alias("kind"), none.cast(id_type).alias("id"), none.cast("binary").alias("key"),
+                                             none.cast("string").alias("text"), "h", "n")
+
+    def signed(batch: pa.RecordBatch, known: np.ndarray, times: np.ndarray) -> Iterator[pa.RecordBatch]:
+        data, off = utf8(batch.column("text"))
+        for i, j in slices(off):
+            h, tf, first = bags(data, off[i:j + 1])
+            n = np.ones(len(h), np.uint32)
+            if len(known):
+                at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                n = np.where(known[at] == h, times[at], n)
+            some = np.diff(first) > 0
+            bands = np.zeros((j - i, BANDS), np.int64)
+            short = np.zeros((j - i, SAMPLES), np.int32)
+            if some.any():
+                s = sample(h, tf * idf(n, n_docs), first)
+                z = np.zeros((len(s), BANDS), U)
+                for k in range(ROWS):
+                    z = mix(z + s[:, k::ROWS] * U(0x9E3779B97F4A7C15))
+                bands[some] = (z + np.arange(BANDS, dtype=U)).view(np.int64)
+                short[some] = (s >> U(32)).astype(np.uint32).view(np.int32)
+            empty = pa.array(~some)
+            lists = lambda x, kind: pa.ListArray.from_arrays(
+                pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel(), kind), mask=empty)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id").slice(i, j - i), batch.column("key").slice(i, j - i),
+                 lists(bands, pa.int64()), lists(short, pa.int32()), _packed(n, first)], names=["id", "key", "bands", "samples", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often, idf, idf_max = ctx.value
+        block, held, known = None, [], None
         for batch in batches:
-            data, off = utf8(batch.column("text"))
-            for i, j in slices(off):
-                h, weight, first = weighted(data, off[i:j + 1], often, idf, idf_max)
-                some = np.diff(first) > 0
-                bands = np.zeros((j - i, BANDS), np.int64)
-                short = np.zeros((j - i, SAMPLES), np.int32)
-                if some.any():
-                    s = sample(h, weight, first)
-                    z = np.zeros((len(s), BANDS), U)
-                    for k in range(ROWS):
-                        z = mix(z + s[:, k::ROWS] * U(0x9E3779B97F4A7C15))
-                    bands[some] = (z + np.arange(BANDS, dtype=U)).view(np.int64)
-                    short[some] = (s >> U(32)).astype(np.uint32).view(np.int32)
-                none = pa.array(~some)
-                lists = lambda x, kind: pa.ListArray.from_arrays(
-                    pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel(), kind), mask=none)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").slice(i, j - i), batch.column("key").slice(i, j - i),
-                     lists(bands, pa.int64()), lists(short, pa.int32())], names=["id", "key", "bands", "samples"])
+            ids, kinds = batch.column("block").to_numpy(), batch.column("kind").to_numpy()
+            for i, j in _runs(ids, kinds):
+                if ids[i] != block:
+                    block, held, known = ids[i], [(np.zeros(0, U), np.zeros(0, np.uint32))], None
+                part = batch.slice(i, j - i)
+                if kinds[i] == 0:
+                    held += zip(_from_planes(part.column("h"), U), _from_planes(part.column("n"), np.uint32))
+                    continue
+                if known is None:
+                    h, n = (np.concatenate(c) for c in zip(*held))
+                    order = np.argsort(h)
+                    held, known = [], (h[order], n[order])
+                yield from signed(part, *known)
 
-    kind = docs.schema["id"].dataType.simpleString()
-    return docs.select("id", "key", F.col(text).alias("text")).mapInArrow(
-        releasing(run), f"id {kind}, key binary, bands array<bigint>, samples array<int>")
+    met = rows.unionByName(answers).repartition("block").sortWithinPartitions("block", "kind")
+    return materialise(met.mapInArrow(releasing(run), f"id {id_type.simpleString()}, key binary, bands array<bigint>, samples array<int>, n binary"),
+                       "signatures"), n_docs
 
 
-def links_across(members: DataFrame, signed: DataFrame, texts: DataFrame, ctx, threshold: float) -> DataFrame:
+def links_across(members: DataFrame, signed: DataFrame, texts: DataFrame, n_docs: int, threshold: float) -> DataFrame:
     """Links (a, b) between members of one bucket that are in different components so far.
 
     The members outside a bucket's main component (left) meet all members (right), in blocks of about
@@ -253,7 +340,8 @@ def links_across(members: DataFrame, signed: DataFrame, texts: DataFrame, ctx, t
         data, off = utf8(pa.array(rows["text"], pa.large_string()))
         bags = [None] * len(key)
         for i, j in slices(off):
-            h, w, f = weighted(data, off[i:j + 1], *ctx.value)
+            n = np.frombuffer(b"".join(rows["n"][i:j]), np.uint32)
+            h, w, f = weighted(data, off[i:j + 1], n, n_docs)
             for r in range(j - i):
                 bags[i + r] = h[f[r]:f[r + 1]], w[f[r]:f[r + 1]]
         weight = np.array([b[1].sum() for b in bags])
@@ -294,18 +382,15 @@ def links_across(members: DataFrame, signed: DataFrame, texts: DataFrame, ctx, t
         if held:
             yield done()
 
-    return (dealt.select("task", *cols, "left", "right", "bands", "samples", "text").repartition("task")
+    return (dealt.select("task", *cols, "left", "right", "bands", "samples", "text", "n").repartition("task")
             .sortWithinPartitions("task").mapInArrow(releasing(run), "a binary, b binary"))
 
 
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                            threshold: float = THRESHOLD) -> DataFrame:
     """One row per input row: id and class_id, the smallest id among the documents linked to it."""
-    spark = docs.sparkSession
     base = docs.select(F.col(id_col).alias("id"), F.unhex(F.md5(F.col(text))).alias("key"), F.col(text).alias("text"))
-    frequent = frequent_shingles(base, "text")
-    ctx = spark.sparkContext.broadcast(frequent)
-    signed = materialise(signatures(base, frequent), "signatures")
+    signed, n_docs = signatures(base)
 
     worded = signed.where(F.col("bands").isNotNull())
     # equal texts: one node, named by its smallest id; samples are equal within it
@@ -323,15 +408,16 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text: str =
     star = materialise(star, "star")
 
     asked = materialise(met.select(F.col("key").alias("k"), "node").distinct(), "asked")
-    texts = base.join(broadcast_checked(asked), (F.col("id") == F.col("node")) & (F.col("key") == F.col("k")), "left_semi")
-    texts = materialise(texts.groupBy("key").agg(F.min("text").alias("text")), "candidate-texts")
+    candidates = lambda d, c: d.join(
+        broadcast_checked(asked), (F.col("id") == F.col("node")) & (F.col("key") == F.col("k")), "left_semi").groupBy("key").agg(F.min(c).alias(c))
+    texts = materialise(candidates(base, "text").join(candidates(signed, "n"), "key"), "candidate-texts")
 
-    similarity = F.arrow_udf(lambda a, b: pa.array(weighted_jaccard(a, b, *ctx.value)), "double")
+    similarity = F.arrow_udf(lambda a, b, m, n: pa.array(weighted_jaccard(a, b, m, n, n_docs)), "double")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
-        two = (pairs.join(texts.select(F.col("key").alias("b"), F.col("text").alias("tb")), "b")
-               .join(texts.select(F.col("key").alias("a"), F.col("text").alias("ta")), "a"))
-        return materialise(two.select("a", "b", similarity("ta", "tb").alias("similarity"))
+        two = (pairs.join(texts.select(F.col("key").alias("b"), F.col("text").alias("tb"), F.col("n").alias("nb")), "b")
+               .join(texts.select(F.col("key").alias("a"), F.col("text").alias("ta"), F.col("n").alias("na")), "a"))
+        return materialise(two.select("a", "b", similarity("ta", "tb", "na", "nb").alias("similarity"))
                            .where(F.col("similarity") >= threshold - 1e-12).select("a", "b"), name)
 
     links = verified(star, "star-links")
@@ -345,7 +431,7 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text: str =
                                         F.max_by("component", F.struct("n", "component")).alias("main")).where("parts > 1")
     mixed = materialise(mixed, "mixed")
     if not mixed.isEmpty():
-        more = materialise(links_across(placed.join(mixed, "bucket"), first, texts, ctx, threshold), "across-links")
+        more = materialise(links_across(placed.join(mixed, "bucket"), first, texts, n_docs, threshold), "across-links")
         if not more.isEmpty():
             comp = connected_components(links.union(more))
 

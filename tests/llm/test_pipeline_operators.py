@@ -3,6 +3,7 @@
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import pytest
 from corpus import SCHEMA, contained, corpus, kept_words, near_classes, quality, split
@@ -70,6 +71,34 @@ def test_near_duplicates(made):
     assert sorted(r.doc_id for r in out.collect()) == sorted(i for i, c in got.items() if i == c)
 
 
+def test_near_duplicates_weigh_every_shingle(spark, monkeypatch):
+    """Two texts that share what many documents hold and differ in what no other holds: alike by counts, not by TF-IDF."""
+    common = [f"c{k}" for k in range(100)]
+    rows = [(i, " ".join(common[:90] + [f"own{i}_{k}" for k in range(9)]), "en", "s", 0) for i in range(3)]
+    rows += [(10 + i, " ".join(common[i % 9:91 + i % 7] + [f"more{i}_{k}" for k in range(60)]), "en", "s", 0) for i in range(9)]
+    rows += [(100 + i, " ".join(f"x{i}_{k}" for k in range(40)), "en", "s", 0) for i in range(400)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    monkeypatch.setattr(near_dup, "SHARD_BYTES", 1 << 12)
+    monkeypatch.setattr(near_dup, "BLOCK_BYTES", 1 << 13)
+    docs = {r[0]: r[1] for r in rows}
+    want = near_classes(docs, near_dup.THRESHOLD, 0.0)
+    assert want != near_classes(docs, near_dup.THRESHOLD, 0.05)
+    assert {r.doc_id: r.class_id for r in near_dup.near_duplicate_classes(df).collect()} == want
+
+
+def test_shingle_frequencies_are_exact(made, monkeypatch):
+    import numpy as np
+    df, docs = made
+    monkeypatch.setattr(near_dup, "SHARD_BYTES", 1 << 12)
+    monkeypatch.setattr(near_dup, "BLOCK_BYTES", 1 << 13)
+    signed, n_docs = near_dup.signatures(df.selectExpr("doc_id AS id", "unhex(md5(text)) AS key", "text"))
+    bags = {i: {tuple(w[k:k + 5]) for k in range(max(len(w) - 4, min(len(w), 1)))} for i, w in ((i, split(t)) for i, t in docs.items())}
+    count = Counter(s for b in bags.values() for s in b)
+    got = {r.id: sorted(np.frombuffer(bytes(r.n), np.uint32).tolist()) for r in signed.collect()}
+    assert n_docs == len(docs)
+    assert got == {i: sorted(count[s] for s in b) for i, b in bags.items()}
+
+
 def test_near_duplicates_repeated_rows(made):
     df, _ = made
     out = near_dup.keep_one_per_class(df.union(df))
