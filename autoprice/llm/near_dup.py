@@ -45,7 +45,7 @@ THRESHOLD = 0.8
 IDF_SHARE = 0.0
 #: Text of a block at most (a longer text is one of its own), and of a shard about.
 BLOCK_BYTES = 4 << 20
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 BANDS, ROWS = 12, 4
 SAMPLES = BANDS * ROWS
 #: Texts of a side that a task compares at once, across the components of a bucket.
@@ -219,7 +219,7 @@ def shared_shingles(blocks: DataFrame) -> DataFrame:
 
     sent = blocks.select("block", "text").mapInArrow(releasing(send), "shard bigint, block bigint, h binary, n binary")
     return materialise(sent.repartition(shards, "shard").sortWithinPartitions("shard")
-                       .mapInArrow(releasing(answer), "block bigint, h binary, n binary"), "shared-shingles")
+                       .mapInArrow(releasing(answer), "block bigint, h binary, n binary"), "shared-shingles", drop_shuffles=True)
 
 
 def weighted_jaccard(left: pa.Array, right: pa.Array, left_n: pa.Array, right_n: pa.Array, n_docs: int) -> np.ndarray:
@@ -295,7 +295,7 @@ def signatures(docs: DataFrame) -> tuple[DataFrame, int]:
 
     met = rows.unionByName(answers).repartition("block").sortWithinPartitions("block", "kind")
     return materialise(met.mapInArrow(releasing(run), f"id {id_type.simpleString()}, key binary, bands array<bigint>, samples array<int>, n binary"),
-                       "signatures"), n_docs
+                       "signatures", drop_shuffles=True), n_docs
 
 
 def links_across(members: DataFrame, signed: DataFrame, texts: DataFrame, n_docs: int, threshold: float) -> DataFrame:
