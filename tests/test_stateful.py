@@ -73,6 +73,38 @@ def test_counters_equal_batch_form_with_resets(spark, tmp_path):
     assert got == {(r.pod, r.window_start): (r.increase, 2.0) for r in want.collect()}
 
 
+def test_counter_holds_numbers_not_rows():
+    import tracemalloc
+
+    import numpy as np
+    import pandas as pd
+
+    class Value:
+        def __init__(self): self.v = None
+        def exists(self): return self.v is not None
+        def get(self): return self.v
+        def update(self, v): self.v = v
+
+    class Handle:
+        def getValueState(self, *_): return Value()
+    counter, n, size = ST._Counter(60_000), 400_000, 10_000
+    counter.init(Handle())
+    at = np.random.default_rng(2).permutation(n)
+
+    def frames():
+        for i in range(0, n, size):
+            k = at[i:i + size]
+            yield pd.DataFrame({"at_ms": k * 10, "x": k * 2.0, "limit": np.full(len(k), np.nan)})
+    tracemalloc.start()
+    out = pd.concat(counter.handleInputRows(("p",), frames(), None))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert out.step.sum() == 2.0 * (n - 1) and out.limit.isna().all() and out.before_ms.isna().sum() == 1
+    assert peak < 150 * n  # a Row of four numbers alone takes more
+    more = pd.concat(counter.handleInputRows(("p",), iter([pd.DataFrame({"at_ms": [n * 10], "x": [5.0], "limit": [1.0]})]), None))
+    assert more.values.tolist() == [["p", n * 10 // 60_000 * 60_000, (n - 1) * 10 // 60_000 * 60_000, 5.0, 1.0]]
+
+
 def test_late_rows_go_to_their_own_table(spark, tmp_path):
     schema = "id long, ts timestamp"
     parts = [[(1, AT(0)), (2, AT(30))], [(3, AT(19)), (4, AT(21)), (5, None), (6, AT(60))], [(7, AT(49, 59)), (8, AT(50)), (9, AT(10))]]
