@@ -31,9 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from autoprice.session import scratch_dir
+from autoprice.session import ensure_checkpoint_dir, scratch_dir
 
 CELLS = 4_000_000  # histogram cells of a pass: 32 MB a task
+CHUNK = 1 << 16  # rows that a task runs down the trees at a time
+SHARED = 16  # draws of a chunk that are kept for further trees: about 30 MB a task at most
 EPSILON = float(np.finfo(np.float64).eps)
 _POISSON = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(13)])
 
@@ -113,14 +115,19 @@ class Tree:
             node = at[go]
             at[go] = np.where(x[go, f[node]] <= t[node], l[node], r[node])
 
-    def _node_of(self, bins: np.ndarray) -> np.ndarray:
+    def _node_of(self, bins: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """The node that each of ``rows`` is in; ``bins`` has a row a feature."""
         f, b, l, r = (np.array(c) for c in (self.feature, self.bin, self.left, self.right))
-        at = np.zeros(len(bins), np.int64)
-        go = np.flatnonzero(f[at] >= 0)
+        flat, n = bins.ravel(), bins.shape[1]
+        child, base = np.stack([r, l], axis=1).ravel(), f * n
+        at, go = np.zeros(len(rows), np.int64), np.arange(len(rows)) if f[0] >= 0 else np.zeros(0, np.int64)
         while len(go):
-            node = at[go]
-            at[go] = np.where(bins[go, f[node]] <= b[node], l[node], r[node])
-            go = go[f[at[go]] >= 0]
+            whole = len(go) == len(rows)
+            node, row = (at, rows) if whole else (at[go], rows[go])
+            node = child[2 * node + (flat[base[node] + row] <= b[node])]
+            at[go] = node
+            inner = f[node] >= 0
+            go = go if inner.all() else go[inner]
         return at
 
 
@@ -183,8 +190,8 @@ def fit_bins(rows: DataFrame, features: int, max_bins: int = 64) -> Bins:
     return Bins([none if t is None else t for t in limits], values)
 
 
-def binned(df: DataFrame, key: str, features: str, label: str, bins: Bins, fold: str | None) -> DataFrame:
-    """(h, fold, y, bins) of every row as a written table; ``features`` is an array column."""
+def binned(rows: DataFrame, bins: Bins) -> DataFrame:
+    """(h, fold, y, b) of every row of (h, fold, y, x) as a written table: ``b`` holds the bin of each feature."""
     limits = bins.limits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,11 +200,9 @@ def binned(df: DataFrame, key: str, features: str, label: str, bins: Bins, fold:
             out = np.stack([np.searchsorted(t, x[:, f], side="left") for f, t in enumerate(limits)], axis=1).astype(np.int16)
             yield pa.RecordBatch.from_arrays([b.column("h"), b.column("fold"), b.column("y"),
                                               pa.array([r.tobytes() for r in out], pa.binary())], ["h", "fold", "y", "b"])
-    rows = df.select(F.xxhash64(key).alias("h"), (F.lit(-1) if fold is None else F.col(fold)).cast("int").alias("fold"),
-                     F.col(label).cast("double").alias("y"), F.col(features).alias("x"))
-    path = scratch_dir(df.sparkSession, "binned")
+    path = scratch_dir(rows.sparkSession, "binned")
     rows.mapInArrow(run, "h long, fold int, y double, b binary").write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return rows.sparkSession.read.parquet(path)
 
 
 # ------------------------------------------------------------------ growth
@@ -213,38 +218,72 @@ def _stats(y: np.ndarray, w: np.ndarray, classes: int) -> np.ndarray:
     return out
 
 
+def _chunks(batches: Iterator[pa.RecordBatch], features: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(h, fold, y, bins) of about CHUNK rows at a time; ``bins`` has a row a feature."""
+    held: list[pa.RecordBatch] = []
+
+    def joined() -> tuple[np.ndarray, ...]:
+        t = pa.Table.from_batches(held).combine_chunks()
+        bins = np.frombuffer(b"".join(t.column("b").to_pylist()), np.int16).reshape(-1, features)
+        return *(t.column(c).to_numpy() for c in ("h", "fold", "y")), np.ascontiguousarray(bins.T)
+    for b in batches:
+        held.append(b)
+        if sum(x.num_rows for x in held) >= CHUNK:
+            yield joined()
+            held = []
+    if sum(x.num_rows for x in held):
+        yield joined()
+
+
 def _partial(trees: dict[int, Tree], wanted: dict[int, list[int]], features: int, sizes: list[int]):
-    """Histograms of the wanted nodes of each tree over a task's rows."""
+    """Histograms of the wanted nodes of each tree over a task's rows: the cells that have rows, and their sums."""
     most = max(sizes, default=1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
         tried = {t: np.array([trees[t].candidates(n, features) for n in nodes]) for t, nodes in wanted.items()}
-        for b in batches:
-            h, fold, y = (b.column(c).to_numpy() for c in ("h", "fold", "y"))
-            bins = np.frombuffer(b"".join(b.column("b").to_pylist()), np.int16).reshape(-1, features)
+        for h, fold, y, bins in _chunks(batches, features):
+            drawn: dict[tuple, tuple] = {}  # trees of several folds and grid points share their draws
             for t, nodes in wanted.items():
                 p = trees[t].params
-                w = draws(h.view(np.uint64), trees[t].seed, p.bootstrap)
-                if p.fold is not None:
-                    w = np.where(fold == p.fold, 0.0, w)
+                same = (trees[t].seed, p.bootstrap, p.fold)
+                if same not in drawn:
+                    w = draws(h.view(np.uint64), trees[t].seed, p.bootstrap)
+                    if p.fold is not None:
+                        w = np.where(fold == p.fold, 0.0, w)
+                    mine = np.flatnonzero(w > 0)
+                    if len(drawn) >= SHARED:
+                        drawn.clear()
+                    drawn[same] = mine, _stats(y[mine], w[mine], p.classes)
+                mine, stats = drawn[same]
                 slot = np.full(len(trees[t].feature), -1)
                 slot[nodes] = np.arange(len(nodes))
-                mine = np.flatnonzero(w > 0)
-                s = slot[trees[t]._node_of(bins[mine])]
-                mine, s = mine[s >= 0], s[s >= 0]
+                s = slot[trees[t]._node_of(bins, mine)]
+                if (s < 0).any():
+                    keep = np.flatnonzero(s >= 0)
+                    mine, stats, s = mine[keep], stats[keep], s[keep]
                 if not len(mine):
                     continue
                 k = tried[t].shape[1]
-                stats = _stats(y[mine], w[mine], p.classes)
-                cell = ((s[:, None] * k + np.arange(k)) * most + bins[mine][np.arange(len(mine))[:, None], tried[t][s]]).ravel()
-                sums = np.stack([np.bincount(cell, np.repeat(stats[:, c], k), len(nodes) * k * most) for c in range(stats.shape[1])], axis=1)
-                held[t] = held[t] + sums if t in held else sums
-        for t, sums in held.items():
+                if t not in held:
+                    held[t] = np.zeros((stats.shape[1], len(nodes), k, most))
+                columns = np.ascontiguousarray(stats.T)
+                for j in range(k):
+                    first = tried[t][0, j]
+                    own = bins[first][mine] if (tried[t][:, j] == first).all() else bins[tried[t][s, j], mine]
+                    cell = s * most + own
+                    for c, column in enumerate(columns):
+                        held[t][c, :, j] += np.bincount(cell, column, len(nodes) * most).reshape(-1, most)
+        for t in list(held):
+            sums = np.moveaxis(held.pop(t), 0, -1)
+            cells, values = [], []
+            for node in sums.reshape(len(sums), -1, sums.shape[-1]):
+                some = np.flatnonzero(node[:, 0])
+                cells.append(some.astype(np.int32))
+                values.append(node[some].ravel())
             nodes = wanted[t]
-            parts = sums.reshape(len(nodes), -1)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(nodes), t, np.int32)), pa.array(np.array(nodes, np.int32)),
-                                              pa.array(list(parts), pa.list_(pa.float64()))], ["t", "n", "m"])
+                                              pa.array(cells, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float64()))], ["t", "n", "at", "m"])
     return run
 
 
@@ -269,7 +308,7 @@ def best_split(cells: np.ndarray, classes: int, min_leaf: int) -> tuple[int, int
     return f, b, b + 1 + int(np.flatnonzero(cells[f, b + 1:, 0])[0])
 
 
-def _choose(params: dict[int, Params], most: int):
+def _choose(params: dict[int, Params], widths: dict[int, int], most: int):
     """The best split of each node from its partial histograms, which stand next to each other."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done(key, m):
@@ -286,14 +325,13 @@ def _choose(params: dict[int, Params], most: int):
         held, sums = None, None
         for b in batches:
             out = []
-            for t, n, m in zip(b.column("t").to_pylist(), b.column("n").to_pylist(), b.column("m")):
-                values = np.asarray(m.values)
-                if (t, n) == held:
-                    sums = sums + values
-                else:
+            for t, n, at, m in zip(b.column("t").to_pylist(), b.column("n").to_pylist(), b.column("at"), b.column("m")):
+                if (t, n) != held:
                     if held is not None:
                         out.append(done(held, sums))
-                    held, sums = (t, n), values
+                    p = params[t]
+                    held, sums = (t, n), np.zeros((widths[t] * most, 1 + p.classes if p.classes else 4))
+                sums[np.asarray(at.values)] += np.asarray(m.values).reshape(-1, sums.shape[1])
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
         if held is not None:
@@ -341,10 +379,11 @@ def grow(rows: DataFrame, bins: Bins, trees: list[Tree]) -> list[Tree]:
 def _grow_pass(rows, bins: Bins, trees: list[Tree], wanted: dict[int, list[int]], features: int, sizes: list[int], most: int, parts: int,
                roots: bool) -> list[tuple[int, int]]:
     held = {i: trees[i] for i in wanted}
-    partial = rows.mapInArrow(_partial(held, wanted, features, sizes), "t int, n int, m array<double>")
+    widths = {i: len(trees[i].candidates(nodes[0], features)) for i, nodes in wanted.items()}
+    partial = rows.mapInArrow(_partial(held, wanted, features, sizes), "t int, n int, at array<int>, m array<double>")
     together = partial.repartition(parts, "t", "n").sortWithinPartitions("t", "n")
     schema = "t int, n int, f int, b int, next int, varied boolean, total array<double>, left array<double>"
-    found = together.mapInArrow(_choose({i: t.params for i, t in held.items()}, most), schema).collect()
+    found = together.mapInArrow(_choose({i: t.params for i, t in held.items()}, widths, most), schema).collect()
     opened = []
     for r in sorted(found, key=lambda r: (r.t, r.n)):
         tree, total = trees[r.t], np.array(r.total)
@@ -439,11 +478,16 @@ def _prepared(df: DataFrame, key: str, features: str, label: str, classes: int,
     bad = F.col(features).isNull() | F.exists(features, lambda v: v.isNull() | F.isnan(v)) | F.col(label).isNull()
     if classes:
         bad = bad | ~F.col(label).cast("double").isin([float(c) for c in range(classes)])
-    facts = df.agg(F.max(F.size(features)), F.min(F.size(features)), F.count_if(bad)).first()
+    # computed once, in the partitions and order of ``df``: checking, bins and binning each read it
+    ensure_checkpoint_dir(df.sparkSession)
+    rows = df.select(F.xxhash64(key).alias("h"), (F.lit(-1) if fold is None else F.col(fold)).cast("int").alias("fold"),
+                     F.col(label).cast("double").alias("y"), F.col(features).alias("x"), bad.alias("bad")).checkpoint()
+    facts = rows.agg(F.max(F.size("x")), F.min(F.size("x")), F.count_if("bad")).first()
     if facts[2] or facts[0] != facts[1]:
         raise ValueError("training rows need a label (of the stated classes) and equally many known features each")
-    bins = fit_bins(df.select(F.col(features).alias("x")), facts[0] or 0, max_bins)
-    return binned(df, key, features, label, bins, fold), bins, facts[0] or 0
+    rows = rows.drop("bad")
+    bins = fit_bins(rows, facts[0] or 0, max_bins)
+    return binned(rows, bins), bins, facts[0] or 0
 
 
 def fit_forest(df: DataFrame, key: str, features: str = "features", label: str = "label", classes: int = 0, trees: int = 100,

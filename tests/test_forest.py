@@ -1,6 +1,7 @@
 """Histogram forests against a plain recursive version that sorts raw values."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -137,3 +138,24 @@ def test_unknown_features_empty_and_pure_tables(spark):
     assert FO.fit_forest(spark.createDataFrame([], schema), "k").trees == []
     pure = FO.fit_forest(spark.createDataFrame([(i, [float(i)], 1.0) for i in range(9)], schema), "k", classes=2, trees=3)
     assert all(t.feature == [-1] for t in pure.trees) and pure.predict(np.array([[4.0]])).tolist() == [1.0]
+
+
+def test_training_reads_its_rows_once_and_passes_on_used_cells_only(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    d = spark.range(300).selectExpr("id", "array(cast(id as double), cast(id % 7 as double)) as features", "cast(id % 5 as double) as label")
+    d = d.mapInArrow(counted, d.schema)
+    assert len(FO.fit_forest(d, "id", trees=2, depth=3).trees) == 2
+    assert seen.value == 300
+    bins = [np.array([k, k % 2], np.int16).tobytes() for k in range(5)]
+    rows = pa.RecordBatch.from_arrays([pa.array(range(5), pa.int64()), pa.array([-1] * 5, pa.int32()), pa.array([1.0] * 5), pa.array(bins, pa.binary())],
+                                      ["h", "fold", "y", "b"])
+    tree = FO.Tree(FO.Params(bootstrap=False), 0)
+    tree.add(0)
+    part = next(FO._partial({0: tree}, {0: [0]}, 2, [64, 64])(iter([rows.slice(0, 2), rows.slice(2)])))
+    assert part.column("at").to_pylist() == [[0, 1, 2, 3, 4, 64, 65]]
+    assert part.column("m").to_pylist() == [[1.0] * 20 + [3.0] * 4 + [2.0] * 4]
