@@ -77,9 +77,12 @@ def price_pipeline(train: DataFrame, trees: int = 50, depth: int = 8, seed: int
 
 
 def fit_price(clean: DataFrame, key: str = "car_id", trees: int = 50, depth: int = 8, seed: int = 42):
-    """The price pipeline fitted on ``clean``, laid out by key for training."""
+    """The price pipeline fitted on ``clean``, laid out by key for training and computed once: every stage and the forest read it
+    again."""
     from autoprice.operators.models import training_layout
-    train = training_layout(clean, key)
+    from autoprice.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(clean.sparkSession)
+    train = training_layout(clean, key).checkpoint()
     return price_pipeline(train, trees, depth, seed).fit(train)
 
 

@@ -120,3 +120,18 @@ def test_forest_training_is_repeatable(spark):
     p1 = rf_regressor("features", "selling_price", 10, 4, seed=7).fit(d).transform(d).select("car_id", F.col("prediction").alias("a"))
     p2 = rf_regressor("features", "selling_price", 10, 4, seed=7).fit(d).transform(d).select("car_id", F.col("prediction").alias("b"))
     assert p1.join(p2, "car_id").where("a <> b").count() == 0
+
+
+def test_price_fit_reads_its_rows_once(spark):
+    from autoprice.plans import jobs as J
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    numeric = ", ".join(f"cast((id * 7 + {i}) % 23 as double) as {c}" for i, c in enumerate(J.PRICE_NUMERIC))
+    kinds = ", ".join(f"cast(id % 3 as string) as {c}" for c in J.PRICE_CATEGORICAL)
+    d = spark.range(200).selectExpr("id as car_id", *numeric.split(", "), *kinds.split(", "), "cast(id % 11 as double) as selling_price")
+    model = J.fit_price(d.mapInArrow(counted, d.schema), trees=2, depth=2)
+    assert seen.value == 200 and model.transform(d).count() == 200
