@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from autoprice.llm.common import materialise, releasing
-from autoprice.llm.tokens import _encoders, encoder
+from autoprice.llm.tokens import FEW, REMEMBER, _encoders, encoder
 
 CAPACITY = 2048
 END_ID = 0
@@ -64,13 +64,13 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
 
 def tokenised_pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text: str = "text",
                      capacity: int = CAPACITY, end_id: int = END_ID, release: bool = False) -> DataFrame:
-    """(id, piece, start, length, ids_crc32) of every piece of every document. With ``release``, a worker gives
-    the memory of its known units back after each task, for jobs whose other stages need it."""
+    """(id, piece, start, length, ids_crc32) of every piece of every document. With ``release``, a worker knows fewer
+    units and gives their memory back after each task, for jobs whose other stages need it."""
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     id_type = base.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = encoder(vocabulary)
+        known = encoder(vocabulary, FEW if release else REMEMBER)
         encode = known.encode
         end = np.array([end_id], np.uint32)
         for whole in batches:

@@ -225,6 +225,57 @@ def test_operators_encode_as_the_library(name):
         assert ids.tolist() == plain.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_displaced_units_keep_their_ids(name):
+    import pyarrow as pa
+    plain = tokenizers.Tokenizer.from_file(P.path(name))
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdeéAB") for _ in range(rng.randint(1, 9))) + rng.choice(["", ".", ",!", "$$$"])
+    words = [word() for _ in range(500)]
+    made = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 40))) for _ in range(300)]
+    few = Encoder(P.path(name), literal=False, units=16)  # fewer than a text has; its ids are dropped again and again
+    for batch in (made[:100], made[100:200], made[200:], made[:100]):
+        for t, ids in zip(batch, few.encode(pa.array(batch))):
+            assert ids.tolist() == plain.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def test_byte_units_need_no_offsets():
+    import pyarrow as pa
+    made = [f"wörd{i}\n日本{i}, end{i}!" for i in range(50)]
+    enc = Encoder(BYTE, literal=False)
+    plain = enc._tokenizer
+
+    class Ids:
+        def __init__(self, x):
+            self.ids = x.ids
+
+    class Library:
+        def encode_batch(self, texts, **kw):
+            return [Ids(x) for x in plain.encode_batch(texts, **kw)]
+
+        encode_batch_fast = encode_batch
+
+        def encode(self, text, **kw):
+            return Ids(plain.encode(text, **kw))
+    enc._tokenizer = Library()
+    for t, ids in zip(made, enc.encode(pa.array(made))):
+        assert ids.tolist() == plain.encode(t, add_special_tokens=False).ids
+
+
+def test_encoder_memory_is_that_of_a_small_slice():
+    import tracemalloc
+
+    import pyarrow as pa
+    made = pa.array([" ".join(f"w{i}x{j % 97}" for j in range(1000)) for i in range(300)])  # 2 MB
+    enc = Encoder(BYTE, literal=False)
+    tracemalloc.start()
+    for _ in enc.encode(made):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 10e6
+
+
 def test_packing(made):
     import numpy as np
     df, docs = made
