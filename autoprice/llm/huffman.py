@@ -29,12 +29,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from autoprice.llm.common import materialise, releasing, shared_path, shuffle_partitions, text_batches
+from autoprice.llm.textcore import slices
 from autoprice.llm.tokens import _encoders, encoder
 
 MAX_BITS = 16
 BLOCK = 1 << 16
 STEP = 256
 TEXTS = 1024
+CODED = 1 << 16  # ids that are coded at a time: about 10 MB of arrays
 LANE_BLOCKS = 8
 
 
@@ -108,6 +110,12 @@ def encode_documents(documents: list[np.ndarray], lengths: np.ndarray, codes: np
     return [(raw[b:b + s], own[f:f + m:STEP]) for b, s, f, m in zip(at_byte.tolist(), size.tolist(), first.tolist(), n.tolist())]
 
 
+def coded(documents: list[np.ndarray], lengths: np.ndarray, codes: np.ndarray) -> Iterator[tuple[bytes, np.ndarray]]:
+    """As ``encode_documents``, in arrays of CODED ids (or one longer document's)."""
+    for i, j in slices(np.cumsum([0, *map(len, documents)]), CODED):
+        yield from encode_documents(documents[i:j], lengths, codes)
+
+
 def encode_ids(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[bytes, np.ndarray]:
     """(bit stream, bit offset of every STEP-th id) of one document."""
     return encode_documents([ids], lengths, codes)[0]
@@ -210,16 +218,16 @@ def write_store(docs: DataFrame, vocabulary: str, end_id: int, path: str, id_col
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(at, TEXTS) for b in batches for at in range(0, b.num_rows, TEXTS)):
             stored = list(_stored(batch))
-            made = encode_documents(stored, *book.value)
+            made = list(coded(stored, *book.value))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("row"), pa.array([len(x) for x in stored], pa.int64()),
                  pa.array([m[0] for m in made], pa.binary()), pa.array([m[1].tolist() for m in made], pa.list_(pa.int64()))],
                 names=["id", "row", "n", "bits", "marks"])
 
     id_type = ids.schema["id"].dataType.simpleString()
-    coded = ids.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
+    streams = ids.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
         releasing(code), f"id {id_type}, row bigint, n bigint, bits binary, marks array<bigint>")
-    ordered = coded.repartitionByRange(parts or shuffle_partitions(spark), "id", "row").sortWithinPartitions("id", "row")
+    ordered = streams.repartitionByRange(parts or shuffle_partitions(spark), "id", "row").sortWithinPartitions("id", "row")
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, block, before, held, used = TaskContext.get().partitionId(), 0, 0, [], 0

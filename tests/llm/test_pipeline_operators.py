@@ -276,6 +276,28 @@ def test_encoder_memory_is_that_of_a_small_slice():
     assert peak < 10e6
 
 
+def test_huffman_codes_few_ids_at_a_time(monkeypatch):
+    import numpy as np
+
+    from autoprice.llm import huffman
+    seen = []
+    plain, own = huffman.encode_documents, huffman.CODED
+
+    def counted(documents, *book):
+        n = [len(x) for x in documents]
+        seen.append(len(n) > 1 and sum(n) > own)
+        return plain(documents, *book)
+    monkeypatch.setattr(huffman, "encode_documents", counted)
+    rng = np.random.default_rng(3)
+    docs = [np.append(rng.integers(2, 900, n), 1) for n in (30_000, 5, 40_000, 0, 70_000, 9, 60_000)]
+    lengths = huffman.code_lengths(np.bincount(np.concatenate(docs)))
+    book = lengths, huffman.canonical_codes(lengths)
+    whole = plain(docs, *book)
+    parts = list(huffman.coded(docs, *book))
+    assert len(seen) > 1 and not any(seen) and len(parts) == len(whole)
+    assert all(a[0] == b[0] and a[1].tolist() == b[1].tolist() for a, b in zip(parts, whole))
+
+
 def test_packing(made):
     import numpy as np
     df, docs = made
