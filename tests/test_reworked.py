@@ -71,6 +71,37 @@ def test_validation_needs_four_rows(spark):
         J.train_validate_price(cars(spark, 3), spark, trees=2, depth=2)
 
 
+def test_validation_fits_side_by_side_on_rows_computed_once(spark, monkeypatch):
+    """The folds' rows stand in a table, and cross-validation and the A/B forests each wait here for the other to run."""
+    import threading
+    want = [r.asDict() for r in J.train_validate_price(cars(spark, 60), spark, trees=3, depth=3)[0].collect()]
+    meet, met, plans, real_cv, real_layout = threading.Barrier(2, timeout=60), [], [], MD.cross_validate, MD.training_layout
+
+    def cv(estimator, train, *rest):
+        plans.append(train._jdf.queryExecution().toString())
+        meet.wait()
+        return real_cv(estimator, train, *rest)
+
+    def layout(*args):
+        if threading.current_thread() is not threading.main_thread() and not met:
+            met.append(True)
+            meet.wait()
+        return real_layout(*args)
+    monkeypatch.setattr(MD, "cross_validate", cv)
+    monkeypatch.setattr(MD, "training_layout", layout)
+    got = J.train_validate_price(cars(spark, 60), spark, trees=3, depth=3)[0]
+    assert [r.asDict() for r in got.collect()] == want
+    assert met and "RepartitionBy" not in plans[0]
+
+
+def test_forest_does_not_depend_on_the_groups_of_nodes(spark):
+    from autoprice.operators.features import assemble_features
+    d = assemble_features(cars(spark, 2000), ["year", "present_price", "kms_driven"])
+    d = MD.training_layout(d.select("car_id", "features", F.col("selling_price").alias("label")), "car_id").checkpoint()
+    trees = [MD.rf_regressor(trees=20, depth=7, **x).fit(d).toDebugString.split("\n", 1)[1] for x in ({}, {"group_mb": 1})]
+    assert trees[0] == trees[1]
+
+
 def test_cross_validation_folds(spark):
     from autoprice.operators.features import assemble_features
     d = assemble_features(cars(spark, 40), ["year", "present_price"]).select("car_id", "features", F.col("selling_price").alias("label"))
